@@ -11,14 +11,49 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.licenses import scan
+
+    return scan(_read(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidelog.llm.quality import quality_scores
 
     return quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.html import extract
+
+    return extract(_read(spark, sf_dir, "pages"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.tokens import token_counts
+
+    return token_counts(_read(spark, sf_dir, "documents"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.packing import pack_documents
+
+    return pack_documents(_read(spark, sf_dir, "documents"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.decontaminate import contamination
+
+    return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_token_counts": op8_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {}
