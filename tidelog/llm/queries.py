@@ -11,6 +11,30 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.near_duplicates import jaccard_join
+
+    return jaccard_join(_read(spark, sf_dir, "documents"))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.language_model import score_texts
+
+    return score_texts(_read(spark, sf_dir, "documents"))
+
+
+def op3_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.sharding import shard
+
+    return shard(_read(spark, sf_dir, "documents"))
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.substrings import repeated_bytes
+
+    return repeated_bytes(_read(spark, sf_dir, "documents"))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidelog.llm.licenses import scan
 
@@ -48,6 +72,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_kd_tree_sharding": op3_kd_tree_sharding,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_license_scans": op5_license_scans,
     "op6_quality_rules": op6_quality_rules,
     "op7_html_extraction": op7_html_extraction,
