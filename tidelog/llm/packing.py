@@ -5,8 +5,9 @@ their pieces by best fit (longest first), emit the bins that are nearly full and
 ones on as items. Rounds of best fit over those items follow on ever fewer partitions, each of a
 bounded number of items, until one partition holds the rest or a round stops gaining.
 
-Tokens of a text are the concatenation of its white-space words' tokens (the tokenizer drops white
-space), so each worker looks up distinct words once and keeps them in a bounded cache.
+Tokens of a text are the concatenation of its units' tokens: white-space words, divided between letters
+and ASCII signs, where the tokenizer always divides them too. Each worker looks up distinct units once
+and keeps them in a bounded cache; units of letters only are encoded many at a time, divided by spaces.
 
 Defined cases: a null or empty text is one piece with the end id alone; equal texts and ties are
 packed like any others; an empty table gives no rows.
@@ -30,7 +31,8 @@ END_ID = 1
 NEARLY_FULL = 8
 #: items that one partition packs in a round
 NODE_ITEMS = 16_384
-CACHE_WORDS = 400_000
+#: distinct units that a worker keeps, about 60 bytes each
+CACHE_UNITS = 1_000_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -39,53 +41,108 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _WordIds:
-    """Token ids of words by their 64-bit hash: two arrays sorted by hash, renewed when they grow too large."""
+_LETTER, _SIGN, _OTHER = 1, 2, 3
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[0x21:0x7F] = _SIGN
+_CLASS[[0x27, *range(0x30, 0x3A)]] = _OTHER  # apostrophes and digits stay with what is beside them
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_CLASS[t.SPACE] = 0
+
+
+def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case bytes; starts, ends and borders of the units; which units are letters only.
+
+    Texts that hold ``<|`` may name special tokens, so their chunk's units are whole words as they are.
+    """
+    if not len(data) or (data[:-1][data[1:] == 0x7C] == 0x3C).any():
+        start, end, border = t.words(data, off)
+        return data, start, end, border, np.zeros(len(start), bool)
+    kind = _CLASS[data]
+    latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))  # U+00C0 to U+00FF are letters but for two
+    kind[latin] = kind[latin + 1] = _LETTER
+    cut = np.ones(len(data) + 1, bool)  # between the bytes
+    both = kind[1:] * kind[:-1]
+    cut[1:-1] = (both == 0) | (both == _LETTER * _SIGN)
+    cut[off] = True
+    edge = np.flatnonzero(cut)
+    full = kind[edge[:-1]] > 0
+    start, end = edge[:-1][full], edge[1:][full]
+    other = np.concatenate(([0], np.cumsum(kind == _OTHER)))
+    letters = (kind[start] == _LETTER) & (other[end] == other[start])
+    return t.LOWER[data], start, end, np.searchsorted(start, off), letters
+
+
+class _UnitIds:
+    """Token ids of units by their 64-bit hash; arrays sorted by hash, emptied when they grow too large."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.final = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a pre-token
+        self.final[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
         self.hash, self.start, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def look_up(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each word its place in ``ids`` and its number of ids."""
-        own, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hash) > CACHE_WORDS:
+    def _encode(self, texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each text has."""
+        count, out = np.zeros(len(texts), np.int64), []
+        one = np.flatnonzero(letters)
+        for k in range(0, len(one), 512):
+            own = one[k : k + 512]
+            ids = np.array(self.tokenizer.encode(" ".join([texts[i] for i in own]), add_special_tokens=False).ids, np.uint32)
+            count[own] = np.diff(np.flatnonzero(self.final[ids]), prepend=-1)
+            out.append((own, ids))
+        rest = np.flatnonzero(~letters)
+        for k in range(0, len(rest), 512):
+            own = rest[k : k + 512]
+            got = [x.ids for x in self.tokenizer.encode_batch([texts[i] for i in own], add_special_tokens=False)]
+            count[own] = [len(x) for x in got]
+            out.append((own, np.array([i for x in got for i in x], np.uint32)))
+        flat, begin = np.zeros(count.sum(), np.uint32), np.cumsum(count) - count
+        for own, ids in out:
+            n = count[own]
+            flat[np.repeat(begin[own] - np.cumsum(n) + n, n) + np.arange(len(ids))] = ids
+        return flat, count
+
+    def look_up(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each unit its place in ``ids`` and its number of ids."""
+        own, first, back = np.unique(t.span_hash(t.prefix_hash(data), start, end), return_index=True, return_inverse=True)
+        if len(self.hash) > CACHE_UNITS:
             self.clear()
-        new = ~np.isin(own, self.hash)
+        at = np.minimum(np.searchsorted(self.hash, own), max(0, len(self.hash) - 1))
+        new = self.hash[at] != own if len(self.hash) else np.ones(len(own), bool)
         if new.any():
-            raw = data.tobytes()
-            at = first[new]
-            texts = [raw[s:e].decode() for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True)]
-            got = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            count = np.array([len(x) for x in got], np.int64)
-            begin = np.cumsum(count) - count + len(self.ids)
-            self.ids = np.concatenate((self.ids, np.array([i for x in got for i in x], np.uint32)))
-            hash_all = np.concatenate((self.hash, own[new]))
-            order = np.argsort(hash_all)
-            self.hash = hash_all[order]
-            self.start = np.concatenate((self.start, begin))[order]
-            self.count = np.concatenate((self.count, count))[order]
+            raw, k = data.tobytes(), first[new]
+            flat, count = self._encode([raw[s:e].decode() for s, e in zip(start[k].tolist(), end[k].tolist(), strict=True)], letters[k])
+            where = np.searchsorted(self.hash, own[new])
+            self.start = np.insert(self.start, where, np.cumsum(count) - count + len(self.ids))
+            self.count = np.insert(self.count, where, count)
+            self.hash = np.insert(self.hash, where, own[new])
+            self.ids = np.concatenate((self.ids, flat))
         k = np.searchsorted(self.hash, own)[back]
         return self.start[k], self.count[k]
 
 
+#: one cache a tokenizer in each worker, which outlives a task
+_caches: dict[str, _UnitIds] = {}
+
+
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Each document's token ids and end id, cut into pieces of ``capacity``: place, length and checksum."""
     t.tuned(docs.sparkSession)
     path = path or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordIds(path)
+        known = _caches.get(path) or _caches.setdefault(path, _UnitIds(path))
         for b in batches:
             for lo, hi, data, off in t.chunks(b.column(1)):
-                start, end, border = t.words(data, off)
-                place, count = known.look_up(data, start, end, t.span_hash(t.prefix_hash(data), start, end))
+                low, start, end, border, letters = units(data, off)
+                place, count = known.look_up(low, start, end, letters)
                 total = np.concatenate(([0], np.cumsum(count)))
                 flat = known.ids[np.repeat(place - total[:-1], count) + np.arange(total[-1])].astype("<u4")
                 out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
