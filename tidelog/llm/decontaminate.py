@@ -32,6 +32,14 @@ BLOCK_BYTES = 16 << 20
 _BITS = 22
 
 
+_CELL = 512
+SEGMENT_SPOTS = 128
+
+
+def _cell_slot(cell: np.ndarray, seg: np.ndarray) -> np.ndarray:
+    return ((cell * 0x9E3779B1 + seg * 0x85EBCA77).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)
+
+
 def normalised(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case alphanumeric bytes with one space between words, and the new offsets."""
     if not len(data):
@@ -109,18 +117,26 @@ class Index:
         post = np.repeat(self.begin[k] - np.cumsum(times) + times, times) + np.arange(times.sum())
         at, doc = np.repeat(at, times), np.repeat(doc, times)
         seg, spot = self.owner[post], self.spot[post]
+        # shared q-grams of an alignment lie in two neighbouring cells of the text; hashed counts of a cell
+        # are never too small, so what can't reach the bound in any two goes before the sort
+        cell = at // _CELL
+        own = _cell_slot(cell, seg)
+        held = np.bincount(own, minlength=1 << _BITS)
+        most = held[own] + np.maximum(held[_cell_slot(cell + 1, seg)], held[_cell_slot(cell - 1, seg)])
+        rest = np.flatnonzero(most >= self.least[seg])
+        if not len(rest):
+            return none
+        at, doc, seg, spot = at[rest], doc[rest], seg[rest], spot[rest]
         # bands of 2 (k + 1) diagonals start every k + 1, so that each diagonal lies in two
         band = (at - spot + len(data)) // (self.edits[seg] + 1)
-        key = np.stack((np.concatenate((seg, seg)), np.concatenate((doc, doc)), np.concatenate((band, band - 1)), np.concatenate((spot, spot))))
-        key = key[:, np.lexsort(key[::-1])]
-        fresh = np.ones(key.shape[1], bool)
-        fresh[1:] = (key[:, 1:] != key[:, :-1]).any(0)
-        key = key[:, fresh]  # a place of the segment counts once in a band
-        head = np.ones(key.shape[1], bool)
-        head[1:] = (key[:3, 1:] != key[:3, :-1]).any(0)
-        first = np.flatnonzero(head)
-        count = np.diff(np.append(first, key.shape[1]))
-        seg, doc, band, _ = key[:, first]
+        bands = 2 * len(data) + 2
+        key = ((np.concatenate((seg, seg)) * (len(off) - 1) + np.concatenate((doc, doc))) * bands + np.concatenate((band, band - 1)) + 1) * SEGMENT_SPOTS + np.concatenate((spot, spot))
+        key.sort()
+        key = key[np.append(True, key[1:] != key[:-1])] // SEGMENT_SPOTS  # a place of the segment counts once in a band
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count, key = np.diff(np.append(first, len(key))), key[first]
+        band = key % bands - 1
+        seg, doc = np.divmod(key // bands, len(off) - 1)
         enough = count >= self.least[seg]
         seg, doc, band = seg[enough], doc[enough], band[enough]
         low = band * (self.edits[seg] + 1) - len(data)  # the band's first diagonal
