@@ -1,10 +1,731 @@
-"""Every registered query of the library, and its SQL twin."""
+"""Every registered query of the library, and its SQL twin for DuckDB.
+
+Each entry applies one operator to whole tables through a bridge; a page or a top row is cut only where
+the operator itself is one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidelog.core import enums
+from tidelog.core.order import events_after, latest_per_key
+from tidelog.functions import columns as c
+from tidelog.operators import completeness, fold, keyed, listing, mapping, metrics, validate
+from tidelog.plans import bridges as b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def register(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- folds ---------------------------------------------------------------------------------------
+
+_ADMINS = f"""{b.ACTIONS}, ev AS (SELECT *, row(slot, block_time, tx_signature, path) AS o FROM actions WHERE type IN ('ADMIN_ADDED', 'ADMIN_REMOVED')),
+ a AS (SELECT * FROM ev WHERE type = 'ADMIN_ADDED' QUALIFY row_number() OVER (PARTITION BY subject ORDER BY slot DESC, block_time DESC, tx_signature DESC, path DESC) = 1),
+ r AS (SELECT ev.* FROM ev JOIN a USING (subject) WHERE ev.type = 'ADMIN_REMOVED' AND ev.o > a.o QUALIFY row_number() OVER (PARTITION BY ev.subject ORDER BY ev.slot DESC, ev.block_time DESC, ev.tx_signature DESC, ev.path DESC) = 1),
+ admins AS (SELECT a.subject AS id, r.subject IS NULL AS active, a.actor AS added_by, a.slot AS added_at_slot, a.block_time AS added_at, a.tx_signature AS added_in_tx, r.slot AS removed_at_slot, r.block_time AS removed_at, r.tx_signature AS removed_in_tx FROM a LEFT JOIN r USING (subject))"""
+
+_INDEX = "CASE a.role " + " ".join(f"WHEN '{r}' THEN '{i}'" for i, r in enumerate(enums.ROLE)) + " END"
+_DESC = "slot DESC, block_time DESC, tx_signature DESC, path DESC"
+_DESC_EV = "ev.slot DESC, ev.block_time DESC, ev.tx_signature DESC, ev.path DESC"
+_ROLES = f"""{b.ACTIONS}, ev AS (SELECT *, row(slot, block_time, tx_signature, path) AS o FROM actions WHERE type IN ('ROLE_ASSIGNED', 'ROLE_REMOVED', 'ROLE_RENOUNCED', 'PERMISSION_UPDATED')),
+ a AS (SELECT * FROM ev WHERE type = 'ROLE_ASSIGNED' QUALIFY row_number() OVER (PARTITION BY subject, role ORDER BY {_DESC}) = 1),
+ p AS (SELECT ev.* FROM ev JOIN a USING (subject, role) WHERE ev.type = 'PERMISSION_UPDATED' AND ev.o > a.o QUALIFY row_number() OVER (PARTITION BY ev.subject, ev.role ORDER BY {_DESC_EV}) = 1),
+ r AS (SELECT ev.* FROM ev JOIN a USING (subject, role) WHERE ev.type IN ('ROLE_REMOVED', 'ROLE_RENOUNCED') AND ev.o > a.o QUALIFY row_number() OVER (PARTITION BY ev.subject, ev.role ORDER BY {_DESC_EV}) = 1),
+ act AS (SELECT subject, role, slot AS updated_at_slot, block_time AS updated_at FROM (SELECT * FROM a UNION ALL SELECT * FROM p UNION ALL SELECT * FROM r) QUALIFY row_number() OVER (PARTITION BY subject, role ORDER BY {_DESC}) = 1),
+ assignments AS (SELECT a.subject || '-' || {_INDEX} AS id, a.subject AS user_pubkey, a.role AS role, r.subject IS NULL AS active, coalesce(p.permission, 'COMPLIANT') AS permission, a.actor AS rent_payer, a.actor AS assigned_by,
+ a.slot AS assigned_at_slot, a.block_time AS assigned_at, a.tx_signature AS assigned_in_tx, act.updated_at_slot, act.updated_at, r.slot AS removed_at_slot, r.block_time AS removed_at, r.tx_signature AS removed_in_tx, r.actor AS removed_by,
+ CASE r.type WHEN 'ROLE_REMOVED' THEN 'REMOVED' WHEN 'ROLE_RENOUNCED' THEN 'RENOUNCED' END AS removal_kind
+ FROM a LEFT JOIN p ON p.subject = a.subject AND p.role = a.role LEFT JOIN r ON r.subject = a.subject AND r.role = a.role LEFT JOIN act ON act.subject = a.subject AND act.role = a.role)"""
+
+
+@register(f"WITH {_ROLES} SELECT * FROM assignments")
+def role_assignments_fold(spark, d):
+    return fold.role_assignments_fold(b.actions(spark, d))
+
+
+@register(f"WITH {_ADMINS} SELECT * FROM admins")
+def admins_fold(spark, d):
+    return fold.admins_fold(b.actions(spark, d))
+
+
+@register(f"""WITH {b.ACTIONS}, last AS (SELECT slot, block_time, tx_signature FROM actions WHERE type = 'AUTHORITY_UPDATED' ORDER BY {_DESC} LIMIT 1)
+ SELECT s.s_name AS authority, CAST(NULL AS VARCHAR) AS pending_authority, slot AS updated_at_slot, block_time AS updated_at, tx_signature AS updated_in_tx FROM (SELECT s_name FROM supplier WHERE s_suppkey = (SELECT min(s_suppkey) FROM supplier)) s LEFT JOIN last ON true""")
+def config_fold(spark, d):
+    config = b.table(spark, d, "supplier").agg(F.min_by("s_name", "s_suppkey").alias("authority")).withColumn("pending_authority", F.lit(None).cast("string"))
+    return fold.config_fold(config, b.actions(spark, d))
+
+
+@register(f"WITH {b.ACTIONS} SELECT subject, type, id, role, permission, actor, slot, block_time, tx_signature, instruction_index FROM actions QUALIFY row_number() OVER (PARTITION BY subject, type ORDER BY {_DESC}, id DESC) = 1")
+def latest_action_per_key(spark, d):
+    return latest_per_key(b.actions(spark, d), ["subject", "type"])
+
+
+@register(f"""WITH {b.ACTIONS}, a AS (SELECT * FROM actions WHERE type = 'ROLE_ASSIGNED' QUALIFY row_number() OVER (PARTITION BY subject, role ORDER BY {_DESC}, id DESC) = 1)
+ SELECT e.subject, e.role, e.id, e.type, a.id AS base_id FROM actions e JOIN a USING (subject, role) WHERE row(e.slot, e.block_time, e.tx_signature, e.path) > row(a.slot, a.block_time, a.tx_signature, a.path)""")
+def events_after_assignment(spark, d):
+    e = b.actions(spark, d)
+    base = latest_per_key(e.where("type = 'ROLE_ASSIGNED'"), ["subject", "role"])
+    return events_after(base, e, ["subject", "role"]).select("subject", "role", "id", "type", "base_id")
+
+
+@register(f"WITH {b.ACTIONS} SELECT subject, role, slot AS updated_at_slot, block_time AS updated_at FROM actions QUALIFY row_number() OVER (PARTITION BY subject, role ORDER BY {_DESC}) = 1")
+def latest_activity(spark, d):
+    return fold.latest_activity(b.actions(spark, d), ["subject", "role"])
+
+
+@register(f"""WITH {b.ACTIONS}, e AS (SELECT *, row(slot, block_time, tx_signature, path) AS o FROM actions), fa AS (SELECT subject, min(o) AS f FROM e WHERE type = 'ADMIN_ADDED' GROUP BY subject), fr AS (SELECT subject, role, min(o) AS f FROM e WHERE type = 'ROLE_ASSIGNED' GROUP BY ALL)
+ SELECT id, 'admin_not_added' AS violation FROM e LEFT JOIN fa USING (subject) WHERE type = 'ADMIN_REMOVED' AND (f IS NULL OR f > o)
+ UNION ALL SELECT id, 'role_not_assigned' FROM e LEFT JOIN fr USING (subject, role) WHERE type IN ('ROLE_REMOVED', 'ROLE_RENOUNCED', 'PERMISSION_UPDATED') AND (f IS NULL OR f > o)
+ UNION ALL SELECT id, 'no_config' FROM e WHERE type = 'AUTHORITY_UPDATED'""")
+def fold_violations(spark, d):
+    return fold.fold_violations(b.actions(spark, d))
+
+
+# --- keyed state ---------------------------------------------------------------------------------
+
+
+@register("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1""")
+def append_dedup(spark, d):
+    rows = b.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    return keyed.append_dedup(rows, ["l_orderkey", "l_linenumber"], "l_shipdate").drop("l_shipdate")
+
+
+@register("""SELECT l_orderkey, l_linenumber, min(l_shipdate) AS first_ship FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY ALL""")
+def append_new_keys(spark, d):
+    li = b.table(spark, d, "lineitem")
+    stored = li.join(b.table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi").select("l_orderkey", "l_linenumber")
+    rows = li.select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("first_ship"))
+    return keyed.append_new(stored, rows, ["l_orderkey", "l_linenumber"], "first_ship")
+
+
+@register(f"WITH {b.STATE} SELECT key, slot, price, closed_at_slot FROM upserted")
+def slot_guarded_upsert(spark, d):
+    state, ups, _ = b.split_state(spark, d)
+    return keyed.slot_guarded_upsert(state, ups, ["key"])
+
+
+@register(f"WITH {b.STATE} SELECT key, CASE WHEN c > slot THEN c ELSE slot END AS slot, price, CASE WHEN c > slot THEN c ELSE closed_at_slot END AS closed_at_slot FROM stored LEFT JOIN last_close USING (key)")
+def soft_close(spark, d):
+    state, _, closes = b.split_state(spark, d)
+    return keyed.soft_close(state, closes, ["key"])
+
+
+_BATCH = f"{b.STATE}, applied AS (SELECT key, CASE WHEN c > slot THEN c ELSE slot END AS slot, price, CASE WHEN c > slot THEN c ELSE closed_at_slot END AS closed_at_slot FROM upserted LEFT JOIN last_close USING (key))"
+
+
+@register(f"WITH {_BATCH} SELECT * FROM applied")
+def apply_batch(spark, d):
+    return keyed.apply_batch(*b.split_state(spark, d), ["key"])
+
+
+def _tagged(spark, d):
+    u = b.updates(spark, d)
+    rows = u.where("status <> 'F'").groupBy("table", "key").agg(F.max("slot").alias("slot")).withColumn("closed_at_slot", F.lit(None).cast("long"))
+    return rows, u.where("status = 'F'").select("table", "key", "slot")
+
+
+_TAGGED = f"""{b.UPDATES}, rows AS (SELECT "table", key, max(slot) AS slot FROM updates WHERE status <> 'F' GROUP BY ALL), closes AS (SELECT "table", key, slot FROM updates WHERE status = 'F')"""
+
+
+@register(f"""WITH {_TAGGED}, l AS (SELECT "table", key, max(slot) AS c FROM closes GROUP BY ALL) SELECT "table", key, CASE WHEN c > slot THEN c ELSE slot END AS slot, CASE WHEN c > slot THEN c END AS closed_at_slot FROM rows LEFT JOIN l USING ("table", key)""")
+def close_routed(spark, d):
+    rows, closes = _tagged(spark, d)
+    return keyed.close_routed(rows, closes, ["key"])
+
+
+@register(f"""WITH {_TAGGED}, l AS (SELECT key, max(slot) AS c FROM closes GROUP BY ALL) SELECT "table", key, CASE WHEN c > slot THEN c ELSE slot END AS slot, CASE WHEN c > slot THEN c END AS closed_at_slot FROM rows LEFT JOIN l USING (key)""")
+def close_everywhere(spark, d):
+    rows, closes = _tagged(spark, d)
+    return keyed.close_everywhere(rows, closes, ["key"])
+
+
+@register("""WITH st AS (SELECT conv_id, count(*) AS n, max(turn) AS slot, min(role) AS only FROM conversations GROUP BY conv_id), rm AS (SELECT conv_id, role, turn + 1 AS slot FROM conversations)
+ , hit AS (SELECT st.conv_id, max(rm.slot) AS c FROM st JOIN rm ON rm.conv_id = st.conv_id AND rm.role = st.only WHERE st.n = 1 GROUP BY ALL) SELECT conv_id, CASE WHEN c > slot THEN c ELSE slot END AS slot, CASE WHEN c > slot THEN c END AS closed_at_slot, n AS n_locations FROM st LEFT JOIN hit USING (conv_id)""")
+def close_if_last(spark, d):
+    t = b.table(spark, d, "conversations")
+    state = t.groupBy("conv_id").agg(F.collect_list(F.struct(F.col("role").alias("postcode"), "turn")).alias("locations"), F.max("turn").alias("slot")).withColumn("closed_at_slot", F.lit(None).cast("long"))
+    removals = t.select("conv_id", F.col("role").alias("postcode"), (F.col("turn") + 1).alias("slot"))
+    return keyed.close_if_last(state, removals, ["conv_id"]).select("conv_id", "slot", "closed_at_slot", F.size("locations").cast("long").alias("n_locations"))
+
+
+@register(f"WITH {_BATCH} SELECT 'applied' AS \"table\", key FROM applied WHERE closed_at_slot IS NULL UNION ALL SELECT 'stored', key FROM stored")
+def open_keys(spark, d):
+    state, ups, closes = b.split_state(spark, d)
+    return keyed.open_keys({"applied": keyed.apply_batch(state, ups, closes, ["key"]), "stored": state}, ["key"])
+
+
+_LIVE = "live AS (SELECT c_custkey AS key FROM customer WHERE c_acctbal > 0)"
+_GONE = f"closed_at_slot IS NULL AND slot < {b.MID} AND key NOT IN (SELECT key FROM live)"
+
+
+def _live(spark, d):
+    return b.table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("key"))
+
+
+@register(f"WITH {_BATCH}, {_LIVE} SELECT key, CASE WHEN {_GONE} THEN {b.MID} ELSE slot END AS slot, price, CASE WHEN {_GONE} THEN {b.MID} ELSE closed_at_slot END AS closed_at_slot FROM applied")
+def close_missing(spark, d):
+    return keyed.close_missing(keyed.apply_batch(*b.split_state(spark, d), ["key"]), _live(spark, d), b.MID, ["key"])
+
+
+@register(f"WITH {_BATCH}, {_LIVE} SELECT * FROM applied WHERE {_GONE}")
+def missing_keys(spark, d):
+    return keyed.missing_keys(keyed.apply_batch(*b.split_state(spark, d), ["key"]), _live(spark, d), b.MID, ["key"])
+
+
+@register(f"WITH {_BATCH}, {_LIVE} SELECT (SELECT count(*) FROM live) AS loaded, (SELECT count(*) FROM customer WHERE c_acctbal <= 0) AS undecodable, (SELECT count(*) FROM applied WHERE {_GONE}) AS closed_missing")
+def snapshot_summary(spark, d):
+    rejected = b.table(spark, d, "customer").where("c_acctbal <= 0")
+    return keyed.snapshot_summary(keyed.apply_batch(*b.split_state(spark, d), ["key"]), _live(spark, d), rejected, b.MID, ["key"])
+
+
+@register("""SELECT n_nationkey AS program_id, CAST(CASE WHEN n_nationkey < 10 THEN 7 ELSE n_nationkey * 100 END AS BIGINT) AS last_contiguous_slot, n_nationkey < 10 AS backfill_complete, CAST(CASE WHEN n_nationkey < 10 THEN 1 ELSE n_nationkey * 100 END AS BIGINT) AS backfill_floor_slot, CAST(CASE WHEN n_nationkey < 10 THEN 5 END AS BIGINT) AS snapshot_slot FROM nation""")
+def seed_if_absent(spark, d):
+    n = b.table(spark, d, "nation")
+    one = lambda v: F.lit(v).cast("long")
+    have = n.where("n_nationkey < 10").select(F.col("n_nationkey").alias("program_id"), one(7).alias("last_contiguous_slot"), F.lit(True).alias("backfill_complete"), one(1).alias("backfill_floor_slot"), one(5).alias("snapshot_slot"))
+    return keyed.seed_if_absent(have, n.select(F.col("n_nationkey").alias("program_id"), (F.col("n_nationkey") * 100).cast("long").alias("floor_slot")))
+
+
+@register(f"WITH {b.SYNC}, m AS (SELECT program_id, max(slot) AS s FROM signatures WHERE failed GROUP BY ALL) SELECT program_id, greatest(last_contiguous_slot, s) AS last_contiguous_slot, backfill_complete, backfill_floor_slot, snapshot_slot FROM sync LEFT JOIN m USING (program_id)")
+def advance_monotonic(spark, d):
+    return keyed.advance_monotonic(b.sync(spark, d), b.signatures(spark, d).where("failed"), ["program_id"])
+
+
+@register(f"WITH {b.SYNC} SELECT program_id, last_contiguous_slot, backfill_complete, backfill_floor_slot, CASE WHEN program_id = 1 THEN NULL WHEN program_id = 2 THEN last_contiguous_slot ELSE snapshot_slot END AS snapshot_slot FROM sync")
+def set_field(spark, d):
+    s = b.sync(spark, d)
+    values = s.where("program_id in (1, 2)").select("program_id", F.when(F.col("program_id") == 2, F.col("last_contiguous_slot")).alias("value"))
+    return keyed.set_field(s, values, ["program_id"], "snapshot_slot")
+
+
+_CURSOR = "cur AS (SELECT program_id, signature, slot FROM signatures QUALIFY row_number() OVER (PARTITION BY program_id ORDER BY abs(slot - 9500), signature) = 1)"
+
+
+def _cursors(spark, d):
+    s = b.signatures(spark, d)
+    return s.groupBy("program_id").agg(F.min_by(F.struct("signature", "slot"), F.struct(F.abs(F.col("slot") - b.MID), F.col("signature"))).alias("r")).select("program_id", "r.signature", "r.slot")
+
+
+@register(f"WITH {b.SIGNATURES}, {_CURSOR} SELECT program_id, CASE WHEN program_id = 1 THEN 'new' ELSE signature END AS signature, CASE WHEN program_id = 1 THEN CAST(1 AS BIGINT) ELSE slot END AS slot FROM cur WHERE program_id <> 2")
+def cursors(spark, d):
+    have = _cursors(spark, d)
+    new = have.where("program_id = 1").select("program_id", F.lit("new").alias("signature"), F.lit(1).cast("long").alias("slot"))
+    return keyed.clear_cursor(keyed.set_cursor(have, new), have.where("program_id = 2").select("program_id"))
+
+
+# --- mapping and functions -----------------------------------------------------------------------
+
+
+def _transactions(spark, d):
+    """Orders as transactions: their lines as instructions, failed ones by status."""
+    i = b.lineitem_instructions(spark, d).groupBy("l_orderkey", "signature").agg(F.collect_list(F.struct("path", F.col("program").alias("program_id"), "ix_name", "args", "slot")).alias("instructions"))
+    o = b.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderstatus") == "P").alias("failed"), (F.col("o_orderpriority") == "5-LOW").alias("vote"))
+    return i.join(o, "l_orderkey")
+
+
+@register(f"""WITH {b.INSTRUCTIONS} SELECT signature, program AS program_id, ix_name, path[1] || '.' || path[2] AS path, CAST(path[1] AS SMALLINT) AS ix_index, CAST(path[2] AS SMALLINT) AS inner_index, signature || '-' || path[1] || '.' || path[2] AS row_id
+ FROM instructions JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' AND ix_name <> 'NO'""")
+def explode_instructions(spark, d):
+    t = mapping.succeeded(_transactions(spark, d))
+    rows = t.select("signature", F.explode("instructions").alias("i")).select("signature", "i.*").where("ix_name <> 'NO'")
+    outer, inner = c.path_indexes(F.col("path"))
+    return rows.select("signature", "program_id", "ix_name", c.dotted(F.col("path")).alias("path"), outer.alias("ix_index"), inner.alias("inner_index"), c.row_id(F.col("signature"), outer, inner).alias("row_id"))
+
+
+@register(f"WITH {b.INSTRUCTIONS} SELECT DISTINCT signature FROM instructions WHERE program IN (1, 2)")
+def touching_programs(spark, d):
+    wanted = F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))
+    return _transactions(spark, d).where(F.exists("instructions", lambda x: F.array_contains(wanted, x["program_id"]))).select("signature")
+
+
+@register("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def owner_filter(spark, d):
+    accounts = b.table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("owner"))
+    return mapping.owned_by(accounts, b.table(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("program_id"))).select("c_custkey", F.col("owner").alias("c_nationkey"))
+
+
+@register("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 12 AS VARCHAR) ELSE (event_id % 12) || '.' || (event_id % 4) END AS path, 'x-' || CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 12 AS VARCHAR) ELSE (event_id % 12) || '.' || (event_id % 4) END AS row_id,
+ row_number() OVER (ORDER BY CASE WHEN event_id % 3 = 0 THEN [event_id % 12] ELSE [event_id % 12, event_id % 4] END, event_id) AS place FROM events""")
+def path_order(spark, d):
+    e = b.table(spark, d, "events")
+    path = F.when(F.col("event_id") % 3 == 0, F.array((F.col("event_id") % 12).cast("int"))).otherwise(F.array((F.col("event_id") % 12).cast("int"), (F.col("event_id") % 4).cast("int")))
+    outer, inner = c.path_indexes(path)
+    rows = e.select("event_id", c.dotted(path).alias("path"), c.row_id(F.lit("x"), outer, inner).alias("row_id")).withColumn("key", c.path_key(F.col("path")))
+    # places by prefix sums over the few distinct paths, then within a path
+    ranked = completeness.ranked(rows.withColumn("whole", F.lit(0)).withColumn("neg", -F.element_at("key", 1)), ["whole"], "neg", ["key", "event_id"], width=1)
+    return ranked.select("event_id", "path", "row_id", F.col("rank").alias("place"))
+
+
+@register(f"WITH {b.INSTRUCTIONS} SELECT l_orderkey, l_linenumber, l_partkey, accounts[1 + qty % 4] AS account, '{{\"qty\":' || qty || '}}' AS args FROM instructions")
+def account_at(spark, d):
+    i = b.lineitem_instructions(spark, d)
+    return i.select("l_orderkey", "l_linenumber", "l_partkey", c.lower_hex(c.account_at(F.col("accounts"), F.col("qty") % 4)).alias("account"), "args")
+
+
+_STATUS = "CASE p_size % 9 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(enums.LISTING_STATUS)) + " END"
+
+
+@register(f"SELECT p_partkey, {_STATUS} AS status, CASE WHEN p_size % 9 < 8 THEN CAST(p_size % 9 AS SMALLINT) END AS idx FROM part")
+def enum_spellings(spark, d):
+    p = b.table(spark, d, "part").select("p_partkey", c.spelled(F.col("p_size") % 9, enums.LISTING_STATUS).alias("status"))
+    return p.withColumn("idx", c.indexed(F.col("status"), enums.LISTING_STATUS))
+
+
+@register("""SELECT conv_id, min(struct_pack(turn := turn, role := role)).role AS first_role, min(struct_pack(turn := turn, role := role)).turn AS first_turn, to_json(list(struct_pack(role := role, turn := turn) ORDER BY turn, role)) AS turns FROM conversations GROUP BY conv_id""")
+def nested_lists(spark, d):
+    t = b.table(spark, d, "conversations").groupBy("conv_id").agg(F.min(F.struct("turn", "role")).alias("first"), F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text")))).alias("turns"))
+    return t.select("conv_id", *c.flattened("first", ["role", "turn"]), c.json_list(F.col("turns"), ["role", "turn"]).alias("turns"))
+
+
+@register("SELECT doc_id, lower(hex(encode(source))) AS source_hex, source AS source_text, octet_length(encode(source)) AS n FROM documents")
+def bytes_as_text(spark, d):
+    raw = F.col("source").cast("binary")
+    return b.table(spark, d, "documents").select("doc_id", c.lower_hex(raw).alias("source_hex"), c.lossy_text(raw).alias("source_text"), F.octet_length(raw).cast("long").alias("n"))
+
+
+_HEX = "md5(CAST(o_orderkey AS VARCHAR))"
+_le = lambda at, n: " || ".join(f"substr(h, {2 * (at + k) + 1}, 2)" for k in reversed(range(n)))
+
+
+@register(f"""WITH x AS (SELECT o_orderkey, {_HEX} AS h FROM orders), y AS (SELECT o_orderkey, CAST('0x' || {_le(0, 1)} AS UBIGINT) AS u8, CAST('0x' || {_le(1, 2)} AS UBIGINT) AS u16, CAST('0x' || {_le(3, 4)} AS UBIGINT) AS u32, CAST('0x' || {_le(7, 8)} AS UBIGINT) AS u64, substr(h, 17, 16) AS be FROM x)
+ SELECT o_orderkey, CAST(u8 AS SMALLINT) AS u8, CAST(u16 AS INTEGER) AS u16, CAST(u32 AS BIGINT) AS u32, CAST(CASE WHEN u64 >= 9223372036854775808 THEN CAST(u64 AS HUGEINT) - 18446744073709551616 ELSE u64 END AS BIGINT) AS u64,
+ CAST(CASE WHEN CAST('0x' || be AS UBIGINT) >= 9223372036854775808 THEN CAST(CAST('0x' || be AS UBIGINT) AS HUGEINT) - 18446744073709551616 ELSE CAST('0x' || be AS UBIGINT) END AS BIGINT) AS wrapped FROM y""")
+def payload_fields(spark, d):
+    o = b.table(spark, d, "orders").withColumn("data", F.unhex(F.md5(F.col("o_orderkey").cast("string"))))
+    x = F.col("data")
+    return o.select("o_orderkey", c.little_endian(x, 0, 1).alias("u8"), c.little_endian(x, 1, 2).alias("u16"), c.little_endian(x, 3, 4).alias("u32"), c.little_endian(x, 7, 8).alias("u64"), c.wrapped_u64(F.hex(c.payload_bytes(x, 8, 8))).alias("wrapped"))
+
+
+@register(f"""WITH {b.UPDATES}, times AS (SELECT DISTINCT slot, slot * 86400 AS known FROM updates WHERE slot % 3 = 0), x AS (SELECT arrival, coalesce(CASE WHEN arrival % 2 = 0 THEN slot END, known) AS block_time FROM updates LEFT JOIN times USING (slot)) SELECT arrival, block_time, block_time IS NULL AS rejected FROM x""")
+def block_times(spark, d):
+    u = b.updates(spark, d)
+    times = u.where("slot % 3 = 0").select("slot", (F.col("slot") * 86400).alias("block_time")).distinct()
+    good, bad = mapping.with_block_time(u.select("arrival", "slot", F.when(F.col("arrival") % 2 == 0, F.col("slot")).alias("block_time")), times)
+    return good.select("arrival", "block_time", F.lit(False).alias("rejected")).unionByName(bad.select("arrival", "block_time", F.lit(True).alias("rejected")))
+
+
+#: stand-ins of the rule tables for lineitem's instruction names
+_RULES = [("AF", "ROLE_ASSIGNED", 0, 2, None, True, False), ("NF", "ADMIN_REMOVED", 0, None, "qty", False, False), ("RF", "PERMISSION_UPDATED", 1, 3, None, True, True)]
+
+
+def _role_args(i):
+    return i.withColumn("args", F.to_json(F.struct("qty", (F.col("qty") % 6).alias("role"), (F.col("qty") % 2).alias("permission"))))
+
+
+_ARG_ROLE = "CASE qty % 6 " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(enums.ROLE)) + " END"
+
+
+@register(f"""WITH {b.INSTRUCTIONS} SELECT signature || '-' || path[1] || '.' || path[2] AS id, CASE ix_name WHEN 'AF' THEN 'ROLE_ASSIGNED' ELSE 'ADMIN_REMOVED' END AS type, CASE ix_name WHEN 'AF' THEN accounts[3] ELSE CAST(qty AS VARCHAR) END AS subject,
+ CASE WHEN ix_name = 'AF' THEN {_ARG_ROLE} END AS role, CAST(NULL AS VARCHAR) AS permission, accounts[1] AS actor, slot, signature AS tx_signature, path[1] || '.' || path[2] AS instruction_index FROM instructions WHERE ix_name IN ('AF', 'NF')""")
+def action_rules(spark, d):
+    i = _role_args(b.lineitem_instructions(spark, d)).withColumn("program_id", F.lit(1)).withColumn("signature", F.unhex("signature")).withColumn("block_time", F.lit(None).cast("timestamp_ntz"))
+    rules = spark.createDataFrame([(1, *r) for r in _RULES], "program_id int, ix_name string, type string, actor_pos int, subject_pos int, subject_arg string, with_role boolean, with_permission boolean")
+    return mapping.actions(i, rules)[0].drop("block_time")
+
+
+@register(f"""WITH {b.INSTRUCTIONS} SELECT ix_name, 'missing_account' AS reason, count(*) AS n FROM instructions WHERE ix_name = 'RF' GROUP BY ALL""")
+def action_rejects(spark, d):
+    i = _role_args(b.lineitem_instructions(spark, d)).withColumn("program_id", F.lit(1)).withColumn("signature", F.unhex("signature")).withColumn("block_time", F.lit(None).cast("timestamp_ntz"))
+    rules = spark.createDataFrame([(1, *r) for r in _RULES], "program_id int, ix_name string, type string, actor_pos int, subject_pos int, subject_arg string, with_role boolean, with_permission boolean")
+    return mapping.actions(i, rules)[1].groupBy("ix_name", "reason").agg(F.count("*").alias("n"))
+
+
+@register(f"""WITH {b.INSTRUCTIONS}, rules AS (SELECT * FROM (VALUES ('AF', 'admin', 2, false), ('NF', 'position', 1, false), ('NF', 'holding', 2, false), ('RF', 'agent', 0, true)) r(ix_name, "table", pos, conditional))
+ SELECT "table", accounts[pos + 1] AS pubkey, slot, CASE WHEN conditional THEN CAST(qty AS VARCHAR) END AS postcode FROM instructions JOIN rules USING (ix_name)""")
+def close_rules(spark, d):
+    i = b.lineitem_instructions(spark, d).withColumn("program_id", F.lit(1)).withColumn("args", F.to_json(F.struct(F.col("qty").alias("postcode"))))
+    rules = spark.createDataFrame([(1, "AF", "admin", 2, False), (1, "NF", "position", 1, False), (1, "NF", "holding", 2, False), (1, "RF", "agent", 0, True)], "program_id int, ix_name string, table string, pos int, conditional boolean")
+    out, _ = mapping.closes(i, rules)
+    return out.select("table", c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "postcode")
+
+
+@register("""WITH x AS (SELECT o_orderkey, md5(CAST(o_orderkey % 10 AS VARCHAR)) AS h FROM orders) SELECT o_orderkey, CASE h WHEN md5('1') THEN 'one' WHEN md5('2') THEN 'two' WHEN md5('7') THEN 'seven' END AS kind FROM x""")
+def classify_payloads(spark, d):
+    o = b.table(spark, d, "orders").select("o_orderkey", F.lit(1).alias("program_id"), F.unhex(F.md5((F.col("o_orderkey") % 10).cast("string"))).alias("data"))
+    kinds = spark.createDataFrame([(1, k, n) for k, n in (("1", "one"), ("2", "two"), ("7", "seven"))], "program_id int, k string, kind string").select("program_id", F.substring(F.unhex(F.md5("k")), 1, 8).alias("header"), "kind")
+    known, unknown = mapping.classify(o, kinds)
+    return known.select("o_orderkey", "kind").unionByName(unknown.select("o_orderkey", "kind"))
+
+
+@register("""SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL""")
+def current_version(spark, d):
+    from pyspark.sql import Window
+
+    o = b.table(spark, d, "orders")
+    versions = o.select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("valid_from"), F.lead("o_orderdate").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).alias("valid_to"))
+    return mapping.current_version(versions).select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+# --- validation ----------------------------------------------------------------------------------
+
+
+def _checked(spark, d):
+    i = b.lineitem_instructions(spark, d)
+    path = F.when(F.col("qty") % 10 == 0, F.array().cast("array<int>")).otherwise(F.col("path"))
+    args = F.when(F.col("qty") % 7 == 0, F.lit("{broken")).otherwise(F.col("args"))
+    return i.withColumn("reason", validate.instruction_reason(path, F.col("accounts"), F.col("qty") % 4, args))
+
+
+_REASON = "CASE WHEN qty % 10 = 0 THEN 'empty_absolute_path' WHEN qty % 4 = 3 THEN 'missing_account' WHEN qty % 7 = 0 THEN 'serialize' END"
+
+
+@register(f"WITH {b.INSTRUCTIONS}, p AS (SELECT DISTINCT program FROM instructions), r AS (SELECT unnest(['missing_account', 'empty_absolute_path', 'serialize', 'never']) AS reason), n AS (SELECT program, {_REASON} AS reason, count(*) AS n FROM instructions GROUP BY ALL) SELECT program, reason, coalesce(n, 0) AS n FROM p CROSS JOIN r LEFT JOIN n USING (program, reason)")
+def rejected_counts(spark, d):
+    rows = _checked(spark, d)
+    return validate.rejected_counts(rows.where("reason is not null"), rows.select("program").distinct(), (*validate.REASONS, "never"))
+
+
+@register(f"WITH {b.INSTRUCTIONS}, x AS (SELECT *, {_REASON} AS reason FROM instructions), bad AS (SELECT signature, min(l_linenumber) AS f FROM x WHERE reason IS NOT NULL GROUP BY ALL) SELECT signature, l_linenumber, l_partkey FROM x LEFT JOIN bad USING (signature) WHERE f IS NULL OR l_linenumber < f")
+def before_first_bad(spark, d):
+    return validate.before_first_bad(_checked(spark, d), ["signature"], "l_linenumber").select("signature", "l_linenumber", "l_partkey")
+
+
+@register("SELECT 'known_status' AS rule, count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) AS violations FROM orders UNION ALL SELECT 'price_above', count(*) FILTER (o_totalprice <= 1000) FROM orders")
+def check_constraints(spark, d):
+    return validate.check_constraints(b.table(spark, d, "orders"), {"known_status": F.col("o_orderstatus").isin("O", "F"), "price_above": F.col("o_totalprice") > 1000})
+
+
+@register("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark, d):
+    return validate.duplicate_keys(b.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# --- listings and status -------------------------------------------------------------------------
+
+
+def _accounts(spark, d):
+    return keyed.apply_batch(*b.split_state(spark, d), ["key"]).withColumnRenamed("key", "pubkey")
+
+
+@register(f"WITH {_BATCH} SELECT key AS pubkey, slot, price, closed_at_slot FROM applied WHERE closed_at_slot IS NULL ORDER BY slot DESC, key LIMIT 30 OFFSET 10")
+def list_open_rows(spark, d):
+    return listing.list_rows(_accounts(spark, d), [mapping.is_active(True)], listing.by_slot(), 30, 10)[0].select("pubkey", "slot", "price", "closed_at_slot")
+
+
+@register(f"WITH {_BATCH} SELECT CAST(count(*) AS INTEGER) AS total_count FROM applied WHERE closed_at_slot IS NULL")
+def list_open_total(spark, d):
+    return listing.list_rows(_accounts(spark, d), [mapping.is_active(True)], listing.by_slot())[1]
+
+
+@register(f"WITH {_ROLES} SELECT * FROM assignments WHERE role = 'LAWYER' AND permission = 'COMPLIANT' ORDER BY assigned_at_slot DESC, id LIMIT 20")
+def list_role_assignments(spark, d):
+    return listing.query("role_assignments", fold.role_assignments_fold(b.actions(spark, d)), role="LAWYER", permission="COMPLIANT")[0]
+
+
+@register(f"WITH {_ADMINS} SELECT * FROM admins WHERE active ORDER BY added_at_slot DESC, id LIMIT 20")
+def list_admins(spark, d):
+    return listing.query("admins", fold.admins_fold(b.actions(spark, d)), active=True)[0]
+
+
+@register(f"WITH {b.ACTIONS} SELECT id, type, subject, role, permission, actor, slot, block_time, tx_signature, instruction_index FROM actions WHERE type = 'ROLE_ASSIGNED' ORDER BY slot DESC, tx_signature, path, id LIMIT 100 OFFSET 5")
+def list_actions(spark, d):
+    return listing.query("whitelist_actions", b.actions(spark, d), first=1000, offset=5, type="ROLE_ASSIGNED")[0]
+
+
+@register(f"WITH {b.INSTRUCTIONS} SELECT signature, ix_index, inner_index, slot, ix_name FROM (SELECT DISTINCT signature, CAST(path[1] AS SMALLINT) AS ix_index, CAST(path[2] AS SMALLINT) AS inner_index, slot, ix_name FROM instructions WHERE ix_name = 'RF') ORDER BY slot DESC, signature, ix_index, inner_index LIMIT 40")
+def list_instructions(spark, d):
+    outer, inner = c.path_indexes(F.col("path"))
+    rows = b.lineitem_instructions(spark, d).select("signature", outer.alias("ix_index"), inner.alias("inner_index"), "slot", "ix_name").distinct()
+    return listing.query("program_instructions", rows, first=40, ix_name="RF")[0]
+
+
+@register("SELECT s_suppkey AS pubkey, CAST(s_nationkey AS BIGINT) AS slot, s_name FROM supplier ORDER BY s_nationkey DESC, s_suppkey LIMIT 1")
+def newest_config(spark, d):
+    rows = b.table(spark, d, "supplier").select(F.col("s_suppkey").alias("pubkey"), F.col("s_nationkey").cast("long").alias("slot"), "s_name")
+    return listing.query("regions_config", rows)[0]
+
+
+@register(f"WITH {b.UPDATES} SELECT arrival, slot, price FROM updates ORDER BY slot DESC, arrival LIMIT 500 OFFSET 1000")
+def numbered_page(spark, d):
+    size, skip = listing.numbered_page(2, 9999)
+    return b.updates(spark, d).orderBy(F.desc("slot"), "arrival").offset(skip).limit(size).select("arrival", "slot", "price")
+
+
+@register(f"WITH {_ROLES} SELECT coalesce(bool_or(active), false) AS has_role, coalesce(bool_or(active AND permission = 'COMPLIANT'), false) AS compliant FROM assignments WHERE user_pubkey = 'u3' AND role = 'LAWYER'")
+def check_access(spark, d):
+    return listing.check_access(fold.role_assignments_fold(b.actions(spark, d)), "u3", "LAWYER")
+
+
+@register(f"WITH {_ROLES} SELECT * FROM assignments WHERE user_pubkey = 'u3' AND role = 'LAWYER'")
+def role_assignment(spark, d):
+    return listing.role_assignment(fold.role_assignments_fold(b.actions(spark, d)), "u3", "LAWYER")
+
+
+_TIP = 11_000
+
+
+@register(f"WITH {b.SYNC} SELECT min(last_contiguous_slot) AS last_contiguous_slot, bool_and(backfill_complete) AS backfill_complete, CASE WHEN count(*) = count(snapshot_slot) THEN min(snapshot_slot) END AS snapshot_slot, CAST({_TIP} AS BIGINT) AS chain_tip_slot, greatest({_TIP} - greatest(min(last_contiguous_slot), 0), 0) AS slot_lag FROM sync")
+def sync_status(spark, d):
+    return listing.sync_status(b.sync(spark, d), _TIP)
+
+
+@register(f"WITH {b.SYNC} SELECT min(last_contiguous_slot) AS last_contiguous_slot, coalesce(bool_and(backfill_complete), false) AS backfill_complete, CAST({_TIP} AS BIGINT) AS chain_tip_slot, greatest({_TIP} - min(last_contiguous_slot), 0) AS slot_lag FROM sync WHERE program_id IN (0, 1)")
+def health(spark, d):
+    return listing.health(b.sync(spark, d).where(mapping.any_of("program_id", [0, 1])), _TIP)
+
+
+@register("SELECT (SELECT max(o_orderkey) FROM orders) AS last_height, (SELECT max(l_orderkey) + 5 FROM lineitem) AS head_height, greatest((SELECT max(l_orderkey) + 5 FROM lineitem) - (SELECT max(o_orderkey) FROM orders), 0) AS lag")
+def indexer_status(spark, d):
+    last = b.table(spark, d, "orders").agg(F.lit("lastProcessedHeight").alias("key"), F.max("o_orderkey").cast("string").alias("value"))
+    head = b.table(spark, d, "lineitem").agg(F.lit("targetHeight").alias("key"), (F.max("l_orderkey") + 5).cast("string").alias("value"))
+    return listing.indexer_status(last.unionByName(head))
+
+
+# --- completeness --------------------------------------------------------------------------------
+
+_FLOOR, _PAGE = 8500, 100
+_PAGES = f"""{b.SIGNATURES}, r AS (SELECT *, row_number() OVER (PARTITION BY program_id ORDER BY slot DESC, signature) AS rk FROM signatures), f AS (SELECT program_id, min(rk) FILTER (slot < {_FLOOR}) AS fr, count(*) AS total FROM r GROUP BY program_id),
+ pg AS (SELECT program_id, fr, total, unnest(range(0, CAST(ceil((CASE WHEN fr IS NULL THEN total ELSE fr END) / {_PAGE}.0) AS BIGINT))) AS page FROM f),
+ pages0 AS (SELECT program_id, page, fr, total, page * {_PAGE} AS lo, (page + 1) * {_PAGE} AS hi FROM pg WHERE page = 0 OR fr IS NULL OR fr > page * {_PAGE} + 1),
+ pages AS (SELECT p.program_id, page, count(*) FILTER (NOT failed AND (fr IS NULL OR rk < fr)) AS n_expected, count(*) FILTER (failed AND (fr IS NULL OR rk < fr)) AS n_failed, max(slot) FILTER (fr IS NULL OR rk < fr) AS newest_slot, min(slot) FILTER (fr IS NULL OR rk < fr) AS oldest_slot,
+ CASE WHEN any_value(fr) <= any_value(hi) + 1 THEN (SELECT signature FROM r q WHERE q.program_id = p.program_id AND q.rk = any_value(p.fr)) ELSE (SELECT signature FROM r q WHERE q.program_id = p.program_id AND q.rk = any_value(p.hi) + 1) END AS until,
+ CASE WHEN NOT coalesce(any_value(fr) <= any_value(hi) + 1, false) AND any_value(total) > any_value(hi) THEN (SELECT signature FROM r q WHERE q.program_id = p.program_id AND q.rk = any_value(p.hi)) END AS next_cursor,
+ CASE WHEN any_value(fr) <= any_value(hi) + 1 THEN 'ReachedFloor' WHEN any_value(total) <= any_value(hi) THEN 'HistoryExhausted' END AS stop
+ FROM pages0 p JOIN r ON r.program_id = p.program_id AND r.rk > lo AND r.rk <= hi GROUP BY p.program_id, page)"""
+
+
+@register(f"WITH {_PAGES} SELECT * FROM pages")
+def plan_pages(spark, d):
+    return completeness.plan_pages(b.signatures(spark, d), _FLOOR, _PAGE, width=64)
+
+
+@register(f"WITH {_PAGES} SELECT program_id, count(*) AS windows, CAST(sum(n_expected) AS BIGINT) AS expected, CAST(sum(n_failed) AS BIGINT) AS failed, CAST(sum(n_expected) + sum(n_failed) AS BIGINT) AS enumerated, max(newest_slot) AS newest_slot, min(oldest_slot) AS oldest_slot, max(stop) AS stop FROM pages GROUP BY program_id")
+def walk_summary(spark, d):
+    return completeness.walk_summary(plan_pages(spark, d))
+
+
+@register(f"WITH {b.SIGNATURES}, {_CURSOR} SELECT s.* FROM signatures s JOIN cur c USING (program_id) WHERE s.slot < c.slot OR (s.slot = c.slot AND s.signature > c.signature)")
+def below_cursor(spark, d):
+    return completeness.below_cursor(b.signatures(spark, d), _cursors(spark, d))
+
+
+_LACK = "lack AS (SELECT s.program_id, s.signature, s.slot FROM signatures s WHERE NOT failed AND signature NOT IN (SELECT DISTINCT md5(CAST(l_orderkey AS VARCHAR)) FROM lineitem WHERE l_quantity > 10))"
+
+
+def _delivered(spark, d):
+    li = b.table(spark, d, "lineitem").where("l_quantity > 10").select(F.md5(F.col("l_orderkey").cast("string")).alias("signature")).distinct()
+    return b.signatures(spark, d).join(li, "signature", "left_semi")
+
+
+@register(f"WITH {b.SIGNATURES}, {_LACK} SELECT * FROM lack")
+def missing_signatures(spark, d):
+    return completeness.missing(b.signatures(spark, d), _delivered(spark, d))
+
+
+@register(f"WITH {b.SYNC} SELECT program_id, last_contiguous_slot, backfill_complete OR (8035 + program_id - 3 <= backfill_floor_slot) AS backfill_complete, backfill_floor_slot, snapshot_slot FROM sync")
+def finish_backfill(spark, d):
+    s = b.sync(spark, d)
+    return completeness.finish_backfill(s, s.select("program_id", (F.col("program_id") + 8032).alias("floor_used")))
+
+
+@register(f"""WITH {b.SYNC}, {_LACK}, t AS (SELECT program_id, max(slot) - program_id * 400 AS tip FROM signatures GROUP BY program_id), g AS (SELECT DISTINCT program_id FROM lack JOIN sync USING (program_id) JOIN t USING (program_id) WHERE slot > last_contiguous_slot AND slot <= tip AND program_id = 0)
+ SELECT program_id, CASE WHEN backfill_complete AND g.program_id IS NULL THEN greatest(last_contiguous_slot, tip) ELSE last_contiguous_slot END AS last_contiguous_slot, backfill_complete, backfill_floor_slot, snapshot_slot FROM sync LEFT JOIN t USING (program_id) LEFT JOIN g USING (program_id)""")
+def advance_frontier(spark, d):
+    s = b.signatures(spark, d)
+    tips = s.groupBy("program_id").agg((F.max("slot") - F.first("program_id") * 400).alias("slot"))
+    return completeness.advance_frontier(b.sync(spark, d), tips, completeness.missing(s, _delivered(spark, d)).where("program_id = 0"))
+
+
+@register("""WITH e AS (SELECT user_id AS program_id, event_id AS seq, CASE event_type WHEN 'signup' THEN 'session_end' WHEN 'purchase' THEN 'walk_done' WHEN 'error' THEN 'complete' ELSE 'session_start' END AS kind FROM events),
+ x AS (SELECT program_id, max(seq) FILTER (kind = 'session_end') AS ended, max(seq) FILTER (kind = 'walk_done') AS walked, max(seq) FILTER (kind = 'complete') AS complete FROM e GROUP BY program_id)
+ SELECT program_id, walked IS NULL OR coalesce(ended > walked, false) AS gap_open, NOT (walked IS NULL OR coalesce(ended > walked, false)) AND complete IS NOT NULL AS may_advance FROM x""")
+def gap_state(spark, d):
+    kind = F.expr("CASE event_type WHEN 'signup' THEN 'session_end' WHEN 'purchase' THEN 'walk_done' WHEN 'error' THEN 'complete' ELSE 'session_start' END")
+    return completeness.gap_state(b.table(spark, d, "events").select(F.col("user_id").alias("program_id"), F.col("event_id").alias("seq"), kind.alias("kind")))
+
+
+@register(f"WITH {b.SYNC} SELECT program_id, greatest({b.MID} - last_contiguous_slot, 0) AS slot_lag FROM sync")
+def slot_lag(spark, d):
+    return completeness.slot_lag(b.sync(spark, d), b.MID)
+
+
+# --- metric windows ------------------------------------------------------------------------------
+
+_STEP = f"{b.SAMPLES}, st AS (SELECT *, CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END AS step FROM (SELECT *, lag(value) OVER (PARTITION BY series, reason ORDER BY ts, value) AS p FROM samples))"
+_bucket = lambda s, col="ts": f"CAST(floor(epoch({col}) / {s}) * {s} AS BIGINT)"
+_start = lambda df: df.withColumn("start", F.unix_timestamp("start"))
+_SERIES = ["series", "reason"]
+
+
+@register(f"WITH {_STEP} SELECT series, reason, {_bucket(3600)} AS start, sum(step) AS increase FROM st GROUP BY ALL")
+def counter_increase(spark, d):
+    return _start(metrics.increase(b.samples(spark, d), _SERIES, "1 hour")).drop("end")
+
+
+@register(f"WITH {_STEP} SELECT series, reason, {_bucket(300)} AS start, sum(step) / 300.0 AS rate FROM st GROUP BY ALL")
+def counter_rate(spark, d):
+    return _start(metrics.rate(b.samples(spark, d), _SERIES, "5 minutes")).drop("end")
+
+
+@register(f"WITH {_STEP}, x AS (SELECT series, reason, {_bucket(3600)} AS start, sum(step) / 3600.0 AS rate FROM st GROUP BY ALL) SELECT reason, start, round(sum(rate), 9) AS rate FROM x GROUP BY ALL")
+def rate_by_reason(spark, d):
+    return _start(metrics.sum_by(metrics.rate(b.samples(spark, d), _SERIES, "1 hour"), ["reason"])).withColumn("rate", F.round("rate", 9))
+
+
+@register(f"WITH {b.SAMPLES}, x AS (SELECT *, coalesce(value <> lag(value) OVER (PARTITION BY series, reason ORDER BY ts, value), false) AS ch FROM samples) SELECT series, reason, {_bucket(900)} AS start, CAST(sum(CAST(ch AS BIGINT)) AS BIGINT) AS changes FROM x GROUP BY ALL")
+def gauge_changes(spark, d):
+    return _start(metrics.changes(b.samples(spark, d), _SERIES, "15 minutes")).drop("end")
+
+
+_LAG = f"""{b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(3600)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(3600)} AS start, max_by(value, row(ts, value)) AS tip FROM samples WHERE reason = 'view' GROUP BY ALL)"""
+
+
+def _frontiers(spark, d):
+    s = b.samples(spark, d)
+    return s.where("reason <> 'view'").withColumnRenamed("series", "program"), s.where("reason = 'view'")
+
+
+@register(f"WITH {_LAG} SELECT program, start, tip - v AS lag FROM fr JOIN tp USING (start)")
+def lag_per_program(spark, d):
+    return _start(metrics.lag_per_program(*_frontiers(spark, d), "1 hour"))
+
+
+@register(f"""WITH {b.SAMPLES}, u AS (SELECT series, ts, value > 10 AS "on", event_id FROM samples), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts) AS run FROM u), h AS (SELECT *, min(CASE WHEN "on" THEN ts END) OVER (PARTITION BY series, run) AS began FROM g)
+ SELECT series, CAST(floor(epoch(ts)) AS BIGINT) AS t, CAST(floor(epoch(ts)) - floor(epoch(began)) AS BIGINT) AS held_seconds FROM h WHERE "on" AND floor(epoch(ts)) - floor(epoch(began)) >= 300""")
+def condition_held(spark, d):
+    s = b.samples(spark, d).select("series", "ts", (F.col("value") > 10).alias("on"))
+    return metrics.held_for(s, ["series"], 300).select("series", F.unix_timestamp("ts").alias("t"), "held_seconds")
+
+
+_EITHER = f"{b.SAMPLES}, a AS (SELECT series, reason, max(value) AS v FROM samples WHERE value > 40 GROUP BY ALL), bb AS (SELECT series, reason, max(value) AS v FROM samples WHERE value < 20 GROUP BY ALL)"
+
+
+def _two(spark, d):
+    s = b.samples(spark, d)
+    top = lambda cond: s.where(cond).groupBy("series", "reason").agg(F.max("value").alias("v"))
+    return top("value > 40"), top("value < 20")
+
+
+@register(f"WITH {_EITHER} SELECT * FROM a UNION ALL SELECT * FROM bb WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.series = bb.series AND a.reason = bb.reason)")
+def either_vector(spark, d):
+    return metrics.either(*_two(spark, d), _SERIES)
+
+
+@register(f"WITH {_EITHER} SELECT a.* FROM a WHERE EXISTS (SELECT 1 FROM bb WHERE a.series = bb.series AND a.reason = bb.reason)")
+def both_vectors(spark, d):
+    return metrics.both(*_two(spark, d), _SERIES)
+
+
+_BOUNDS = [1.0, 2.0, 5.0, 10.0, 25.0, 50.0, 100.0]
+_LES = ", ".join(f"({x}::DOUBLE)" for x in _BOUNDS) + ", ('inf'::DOUBLE)"
+_BUCKETS = f"les AS (SELECT * FROM (VALUES {_LES}) t(le)), by_reason AS (SELECT DISTINCT event_type AS reason FROM events), bk AS (SELECT reason, le, (SELECT count(*) FROM events e WHERE e.event_type = reason AND e.value <= le) AS n FROM by_reason CROSS JOIN les)"
+
+
+def _buckets(spark, d):
+    return metrics.bucketize(b.table(spark, d, "events").select(F.col("event_type").alias("reason"), "value"), ["reason"], _BOUNDS)
+
+
+@register(f"WITH {_BUCKETS} SELECT * FROM bk")
+def histogram_buckets(spark, d):
+    return _buckets(spark, d)
+
+
+@register(f"""WITH {_BUCKETS}, q AS (SELECT unnest([0.5, 0.95, 0.99]) AS q), w AS (SELECT reason, le, n, coalesce(lag(le) OVER (PARTITION BY reason ORDER BY le), 0.0) AS low, coalesce(lag(n) OVER (PARTITION BY reason ORDER BY le), 0) AS below, max(n) OVER (PARTITION BY reason) AS total FROM bk),
+ h AS (SELECT q, w.* FROM w CROSS JOIN q WHERE n >= q * total AND n > below QUALIFY row_number() OVER (PARTITION BY reason, q ORDER BY le) = 1)
+ SELECT reason, CAST(q AS DOUBLE) AS q, round(CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (CAST(q AS DOUBLE) * total - below) / (n - below) END, 9) AS value FROM h""")
+def histogram_quantiles(spark, d):
+    h = _buckets(spark, d)
+    parts = [metrics.histogram_quantile(h, ["reason"], q).select("reason", F.lit(q).alias("q"), F.round("value", 9).alias("value")) for q in (0.5, 0.95, 0.99)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(f"""WITH {_STEP}, s AS (SELECT series, {_bucket(3600)} AS start, sum(step) AS v FROM (SELECT *, CASE WHEN p2 IS NULL THEN 0 WHEN value < p2 THEN value ELSE value - p2 END AS step FROM (SELECT series, ts, value, lag(value) OVER (PARTITION BY series ORDER BY ts, value) AS p2 FROM samples WHERE reason = 'view')) GROUP BY ALL),
+ k AS (SELECT series, {_bucket(3600)} AS start, sum(step) AS v FROM (SELECT *, CASE WHEN p2 IS NULL THEN 0 WHEN value < p2 THEN value ELSE value - p2 END AS step FROM (SELECT series, ts, value, lag(value) OVER (PARTITION BY series ORDER BY ts, value) AS p2 FROM samples WHERE reason = 'click')) GROUP BY ALL)
+ SELECT series, start, round(s.v / CASE WHEN k.v <> 0 THEN k.v END, 9) AS mean FROM s JOIN k USING (series, start)""")
+def mean_per_flush(spark, d):
+    s = b.samples(spark, d)
+    return _start(metrics.mean_of(s.where("reason = 'view'"), s.where("reason = 'click'"), ["series"], "1 hour")).withColumn("mean", F.round("mean", 9))
+
+
+@register(f"WITH {b.SAMPLES} SELECT series, {_bucket(3600)} AS start, min(value) AS lowest FROM samples GROUP BY ALL")
+def lowest_value(spark, d):
+    return _start(metrics.lowest(b.samples(spark, d), ["series"], "1 hour"))
+
+
+@register(f"""WITH {b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(60)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(60)} AS start, max_by(value, row(ts, value)) * 200 AS tip FROM samples WHERE reason = 'view' GROUP BY ALL),
+ l AS (SELECT program, start, tip - v > 3000 AS "on" FROM fr JOIN tp USING (start)), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY program ORDER BY start) AS run FROM l), h AS (SELECT *, min(CASE WHEN "on" THEN start END) OVER (PARTITION BY program, run) AS began FROM g)
+ SELECT 'SlotLagHigh' AS alert, program, start AS t FROM h WHERE "on" AND start - began >= 300""")
+def alert_slot_lag_high(spark, d):
+    frontiers, tips = _frontiers(spark, d)
+    return metrics.slot_lag_high(frontiers, tips.withColumn("value", F.col("value") * 200)).select("alert", "program", F.unix_timestamp("ts").alias("t"))
+
+
+_grown = lambda reason: f"SELECT DISTINCT series, start FROM (SELECT series, {_bucket(600)} AS start, sum(CASE WHEN p2 IS NULL THEN 0 WHEN value < p2 THEN value ELSE value - p2 END) AS v FROM (SELECT series, ts, value, lag(value) OVER (PARTITION BY series ORDER BY ts, value) AS p2 FROM samples WHERE reason = '{reason}') GROUP BY ALL) WHERE v > 0"
+
+
+@register(f"WITH {b.SAMPLES} SELECT 'DecodeFailures' AS alert, series, start FROM ({_grown('error')} UNION {_grown('click')})")
+def alert_decode_failures(spark, d):
+    s = b.samples(spark, d)
+    return _start(metrics.decode_failures(s.where("reason = 'error'"), s.where("reason = 'click'"), ["series"]))
+
+
+def _down(job, alert):
+    return f"""WITH {b.SAMPLES}, u AS (SELECT ts, CASE WHEN value < 40 THEN 0 ELSE 1 END = 0 AS "on" FROM samples WHERE series = {job}), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (ORDER BY ts) AS run FROM u), h AS (SELECT *, min(CASE WHEN "on" THEN ts END) OVER (PARTITION BY run) AS began FROM g)
+ SELECT '{alert}' AS alert, 'job{job}' AS job, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM h WHERE "on" AND floor(epoch(ts)) - floor(epoch(began)) >= 120"""
+
+
+def _up(spark, d, job, alert):
+    up = b.samples(spark, d).select(F.concat(F.lit("job"), F.col("series").cast("string")).alias("job"), "ts", F.when(F.col("value") < 40, 0).otherwise(1).alias("value"))
+    return metrics.target_down(up, f"job{job}", alert).select("alert", "job", F.unix_timestamp("ts").alias("t"))
+
+
+@register(_down(1, "IndexerDown"))
+def alert_indexer_down(spark, d):
+    return _up(spark, d, 1, "IndexerDown")
+
+
+@register(_down(2, "ApiDown"))
+def alert_api_down(spark, d):
+    return _up(spark, d, 2, "ApiDown")
+
+
+@register(f"WITH {_STEP} SELECT 'ReconnectStorm' AS alert, series, reason, {_bucket(900)} AS start FROM st GROUP BY ALL HAVING sum(step) > 5")
+def alert_reconnect_storm(spark, d):
+    return _start(metrics.reconnect_storm(b.samples(spark, d), _SERIES))
+
+
+@register(f"""WITH {b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(900)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(900)} AS start, max_by(value, row(ts, value)) * 200 AS tip FROM samples WHERE reason = 'view' GROUP BY ALL),
+ ch AS (SELECT series AS program, {_bucket(900)} AS start, sum(CAST(c AS BIGINT)) AS n FROM (SELECT *, coalesce(v <> lag(v) OVER (PARTITION BY series ORDER BY ts, v), false) AS c FROM (SELECT series, ts, floor(value / 25) AS v FROM samples WHERE reason <> 'view')) GROUP BY ALL)
+ SELECT 'BackfillStalled' AS alert, program, start AS t FROM fr JOIN tp USING (start) JOIN ch USING (program, start) WHERE tip - v > 3000 AND n = 0""")
+def alert_backfill_stalled(spark, d):
+    frontiers, tips = _frontiers(spark, d)
+    return metrics.backfill_stalled(frontiers, tips.withColumn("value", F.col("value") * 200), frontiers.withColumn("value", F.floor(F.col("value") / 25))).select("alert", "program", F.unix_timestamp("ts").alias("t"))
+
+
+@register("""WITH x AS (SELECT event_type AS source, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM events), y AS (SELECT *, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY ts) AS s FROM x)
+ SELECT source, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM y GROUP BY source, s""")
+def stream_sessions(spark, d):
+    from tidelog.streaming.jobs import sessions
+
+    e = b.table(spark, d, "events").select(F.col("event_type").alias("source"), F.col("ts").cast("timestamp").alias("ts"))
+    return _start(sessions(e, "30 minutes")).select("source", "start", "n")
+
+
+@register(f"WITH {_ROLES} SELECT * FROM assignments")
+def streamed_role_fold(spark, d):
+    """The fold over a stream of the same events; its last complete result."""
+    import uuid
+
+    from tidelog.streaming.jobs import fold_stream
+
+    schema = b.table(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet" if not d.startswith("viewfs") else "*").parquet(d)
+    actions = b.actions_of(stream)
+    name = f"fold_{uuid.uuid4().hex}"
+    query = fold_stream(actions).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.table(name)
