@@ -38,17 +38,22 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names, or a new one of this machine where it names none, as in tests."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given is None:
+        import tempfile
+
+        given = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", given)
+    return given
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a reliable checkpoint; its folder is set here only where the session has none."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Cuts lineage with a reliable checkpoint."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        given = spark.conf.get("spark.checkpoint.dir", None)
-        if given is None:
-            import tempfile
-
-            given = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        sc.setCheckpointDir(given)
+        sc.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

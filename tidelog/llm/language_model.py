@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -276,6 +277,28 @@ class _Top:
         return self.pair.predictive(self.one.predictive(uniform, self.discounts[1])[self.back], self.discounts[0])
 
 
+def _sweeper(sent: Broadcast, seed: tuple[int, int], keep: bool):
+    """One Gibbs sweep of a family bucket; ``keep``: its probabilities afterwards are one of the samples."""
+
+    def go(table: pa.Table) -> pa.Table:
+        row = table.to_pylist()[0]
+        levels, up = _levels_of(row)
+        above, discounts = sent.value
+        root = above[(levels[-1].grams & np.uint64(0xFFFF)).astype(np.int64)]
+        _sweep(levels, up, root, discounts, np.random.default_rng((*seed, row["bucket"])))
+        total = np.frombuffer(row["total"], "<f8")
+        if keep:
+            p = root
+            for k in range(len(levels) - 1, -1, -1):
+                p = levels[k].predictive(p, discounts[k])
+                if k:
+                    p = p[up[k - 1]]
+            total = total + p
+        return _state_row(row["bucket"], levels, total, row["samples"] + keep)
+
+    return go
+
+
 def _model(counts: DataFrame, burn_in: int, samples: int, seed: int) -> DataFrame:
     """(bucket, keys, values): each gram's probability, averaged over the samples."""
     spark = counts.sparkSession
@@ -293,25 +316,7 @@ def _model(counts: DataFrame, burn_in: int, samples: int, seed: int) -> DataFram
             break
         discounts = [min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in kinds.tolist()]
         sent = spark.sparkContext.broadcast((above, discounts))  # half a megabyte
-        keep = sweep >= burn_in
-
-        def go(table: pa.Table, sent=sent, sweep=sweep, keep=keep) -> pa.Table:
-            row = table.to_pylist()[0]
-            levels, up = _levels_of(row)
-            above, discounts = sent.value
-            root = above[(levels[-1].grams & np.uint64(0xFFFF)).astype(np.int64)]
-            _sweep(levels, up, root, discounts, np.random.default_rng((seed, sweep, row["bucket"])))
-            total = np.frombuffer(row["total"], "<f8")
-            if keep:
-                p = root
-                for k in range(len(levels) - 1, -1, -1):
-                    p = levels[k].predictive(p, discounts[k])
-                    if k:
-                        p = p[up[k - 1]]
-                total = total + p
-            return _state_row(row["bucket"], levels, total, row["samples"] + keep)
-
-        state = t.checkpoint(state.groupBy("bucket").applyInArrow(go, _STATE))
+        state = t.checkpoint(state.groupBy("bucket").applyInArrow(_sweeper(sent, (seed, sweep), sweep >= burn_in), _STATE))
     return state.select("bucket", F.lit(GRAM).alias("kind"), F.col("grams").alias("keys"), "total", "samples")
 
 
