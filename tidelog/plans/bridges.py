@@ -54,7 +54,7 @@ UPDATES = """updates AS (SELECT o_custkey AS key, CAST(date_diff('day', DATE '19
  o_orderstatus AS status, o_orderpriority AS "table" FROM orders)"""
 
 #: the middle of the orders' days
-MID = 9500
+MID = 11_400
 
 
 def split_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -107,7 +107,7 @@ INSTRUCTIONS = """instructions AS (SELECT l_suppkey % 4 AS program, md5(CAST(l_o
 
 def sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row a program of the signatures: the frontier, whether complete, the floor and the snapshot."""
-    s = signatures(spark, sf_dir).groupBy("program_id").agg(F.expr("percentile_disc(0.5) within group (order by slot)").alias("last_contiguous_slot"), F.min("slot").alias("backfill_floor_slot"))
+    s = signatures(spark, sf_dir).groupBy("program_id").agg(F.expr("percentile_disc(0.5) within group (order by slot)").cast("long").alias("last_contiguous_slot"), F.min("slot").alias("backfill_floor_slot"))
     return s.select("program_id", "last_contiguous_slot", (F.col("program_id") != 3).alias("backfill_complete"), "backfill_floor_slot", F.when(F.col("program_id") != 2, F.lit(MID).cast("long")).alias("snapshot_slot"))
 
 

@@ -212,7 +212,7 @@ def set_field(spark, d):
     return keyed.set_field(s, values, ["program_id"], "snapshot_slot")
 
 
-_CURSOR = "cur AS (SELECT program_id, signature, slot FROM signatures QUALIFY row_number() OVER (PARTITION BY program_id ORDER BY abs(slot - 9500), signature) = 1)"
+_CURSOR = f"cur AS (SELECT program_id, signature, slot FROM signatures QUALIFY row_number() OVER (PARTITION BY program_id ORDER BY abs(slot - {b.MID}), signature) = 1)"
 
 
 def _cursors(spark, d):
@@ -285,7 +285,7 @@ def enum_spellings(spark, d):
     return p.withColumn("idx", c.indexed(F.col("status"), enums.LISTING_STATUS))
 
 
-@register("""SELECT conv_id, min(struct_pack(turn := turn, role := role)).role AS first_role, min(struct_pack(turn := turn, role := role)).turn AS first_turn, to_json(list(struct_pack(role := role, turn := turn) ORDER BY turn, role)) AS turns FROM conversations GROUP BY conv_id""")
+@register("""SELECT conv_id, min(struct_pack(turn := turn, role := role)).role AS first_role, min(struct_pack(turn := turn, role := role)).turn AS first_turn, CAST(to_json(list(struct_pack(role := role, turn := turn) ORDER BY turn, role)) AS VARCHAR) AS turns FROM conversations GROUP BY conv_id""")
 def nested_lists(spark, d):
     t = b.table(spark, d, "conversations").groupBy("conv_id").agg(F.min(F.struct("turn", "role")).alias("first"), F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text")))).alias("turns"))
     return t.select("conv_id", *c.flattened("first", ["role", "turn"]), c.json_list(F.col("turns"), ["role", "turn"]).alias("turns"))
@@ -465,7 +465,7 @@ def role_assignment(spark, d):
     return listing.role_assignment(fold.role_assignments_fold(b.actions(spark, d)), "u3", "LAWYER")
 
 
-_TIP = 11_000
+_TIP = 11_500
 
 
 @register(f"WITH {b.SYNC} SELECT min(last_contiguous_slot) AS last_contiguous_slot, bool_and(backfill_complete) AS backfill_complete, CASE WHEN count(*) = count(snapshot_slot) THEN min(snapshot_slot) END AS snapshot_slot, CAST({_TIP} AS BIGINT) AS chain_tip_slot, greatest({_TIP} - greatest(min(last_contiguous_slot), 0), 0) AS slot_lag FROM sync")
@@ -487,7 +487,7 @@ def indexer_status(spark, d):
 
 # --- completeness --------------------------------------------------------------------------------
 
-_FLOOR, _PAGE = 8500, 100
+_FLOOR, _PAGE = 9800, 100
 _PAGES = f"""{b.SIGNATURES}, r AS (SELECT *, row_number() OVER (PARTITION BY program_id ORDER BY slot DESC, signature) AS rk FROM signatures), f AS (SELECT program_id, min(rk) FILTER (slot < {_FLOOR}) AS fr, count(*) AS total FROM r GROUP BY program_id),
  pg AS (SELECT program_id, fr, total, unnest(range(0, CAST(ceil((CASE WHEN fr IS NULL THEN total ELSE fr END) / {_PAGE}.0) AS BIGINT))) AS page FROM f),
  pages0 AS (SELECT program_id, page, fr, total, page * {_PAGE} AS lo, (page + 1) * {_PAGE} AS hi FROM pg WHERE page = 0 OR fr IS NULL OR fr > page * {_PAGE} + 1),
@@ -526,10 +526,10 @@ def missing_signatures(spark, d):
     return completeness.missing(b.signatures(spark, d), _delivered(spark, d))
 
 
-@register(f"WITH {b.SYNC} SELECT program_id, last_contiguous_slot, backfill_complete OR (8035 + program_id - 3 <= backfill_floor_slot) AS backfill_complete, backfill_floor_slot, snapshot_slot FROM sync")
+@register(f"WITH {b.SYNC} SELECT program_id, last_contiguous_slot, backfill_complete OR (9129 + program_id <= backfill_floor_slot) AS backfill_complete, backfill_floor_slot, snapshot_slot FROM sync")
 def finish_backfill(spark, d):
     s = b.sync(spark, d)
-    return completeness.finish_backfill(s, s.select("program_id", (F.col("program_id") + 8032).alias("floor_used")))
+    return completeness.finish_backfill(s, s.select("program_id", (F.col("program_id") + 9129).alias("floor_used")))
 
 
 @register(f"""WITH {b.SYNC}, {_LACK}, t AS (SELECT program_id, max(slot) - program_id * 400 AS tip FROM signatures GROUP BY program_id), g AS (SELECT DISTINCT program_id FROM lack JOIN sync USING (program_id) JOIN t USING (program_id) WHERE slot > last_contiguous_slot AND slot <= tip AND program_id = 0)
