@@ -143,7 +143,8 @@ def sync_status(sync: DataFrame, tip: int) -> DataFrame:
 def health(sync: DataFrame, tip: int | None) -> DataFrame:
     """Like the status, but an empty table gives NULLs and false."""
     low = F.min("last_contiguous_slot")
-    return sync.agg(low.alias("last_contiguous_slot"), F.coalesce(F.bool_and("backfill_complete"), F.lit(False)).alias("backfill_complete"), F.lit(tip).cast("long").alias("chain_tip_slot"), F.greatest(F.lit(tip).cast("long") - low, F.lit(0)).cast("long").alias("slot_lag"))
+    lag = F.lit(tip).cast("long") - low
+    return sync.agg(low.alias("last_contiguous_slot"), F.coalesce(F.bool_and("backfill_complete"), F.lit(False)).alias("backfill_complete"), F.lit(tip).cast("long").alias("chain_tip_slot"), F.when(lag.isNotNull(), F.greatest(lag, F.lit(0))).cast("long").alias("slot_lag"))
 
 
 def metadata_row(pairs: DataFrame, kinds: dict[str, str]) -> DataFrame:

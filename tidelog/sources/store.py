@@ -45,8 +45,9 @@ class Store:
         s.close()
         target = self._path(f"{self.root}/_current")
         context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
-        options = self.spark._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        rename = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
         context.rename(temp, target, options)
 
     # --- reading -------------------------------------------------------------------------------
