@@ -284,6 +284,14 @@ def test_paging():
     assert listing.numbered_page(None, None) == (50, 0) and listing.numbered_page(3, 9999) == (500, 1500)
 
 
+def test_older_queries(spark):
+    with pytest.raises(ValueError, match="missing argument: role"):
+        listing.role_assignment(spark.createDataFrame([], "user_pubkey string, role string"), "u", "")
+    versions = spark.createDataFrame([("k", 5, 1, None, None), ("k", 3, 1, None, 5)], "pubkey string, slot long, region_id int, closed_at_slot long, valid_to long")
+    assert rows(listing.query_numbered("locations", versions, region_id=1, active=True), "slot") == [(5,)]
+    assert listing.public(versions).columns == ["pubkey", "slot", "regionId", "closedAtSlot", "validTo"]
+
+
 def test_every_listing(spark):
     for name, spec in listing.LISTINGS.items():
         if spec.table.endswith("_view"):

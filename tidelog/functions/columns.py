@@ -101,6 +101,12 @@ def json_list(items: Column, fields: list[str]) -> Column:
     return F.to_json(F.transform(items, lambda x: F.struct(*[x[f].alias(f) for f in fields])))
 
 
+def public_name(column: str) -> str:
+    """A column's public spelling: ``added_at_slot`` is ``addedAtSlot``."""
+    first, *rest = column.split("_")
+    return first + "".join(x.capitalize() for x in rest)
+
+
 def key_argument(text: str, length: int = 32) -> bytes:
     """A hex key argument; wrong digits or a wrong length are an error for the caller."""
     try:

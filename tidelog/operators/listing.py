@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.columns import path_key, saturated_int
-from tidelog.operators.mapping import given, is_active
+from tidelog.functions.columns import path_key, public_name, saturated_int
+from tidelog.operators.mapping import current_version, given, is_active
 
 DEFAULT_PAGE, LARGEST_PAGE, LARGEST_OFFSET = 20, 100, 10_000
 NUMBERED_PAGE, LARGEST_NUMBERED_PAGE = 50, 500
@@ -108,11 +108,34 @@ def query(name: str, rows: DataFrame, first: int | None = None, offset: int | No
     return list_rows(rows, [given(**filters), on], _ORDERS[spec.order](), first, offset)
 
 
+def query_numbered(name: str, rows: DataFrame, page: int | None = None, size: int | None = None, active: bool | None = None, **filters: object) -> DataFrame:
+    """The older form of a read query: pages by number, and of a versioned table only current rows."""
+    spec = LISTINGS[name]
+    rows = current_version(rows)
+    on = is_active(active) if "closed_at_slot" in rows.columns else given(active=active)
+    for f in (given(**filters), on):
+        rows = rows if f is None else rows.where(f)
+    limit, skip = numbered_page(page, size)
+    return rows.orderBy(*_ORDERS[spec.order]()).offset(skip).limit(limit)
+
+
+def required(**arguments: str | None) -> None:
+    """Point queries refuse empty arguments."""
+    if empty := [k for k, v in arguments.items() if not v]:
+        raise ValueError(f"missing argument: {', '.join(sorted(empty))}")
+
+
+def public(rows: DataFrame) -> DataFrame:
+    """Rows under their public field names."""
+    return rows.toDF(*[public_name(c) for c in rows.columns])
+
+
 # --- point queries and status -------------------------------------------------------------------
 
 
 def role_assignment(assignments: DataFrame, user: str, role: str) -> DataFrame:
     """One assignment, active or not; the filter is on the fold's key, so it goes below the aggregation."""
+    required(user=user, role=role)
     return assignments.where((F.col("user_pubkey") == user) & (F.col("role") == role))
 
 

@@ -715,17 +715,50 @@ def stream_sessions(spark, d):
     return _start(sessions(e, "30 minutes")).select("source", "start", "n")
 
 
+@register(f"""WITH {_BATCH} SELECT md5(CAST(key AS VARCHAR)) AS pubkey, slot, CAST(floor(price) AS BIGINT) AS lamports, closed_at_slot FROM applied WHERE key NOT IN (SELECT key FROM stored)
+ UNION ALL SELECT md5(CAST(a.key AS VARCHAR)), a.slot, CAST(floor(a.price) AS BIGINT), a.closed_at_slot FROM applied a JOIN stored USING (key)""")
+def stored_state(spark, d):
+    """Two commits to the versioned store and a replay of the second, read back."""
+    import uuid
+
+    from tidelog.sources.store import Store, shared_folder
+
+    state, ups, closes = b.split_state(spark, d)
+    key = F.unhex(F.md5(F.col("key").cast("string"))).alias("pubkey")
+    row = lambda df, arrival: df.select(key, "slot", F.floor("price").cast("long").alias("lamports"), key.alias("admin"), F.lit(0).cast("smallint").alias("bump"), arrival.alias("arrival"))
+    store = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", buckets=8)
+    store.commit(0, [store.upsert_rows("admin", row(state, F.lit(0).cast("long")))])
+    for _ in range(2):
+        store.commit(1, [store.upsert_rows("admin", row(ups, F.col("arrival")), closes.select(key, "slot"))])
+    return store.read("admin").select(c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "lamports", "closed_at_slot")
+
+
+_PUBLIC = ", ".join(f'{x} AS "{c.public_name(x)}"' for x in ("id", "user_pubkey", "role", "active", "permission", "assigned_at_slot", "updated_at_slot", "removal_kind"))
+
+
+@register(f"WITH {_ROLES} SELECT {_PUBLIC} FROM assignments WHERE NOT active ORDER BY assigned_at_slot DESC, id LIMIT 50 OFFSET 50")
+def public_role_assignments(spark, d):
+    page = listing.query_numbered("role_assignments", fold.role_assignments_fold(b.actions(spark, d)), page=1, active=False)
+    return listing.public(page.select("id", "user_pubkey", "role", "active", "permission", "assigned_at_slot", "updated_at_slot", "removal_kind"))
+
+
 @register(f"WITH {_ROLES} SELECT * FROM assignments")
 def streamed_role_fold(spark, d):
-    """The fold over a stream of the same events; its last complete result."""
+    """The fold over a stream of the same events; its last complete result, through files."""
     import uuid
 
+    from tidelog.sources.store import shared_folder
     from tidelog.streaming.jobs import fold_stream
 
     schema = b.table(spark, d, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet" if not d.startswith("viewfs") else "*").parquet(d)
-    actions = b.actions_of(stream)
-    name = f"fold_{uuid.uuid4().hex}"
-    query = fold_stream(actions).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    folder = f"{shared_folder(spark)}/fold-{uuid.uuid4().hex}"
+    last = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{number}")
+        last[:] = [number]
+
+    query = fold_stream(b.actions_of(stream)).writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(f"{folder}/{last[0]}")

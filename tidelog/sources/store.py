@@ -19,6 +19,17 @@ from tidelog.core.schemas import key_of, table_schema
 from tidelog.operators.keyed import append_new, apply_batch
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share, as the session names it; a new local one where it names none, as in tests."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given is None:
+        import tempfile
+
+        given = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", given)
+    return given
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
