@@ -84,4 +84,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-SQL: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": rf"""WITH RECURSIVE t AS (SELECT coalesce(text, '') AS text, min(doc_id) AS tid, count(*) AS n_docs FROM documents WHERE doc_id IS NOT NULL GROUP BY 1),
+ w AS (SELECT tid, list_filter(string_split_regex(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t),
+ sh AS (SELECT DISTINCT tid, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT tid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+ n AS (SELECT tid, count(*) AS n FROM sh GROUP BY tid),
+ common AS (SELECT x.tid AS a, y.tid AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.tid <> y.tid GROUP BY ALL),
+ link AS (SELECT a, b FROM common JOIN n p ON p.tid = a JOIN n q ON q.tid = b WHERE 5 * c >= 4 * (p.n + q.n - c)),
+ reach AS (SELECT DISTINCT a AS tid, a AS root FROM link UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.tid),
+ class AS (SELECT tid, min(root) AS class_id FROM reach GROUP BY tid),
+ links AS (SELECT a AS tid, count(*) AS n_links, sum(n_docs) AS linked FROM link JOIN t ON t.tid = b GROUP BY a)
+ SELECT d.doc_id, CASE WHEN n.tid IS NULL THEN d.doc_id ELSE coalesce(class_id, t.tid) END AS class_id, coalesce(n_links, 0) AS n_links, CAST(CASE WHEN n.tid IS NULL THEN 0 ELSE n_docs - 1 + coalesce(linked, 0) END AS BIGINT) AS n_linked_docs
+ FROM documents d JOIN t ON t.text = coalesce(d.text, '') LEFT JOIN n ON n.tid = t.tid LEFT JOIN class ON class.tid = t.tid LEFT JOIN links ON links.tid = t.tid WHERE d.doc_id IS NOT NULL""",
+    "op4_suffix_array_dedup": """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents WHERE doc_id IS NOT NULL),
+ w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+ f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+ c AS (SELECT doc_id, i FROM w JOIN f USING (s) WHERE m < doc_id),
+ g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM c),
+ r AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+ sp AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM r GROUP BY doc_id, run),
+ k AS (SELECT doc_id, b AS x, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS y FROM sp UNION ALL SELECT doc_id, 0, min(a) FROM sp GROUP BY doc_id),
+ kept AS (SELECT k.doc_id, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(coalesce(2 * y, length(h)) - 2 * x AS BIGINT)), '' ORDER BY x) AS h FROM k JOIN d USING (doc_id) GROUP BY k.doc_id),
+ n AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM sp GROUP BY doc_id)
+ SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+}
