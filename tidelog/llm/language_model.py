@@ -95,6 +95,43 @@ def _merge(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray
     return own, np.bincount(back, np.concatenate(values), len(own)).astype(np.int64)
 
 
+def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of training texts with their counts, and those of the others with 0."""
+    x = np.sort(keys[train])
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+    rest = t.distinct(keys[~train])
+    return np.concatenate((x[first], rest)), np.concatenate((np.diff(np.append(first, len(x))), np.zeros(len(rest), np.int64)))
+
+
+class _Places:
+    """Finds keys' places in an array of distinct ones by an open hash table; every key asked for is there."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = np.uint64(64 - max(10, int(len(keys)).bit_length() + 2))
+        self.table = np.full(1 << int(64 - self.bits), -1, np.int32)
+        left = np.arange(len(keys), dtype=np.int32)
+        slot = self._slot(keys)
+        while len(left):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = left[free]
+            lost = self.table[slot] != left
+            left, slot = left[lost], (slot[lost] + 1) & (len(self.table) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.bits).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        out = self.table[slot]
+        off = np.flatnonzero(self.keys[out] != keys)
+        while len(off):
+            slot[off] = (slot[off] + 1) & (len(self.table) - 1)
+            out[off] = self.table[slot[off]]
+            off = off[self.keys[out[off]] != keys[off]]
+        return out
+
+
 _ROWS = "bucket int, kind int, keys binary, counts binary"
 _ROW_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
@@ -122,8 +159,7 @@ def _counts(docs: DataFrame, buckets: int) -> DataFrame:
             for lo, hi, data, off in t.chunks(b.column(1)):
                 h, where, grams, border = _tokens(data, off)
                 for kind, keys, at in ((WORD, h, where), (GRAM, grams, border)):
-                    own, back = np.unique(keys, return_inverse=True)
-                    held[kind].append((own, np.bincount(back, np.repeat(train[lo:hi], np.diff(at)), len(own))))
+                    held[kind].append(_counted(keys, np.repeat(train[lo:hi], np.diff(at))))
                     if len(held[kind]) >= 8:
                         held[kind] = [_merge(*zip(*held[kind], strict=True))]
                         if len(held[kind][0][0]) > 1 << 20:  # so that memory stays bounded
@@ -407,13 +443,13 @@ def _score(buckets: int, n_train: int, n_distinct: int):
             v = np.empty(len(own))
             v[order] = x
             values.append(v)
-        out = []
+        out, places = [], [_Places(k) for k in keys]
         for lo, hi, data, off in t.chunks(table["text"].combine_chunks()):
             h, where, grams, border = _tokens(data, off)
-            c = values[WORD][np.searchsorted(keys[WORD], h)]
+            c = values[WORD][places[WORD](h)]
             p = np.concatenate(([0.0], np.cumsum(np.log10(c + 0.1) - spread)))
             n = np.diff(where)
-            s = np.add.reduceat(values[GRAM][np.searchsorted(keys[GRAM], grams)], border[:-1])
+            s = np.add.reduceat(values[GRAM][places[GRAM](grams)], border[:-1])
             out.append(pa.table([table["doc_id"].combine_chunks().slice(lo, hi - lo), table["held_out"].combine_chunks().slice(lo, hi - lo), pa.array(n), pa.array(t.per_doc(c > 0, where)), pa.array(np.full(hi - lo, n_train)), pa.array(p[where[1:]] - p[where[:-1]]), pa.array(s), pa.array(np.diff(border))], names))
         return pa.concat_tables(out)
 
