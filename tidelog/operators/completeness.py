@@ -60,7 +60,7 @@ def below_cursor(signatures: DataFrame, cursors: DataFrame) -> DataFrame:
     """The entries strictly below each program's cursor, in newest-first order; all if it has none."""
     c = cursors.select("program_id", F.col("slot").alias("_slot"), F.col("signature").alias("_signature"))
     rest = F.col("_slot").isNull() | (F.col("slot") < F.col("_slot")) | ((F.col("slot") == F.col("_slot")) & (F.col("signature") > F.col("_signature")))
-    return signatures.join(F.broadcast(c), "program_id", "left").where(rest).select(*signatures.columns)  # one cursor a program
+    return signatures.join(c, "program_id", "left").where(rest).select(*signatures.columns)
 
 
 def missing(expected: DataFrame, delivered: DataFrame) -> DataFrame:
