@@ -131,11 +131,27 @@ def test_language_model(docs, rows, nothing):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(ws), sum(count[w] > 0 for w in ws), total)
         assert r["base_score"] == pytest.approx(base, rel=1e-9)
         assert r["score"] < 0
-    long = [i for i, ws in ends.items() if held[i] and len(ws) > 20]
-    assert long and all(got[i]["score"] > got[i]["base_score"] for i in long)
     assert score_texts(nothing).count() == 0
 
 
+def test_held_out_texts_score_better_than_the_base(spark):
+    from tidelog.llm.language_model import score_texts
+
+    rng = random.Random(8)
+    words = [sentence(rng, 1)[:3] + str(k) for k in range(30)]
+
+    def walk(n):  # the next word mostly follows from the last
+        k, out = 0, []
+        for _ in range(n):
+            k = (k + 1) % 30 if rng.random() < 0.9 else rng.randrange(30)
+            out.append(words[k])
+        return " ".join(out)
+
+    docs = spark.createDataFrame([(k, walk(100)) for k in range(300)], "doc_id long, text string")
+    held = [r for r in score_texts(docs).collect() if r["held_out"]]
+    assert len(held) > 20 and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
 def test_predictive_sums_to_one():
     from tidelog.llm import language_model as m
 
@@ -329,6 +345,7 @@ def test_html():
     plain = "<body><div class=menu>" + "<a>link</a>" * 9 + "</div><div><p>" + "Some words, and more of them. " * 9 + "</p><p>Short.</p></div></body>"
     assert main_text(plain).endswith("Short.") and "link" not in main_text(plain)
     assert main_text("<article><p>kept<script>lost") == "kept"
+    assert main_text('<body class="nav-open has-sidebar"><div class="with-sidebar"><article class="comments-open"><header class="entry-header"><h1>T</h1></header><p>x</p><div class="share">s</div></article></div>') == "T\nx"
 
 
 def test_html_query(spark):
@@ -461,6 +478,33 @@ def test_alignment_against_edit_distance():
         assert bool(len(found)) == (min(row) <= 8)
 
 
+# --- odd tables --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["jaccard_join", "score_texts", "shard", "repeated_bytes", "scan", "quality_scores", "token_counts", "pack_documents", "contamination", "keep_one", "cut_repeats", "keep_good", "drop_contaminated"])
+def test_repeated_rows_and_clashing_columns(spark, rows, name):
+    """Every operator with repeated rows and columns that are named like its own."""
+    from pyspark.sql import functions as F
+
+    from tidelog.llm import decontaminate, language_model, licenses, near_duplicates, packing, quality, sharding, substrings
+    from tidelog.llm import tokens as token_module
+
+    modules = (decontaminate, language_model, licenses, near_duplicates, packing, quality, sharding, substrings, token_module)
+    operator = next(getattr(m, name) for m in modules if hasattr(m, name))
+    some = rows[:12] + rows[60:75]
+    clash = ["block", "bucket", "h1", "h2", "n", "item", "node", "sid", "gid", "path", "kind", "shard", "slot", "length", "size", "kept", "score", "class_id", "items", "tokens", "held_out"]
+    docs = spark.createDataFrame(some + some[:5], SCHEMA).select("*", *[F.lit(f"x{k}").alias(k) for k in clash])
+    more = {"quality_scores": spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"), "contamination": spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")}
+    more |= {"keep_good": more["quality_scores"], "drop_contaminated": more["contamination"]}
+    got = operator(docs, *([more[name]] if name in more else []))
+    counts = Counter(r["doc_id"] for r in got.collect())
+    if name in ("keep_one", "cut_repeats", "keep_good", "drop_contaminated"):
+        assert got.columns == docs.columns and all(r[c] == f"x{c}" for r in got.collect() for c in clash)
+        assert set(counts) <= {r[0] for r in some}
+    else:
+        assert counts == Counter(r[0] for r in some + some[:5])
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 

@@ -47,10 +47,20 @@ THRESHOLD = 0.02
 _PUNCTUATION = re.compile(r"[.,;:!?…。，]")
 
 
+#: names that say something of a page, not of the element, such as ``has-sidebar`` or ``comments-open``
+_STATES = re.compile(r"^(?:has|with|without|no|is|not)[-_]|[-_](?:open|closed|enabled|disabled)$")
+
+
 def _dropped(tag: str, names: list[str], in_article: bool) -> bool:
     if tag in DROPPED_TAGS or tag == "header" and not in_article:
         return True
-    return any(DROPPED_NAMES.match(n) or any(DROPPED_NAMES.match(p) for p in re.split(r"[-_]", n)) for n in names)
+    if tag in ("html", "body", "main", "article"):
+        return False
+    for n in names:
+        parts = {n, *re.split(r"[-_]", n)} if not _STATES.search(n) else {n}
+        if any(DROPPED_NAMES.match(p) and not (in_article and p == "header") for p in parts):
+            return True
+    return False
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
