@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.core import schemas
 from tidelog.operators import fold, mapping
-from tidelog.sources.feeds import read_changes, read_history, read_snapshot, slot_times
+from tidelog.sources.feeds import counter_samples, read_changes, read_history, read_snapshot, slot_times
 from tidelog.sources.store import Store
 from tidelog.streaming import jobs
 
@@ -85,6 +85,23 @@ def _instructions(spark):
     return mapping.instructions(transaction(spark), registry.program_dimension(spark)), registry.action_rule_table(spark)
 
 
+def test_metric_samples(spark):
+    from tidelog.operators import metrics
+
+    events = spark.createDataFrame([("2024-01-01 00:00:01", "a", "x"), ("2024-01-01 00:00:02", "a", "y"), ("2024-01-01 00:00:03", "b", "x")], "t string, program string, reason string").withColumn("t", F.col("t").cast("timestamp"))
+    samples = counter_samples(events, "skipped", "t", ["program", "reason"])
+    assert samples.columns == [f.name for f in schemas.table_schema("metric_samples")]
+    up = samples.select("ts", "value", F.col("labels")["program"].alias("program"))
+    assert [tuple(r) for r in metrics.lowest(up, ["program"], "1 minute").orderBy("program").select("program", "lowest").collect()] == [("a", 1.0), ("b", 1.0)]
+    totals = spark.createDataFrame([(10, 5.0), (20, 7.0), (30, 2.0), (40, 3.0)], "s long, value double").select(F.timestamp_seconds("s").alias("ts"), "value", F.lit("m").alias("series"))
+    assert [r["increase"] for r in metrics.increase(totals, ["series"], "1 hour").collect()] == [5.0]  # 2, a reset to 2, 1
+    assert [r["changes"] for r in metrics.changes(totals, ["series"], "1 hour").collect()] == [3]
+    buckets = metrics.bucketize(totals, ["series"], [2.0, 5.0])
+    assert sorted((r["le"], r["n"]) for r in buckets.collect()) == [(2.0, 1), (5.0, 3), (float("inf"), 4)]
+    assert [r["value"] for r in metrics.histogram_quantile(buckets, ["series"], 0.5).collect()] == [3.5]
+    assert [r["value"] for r in metrics.histogram_quantile(buckets, ["series"], 0.99).collect()] == [5.0]
+
+
 def test_feeds(spark):
     t = transaction(spark)
     assert read_history(t, 0, 9).count() == 1 and read_history(t, 10, 20).count() == 0
