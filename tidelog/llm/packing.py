@@ -205,7 +205,7 @@ def _round(items: DataFrame, number: int, nodes: int, capacity: int) -> DataFram
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, node_items: int = NODE_ITEMS) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to the rows of ``pieces``."""
-    parts = t.checkpoint(parts.withColumn("item", F.xxhash64("doc_id", "piece")))
+    parts = t.checkpoint(parts.withColumn("item", F.monotonically_increasing_id()))  # repeated rows are different items
     n = parts.count()
     number, nodes = 1, max(1, -(-n // node_items))
     first = t.checkpoint(_round(parts.select("item", "length"), number, nodes, capacity))

@@ -31,6 +31,8 @@ GRAM = 24
 BLOCK_BYTES = 8 << 20
 #: anchors that one bucket holds, about
 BUCKET_ANCHORS = 250_000
+#: the column of a document's block, named so that it meets no column of the documents
+BLOCK = "__tidelog_block"
 _SLICE = 1 << 20
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -121,7 +123,7 @@ COVERED, WANTED, PARTS = 0, 1, 2
 
 def _send(buckets: int):
     def go(table: pa.Table) -> pa.Table:
-        block = table["block"][0].as_py()
+        block = table[BLOCK][0].as_py()
         a = _Anchors(table)
         own = np.sort(a.first)
         b = a.bucket(own, buckets)
@@ -188,7 +190,7 @@ def _passages(buckets: int):
             x = own[order[s:e]]
             size = a.end[x] - a.start[x]
             place = np.repeat(a.start[x] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            rows.append((k, table["block"][0].as_py(), a.name[x].astype("<u8").tobytes(), a.doc_id[a.doc[x]].astype("<i8").tobytes(), size.astype("<u1").tobytes(), a.data[place].tobytes()))
+            rows.append((k, table[BLOCK][0].as_py(), a.name[x].astype("<u8").tobytes(), a.doc_id[a.doc[x]].astype("<i8").tobytes(), size.astype("<u1").tobytes(), a.data[place].tobytes()))
         return _table(rows, _PASSAGES, _PASSAGE_TYPES)
 
     return go
@@ -297,11 +299,11 @@ def _answers(docs: DataFrame, block_bytes: int, bucket_anchors: int) -> tuple[Da
     """The documents with their blocks, and what is to be known of each block."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = max(1, -(-total // block_bytes)), int(max(16, total * 2 / (LENGTH - GRAM + 2) // bucket_anchors))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    texts = docs.select("doc_id", "text", "block")
-    sent = texts.groupBy("block").applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
+    docs = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    texts = docs.select("doc_id", "text", BLOCK)
+    sent = texts.groupBy(BLOCK).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
     known = sent.groupBy("bucket").applyInArrow(_meet, _ANSWER)
-    wanted = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_passages(buckets), "bucket int, block int, name binary, doc binary, size binary, data binary")
+    wanted = texts.groupBy(BLOCK).cogroup(known.groupBy("block")).applyInArrow(_passages(buckets), "bucket int, block int, name binary, doc binary, size binary, data binary")
     return docs, known.unionByName(wanted.groupBy("bucket").applyInArrow(_sort, _ANSWER))
 
 
@@ -310,7 +312,7 @@ def repeated_bytes(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_ancho
     t.tuned(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     docs, answers = _answers(docs, block_bytes, bucket_anchors)
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_result, _RESULT)
+    return docs.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(_result, _RESULT)
 
 
 def cut_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
@@ -320,4 +322,4 @@ def cut_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_anchors:
     t.tuned(docs.sparkSession)
     columns, schema = docs.columns, docs.schema
     docs, answers = _answers(docs.where("doc_id is not null"), block_bytes, bucket_anchors)
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(columns, to_arrow_schema(schema)), schema)
+    return docs.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(_cut(columns, to_arrow_schema(schema)), schema)
