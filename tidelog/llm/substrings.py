@@ -55,7 +55,8 @@ class _Anchors:
         self.doc = np.searchsorted(self.off, self.at, "right") - 1
         self.start = np.maximum(self.at - (LENGTH - GRAM), self.off[self.doc])
         self.end = np.minimum(self.at + LENGTH, self.off[self.doc + 1])
-        self.low, self.around = self.key & _LOW48, around & _LOW48
+        # anchors that agree in these bits by chance only send more surroundings to the sort
+        self.low, self.around = self.key & np.uint64(0xFFFFFFFF), around & _LOW48
         self.name = t.mix(self.low * np.uint64(0x9E3779B97F4A7C15) + self.around)
         # the first place of each (anchor, surroundings) in the block: that of its smallest document
         _, self.first, back = np.unique(self.name, return_index=True, return_inverse=True)
@@ -132,7 +133,7 @@ def _send(buckets: int):
         for k, s, e in _runs(b[order]):
             x = own[order[s:e]]
             docs, doc = np.unique(a.doc[x], return_inverse=True)
-            rows.append((k, block, _pack48(a.low[x]), _pack48(a.around[x]), doc.astype("<u4").tobytes(), a.doc_id[docs].astype("<i8").tobytes()))
+            rows.append((k, block, a.low[x].astype("<u4").tobytes(), _pack48(a.around[x]), doc.astype("<u4").tobytes(), a.doc_id[docs].astype("<i8").tobytes()))
         return _table(rows, _SENT, _SENT_TYPES)
 
     return go
@@ -142,7 +143,7 @@ def _meet(table: pa.Table) -> pa.Table:
     """What a bucket's anchors tell each block: which surroundings an earlier document has, which are wanted as bytes."""
     block, low, around, doc = [], [], [], []
     for r in table.to_pylist():
-        low.append(_unpack48(r["anchor"]))
+        low.append(np.frombuffer(r["anchor"], "<u4").astype(np.uint64))
         around.append(_unpack48(r["around"]))
         doc.append(np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["doc"], "<u4")])
         block.append(np.full(len(low[-1]), r["block"], np.int32))
@@ -300,10 +301,10 @@ def _answers(docs: DataFrame, block_bytes: int, bucket_anchors: int) -> tuple[Da
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = max(1, -(-total // block_bytes)), int(max(16, total * 2 / (LENGTH - GRAM + 2) // bucket_anchors))
     docs = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    texts = docs.select("doc_id", "text", BLOCK)
-    sent = texts.groupBy(BLOCK).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
+    # all passes read the documents with the same columns, so they share one exchange
+    sent = docs.groupBy(BLOCK).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
     known = sent.groupBy("bucket").applyInArrow(_meet, _ANSWER)
-    wanted = texts.groupBy(BLOCK).cogroup(known.groupBy("block")).applyInArrow(_passages(buckets), "bucket int, block int, name binary, doc binary, size binary, data binary")
+    wanted = docs.groupBy(BLOCK).cogroup(known.groupBy("block")).applyInArrow(_passages(buckets), "bucket int, block int, name binary, doc binary, size binary, data binary")
     return docs, known.unionByName(wanted.groupBy("bucket").applyInArrow(_sort, _ANSWER))
 
 
