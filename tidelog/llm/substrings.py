@@ -28,12 +28,12 @@ from tidelog.llm.suffixes import common_prefixes, needed, suffix_array
 
 LENGTH = 50
 GRAM = 24
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: anchors that one bucket holds, about
 BUCKET_ANCHORS = 250_000
 #: the column of a document's block, named so that it meets no column of the documents
 BLOCK = "__tidelog_block"
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -241,8 +241,8 @@ def _sort(table: pa.Table) -> pa.Table:
     return _table(out, ["block", "kind", "blob"], _ANSWER_TYPES)
 
 
-def _covered(a: _Anchors, answers: pa.Table) -> np.ndarray:
-    """Whether each byte of the block is covered."""
+def _covered(a: _Anchors, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and documents of the block's maximal covered runs."""
     whole = (a.earlier | np.isin(a.name, _names(answers, COVERED))) & (a.end - a.start >= LENGTH)
     start, end = [a.start[whole]], [a.end[whole]]
     blobs = [b for k, b in zip(answers["kind"].to_pylist(), answers["blob"].to_pylist(), strict=True) if k == PARTS]
@@ -255,8 +255,22 @@ def _covered(a: _Anchors, answers: pa.Table) -> np.ndarray:
         at = a.start[order[np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange(len(which))]]
         start.append(at + part["start"][which])
         end.append(at + part["end"][which])
-    change = np.bincount(np.concatenate(start), minlength=len(a.data) + 1) - np.bincount(np.concatenate(end), minlength=len(a.data) + 1)
-    return np.cumsum(change[:-1]) > 0
+    start, end = np.concatenate(start), np.concatenate(end)
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order]) if len(order) else end
+    doc = np.searchsorted(a.off, start, "right") - 1
+    head = np.ones(len(start), bool)
+    head[1:] = (start[1:] > end[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(head)
+    return start[first], end[np.append(first[1:], len(start)) - 1] if len(first) else end, doc[first]
+
+
+def _kept(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each of n bytes lies outside all of the runs."""
+    change = np.zeros(n + 1, np.int8)
+    change[start] = 1
+    change[end] -= 1
+    return np.cumsum(change[:-1], dtype=np.int8) == 0
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -267,13 +281,12 @@ def _result(table: pa.Table, answers: pa.Table) -> pa.Table:
     if not table.num_rows:
         return _table([], names, [*[pa.int64()] * 4, pa.string()])
     a = _Anchors(table)
-    gone = _covered(a, answers)
-    begin = gone.copy()
-    begin[1:] &= ~gone[:-1]
-    inner = a.off[:-1][a.off[:-1] < len(gone)]
-    begin[inner] = gone[inner]
-    kept = [hashlib.sha256(a.data[s:e][~gone[s:e]].tobytes()).hexdigest() for s, e in zip(a.off[:-1], a.off[1:], strict=True)]
-    return pa.table([pa.array(a.doc_id), pa.array(np.diff(a.off)), pa.array(t.per_doc(gone, a.off)), pa.array(t.per_doc(begin, a.off)), pa.array(kept)], names)
+    start, end, doc = _covered(a, answers)
+    n = len(a.doc_id)
+    keep = _kept(len(a.data), start, end)
+    sha = [hashlib.sha256(a.data[s:e][keep[s:e]].tobytes()).hexdigest() for s, e in zip(a.off[:-1], a.off[1:], strict=True)]
+    removed = np.bincount(doc, end - start, n).astype(np.int64)
+    return pa.table([pa.array(a.doc_id), pa.array(np.diff(a.off)), pa.array(removed), pa.array(np.bincount(doc, minlength=n)), pa.array(sha)], names)
 
 
 def _cut(columns: list[str], schema: pa.Schema):
@@ -284,13 +297,17 @@ def _cut(columns: list[str], schema: pa.Schema):
             return schema.empty_table()
         table = table.sort_by([("doc_id", "ascending")])
         a = _Anchors(table)
-        gone = _covered(a, answers)
-        head = (a.data & 0xC0) != 0x80
-        of = np.cumsum(head) - 1
-        if len(gone):
-            gone = np.bincount(of, gone, minlength=of[-1] + 1)[of] > 0
-        lost = t.per_doc(gone, a.off)
-        text = [a.data[s:e][~gone[s:e]].tobytes().decode() if n else x for s, e, n, x in zip(a.off[:-1], a.off[1:], lost, table["text"].to_pylist(), strict=True)]
+        start, end, doc = _covered(a, answers)
+        inner = np.append(a.data, np.uint8(0)) & 0xC0 == 0x80
+        for _ in range(3):
+            start = start - inner[start]
+            end = end + ((end < a.off[doc + 1]) & inner[end])
+        keep = np.ones(len(a.data), bool)
+        for s, e in zip(start.tolist(), end.tolist(), strict=True):  # widened runs may touch
+            keep[s:e] = False
+        less = np.zeros(len(a.doc_id), bool)
+        less[doc] = True
+        text = [a.data[s:e][keep[s:e]].tobytes().decode() if n else x for s, e, n, x in zip(a.off[:-1], a.off[1:], less, table["text"].to_pylist(), strict=True)]
         return pa.table([pa.array(text, pa.string()) if c == "text" else table[c].combine_chunks() for c in columns], columns)
 
     return go
