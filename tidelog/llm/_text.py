@@ -6,7 +6,11 @@ cut, so memory is bounded by the chunk size or by the longest single text.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,20 @@ _K = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uin
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def _ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once, unless PYTHONPATH or the working folder has it."""
+    root = Path(__file__).resolve().parents[2]
+    known = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    sc = spark.sparkContext
+    if root in {Path(p).resolve() for p in known} or not root.is_dir() or getattr(sc, "_tidelog_shipped", False):
+        return
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="spark-"), "tidelog"), "zip", root, "tidelog"))
+    sc._tidelog_shipped = True
+
+
 def tuned(spark: SparkSession) -> SparkSession:
     """Bounds the Arrow batches that Python workers get, by rows and by bytes."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
     return spark
@@ -42,8 +58,6 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that the session names, or a new one of this machine where it names none, as in tests."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given is None:
-        import tempfile
-
         given = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", given)
     return given
