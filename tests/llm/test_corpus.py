@@ -248,6 +248,41 @@ def test_cut_repeats(docs, rows):
         assert n - gone - 2 * want[r["doc_id"]][2] * 4 <= len((r["text"] or "").encode()) <= n - gone
 
 
+def common_line(n):
+    """Documents that share one line, each with other text around it."""
+    rng = random.Random(17)
+    line = "this line of sixty and some bytes is common to all documents here"
+    return [(k, f"{rng.random()} {sentence(rng, 12)} {rng.random()}\n{line}\n{rng.random()} {sentence(rng, 12)}", None, None, 0) for k in range(n)]
+
+
+def test_a_hot_anchor_is_dealt_out():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from tidelog.llm import substrings as s
+
+    rows, buckets = common_line(400), 16
+    blocks = [pa.table({"doc_id": [r[0] for r in rows[k::4]], "text": [r[1] for r in rows[k::4]], s.BLOCK: [k] * 100}) for k in range(4)]
+    sent = pa.concat_tables([s._send(buckets)(b) for b in blocks])
+    met = pa.concat_tables([s._meet(sent.filter(pc.equal(sent["bucket"], k))) for k in set(sent["bucket"].to_pylist())])
+    held = Counter()
+    for k, b in enumerate(blocks):
+        for r in s._passages(buckets)(b, met.filter(pc.equal(met["block"], k))).to_pylist():
+            held[r["bucket"]] += len(r["name"]) + len(r["doc"]) + len(r["data"])
+    assert 0 < max(held.values()) < sum(held.values()) / 10
+
+
+@pytest.mark.parametrize("block", [20_000, 1 << 22])
+def test_repeats_around_a_hot_anchor(spark, block):
+    from tidelog.llm.substrings import repeated_bytes
+
+    rows = common_line(300)
+    want = brute_repeats(rows)
+    assert sum(x[1] for x in want.values()) >= 299 * 60
+    got = by_id(repeated_bytes(spark.createDataFrame(rows, SCHEMA), block_bytes=block))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == want
+
+
 def test_suffix_array_against_sorting():
     from tidelog.llm.suffixes import common_prefixes, suffix_array
 

@@ -7,7 +7,13 @@ anchor's bucket tells whose surroundings occur whole in an earlier document (all
 covered) and where one anchor has different surroundings. Only the latter are sent as bytes, once
 each: their suffixes are sorted in two stages, adjacent common prefixes of 50 bytes or more form
 runs, and a suffix whose run holds a smaller id is covered. So unique text and whole copies never
-reach the sort, and a passage that a third of the corpus shares arrives once from each block.
+reach the sort.
+
+A hot anchor (a frequent line, with other text around it in every document) has more surroundings than
+one task should hold. A block sends only the first few of them, which tells that the anchor is hot; then
+the 50-byte strings around its gram are dealt out by their own hashes, each distinct string once from
+each block with its smallest document. So only equal strings meet, and no group grows with the number
+of documents but with the number of blocks.
 
 Defined cases: a null text is empty; a text under 50 bytes keeps all; equal ids don't cover each
 other; an empty table gives no rows.
@@ -31,6 +37,8 @@ GRAM = 24
 BLOCK_BYTES = 6 << 20
 #: anchors that one bucket holds, about
 BUCKET_ANCHORS = 250_000
+#: surroundings of one anchor in a block, and in all of them, beyond which the anchor is hot
+BLOCK_MOST, BUCKET_MOST = 64, 8192
 #: the column of a document's block, named so that it meets no column of the documents
 BLOCK = "__tidelog_block"
 _SLICE = 1 << 18
@@ -89,6 +97,20 @@ class _Anchors:
         around = t.mix(t.span_hash(prefix, start, end) + (at - start).astype(np.uint64))
         return at + lo, gram[at], around
 
+    def strings(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the strings around the grams of hot anchors."""
+        hot = np.isin(self.key, self.key[np.isin(self.name, _names(answers, HOT))]) & (self.end - self.start >= LENGTH)
+        n = len(self.data)
+        first, last = self.start[hot], np.minimum(self.at, self.end - LENGTH)[hot]
+        start = np.flatnonzero(np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1)))
+        value = np.empty(len(start), np.uint64)
+        for a in range(0, n, _SLICE):
+            lo, hi = np.searchsorted(start, (a, a + _SLICE))
+            if lo < hi:
+                own = start[lo:hi] - a
+                value[lo:hi] = t.span_hash(t.prefix_hash(self.data[a : a + _SLICE + LENGTH]), own, own + LENGTH)
+        return start, value
+
     def bucket(self, which: np.ndarray, buckets: int) -> np.ndarray:
         return ((self.key[which] >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
 
@@ -119,7 +141,7 @@ _SENT = ["bucket", "block", "anchor", "around", "doc", "ids"]
 _SENT_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 _ANSWER = "block int, kind int, blob binary"
 _ANSWER_TYPES = [pa.int32(), pa.int32(), pa.binary()]
-COVERED, WANTED, PARTS = 0, 1, 2
+COVERED, WANTED, PARTS, HOT, STRINGS = 0, 1, 2, 3, 4
 
 
 def _send(buckets: int):
@@ -127,6 +149,9 @@ def _send(buckets: int):
         block = table[BLOCK][0].as_py()
         a = _Anchors(table)
         own = np.sort(a.first)
+        own = own[np.argsort(a.key[own], kind="stable")]
+        new = np.append(True, a.key[own][1:] != a.key[own][:-1]) if len(own) else np.zeros(0, bool)
+        own = np.sort(own[np.arange(len(own)) - np.flatnonzero(new)[np.cumsum(new) - 1] <= BLOCK_MOST])
         b = a.bucket(own, buckets)
         order = np.argsort(b, kind="stable")
         rows = []
@@ -140,7 +165,7 @@ def _send(buckets: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """What a bucket's anchors tell each block: which surroundings an earlier document has, which are wanted as bytes."""
+    """What a bucket's anchors tell each block: which surroundings an earlier document has, which are wanted as bytes, which have a hot anchor."""
     block, low, around, doc = [], [], [], []
     for r in table.to_pylist():
         low.append(np.frombuffer(r["anchor"], "<u4").astype(np.uint64))
@@ -157,9 +182,14 @@ def _meet(table: pa.Table) -> pa.Table:
     later = doc[np.flatnonzero(head)][group] < doc
     anchor = np.cumsum(anchor_head) - 1
     several = np.bincount(anchor[head], minlength=anchor[-1] + 1)[anchor] > 1
+    hot = np.bincount(anchor[head]) > BUCKET_MOST
+    most = np.flatnonzero(np.bincount(anchor)[anchor] > BLOCK_MOST)
+    pair, n = np.unique(anchor[most] << 32 | block[most], return_counts=True)
+    hot[pair[n > BLOCK_MOST] >> 32] = True
+    hot = hot[anchor]
     name = t.mix(low * np.uint64(0x9E3779B97F4A7C15) + around)
     rows = []
-    for kind, mask in ((COVERED, later), (WANTED, ~later & several)):
+    for kind, mask in ((COVERED, later & ~hot), (WANTED, ~later & several & ~hot), (HOT, hot)):
         own = np.flatnonzero(mask)
         own = own[np.argsort(block[own], kind="stable")]
         rows += [(b, kind, name[own[s:e]].astype("<u8").tobytes()) for b, s, e in _runs(block[own])]
@@ -176,11 +206,11 @@ _PASSAGE_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(),
 
 
 def _passages(buckets: int):
-    """The wanted surroundings as bytes, each once."""
+    """The wanted surroundings as bytes, and the hashes of hot anchors' strings (in buckets below 0), each once."""
 
     def go(table: pa.Table, answers: pa.Table) -> pa.Table:
         want = _names(answers, WANTED)
-        if not len(want) or not table.num_rows:
+        if not (len(want) or len(_names(answers, HOT))) or not table.num_rows:
             return _table([], _PASSAGES, _PASSAGE_TYPES)
         a = _Anchors(table)
         own = a.first[np.isin(a.name[a.first], want)]
@@ -192,6 +222,13 @@ def _passages(buckets: int):
             size = a.end[x] - a.start[x]
             place = np.repeat(a.start[x] - np.cumsum(size) + size, size) + np.arange(size.sum())
             rows.append((k, table[BLOCK][0].as_py(), a.name[x].astype("<u8").tobytes(), a.doc_id[a.doc[x]].astype("<i8").tobytes(), size.astype("<u1").tobytes(), a.data[place].tobytes()))
+        start, value = a.strings(answers)
+        value, first = np.unique(value, return_index=True)  # the first place is that of the smallest document
+        doc = a.doc_id[np.searchsorted(a.off, start[first], "right") - 1].astype("<i8")
+        b = (value % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(b, kind="stable")
+        for k, s, e in _runs(b[order]):
+            rows.append((-1 - k, table[BLOCK][0].as_py(), value[order[s:e]].astype("<u8").tobytes(), doc[order[s:e]].tobytes(), b"", b""))
         return _table(rows, _PASSAGES, _PASSAGE_TYPES)
 
     return go
@@ -221,8 +258,24 @@ def covered_starts(data: np.ndarray, size: np.ndarray, doc: np.ndarray, length:
     return hit - (np.searchsorted(off, hit, "right") - 1) * gap
 
 
+def _meet_strings(table: pa.Table) -> pa.Table:
+    """The strings of a bucket that an earlier document of another block has, by block."""
+    rows = table.to_pylist()
+    value = np.frombuffer(b"".join(r["name"] for r in rows), "<u8")
+    doc = np.frombuffer(b"".join(r["doc"] for r in rows), "<i8")
+    block = np.repeat([r["block"] for r in rows], [len(r["doc"]) // 8 for r in rows])
+    order = np.lexsort((doc, value))
+    value, doc, block = value[order], doc[order], block[order]
+    head = np.append(True, value[1:] != value[:-1])
+    own = np.flatnonzero(doc[np.flatnonzero(head)][np.cumsum(head) - 1] < doc)
+    own = own[np.argsort(block[own], kind="stable")]
+    return _table([(b, STRINGS, value[own[s:e]].tobytes()) for b, s, e in _runs(block[own])], ["block", "kind", "blob"], _ANSWER_TYPES)
+
+
 def _sort(table: pa.Table) -> pa.Table:
-    """A bucket's passages through the suffix array; the covered parts, by block."""
+    """A bucket's passages through the suffix array; the covered parts, by block. Buckets below 0 hold strings."""
+    if table["bucket"][0].as_py() < 0:
+        return _meet_strings(table)
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     name = np.frombuffer(b"".join(r["name"] for r in rows), "<u8")
     doc = np.frombuffer(b"".join(r["doc"] for r in rows), "<i8")
@@ -255,6 +308,14 @@ def _covered(a: _Anchors, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np
         at = a.start[order[np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange(len(which))]]
         start.append(at + part["start"][which])
         end.append(at + part["end"][which])
+    at, value = a.strings(answers)
+    if len(at):
+        _, first, back = np.unique(value, return_index=True, return_inverse=True)
+        of = a.doc_id[np.searchsorted(a.off, at, "right") - 1]
+        at = at[(of[first][back] < of) | np.isin(value, _names(answers, STRINGS))]
+        head = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1)[: len(at)])
+        start.append(at[head])
+        end.append(at[np.append(head[1:], len(at)) - 1] + LENGTH if len(at) else at)
     start, end = np.concatenate(start), np.concatenate(end)
     order = np.argsort(start, kind="stable")
     start, end = start[order], np.maximum.accumulate(end[order]) if len(order) else end
