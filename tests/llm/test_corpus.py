@@ -364,6 +364,19 @@ def test_quality_tells_junk(spark):
     assert all(r["kept"] == (i < 1000) for i, r in got.items())
 
 
+@pytest.mark.parametrize("trusted", [8, 200])
+def test_few_trusted_documents_tell_junk_too(spark, trusted):
+    from tidelog.llm.quality import quality_scores
+
+    rng = random.Random(6)
+    good = [(k, sentence(rng, 300), None, None, 0) for k in range(300)]
+    bad = [(1000 + k, " ".join(f"{w}{rng.choice(['###', '$$$'])}" for w in sentence(rng, 300).split()), None, None, 0) for k in range(30)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(trusted)], "doc_id long, quality int, toxic int")
+    got = by_id(quality_scores(spark.createDataFrame(good + bad, SCHEMA), labels))
+    assert not any(got[i]["kept"] for i, *_ in bad)
+    assert sum(got[i]["kept"] for i, *_ in good) > 0.9 * len(good)
+
+
 # --- html --------------------------------------------------------------------------------------
 
 
