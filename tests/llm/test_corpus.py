@@ -526,6 +526,18 @@ def test_alignment_against_edit_distance():
         assert bool(len(found)) == (min(row) <= 8)
 
 
+def test_a_passage_is_found_wherever_it_lies_in_its_item():
+    from tidelog.llm.decontaminate import Index, normalised
+
+    rng = random.Random(12)
+    item, other = ("".join(rng.choice("abcdefgh") for _ in range(400)) for _ in range(2))
+    index = Index([(7, other), (1, item), (2, "short item")])
+    texts = ["q" * 60 + item[k : k + 87] + "q" * 60 for k in range(400 - 87 + 1)] + ["q" * 300]
+    data, off = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    doc, seg = index.search(*normalised(data, off))
+    assert set(doc.tolist()) == set(range(len(texts) - 1)) and {index.item[s] for s in seg} == {1}
+
+
 # --- odd tables --------------------------------------------------------------------------------
 
 

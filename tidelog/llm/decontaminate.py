@@ -1,9 +1,11 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Texts are compared as lower-case alphanumeric words with single spaces. A benchmark item is cut into
-overlapping segments; a segment of n bytes with at most k edits in a document shares at least
-n - q + 1 - k * q of its q-grams with it, all on diagonals at most k apart. So q-grams are looked up,
-counted in overlapping bands of diagonals, and only bands that reach the bound are aligned.
+overlapping segments of 80 bytes that start every 8, so an exact passage of 87 normalised bytes or more
+holds a whole one wherever it lies in the item (a shorter one may be missed; an item of up to 80 bytes
+is one segment). A segment of n bytes with at most k edits in a document shares at least
+n - q + 1 - k * q of its q-grams with it, all on diagonals at most k apart. So q-grams are looked up
+by item, spread to the segments where the item has enough of them, counted in overlapping bands of diagonals, and only bands that reach the bound are aligned.
 
 The benchmark is the stated query set: it is fetched in blocks of bounded size, and each block is one
 pass over all documents, without a shuffle.
@@ -25,10 +27,10 @@ from tidelog.llm import _text as t
 
 Q = 8
 SEGMENT = 80
-STEP = 40
+STEP = 8
 #: edits allowed, as a share of the segment
 EDITS = 0.1
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 _BITS = 22
 
 
@@ -70,7 +72,7 @@ class Index:
     """q-grams of a block of benchmark items, with the segments and places where they occur."""
 
     def __init__(self, items: list[tuple[int, str]], segment: int = SEGMENT, step: int = STEP, edits: float = EDITS):
-        self.item, self.data, spots = [], [], []
+        self.item, self.data, whole, begin = [], [], [], []
         for name, text in items:
             data, _ = normalised(*t.buffers(pa.array([text or ""])))
             data = data[: len(data) - (len(data) > 0 and data[-1] == 0x20)]
@@ -79,18 +81,27 @@ class Index:
             for at in sorted({*range(0, max(1, len(data) - segment + 1), step), max(0, len(data) - segment)}):
                 self.item.append(name)
                 self.data.append(data[at : at + segment])
+                begin.append(at)
+            whole.append((data, len(self.item)))
+        begin = np.array(begin, np.int64)
         self.length = np.array([len(x) for x in self.data], np.int64)
         # with at least three q-grams left to share
         self.edits = np.maximum(0, np.minimum((edits * self.length).astype(np.int64), (self.length - Q - 2) // Q))
         self.least = np.maximum(1, self.length - Q + 1 - self.edits * Q)
-        grams = [_grams(x) for x in self.data]
-        spots = np.concatenate([np.arange(len(g)) for g in grams] or [np.zeros(0, np.int64)])
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        flat = np.concatenate(grams or [np.zeros(0, np.uint64)])
+        grams = [_grams(x) for x, _ in whole]
+        size = [len(g) for g in grams]
+        flat, text = np.concatenate(grams or [np.zeros(0, np.uint64)]), np.repeat(np.arange(len(grams)), size)
+        spot = np.concatenate([np.arange(n) for n in size] or [np.zeros(0, np.int64)])
+        # the segments that hold a place of an item follow each other: they start at most at it, and end at least behind its q-gram
+        last = np.array([n for _, n in whole], np.int64)
+        first = np.concatenate(([0], last[:-1]))
+        key = np.repeat(np.arange(len(whole)), last - first) << 32
+        low, high = np.searchsorted(key + begin + self.length, (text << 32) + spot + Q), np.searchsorted(key + begin, (text << 32) + spot, "right")
         order = np.argsort(flat, kind="stable")
         self.gram, self.begin = np.unique(flat[order], return_index=True)
         self.begin = np.append(self.begin, len(flat))
-        self.owner, self.spot = owner[order], spots[order]
+        self.text, self.spot, self.low, self.high, self.start = text[order], spot[order], low[order], high[order], begin
+        self.text_least = np.minimum.reduceat(self.least, first) if len(whole) else self.least
         self.filter = np.zeros(1 << _BITS, bool)
         self.filter[_slot(self.gram)] = True
 
@@ -116,14 +127,12 @@ class Index:
         times = self.begin[k + 1] - self.begin[k]
         post = np.repeat(self.begin[k] - np.cumsum(times) + times, times) + np.arange(times.sum())
         at, doc = np.repeat(at, times), np.repeat(doc, times)
-        seg, spot = self.owner[post], self.spot[post]
-        # shared q-grams of an alignment lie in two neighbouring cells of the text; hashed counts of a cell
-        # are never too small, so what can't reach the bound in any two goes before the sort
-        cell = at // _CELL
-        own = _cell_slot(cell, seg)
-        held = np.bincount(own, minlength=1 << _BITS)
-        most = held[own] + np.maximum(held[_cell_slot(cell + 1, seg)], held[_cell_slot(cell - 1, seg)])
-        rest = np.flatnonzero(most >= self.least[seg])
+        rest = self._enough(at, self.text[post], self.text_least)
+        at, doc, post = at[rest], doc[rest], post[rest]
+        times = self.high[post] - self.low[post]
+        seg = np.repeat(self.low[post] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        at, doc, spot = np.repeat(at, times), np.repeat(doc, times), np.repeat(self.spot[post], times) - self.start[seg]
+        rest = self._enough(at, seg, self.least)
         if not len(rest):
             return none
         at, doc, seg, spot = at[rest], doc[rest], seg[rest], spot[rest]
@@ -144,6 +153,17 @@ class Index:
         pair = np.unique(np.stack((doc[good], seg[good])), axis=1)
         return pair[0], pair[1]
 
+    @staticmethod
+    def _enough(at: np.ndarray, owner: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Which shared q-grams at these places may belong to an alignment with their owner."""
+        # shared q-grams of an alignment lie in two neighbouring cells of the text; hashed counts of a cell
+        # are never too small, so what can't reach the bound in any two goes before the sort
+        cell = at // _CELL
+        own = _cell_slot(cell, owner)
+        held = np.bincount(own, minlength=1 << _BITS)
+        most = held[own] + np.maximum(held[_cell_slot(cell + 1, owner)], held[_cell_slot(cell - 1, owner)])
+        return np.flatnonzero(most >= least[owner])
+
     def aligned(self, data: np.ndarray, off: np.ndarray, doc: np.ndarray, seg: np.ndarray, low: np.ndarray) -> np.ndarray:
         """Whether each candidate band holds an alignment within the segment's edits; ends in the text are free."""
         good = np.zeros(len(doc), bool)
