@@ -46,9 +46,15 @@ NESTED = {
 
 NULLABLE = frozenset({"closed_at_slot", "pending_authority"})
 
+#: append-only: the first row of a key stays
 LOG_TABLES = {
     "program_instructions": "program_id binary, signature binary, ix_index smallint, inner_index smallint, slot bigint, block_time timestamp, ix_name string, accounts array<binary>, data string",
     "whitelist_actions": "id string, type string, subject string, role string, permission string, actor string, slot bigint, block_time timestamp, tx_signature string, instruction_index string",
+    "rejects": "program_id binary, signature binary, instruction_index string, ix_name string, slot bigint, reason string",
+}
+
+#: bookkeeping: the last row of a key stays
+BOOK_TABLES = {
     "sync_state": "program_id binary, last_contiguous_slot bigint, backfill_complete boolean, backfill_floor_slot bigint, snapshot_slot bigint, updated_at timestamp",
     "backfill_cursor": "program_id binary, signature string, slot bigint, updated_at timestamp",
 }
@@ -62,7 +68,7 @@ FEED_TABLES = {
     "metric_samples": "ts timestamp, metric string, labels map<string,string>, value double",
 }
 
-KEYS = {"program_instructions": ["signature", "ix_index", "inner_index"], "whitelist_actions": ["id"], "sync_state": ["program_id"], "backfill_cursor": ["program_id"]}
+KEYS = {"rejects": ["signature", "instruction_index"], "program_instructions": ["signature", "ix_index", "inner_index"], "whitelist_actions": ["id"], "sync_state": ["program_id"], "backfill_cursor": ["program_id"]}
 
 #: allowed spellings by column: (table, column) to the enum's name in ``enums``
 CHECKS = {
@@ -89,7 +95,7 @@ def table_schema(table: str) -> T.StructType:
     """The schema of any table by name."""
     if table in STATE_PAYLOAD:
         return state_schema(table)
-    return struct((LOG_TABLES | FEED_TABLES)[table])
+    return struct((LOG_TABLES | BOOK_TABLES | FEED_TABLES)[table])
 
 
 def key_of(table: str) -> list[str]:

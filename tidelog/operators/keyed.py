@@ -28,6 +28,18 @@ def append_new(stored: DataFrame, rows: DataFrame, key: list[str], arrival: Colu
     return append_dedup(rows, key, arrival).join(stored.select(*key), key, "left_anti").select(*rows.columns)
 
 
+def newest_updates(updates: DataFrame, key: list[str], arrival: str = "arrival") -> DataFrame:
+    """Of each key's updates the one with the largest slot, the first-arrived of equal ones; all that a batch can change."""
+    rest = [c for c in updates.columns if c not in (*key, arrival)]
+    order = F.struct(F.col("slot"), *([-F.col(arrival)] if arrival in updates.columns else []))
+    return updates.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*key, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def last_closes(closes: DataFrame, key: list[str]) -> DataFrame:
+    """Each key's latest close; earlier ones of a batch can't outdo it."""
+    return closes.groupBy(*key).agg(F.max("slot").alias("slot"))
+
+
 def slot_guarded_upsert(state: DataFrame, updates: DataFrame, key: list[str], arrival: str = "arrival") -> DataFrame:
     """Insert if absent, replace iff the stored slot is strictly smaller; a replaced row is open.
 

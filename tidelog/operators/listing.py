@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import path_key, public_name, saturated_int
-from tidelog.operators.mapping import current_version, given, is_active
+from tidelog.operators.mapping import any_of, current_version, given, is_active
 
 DEFAULT_PAGE, LARGEST_PAGE, LARGEST_OFFSET = 20, 100, 10_000
 NUMBERED_PAGE, LARGEST_NUMBERED_PAGE = 50, 500
@@ -151,10 +151,15 @@ def config_view(folded: DataFrame) -> DataFrame:
     return folded.withColumn("updated_at_slot", F.when(F.col("updated_at_slot").isNull(), bad).otherwise(F.col("updated_at_slot")))
 
 
-def sync_status(sync: DataFrame, tip: int) -> DataFrame:
-    """The fleet's status in one row; an error if there is no program at all."""
+def of_programs(sync: DataFrame, program_ids: list | None) -> DataFrame:
+    """The rows of the configured programs; all of them if none are given."""
+    return sync if program_ids is None else sync.where(any_of("program_id", program_ids))
+
+
+def sync_status(sync: DataFrame, tip: int, program_ids: list | None = None) -> DataFrame:
+    """The status of the fleet, or of some of its programs, in one row; an error if there is no program at all."""
     none = F.raise_error(F.lit("no sync state"))
-    return sync.agg(
+    return of_programs(sync, program_ids).agg(
         F.when(F.count("*") == 0, none).otherwise(F.min("last_contiguous_slot")).alias("last_contiguous_slot"),
         F.bool_and("backfill_complete").alias("backfill_complete"),
         F.when(F.count("*") == F.count("snapshot_slot"), F.min("snapshot_slot")).alias("snapshot_slot"),
@@ -163,6 +168,16 @@ def sync_status(sync: DataFrame, tip: int) -> DataFrame:
     )
 
 
+def sync_programs(sync: DataFrame, programs: DataFrame, program_ids: list | None = None) -> DataFrame:
+    """The status' row of each program by its name; a row of an unknown program is an error.
+
+    ``programs``: program_id and program, a handful of rows.
+    """
+    rows = of_programs(sync, program_ids).join(F.broadcast(programs.select("program_id", "program")), "program_id", "left")
+    name = F.coalesce("program", F.raise_error(F.concat(F.lit("sync state of an unknown program: "), F.col("program_id").cast("string"))))
+    return rows.select(name.alias("program"), "last_contiguous_slot", "backfill_complete", "backfill_floor_slot", "snapshot_slot")
+
+
 def health(sync: DataFrame, tip: int | None) -> DataFrame:
     """Like the status, but an empty table gives NULLs and false."""
     low = F.min("last_contiguous_slot")
@@ -175,7 +190,7 @@ def metadata_row(pairs: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return pairs.agg(*[F.max(F.when(F.col("key") == k, F.col("value"))).try_cast(t).alias(k) for k, t in kinds.items()])
 
 
-def indexer_status(pairs: DataFrame) -> DataFrame:
+def height_status(pairs: DataFrame) -> DataFrame:
     """Height reached and lag behind the chain's head, from the metadata."""
     row = metadata_row(pairs, {"lastProcessedHeight": "long", "targetHeight": "long"})
     return row.select(F.col("lastProcessedHeight").alias("last_height"), F.col("targetHeight").alias("head_height"), F.greatest(F.col("targetHeight") - F.col("lastProcessedHeight"), F.lit(0)).alias("lag"))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.core import enums
 from tidelog.core.schemas import CHECKS, NESTED, state_schema
 from tidelog.functions.columns import account_at, dotted, lower_hex, path_indexes, spelled
-from tidelog.operators.validate import split_rejects
+from tidelog.operators.validate import instruction_reason, split_rejects, with_first_bad
 
 SYNTHETIC = "cpi_event"
 
@@ -33,9 +35,14 @@ def owned_by(accounts: DataFrame, programs: DataFrame) -> DataFrame:
 
 
 def instructions(transactions: DataFrame, programs: DataFrame | None = None) -> DataFrame:
-    """One row an instruction, with its path; of the configured programs only, without synthetic rows."""
-    rows = transactions.select("slot", "signature", "block_time", F.explode("instructions").alias("i")).select("slot", "signature", "block_time", "i.*")
-    rows = rows.where(F.col("ix_name") != SYNTHETIC)
+    """One row an instruction, with its path; of the configured programs only, without synthetic rows.
+
+    Arguments that come as a struct become their JSON document.
+    """
+    rows = transactions.select(*[c for c in transactions.columns if c in ("slot", "signature", "block_time")], F.explode("instructions").alias("i"))
+    rows = rows.select(*[c for c in rows.columns if c != "i"], "i.*").where(F.col("ix_name") != SYNTHETIC)
+    if isinstance(rows.schema["args"].dataType, T.StructType):
+        rows = rows.withColumn("args", F.to_json("args", {"ignoreNullFields": "false"}))
     if programs is not None:
         rows = rows.join(F.broadcast(programs.select("program_id")), "program_id", "left_semi")
     return rows
@@ -61,8 +68,7 @@ def actions(rows: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     joined = rows.join(F.broadcast(rules), ["program_id", "ix_name"])
     needed = F.greatest("actor_pos", F.coalesce("subject_pos", F.lit(0)))
-    reason = F.when(F.size("path") <= 0, F.lit("empty_absolute_path")).when(F.size("accounts") <= needed, F.lit("missing_account"))
-    good, bad = split_rejects(joined, reason)
+    good, bad = split_rejects(joined, instruction_reason(F.col("path"), F.col("accounts"), needed, F.col("args")))
     args = F.col("args")
 
     def enum_arg(name: str, spellings: tuple[str, ...]) -> Column:
@@ -90,11 +96,52 @@ def _argument(args: Column) -> Column:
 def closes(rows: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(close rows, rejected rows) by the close rules: table, key, slot, and for conditional ones the removed item."""
     joined = rows.join(F.broadcast(rules), ["program_id", "ix_name"])
-    good, bad = split_rejects(joined, F.when(F.size("accounts") <= F.col("pos"), F.lit("missing_account")))
+    good, bad = split_rejects(joined, instruction_reason(F.col("path"), F.col("accounts"), F.col("pos"), F.col("args")))
     item = F.when(F.col("conditional"), F.get_json_object("args", "$.postcode"))
     return good.select("table", account_at(F.col("accounts"), F.col("pos")).alias("pubkey"), "slot", item.alias("postcode")), bad
 
 
+@dataclass(frozen=True)
+class Mapped:
+    """What a batch of transactions comes to."""
+
+    history: DataFrame
+    actions: DataFrame
+    closes: DataFrame
+    rejected: DataFrame
+
+
+def rule_positions(action_rules: DataFrame, close_rules: DataFrame) -> DataFrame:
+    """The highest account position that any rule of an instruction uses; as many rows as rules at most."""
+    acts = action_rules.select("program_id", "ix_name", F.greatest("actor_pos", F.coalesce("subject_pos", F.lit(0))).alias("pos"))
+    return acts.unionByName(close_rules.select("program_id", "ix_name", "pos")).groupBy("program_id", "ix_name").agg(F.max("pos").alias("_needed"))
+
+
+def judged_instructions(transactions: DataFrame, programs: DataFrame, action_rules: DataFrame, close_rules: DataFrame, times: DataFrame) -> DataFrame:
+    """Each instruction with the reason why it can't be mapped, if any, its place ``_at``, and the place ``_bad``
+    of its transaction's first bad one."""
+    rows = instructions(succeeded(transactions), programs)
+    known = times.groupBy("slot").agg(F.max("block_time").alias("_known"))
+    rows = rows.join(known, "slot", "left").withColumn("block_time", F.timestamp_seconds(F.coalesce("block_time", "_known"))).drop("_known")
+    rows = rows.join(F.broadcast(rule_positions(action_rules, close_rules)), ["program_id", "ix_name"], "left")
+    untimed = F.when(F.col("block_time").isNull(), F.lit("no_block_time"))
+    rows = rows.withColumn("reason", F.coalesce(untimed, instruction_reason(F.col("path"), F.col("accounts"), F.coalesce("_needed", F.lit(-1)), F.col("args")))).drop("_needed")
+    return with_first_bad(rows, ["signature"], F.coalesce("path", F.array().cast("array<int>")))
+
+
+def mapped(judged: DataFrame, action_rules: DataFrame, close_rules: DataFrame) -> Mapped:
+    """What judged instructions come to: the first bad one of a transaction is rejected, what comes after it is left out."""
+    good = judged.where("_bad is null or _at < _bad").drop("_at", "_bad", "reason")
+    bad = judged.where("_at = _bad and reason is not null")
+    rejected = bad.select("program_id", "signature", F.coalesce(dotted(F.col("path")), F.lit("")).alias("instruction_index"), "ix_name", "slot", "reason")
+    return Mapped(history_rows(good), actions(good, action_rules)[0], closes(good, close_rules)[0], rejected)
+
+
+def map_transactions(transactions: DataFrame, programs: DataFrame, action_rules: DataFrame, close_rules: DataFrame, times: DataFrame) -> Mapped:
+    """History, actions, closes and rejects of a batch of transactions, as they are to be committed together."""
+    return mapped(judged_instructions(transactions, programs, action_rules, close_rules, times), action_rules, close_rules)
+
+
 def classify(payloads: DataFrame, kinds: DataFrame, data: str = "data", header: int = 8) -> tuple[DataFrame, DataFrame]:
     """(payloads with their kind, unknown ones) by program and leading bytes; kinds are a small rule table."""
     tagged = payloads.withColumn("header", F.substring(data, 1, header)).join(F.broadcast(kinds), ["program_id", "header"], "left")

@@ -10,11 +10,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def with_previous(samples: DataFrame, series: list[str], column: str = "value", name: str = "before") -> DataFrame:
+    """Each sample with its series' value before it, in order of (ts, value).
+
+    Samples are ordered within spans of a series' time; the last sample of the span before, one small row a
+    span, is joined on. So a series of any length is spread over its spans.
+    """
+    rows = samples.withColumn("_span", _span())
+    within = F.lag(F.struct(column)).over(Window.partitionBy(*series, "_span").orderBy("ts", column))
+    ends = rows.groupBy(*series, "_span").agg(F.max_by(F.struct(column), F.struct("ts", column)).alias("_end"))
+    carried = ends.withColumn("_carry", F.lag("_end").over(Window.partitionBy(*series).orderBy("_span"))).drop("_end")
+    rows = rows.withColumn("_within", within).join(carried, _same(series), "left")
+    return rows.withColumn(name, F.coalesce("_within", "_carry")[column]).drop("_within", "_carry", "_span")
+
+
+#: seconds of a series' time that one task orders
+SPAN = 86_400
+
+
+def _span() -> Column:
+    return F.floor(F.unix_timestamp("ts") / SPAN)
+
+
+def _same(series: list[str]) -> list[str]:
+    return [*series, "_span"]
+
+
 def steps(samples: DataFrame, series: list[str]) -> DataFrame:
     """Each sample with its counter's step since the one before; a fall is a reset, and counts from 0."""
-    before = F.lag("value").over(Window.partitionBy(*series).orderBy("ts", "value"))
+    before = F.col("_before")
     step = F.when(before.isNull(), F.lit(0.0)).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
-    return samples.withColumn("step", step)
+    return with_previous(samples, series, name="_before").withColumn("step", step).drop("_before")
 
 
 def increase(samples: DataFrame, series: list[str], window: str) -> DataFrame:
@@ -30,9 +56,9 @@ def rate(samples: DataFrame, series: list[str], window: str) -> DataFrame:
 
 def changes(samples: DataFrame, series: list[str], window: str) -> DataFrame:
     """How often a gauge's value changed by window."""
-    before = F.lag("value").over(Window.partitionBy(*series).orderBy("ts", "value"))
-    changed = F.coalesce(F.col("value") != before, F.lit(False))
-    out = samples.withColumn("c", changed.cast("long")).groupBy(*series, F.window("ts", window).alias("w")).agg(F.sum("c").alias("changes"))
+    changed = F.coalesce(F.col("value") != F.col("_before"), F.lit(False))
+    rows = with_previous(samples, series, name="_before").withColumn("c", changed.cast("long"))
+    out = rows.groupBy(*series, F.window("ts", window).alias("w")).agg(F.sum("c").alias("changes"))
     return out.select(*series, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "changes")
 
 
@@ -44,12 +70,24 @@ def lag_per_program(frontiers: DataFrame, tips: DataFrame, window: str) -> DataF
 
 
 def held_for(conditions: DataFrame, series: list[str], seconds: int, flag: str = "on") -> DataFrame:
-    """Rows at which the condition has held without interruption for this long."""
-    w = Window.partitionBy(*series).orderBy("ts")
-    runs = conditions.withColumn("_run", F.sum((~F.col(flag)).cast("long")).over(w))
-    began = F.min(F.when(F.col(flag), F.col("ts"))).over(Window.partitionBy(*series, "_run"))
-    out = runs.withColumn("_began", began).withColumn("_held", F.unix_timestamp("ts") - F.unix_timestamp("_began"))
-    return out.where(F.col(flag) & (F.col("_held") >= seconds)).drop("_run", "_began").withColumnRenamed("_held", "held_seconds")
+    """Rows at which the condition has held without interruption for this long.
+
+    Runs are found within spans of a series' time. A run that is open at a span's end goes on in the next
+    ones; what it began with is carried over by the spans' summaries, one small row a span.
+    """
+    on = F.col(flag)
+    rows = conditions.withColumn("_span", _span())
+    rows = rows.withColumn("_run", F.sum((~on).cast("long")).over(Window.partitionBy(*series, "_span").orderBy("ts")))
+    rows = rows.withColumn("_began", F.min(F.when(on, F.col("ts"))).over(Window.partitionBy(*series, "_span", "_run")))
+    off = F.max("_run").alias("_off")  # how often the condition failed in the span
+    ends = rows.groupBy(*series, "_span").agg(off, F.max_by("_began", F.struct("_run", on.alias("on"))).alias("_open"))
+    by_span = Window.partitionBy(*series).orderBy("_span")
+    ends = ends.withColumn("_group", F.sum((F.col("_off") > 0).cast("long")).over(by_span))
+    ends = ends.withColumn("_out", F.min("_open").over(Window.partitionBy(*series, "_group").orderBy("_span")))
+    ends = ends.select(*_same(series), F.lag("_out").over(by_span).alias("_carry"))
+    began = F.when(F.col("_run") == 0, F.coalesce("_carry", "_began")).otherwise(F.col("_began"))
+    out = rows.join(ends, _same(series), "left").withColumn("_held", F.unix_timestamp("ts") - F.unix_timestamp(began))
+    return out.where(on & (F.col("_held") >= seconds)).drop("_run", "_began", "_carry", "_span").withColumnRenamed("_held", "held_seconds")
 
 
 def either(a: DataFrame, b: DataFrame, labels: list[str]) -> DataFrame:
@@ -113,6 +151,7 @@ def when_above(rows: DataFrame, column: str, threshold: float, alert: str, label
 LAG_SLOTS, LAG_SECONDS = 3000, 300
 DOWN_SECONDS = 120
 RECONNECTS = 5
+STALLED_SECONDS = 300
 
 
 def slot_lag_high(frontiers: DataFrame, tips: DataFrame) -> DataFrame:
@@ -126,7 +165,7 @@ def decode_failures(failed: DataFrame, skipped: DataFrame, series: list[str]) ->
 
 
 def target_down(up: DataFrame, job: str, alert: str) -> DataFrame:
-    """IndexerDown and ApiDown."""
+    """A target that has been down for two minutes: FeedDown and ApiDown."""
     on = up.where(F.col("job") == job).select("job", "ts", (F.col("value") == 0).alias("on"))
     return held_for(on, ["job"], DOWN_SECONDS).select(F.lit(alert).alias("alert"), "job", "ts")
 
@@ -136,7 +175,9 @@ def reconnect_storm(reconnects: DataFrame, series: list[str]) -> DataFrame:
 
 
 def backfill_stalled(frontiers: DataFrame, tips: DataFrame, progress: DataFrame) -> DataFrame:
-    lag = lag_per_program(frontiers, tips, "15 minutes").where(F.col("lag") > LAG_SLOTS).select("program", "start")
-    still = changes(progress, ["program"], "15 minutes").where("changes = 0").select("program", "start")
-    on = both(lag, still, ["program", "start"]).select("program", F.col("start").alias("ts"), F.lit(True).alias("on"))
-    return held_for(on, ["program"], 0).select(F.lit("BackfillStalled").alias("alert"), "program", "ts")
+    """No progress while the lag is high, for five minutes; judged every 15 minutes, so in two windows in a row."""
+    lag = lag_per_program(frontiers, tips, "15 minutes")
+    still = changes(progress, ["program"], "15 minutes").where("changes = 0").select("program", "start", F.lit(True).alias("still"))
+    on = (F.col("lag") > LAG_SLOTS) & F.coalesce("still", F.lit(False))
+    rows = lag.join(still, ["program", "start"], "left").select("program", F.col("start").alias("ts"), on.alias("on"))
+    return held_for(rows, ["program"], STALLED_SECONDS).select(F.lit("BackfillStalled").alias("alert"), "program", "ts")

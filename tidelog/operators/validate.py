@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 REASONS = ("missing_account", "empty_absolute_path", "serialize")
@@ -15,10 +15,13 @@ def split_rejects(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame
 
 
 def instruction_reason(path: Column, accounts: Column, needed: Column, args: Column) -> Column:
-    """Why an instruction can't be mapped, or NULL; ``needed`` is the highest account position used."""
+    """Why an instruction can't be mapped, or NULL; ``needed`` is the highest account position used.
+
+    A NULL path is as bad as an empty one, a NULL account list has no accounts, and NULL arguments are no arguments.
+    """
     return (
-        F.when(F.size(path) <= 0, F.lit("empty_absolute_path"))
-        .when(F.coalesce(F.size(accounts) <= needed, F.lit(False)), F.lit("missing_account"))
+        F.when(F.coalesce(F.size(path), F.lit(0)) <= 0, F.lit("empty_absolute_path"))
+        .when(F.greatest(F.coalesce(F.size(accounts), F.lit(0)), F.lit(0)) <= needed, F.lit("missing_account"))
         .when(args.isNotNull() & F.try_parse_json(args).isNull(), F.lit("serialize"))
     )
 
@@ -30,10 +33,16 @@ def rejected_counts(rejected: DataFrame, programs: DataFrame, reasons: tuple[str
     return all_pairs.join(counted, ["program", "reason"], "left").select("program", "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def before_first_bad(rows: DataFrame, transaction: list[str], position: str, reason: str = "reason") -> DataFrame:
-    """The rows of each transaction before its first bad one."""
-    bad = rows.where(F.col(reason).isNotNull()).groupBy(*transaction).agg(F.min(position).alias("_bad"))
-    return rows.join(bad, transaction, "left").where(F.col("_bad").isNull() | (F.col(position) < F.col("_bad"))).select(*rows.columns)
+def before_first_bad(rows: DataFrame, transaction: list[str], position: Column | str, reason: str = "reason") -> DataFrame:
+    """The rows of each transaction before its first bad one; one exchange by transaction, no join."""
+    return with_first_bad(rows, transaction, position, reason).where("_bad is null or _at < _bad").drop("_at", "_bad")
+
+
+def with_first_bad(rows: DataFrame, transaction: list[str], position: Column | str, reason: str = "reason") -> DataFrame:
+    """The rows with their position ``_at`` and that of their transaction's first bad row, ``_bad``."""
+    at = F.col(position) if isinstance(position, str) else position
+    bad = F.min(F.when(F.col(reason).isNotNull(), F.col("_at"))).over(Window.partitionBy(*transaction))
+    return rows.withColumn("_at", at).withColumn("_bad", bad)
 
 
 def check_constraints(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -5,10 +5,15 @@ Ties are heavy on purpose. Each bridge is a function of the session and folder,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.core import enums, registry
 from tidelog.core.enums import ROLE
+from tidelog.core.schemas import CHECKS, NESTED, STATE_PAYLOAD
+from tidelog.functions.columns import key_argument, lower_hex
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,3 +118,162 @@ def sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SYNC = f"""{SIGNATURES}, sync AS (SELECT program_id, quantile_disc(slot, 0.5) AS last_contiguous_slot, program_id <> 3 AS backfill_complete, min(slot) AS backfill_floor_slot,
  CASE WHEN program_id <> 2 THEN CAST({MID} AS BIGINT) END AS snapshot_slot FROM signatures GROUP BY program_id)"""
+
+
+# --- the feed of the registered programs ---------------------------------------------------------
+
+PROGRAMS = ("whitelist", "regions", "marketplace", "property")
+_IX = {p: tuple(dict.fromkeys([r[0] for r in registry.program(p).action_rules] + [r[0] for r in registry.program(p).close_rules])) + ("update_config",) for p in PROGRAMS}
+#: how many different accounts the feed has
+KEYS = 60
+WIDTH = 8
+
+
+def feed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as transactions of the registered programs, their lines as instructions; some are broken.
+
+    Columns of the feed's transactions, and ``o_orderkey`` and ``o_custkey``.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    program = F.pmod(F.col("l_suppkey"), F.lit(4)).cast("int")
+    ids = F.array(*[F.lit(registry.program(p).id) for p in PROGRAMS])
+    at = F.col("l_partkey") + F.col("l_linenumber")
+    name = F.when(F.lit(False), F.lit(""))
+    for k, p in enumerate(PROGRAMS):
+        name = name.when(program == k, F.get(F.array(*[F.lit(n) for n in _IX[p]]), F.pmod(at, F.lit(len(_IX[p]))).cast("int")))
+    qty = F.col("l_quantity").cast("int")
+    path = F.when(F.col("l_partkey") % 31 != 0, F.array(F.col("l_linenumber").cast("int"), ((F.col("l_partkey") * 51 + qty) % 30000).cast("int")))
+    accounts = F.when(F.col("l_partkey") % 29 != 0, F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.unhex(F.md5(F.concat(F.lit("k"), ((F.col("l_partkey") + k) % KEYS).cast("string"))))))
+    args = F.to_json(F.struct((qty % 6).alias("role"), (qty % 2).alias("permission"), F.concat(F.lit("P"), (qty % 3).cast("string")).alias("postcode"), F.concat(F.lit("n"), qty.cast("string")).alias("new_authority"), F.concat(F.lit("x"), qty.cast("string")).alias("admin_key")))
+    args = F.when(F.col("l_partkey") % 37 != 0, args).otherwise(F.lit('{"broken'))
+    one = F.struct(path.alias("path"), F.get(ids, program).alias("program_id"), name.alias("ix_name"), accounts.alias("accounts"), args.alias("args"), F.lit(None).cast("binary").alias("data"))
+    lines = li.select(F.col("l_orderkey").alias("o_orderkey"), one.alias("i")).distinct().groupBy("o_orderkey").agg(F.collect_list("i").alias("instructions"))
+    slot = F.unix_date(F.to_date("o_orderdate")).cast("long")
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", slot.alias("slot"), F.unhex(F.md5(F.col("o_orderkey").cast("string"))).alias("signature"), F.when(F.col("o_orderkey") % 50 != 0, slot * 86400).alias("block_time"),
+        (F.col("o_orderstatus") == "P").alias("failed"), (F.col("o_orderpriority") == "5-LOW").alias("vote"),
+    )
+    return o.join(lines, "o_orderkey").select("slot", "signature", "block_time", "failed", "vote", "instructions", "o_orderkey", "o_custkey")
+
+
+def _rows(rows: list[tuple], columns: str) -> str:
+    one = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else f"'{v}'"
+    return f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(one, r)) + ')' for r in rows)}) v({columns}))"
+
+
+_NAMES = "CASE l_suppkey % 4 " + " ".join(f"WHEN {k} THEN list_extract([{', '.join(repr(n) for n in _IX[p])}], CAST(1 + (l_partkey + l_linenumber) % {len(_IX[p])} AS BIGINT))" for k, p in enumerate(PROGRAMS)) + " END"
+_ARGS = """'{"role":' || qty % 6 || ',"permission":' || qty % 2 || ',"postcode":"P' || qty % 3 || '","new_authority":"n' || qty || '","admin_key":"x' || qty || '"}'"""
+_ACTS = [(p, *r) for p in PROGRAMS for r in registry.program(p).action_rules]
+_SHUTS = [(p, *r) for p in PROGRAMS for r in registry.program(p).close_rules]
+_IDS = "CASE l_suppkey % 4 " + " ".join(f"WHEN {k} THEN '{registry.program(p).id.hex()}'" for k, p in enumerate(PROGRAMS)) + " END"
+_PROGRAM = "CASE l_suppkey % 4 " + " ".join(f"WHEN {k} THEN '{p}'" for k, p in enumerate(PROGRAMS)) + " END"
+
+#: feed: all instructions; good and bad: those that can be mapped, and the first bad one of each transaction
+FEED = f"""feed AS (SELECT DISTINCT o_orderkey, o_custkey, {_PROGRAM} AS program, {_IDS} AS program_id, {_NAMES} AS ix_name, md5(CAST(o_orderkey AS VARCHAR)) AS signature,
+ CASE WHEN l_partkey % 31 <> 0 THEN [CAST(l_linenumber AS INTEGER), CAST((l_partkey * 51 + qty) % 30000 AS INTEGER)] ELSE CAST([] AS INTEGER[]) END AS path,
+ CASE WHEN l_partkey % 29 <> 0 THEN list_transform(range(0, {WIDTH}), lambda k: md5('k' || ((l_partkey + k) % {KEYS}))) END AS accounts, CASE WHEN l_partkey % 37 <> 0 THEN {_ARGS} ELSE '{{"broken' END AS args, qty,
+ CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS slot, o_orderkey % 50 <> 0 AS timed
+ FROM (SELECT *, CAST(l_quantity AS INTEGER) AS qty FROM lineitem) JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'),
+ acts AS {_rows(_ACTS, "program, ix_name, type, actor_pos, subject_pos, subject_arg, with_role, with_permission")}, shuts AS {_rows(_SHUTS, 'program, ix_name, "table", pos, conditional')},
+ needed AS (SELECT program, ix_name, max(pos) AS pos FROM (SELECT program, ix_name, greatest(actor_pos, coalesce(subject_pos, 0)) AS pos FROM acts UNION ALL SELECT program, ix_name, pos FROM shuts) GROUP BY ALL),
+ judged AS (SELECT f.*, CASE WHEN NOT timed THEN 'no_block_time' WHEN len(path) = 0 THEN 'empty_absolute_path' WHEN coalesce(len(accounts), 0) <= coalesce(n.pos, -1) THEN 'missing_account' WHEN args = '{{"broken' THEN 'serialize' END AS reason FROM feed f LEFT JOIN needed n USING (program, ix_name)),
+ first_bad AS (SELECT signature, min(path) AS worst FROM judged WHERE reason IS NOT NULL GROUP BY signature),
+ good AS (SELECT j.* FROM judged j LEFT JOIN first_bad USING (signature) WHERE worst IS NULL OR path < worst), bad AS (SELECT j.* FROM judged j JOIN first_bad USING (signature) WHERE path = worst AND reason IS NOT NULL)"""
+
+
+# --- account updates of every state table --------------------------------------------------------
+
+def _json_field(n: int, kind: str, names: tuple[str, ...] | None) -> Column:
+    """A payload field, made from an order."""
+    key = F.col("o_orderkey")
+    if names:
+        return ((key + n) % len(names)).cast("int")
+    if kind == "binary":
+        return F.base64(F.unhex(F.md5(((key + n) % KEYS).cast("string"))))
+    if kind == "boolean":
+        return (key + n) % 2 == 0
+    if kind == "array<string>":
+        return F.array(F.concat(F.lit("m"), (key % 5).cast("string")), F.lit("m"))
+    if kind.startswith("array<struct<"):
+        one = F.struct(*[(F.concat(F.lit("P"), (key % 4).cast("string")) if t == "string" else key + i).alias(p) for i, (p, t) in enumerate(_parts(kind))])
+        return F.when(key % 3 == 0, F.array(one, one)).otherwise(F.array(one))
+    return (key + n) % _LIMITS[kind]
+
+
+def _sql_field(n: int, kind: str, names: tuple[str, ...] | None) -> str:
+    """What the typed row holds of the field; lists as JSON."""
+    if names:
+        return f"CASE (o_orderkey + {n}) % {len(names)} " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(names)) + " END"
+    if kind == "binary":
+        return f"md5(CAST((o_orderkey + {n}) % {KEYS} AS VARCHAR))"
+    if kind == "boolean":
+        return f"(o_orderkey + {n}) % 2 = 0"
+    if kind == "array<string>":
+        return "'[\"m' || o_orderkey % 5 || '\",\"m\"]'"
+    if kind.startswith("array<struct<"):
+        text = ",".join(f'"{p}":' + ("\"P' || o_orderkey % 4 || '\"" if t == "string" else f"' || (o_orderkey + {i}) || '") for i, (p, t) in enumerate(_parts(kind)))
+        return f"CASE WHEN o_orderkey % 3 = 0 THEN '[{{{text}}},{{{text}}}]' ELSE '[{{{text}}}]' END"
+    return f"CAST((o_orderkey + {n}) % {_LIMITS[kind]} AS {'INTEGER' if kind == 'int' else kind.upper()})"
+
+
+_LIMITS = {"smallint": 200, "int": 50, "bigint": 97}
+
+
+def _parts(kind: str) -> list[list[str]]:
+    return [p.split(":") for p in kind.removeprefix("array<struct<").removesuffix(">>").split(",")]
+
+
+def _fields(name: str) -> list[tuple[int, str, str, tuple[str, ...] | None]]:
+    """(number, name, type, spellings) of a state table's payload."""
+    fields = [f.split(" ") for f in STATE_PAYLOAD[name].split(", ")]
+    return [(n, column, kind, getattr(enums, CHECKS[name, column]) if (name, column) in CHECKS else None) for n, (column, kind) in enumerate(fields)]
+
+
+def _payload(name: str) -> Column:
+    """The JSON payload of a table's updates."""
+    fields, nested = [], {}
+    flat = {f"{p}{suffix}": (p, inner) for p, parts in NESTED.get(name, {}).items() for suffix, inner in parts.items()}
+    for n, column, kind, names in _fields(name):
+        c = _json_field(n, kind, names)
+        if column in flat:
+            nested.setdefault(flat[column][0], []).append(c.alias(flat[column][1]))
+        else:
+            fields.append(c.alias(column))
+    return F.to_json(F.struct(*fields, *[F.struct(*v).alias(p) for p, v in nested.items()]))
+
+
+def account_updates(spark: SparkSession, sf_dir: str, name: str, few: bool = True) -> DataFrame:
+    """orders as account updates of one state table, of a few keys or each of its own."""
+    o = table(spark, sf_dir, "orders")
+    number = F.col("o_custkey") % KEYS if few else F.col("o_orderkey")
+    return o.select(
+        F.unhex(F.md5(F.concat(F.lit("k"), number.cast("string")))).alias("pubkey"), F.unhex(F.md5(F.lit(name))).alias("owner"), (F.unix_date(F.to_date("o_orderdate")) - F.col("o_orderkey") % 2000).cast("long").alias("slot"),
+        (F.col("o_orderkey") % 1000).alias("lamports"), F.lit(name).alias("kind"), _payload(name).alias("payload"), F.col("o_orderkey").alias("arrival"),
+    )
+
+
+def account_rows_sql(name: str, few: bool = True) -> str:
+    """All typed rows of a table's updates, binary columns as hex and lists as JSON."""
+    columns = ", ".join(f"{_sql_field(n, kind, names)} AS {c}" for n, c, kind, names in _fields(name))
+    number = f"o_custkey % {KEYS}" if few else "o_orderkey"
+    return f"""SELECT md5('k' || {number}) AS pubkey, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) - o_orderkey % 2000 AS BIGINT) AS slot, o_orderkey % 1000 AS lamports,
+ CAST(NULL AS BIGINT) AS closed_at_slot, {columns}, o_orderkey AS arrival FROM orders"""
+
+
+def field_value(name: str, column: str, order: int) -> tuple[object, str]:
+    """What the order of this number has in a state table's column, for a filter: as Spark's argument and in SQL."""
+    n, _, kind, names = next(f for f in _fields(name) if f[1] == column)
+    if names:
+        v = names[(order + n) % len(names)]
+        return v, f"'{v}'"
+    if kind == "binary":
+        v = hashlib.md5(str((order + n) % KEYS).encode()).hexdigest()
+        return key_argument(v, 16), f"'{v}'"
+    v = (order + n) % 2 == 0 if kind == "boolean" else (order + n) % _LIMITS[kind]
+    return v, str(v).lower()
+
+
+def plain(rows: DataFrame) -> DataFrame:
+    """Binary columns as hex, lists as JSON, so that any engine compares them."""
+    one = lambda f: lower_hex(F.col(f.name)) if f.dataType.simpleString() == "binary" else F.to_json(f.name) if f.dataType.simpleString().startswith("array") else F.col(f.name)
+    return rows.select(*[one(f).alias(f.name) for f in rows.schema.fields])

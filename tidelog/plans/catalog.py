@@ -6,12 +6,13 @@ the operator itself is one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.core import enums
+from tidelog.core import enums, registry, schemas
 from tidelog.core.order import events_after, latest_per_key
 from tidelog.functions import columns as c
 from tidelog.operators import completeness, fold, keyed, listing, mapping, metrics, validate
@@ -232,7 +233,7 @@ def cursors(spark, d):
 
 def _transactions(spark, d):
     """Orders as transactions: their lines as instructions, failed ones by status."""
-    i = b.lineitem_instructions(spark, d).groupBy("l_orderkey", "signature").agg(F.collect_list(F.struct("path", F.col("program").alias("program_id"), "ix_name", "args", "slot")).alias("instructions"))
+    i = b.lineitem_instructions(spark, d).groupBy("l_orderkey", "signature").agg(F.collect_list(F.struct("path", F.col("program").alias("program_id"), F.when(F.col("ix_name") == "NO", mapping.SYNTHETIC).otherwise(F.col("ix_name")).alias("ix_name"), F.struct("qty").alias("args"))).alias("instructions"))
     o = b.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderstatus") == "P").alias("failed"), (F.col("o_orderpriority") == "5-LOW").alias("vote"))
     return i.join(o, "l_orderkey")
 
@@ -241,15 +242,63 @@ def _transactions(spark, d):
  FROM instructions JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' AND ix_name <> 'NO'""")
 def explode_instructions(spark, d):
     t = mapping.succeeded(_transactions(spark, d))
-    rows = t.select("signature", F.explode("instructions").alias("i")).select("signature", "i.*").where("ix_name <> 'NO'")
     outer, inner = c.path_indexes(F.col("path"))
-    return rows.select("signature", "program_id", "ix_name", c.dotted(F.col("path")).alias("path"), outer.alias("ix_index"), inner.alias("inner_index"), c.row_id(F.col("signature"), outer, inner).alias("row_id"))
+    rows = mapping.instructions(t).withColumn("path_text", c.dotted(F.col("path")))
+    return rows.select("signature", "program_id", "ix_name", F.col("path_text").alias("path"), outer.alias("ix_index"), inner.alias("inner_index"), c.row_id(F.col("signature"), outer, inner).alias("row_id"))
 
 
-@register(f"WITH {b.INSTRUCTIONS} SELECT DISTINCT signature FROM instructions WHERE program IN (1, 2)")
+@register("SELECT DISTINCT md5(CAST(o_orderkey AS VARCHAR)) AS signature FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey % 4 IN (1, 2)")
 def touching_programs(spark, d):
-    wanted = F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))
-    return _transactions(spark, d).where(F.exists("instructions", lambda x: F.array_contains(wanted, x["program_id"]))).select("signature")
+    wanted = [registry.program(p).id for p in ("regions", "marketplace")]
+    return mapping.touching(b.feed_transactions(spark, d), wanted).select(c.lower_hex(F.col("signature")).alias("signature"))
+
+
+@register(f"WITH {b.FEED} SELECT program_id, signature, ix_name FROM feed WHERE program IN ('whitelist', 'property')")
+def configured_instructions(spark, d):
+    some = registry.program_dimension(spark).where("program in ('whitelist', 'property')")
+    rows = mapping.instructions(mapping.succeeded(b.feed_transactions(spark, d)), some)
+    return rows.select(c.lower_hex(F.col("program_id")).alias("program_id"), c.lower_hex(F.col("signature")).alias("signature"), "ix_name")
+
+
+@register(f"WITH {b.FEED}, p AS {b._rows([(p, registry.program(p).floor) for p in b.PROGRAMS], 'program, floor_slot')} SELECT program, floor_slot, len(ix) AS n_instructions, ix AS ix_names FROM (SELECT program, any_value(floor_slot) AS floor_slot, list_sort(list(DISTINCT ix_name)) AS ix FROM p JOIN feed USING (program) GROUP BY program)".replace("len(ix) AS n_instructions, ix AS ix_names", "CAST(len(ix) AS BIGINT) AS n_names, array_to_string(ix, ',') AS names"))
+def program_rows(spark, d):
+    rows = mapping.instructions(mapping.succeeded(b.feed_transactions(spark, d)))
+    names = F.sort_array(F.collect_set("ix_name"))
+    return registry.program_dimension(spark).join(rows, "program_id").groupBy("program", "floor_slot").agg(F.size(names).cast("long").alias("n_names"), F.array_join(names, ",").alias("names"))
+
+
+def _mapped(spark, d):
+    t = b.feed_transactions(spark, d)
+    return mapping.map_transactions(t, registry.program_dimension(spark), registry.action_rule_table(spark), registry.close_rule_table(spark), spark.createDataFrame([], "slot long, block_time long"))
+
+
+@register(f"WITH {b.FEED} SELECT program_id, signature, CAST(path[1] AS SMALLINT) AS ix_index, CAST(path[2] AS SMALLINT) AS inner_index, slot, slot * 86400 AS block_time, ix_name, len(accounts) AS n_accounts, args AS data FROM good")
+def mapped_history(spark, d):
+    h = _mapped(spark, d).history
+    return h.select(c.lower_hex(F.col("program_id")).alias("program_id"), c.lower_hex(F.col("signature")).alias("signature"), "ix_index", "inner_index", "slot", F.unix_timestamp("block_time").alias("block_time"), "ix_name", F.when(F.col("accounts").isNotNull(), F.size("accounts")).cast("long").alias("n_accounts"), "data")
+
+
+_ENUM = lambda names, n: "CASE qty % " + str(n) + " " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(names)) + " END"
+
+
+@register(f"""WITH {b.FEED} SELECT signature || '-' || path[1] || '.' || path[2] AS id, type, CASE subject_arg WHEN 'new_authority' THEN 'n' || qty WHEN 'admin_key' THEN 'x' || qty ELSE accounts[subject_pos + 1] END AS subject,
+ CASE WHEN with_role THEN {_ENUM(enums.ROLE, 6)} END AS role, CASE WHEN with_permission THEN {_ENUM(enums.ACCESS_PERMISSION, 2)} END AS permission, accounts[actor_pos + 1] AS actor, slot, signature AS tx_signature, path[1] || '.' || path[2] AS instruction_index FROM good JOIN acts USING (program, ix_name)""")
+def mapped_actions(spark, d):
+    return _mapped(spark, d).actions.drop("block_time")
+
+
+_CLOSES = """closes AS (SELECT "table", accounts[pos + 1] AS pubkey, slot, CASE WHEN conditional THEN 'P' || qty % 3 END AS postcode FROM good JOIN shuts USING (program, ix_name))"""
+
+
+@register(f"WITH {b.FEED}, {_CLOSES} SELECT * FROM closes")
+def mapped_closes(spark, d):
+    return _mapped(spark, d).closes.withColumn("pubkey", c.lower_hex(F.col("pubkey")))
+
+
+@register(f"WITH {b.FEED} SELECT program_id, signature, array_to_string(path, '.') AS instruction_index, ix_name, slot, reason FROM bad")
+def mapped_rejects(spark, d):
+    r = _mapped(spark, d).rejected
+    return r.withColumn("program_id", c.lower_hex(F.col("program_id"))).withColumn("signature", c.lower_hex(F.col("signature")))
 
 
 @register("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
@@ -479,10 +528,10 @@ def health(spark, d):
 
 
 @register("SELECT (SELECT max(o_orderkey) FROM orders) AS last_height, (SELECT max(l_orderkey) + 5 FROM lineitem) AS head_height, greatest((SELECT max(l_orderkey) + 5 FROM lineitem) - (SELECT max(o_orderkey) FROM orders), 0) AS lag")
-def indexer_status(spark, d):
+def height_status(spark, d):
     last = b.table(spark, d, "orders").agg(F.lit("lastProcessedHeight").alias("key"), F.max("o_orderkey").cast("string").alias("value"))
     head = b.table(spark, d, "lineitem").agg(F.lit("targetHeight").alias("key"), (F.max("l_orderkey") + 5).cast("string").alias("value"))
-    return listing.indexer_status(last.unionByName(head))
+    return listing.height_status(last.unionByName(head))
 
 
 # --- completeness --------------------------------------------------------------------------------
@@ -532,12 +581,12 @@ def finish_backfill(spark, d):
     return completeness.finish_backfill(s, s.select("program_id", (F.col("program_id") + 9129).alias("floor_used")))
 
 
-@register(f"""WITH {b.SYNC}, {_LACK}, t AS (SELECT program_id, max(slot) - program_id * 400 AS tip FROM signatures GROUP BY program_id), g AS (SELECT DISTINCT program_id FROM lack JOIN sync USING (program_id) JOIN t USING (program_id) WHERE slot > last_contiguous_slot AND slot <= tip AND program_id = 0)
+@register(f"""WITH {b.SYNC}, {_LACK}, t AS (SELECT program_id, max(slot) - program_id * 400 AS tip FROM signatures GROUP BY program_id), g AS (SELECT DISTINCT program_id FROM lack JOIN sync USING (program_id) JOIN t USING (program_id) WHERE slot > last_contiguous_slot AND slot <= tip)
  SELECT program_id, CASE WHEN backfill_complete AND g.program_id IS NULL THEN greatest(last_contiguous_slot, tip) ELSE last_contiguous_slot END AS last_contiguous_slot, backfill_complete, backfill_floor_slot, snapshot_slot FROM sync LEFT JOIN t USING (program_id) LEFT JOIN g USING (program_id)""")
 def advance_frontier(spark, d):
     s = b.signatures(spark, d)
     tips = s.groupBy("program_id").agg((F.max("slot") - F.first("program_id") * 400).alias("slot"))
-    return completeness.advance_frontier(b.sync(spark, d), tips, completeness.missing(s, _delivered(spark, d)).where("program_id = 0"))
+    return completeness.advance_frontier(b.sync(spark, d), tips, completeness.missing(s, _delivered(spark, d)))
 
 
 @register("""WITH e AS (SELECT user_id AS program_id, event_id AS seq, CASE event_type WHEN 'signup' THEN 'session_end' WHEN 'purchase' THEN 'walk_done' WHEN 'error' THEN 'complete' ELSE 'session_start' END AS kind FROM events),
@@ -683,9 +732,9 @@ def _up(spark, d, job, alert):
     return metrics.target_down(up, f"job{job}", alert).select("alert", "job", F.unix_timestamp("ts").alias("t"))
 
 
-@register(_down(1, "IndexerDown"))
-def alert_indexer_down(spark, d):
-    return _up(spark, d, 1, "IndexerDown")
+@register(_down(1, "FeedDown"))
+def alert_feed_down(spark, d):
+    return _up(spark, d, 1, "FeedDown")
 
 
 @register(_down(2, "ApiDown"))
@@ -699,8 +748,10 @@ def alert_reconnect_storm(spark, d):
 
 
 @register(f"""WITH {b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(900)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(900)} AS start, max_by(value, row(ts, value)) * 200 AS tip FROM samples WHERE reason = 'view' GROUP BY ALL),
- ch AS (SELECT series AS program, {_bucket(900)} AS start, sum(CAST(c AS BIGINT)) AS n FROM (SELECT *, coalesce(v <> lag(v) OVER (PARTITION BY series ORDER BY ts, v), false) AS c FROM (SELECT series, ts, floor(value / 25) AS v FROM samples WHERE reason <> 'view')) GROUP BY ALL)
- SELECT 'BackfillStalled' AS alert, program, start AS t FROM fr JOIN tp USING (start) JOIN ch USING (program, start) WHERE tip - v > 3000 AND n = 0""")
+ ch AS (SELECT series AS program, {_bucket(900)} AS start, sum(CAST(c AS BIGINT)) AS n FROM (SELECT *, coalesce(v <> lag(v) OVER (PARTITION BY series ORDER BY ts, v), false) AS c FROM (SELECT series, ts, floor(value / 25) AS v FROM samples WHERE reason <> 'view')) GROUP BY ALL),
+ l AS (SELECT program, start, coalesce(tip - v > 3000 AND n = 0, false) AS "on" FROM fr JOIN tp USING (start) LEFT JOIN ch USING (program, start)),
+ g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY program ORDER BY start) AS run FROM l), h AS (SELECT *, min(CASE WHEN "on" THEN start END) OVER (PARTITION BY program, run) AS began FROM g)
+ SELECT 'BackfillStalled' AS alert, program, start AS t FROM h WHERE "on" AND start - began >= 300""")
 def alert_backfill_stalled(spark, d):
     frontiers, tips = _frontiers(spark, d)
     return metrics.backfill_stalled(frontiers, tips.withColumn("value", F.col("value") * 200), frontiers.withColumn("value", F.floor(F.col("value") / 25))).select("alert", "program", F.unix_timestamp("ts").alias("t"))
@@ -715,24 +766,293 @@ def stream_sessions(spark, d):
     return _start(sessions(e, "30 minutes")).select("source", "start", "n")
 
 
-@register(f"""WITH {_BATCH} SELECT md5(CAST(key AS VARCHAR)) AS pubkey, slot, CAST(floor(price) AS BIGINT) AS lamports, closed_at_slot FROM applied WHERE key NOT IN (SELECT key FROM stored)
- UNION ALL SELECT md5(CAST(a.key AS VARCHAR)), a.slot, CAST(floor(a.price) AS BIGINT), a.closed_at_slot FROM applied a JOIN stored USING (key)""")
-def stored_state(spark, d):
-    """Two commits to the versioned store and a replay of the second, read back."""
+def _store(spark):
     import uuid
 
     from tidelog.sources.store import Store, shared_folder
 
+    return Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+
+
+@register(f"""WITH {_BATCH} SELECT md5(CAST(key AS VARCHAR)) AS pubkey, slot, CAST(floor(price) AS BIGINT) AS lamports, closed_at_slot FROM applied WHERE key NOT IN (SELECT key FROM stored)
+ UNION ALL SELECT md5(CAST(a.key AS VARCHAR)), a.slot, CAST(floor(a.price) AS BIGINT), a.closed_at_slot FROM applied a JOIN stored USING (key)""")
+def stored_state(spark, d):
+    """Two commits to the store, a replay of the second, and a compaction, read back."""
     state, ups, closes = b.split_state(spark, d)
     key = F.unhex(F.md5(F.col("key").cast("string"))).alias("pubkey")
     row = lambda df, arrival: df.select(key, "slot", F.floor("price").cast("long").alias("lamports"), key.alias("admin"), F.lit(0).cast("smallint").alias("bump"), arrival.alias("arrival"))
-    store = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", buckets=8)
-    store.commit(0, [store.upsert_rows("admin", row(state, F.lit(0).cast("long")))])
+    store = _store(spark)
+    store.commit("orders", 0, [store.changed("admin", row(state, F.lit(0).cast("long")))])
+    store.compact("admin")
     for _ in range(2):
-        store.commit(1, [store.upsert_rows("admin", row(ups, F.col("arrival")), closes.select(key, "slot"))])
+        store.commit("orders", 1, [store.changed("admin", row(ups, F.col("arrival")), closes.select(key, "slot"))])
     return store.read("admin").select(c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "lamports", "closed_at_slot")
 
 
+_CLOSING = ("admin", "role_account", "regions_location", "property_letting_agent")
+
+
+def _closed_sql(name):
+    meant = "(k.postcode IS NULL OR (arrival % 3 <> 0 AND k.postcode = 'P' || arrival % 4))" if name == "property_letting_agent" else "k.postcode IS NULL"
+    return f"""SELECT '{name}' AS "table", u.pubkey, CASE WHEN max(k.slot) > u.slot THEN max(k.slot) ELSE u.slot END AS slot, CASE WHEN max(k.slot) > u.slot THEN max(k.slot) END AS closed_at_slot, u.lamports
+ FROM (SELECT * FROM ({b.account_rows_sql(name)}) QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1) u LEFT JOIN closes k ON k."table" = '{name}' AND k.pubkey = u.pubkey AND {meant} GROUP BY u.pubkey, u.slot, u.lamports"""
+
+
+@register(f"WITH {b.FEED}, {_CLOSES} " + " UNION ALL ".join(map(_closed_sql, _CLOSING)))
+def written_closes(spark, d):
+    """Account updates from one source, transactions from another: instructions close rows in their own commit, one table only if its list ends."""
+    from tidelog.streaming import jobs
+
+    store = _store(spark)
+    for t in _CLOSING:
+        jobs.state_writer(store, t, f"accounts-{t}")(b.account_updates(spark, d, t), 0)
+    jobs.transaction_writer(store, "live", tables=_CLOSING)(b.feed_transactions(spark, d), 0)
+    parts = [store.read(t).select(F.lit(t).alias("table"), c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "closed_at_slot", "lamports") for t in _CLOSING]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+_REASONS = (*validate.REASONS, "no_block_time", "never")
+
+
+@register(f"""WITH {b.FEED}, r AS (SELECT unnest({list(_REASONS)!r}) AS reason), kept AS (SELECT * FROM bad QUALIFY row_number() OVER (PARTITION BY signature, path ORDER BY slot, reason, program_id, ix_name) = 1)
+ SELECT p.program, r.reason, (SELECT count(*) FROM kept k WHERE k.program = p.program AND k.reason = r.reason) AS n FROM (SELECT unnest({list(b.PROGRAMS)!r}) AS program) p CROSS JOIN r""")
+def stored_rejects(spark, d):
+    """What can't be mapped is stored with its reason and counted by program, zeros included."""
+    from tidelog.streaming import jobs
+
+    store, programs = _store(spark), registry.program_dimension(spark)
+    jobs.transaction_writer(store, "live", tables=())(b.feed_transactions(spark, d), 0)
+    rejects = store.read("rejects").join(F.broadcast(programs.select("program_id", "program")), "program_id")
+    return validate.rejected_counts(rejects, programs, _REASONS)
+
+
+@register(f"WITH {b.FEED} SELECT signature, CAST(path[1] AS SMALLINT) AS ix_index, CAST(path[2] AS SMALLINT) AS inner_index, program_id, slot, ix_name FROM good")
+def two_sources_one_store(spark, d):
+    """Live and history write one store, each with its own batches 0 and 1; history repeats part of what was live."""
+    from tidelog.streaming import jobs
+
+    store, t = _store(spark), b.feed_transactions(spark, d)
+    live, history = jobs.transaction_writer(store, "live", tables=()), jobs.transaction_writer(store, "history", tables=())
+    for number in (0, 1):
+        live(t.where((F.col("o_orderkey") % 2 == 0) & (F.col("o_custkey") % 2 == number)), number)
+        history(t.where(((F.col("o_orderkey") % 2 == 1) | (F.col("o_orderkey") % 10 == 0)) & (F.col("o_custkey") % 2 == number)), number)
+    live(t.where("o_custkey % 2 = 1"), 1)  # a replay
+    return store.read("program_instructions").select(c.lower_hex(F.col("signature")).alias("signature"), "ix_index", "inner_index", c.lower_hex(F.col("program_id")).alias("program_id"), "slot", "ix_name")
+
+
+def _newest_sql(name):
+    return f"SELECT * EXCLUDE (arrival) FROM ({b.account_rows_sql(name)}) QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1"
+
+
+@register(_newest_sql("regions_vote_record"))
+def streamed_updates(spark, d):
+    """Account updates that arrive as a stream of files, upserted batch by batch."""
+    import uuid
+
+    from tidelog.sources.feeds import read_changes
+    from tidelog.sources.store import shared_folder
+    from tidelog.streaming import jobs
+
+    folder = f"{shared_folder(spark)}/updates-{uuid.uuid4().hex}"
+    # slots don't tie between files, so the files' order doesn't matter
+    b.account_updates(spark, d, "regions_vote_record").repartition(3, "slot").write.parquet(f"{folder}/feed")
+    store = _store(spark)
+    feed = read_changes(spark, f"{folder}/feed", "account_updates", files_per_trigger=2)
+    jobs.run_stream(feed, jobs.state_writer(store, "regions_vote_record", "live", compact_every=2), f"{folder}/progress", once=True).awaitTermination()
+    return b.plain(store.read("regions_vote_record"))
+
+
+@register(f"""WITH p AS ({_newest_sql("admin")}), live AS (SELECT DISTINCT md5('k' || o_custkey % {b.KEYS}) AS pubkey FROM orders WHERE o_custkey % {b.KEYS} % 3 <> 0)
+ SELECT pubkey, CAST(40000 AS BIGINT) AS slot, CASE WHEN pubkey IN (SELECT pubkey FROM live) THEN NULL ELSE CAST(40000 AS BIGINT) END AS closed_at_slot, (SELECT CAST(40000 AS BIGINT)) AS snapshot_slot FROM p""")
+def snapshot_job(spark, d):
+    """A snapshot over a store that has more rows: what it lacks is closed at its slot, and its slot is noted in the same commit."""
+    from tidelog.streaming import jobs
+
+    store, updates, program = _store(spark), b.account_updates(spark, d, "admin"), registry.program("whitelist")
+    jobs.seed(store, [program])
+    jobs.state_writer(store, "admin", "accounts")(updates, 0)
+    live = updates.where(F.col("pubkey").isin([bytearray(c.key_argument(hashlib.md5(f"k{n}".encode()).hexdigest(), 16)) for n in range(b.KEYS) if n % 3]))
+    jobs.load_snapshot(store, program, live, 40_000)
+    return store.read("admin").select(c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "closed_at_slot").crossJoin(store.read("sync_state").select("snapshot_slot"))
+
+
+@register(f"SELECT md5('k' || o_custkey % {b.KEYS}) AS pubkey, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey % {b.KEYS} IN (SELECT o_custkey % {b.KEYS} FROM orders WHERE o_orderstatus = 'O') GROUP BY ALL")
+def tracked_deletions(spark, d):
+    from tidelog.streaming import jobs
+
+    o = b.table(spark, d, "orders")
+    key = F.unhex(F.md5(F.concat(F.lit("k"), (F.col("o_custkey") % b.KEYS).cast("string")))).alias("pubkey")
+    held = o.select(key, F.when(F.col("o_orderstatus") != "O", 1).cast("long").alias("closed_at_slot"))
+    deletions = o.where("o_orderkey % 3 = 0").select(key, F.lit(1).alias("slot"))
+    return jobs.tracked_deletions(deletions, {"admin": held}).groupBy("pubkey").agg(F.count("*").alias("n")).withColumn("pubkey", c.lower_hex(F.col("pubkey")))
+
+
+# --- typed state rows and their listings ---------------------------------------------------------
+
+
+def _state_rows(name):
+    def run(spark, d):
+        return b.plain(mapping.state_rows(b.account_updates(spark, d, name), name))
+
+    run.__name__ = f"state_{name}"
+    return register(b.account_rows_sql(name))(run)
+
+
+for _table in registry.all_tables():
+    _state_rows(_table)
+
+
+#: the order whose values the listings ask for
+_ASKED = 1
+
+
+def _listing(name, spec):
+    closed = "CASE WHEN arrival % 4 = 0 THEN slot END"
+    rows = f"SELECT * EXCLUDE (arrival) REPLACE ({closed} AS closed_at_slot) FROM ({b.account_rows_sql(spec.table, few=False)})"
+
+    def typed(spark, d):
+        r = mapping.state_rows(b.account_updates(spark, d, spec.table, few=False), spec.table)
+        return r.withColumn("closed_at_slot", F.when(F.col("arrival") % 4 == 0, F.col("slot"))).drop("arrival")
+
+    if spec.single:
+
+        def run(spark, d):
+            return b.plain(listing.query(name, typed(spark, d))[0])
+
+        sql = f"SELECT * FROM ({rows}) ORDER BY slot DESC, pubkey LIMIT 1"
+    else:
+        column = spec.filters[0]
+        value, literal = b.field_value(spec.table, column, _ASKED)
+
+        def run(spark, d):
+            page, total = listing.query(name, typed(spark, d), first=30, offset=2, active=True, **{column: value})
+            return b.plain(page).crossJoin(F.broadcast(total))
+
+        where = f"{column} = {literal} AND closed_at_slot IS NULL"
+        sql = f"WITH r AS ({rows}) SELECT *, (SELECT CAST(count(*) AS INTEGER) FROM r WHERE {where}) AS total_count FROM r WHERE {where} ORDER BY slot DESC, pubkey LIMIT 30 OFFSET 2"
+    run.__name__ = f"list_{name}"
+    register(sql)(run)
+
+
+for _name, _spec in listing.LISTINGS.items():
+    if _spec.table in schemas.STATE_PAYLOAD:
+        _listing(_name, _spec)
+
+
+@register(f"WITH {_BATCH} SELECT key AS pubkey, slot, price, closed_at_slot FROM applied ORDER BY slot DESC, key LIMIT 100")
+def list_all_rows(spark, d):
+    """Without ``active``, closed rows are listed too."""
+    return listing.list_rows(_accounts(spark, d), [mapping.is_active(None)], listing.by_slot(), 100)[0].select("pubkey", "slot", "price", "closed_at_slot")
+
+
+@register(f"""WITH {b.ACTIONS}, last AS (SELECT slot, block_time, tx_signature FROM actions WHERE type = 'AUTHORITY_UPDATED' ORDER BY {_DESC} LIMIT 1)
+ SELECT s.s_name AS authority, CAST(NULL AS VARCHAR) AS pending_authority, slot AS updated_at_slot, block_time AS updated_at, tx_signature AS updated_in_tx FROM (SELECT s_name FROM supplier WHERE s_suppkey = (SELECT min(s_suppkey) FROM supplier)) s, last""")
+def config_view(spark, d):
+    return listing.config_view(config_fold(spark, d))
+
+
+@register(f"WITH {_ADMINS} SELECT * FROM admins ORDER BY added_at_slot DESC, id LIMIT 50 OFFSET 50")
+def numbered_admins(spark, d):
+    return listing.query_numbered("admins", fold.admins_fold(b.actions(spark, d)), page=1)
+
+
+@register(f"WITH {b.ACTIONS} SELECT id, type, subject, role, permission, actor, slot, block_time, tx_signature, instruction_index FROM actions WHERE actor = 'a3' ORDER BY slot DESC, tx_signature, path, id LIMIT 500 OFFSET 500")
+def numbered_actions(spark, d):
+    return listing.query_numbered("whitelist_actions", b.actions(spark, d), page=1, size=900, actor="a3")
+
+
+@register(f"WITH {b.SYNC} SELECT 'p' || program_id AS program, last_contiguous_slot, backfill_complete, backfill_floor_slot, snapshot_slot FROM sync WHERE program_id IN (1, 3)")
+def sync_programs(spark, d):
+    names = b.signatures(spark, d).select("program_id").distinct().withColumn("program", F.concat(F.lit("p"), F.col("program_id").cast("string")))
+    return listing.sync_programs(b.sync(spark, d), names, [1, 3])
+
+
+@register(f"WITH {b.SYNC} SELECT min(last_contiguous_slot) AS last_contiguous_slot, bool_and(backfill_complete) AS backfill_complete, CASE WHEN count(*) = count(snapshot_slot) THEN min(snapshot_slot) END AS snapshot_slot, CAST({_TIP} AS BIGINT) AS chain_tip_slot, greatest({_TIP} - greatest(min(last_contiguous_slot), 0), 0) AS slot_lag FROM sync WHERE program_id IN (0, 1)")
+def sync_status_of_some(spark, d):
+    return listing.sync_status(b.sync(spark, d), _TIP, [0, 1])
+
+
+# --- sources, ties, replays ----------------------------------------------------------------------
+
+
+@register(f"WITH {b.INSTRUCTIONS} SELECT program, signature, slot, ix_name FROM instructions WHERE slot BETWEEN 10000 AND 10400 AND program = 2")
+def history_range(spark, d):
+    from tidelog.sources.feeds import read_history
+
+    rows = b.lineitem_instructions(spark, d).withColumn("program_id", F.col("program").cast("string").cast("binary"))
+    return read_history(rows, 10000, 10400, b"2").select("program", "signature", "slot", "ix_name")
+
+
+@register("SELECT c_custkey AS pubkey, c_acctbal AS lamports, CAST(77 AS BIGINT) AS slot FROM customer")
+def snapshot_rows(spark, d):
+    from tidelog.sources.feeds import read_snapshot
+
+    return read_snapshot(b.table(spark, d, "customer").select(F.col("c_custkey").alias("pubkey"), F.col("c_acctbal").alias("lamports")), 77)
+
+
+_AT = "CAST(floor(epoch(ts)) AS BIGINT) AS t"
+
+
+def _sampled(samples):
+    return samples.select(F.unix_timestamp("ts").alias("t"), "metric", F.to_json("labels").alias("labels"), "value")
+
+
+@register(f"""SELECT {_AT}, 'views' AS metric, '{{"type":"' || event_type || '"}}' AS labels, 1.0::DOUBLE AS value FROM events""")
+def counter_samples(spark, d):
+    from tidelog.sources import feeds
+
+    return _sampled(feeds.counter_samples(b.table(spark, d, "events").withColumnRenamed("event_type", "type"), "views", "ts", ["type"]))
+
+
+@register(f"""SELECT {_AT}, 'level' AS metric, '{{"type":"' || event_type || '"}}' AS labels, value FROM events""")
+def gauge_samples(spark, d):
+    from tidelog.sources import feeds
+
+    return _sampled(feeds.gauge_samples(b.table(spark, d, "events").withColumnRenamed("event_type", "type"), "level", "ts", "value", ["type"]))
+
+
+@register(f"""WITH e AS (SELECT * FROM events WHERE value IS NOT NULL) SELECT {_AT}, 'took_bucket' AS metric, '{{"type":"' || event_type || '","le":"' || name || '"}}' AS labels, 1.0::DOUBLE AS value
+ FROM e, (VALUES (10.0, '10'), (50.0, '50'), (100.0, '100'), ('inf'::DOUBLE, '+Inf')) b(le, name) WHERE value <= le
+ UNION ALL SELECT {_AT}, 'took_sum', '{{"type":"' || event_type || '"}}', value FROM e UNION ALL SELECT {_AT}, 'took_count', '{{"type":"' || event_type || '"}}', 1.0 FROM e""")
+def histogram_samples(spark, d):
+    from tidelog.sources import feeds
+
+    return _sampled(feeds.bucket_samples(b.table(spark, d, "events").withColumnRenamed("event_type", "type"), "took", "ts", "value", ["type"], [10.0, 50.0, 100.0]))
+
+
+@register(f"WITH {b.STATE} SELECT key, slot, price, closed_at_slot FROM upserted")
+def same_slot_closes(spark, d):
+    """A close at the slot of its row leaves it open until the next sweep."""
+    state, ups, _ = b.split_state(spark, d)
+    rows = keyed.slot_guarded_upsert(state, ups, ["key"])
+    return keyed.soft_close(rows, rows.select("key", "slot"), ["key"])
+
+
+@register(f"WITH {_ROLES} SELECT * FROM assignments")
+def replayed_role_fold(spark, d):
+    """The fold doesn't mind repeated events or their order."""
+    a = b.actions(spark, d)
+    return fold.role_assignments_fold(a.orderBy(F.desc("id")).unionByName(a.repartition(7, "tx_signature")))
+
+
+@register("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'YES' WHEN 1 THEN 'NO' ELSE 'ABSTAIN' END AS vote FROM part")
+def checked_enum(spark, d):
+    p = b.table(spark, d, "part").select("p_partkey", c.spelled(F.col("p_size") % 3, enums.VOTE).alias("vote"))
+    return p.withColumn("vote", c.checked(F.col("vote"), enums.VOTE, "vote"))
+
+
+@register(f"WITH {b.SIGNATURES} SELECT program_id, signature, slot FROM signatures WHERE NOT failed AND slot % 7 = 0")
+def delivered_without_rows(spark, d):
+    """A signature that was delivered isn't missing, though it left no rows."""
+    s = b.signatures(spark, d)
+    return completeness.missing(s, s.where("slot % 7 <> 0").select("program_id", "signature"))
+
+
+@register(f"WITH {b.SYNC}, {_CURSOR} SELECT cur.* FROM cur JOIN sync USING (program_id) WHERE NOT backfill_complete")
+def kept_cursors(spark, d):
+    return completeness.kept_cursors(_cursors(spark, d), b.sync(spark, d))
+
+
 _PUBLIC = ", ".join(f'{x} AS "{c.public_name(x)}"' for x in ("id", "user_pubkey", "role", "active", "permission", "assigned_at_slot", "updated_at_slot", "removal_kind"))
 
 

@@ -5,13 +5,13 @@ All give the same normalized schemas, so one set of transformations serves batch
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.core.schemas import table_schema
 
 
-def read_changes(spark: SparkSession, path: str, table: str, format: str = "parquet", files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, table: str, format: str = "parquet", files_per_trigger: int | None = 100, glob: str | None = None) -> DataFrame:
     """The live feed of one kind of change, from a folder of files; the schema is given, never inferred."""
     r = spark.readStream.schema(table_schema(table)).format(format)
     if files_per_trigger:
@@ -45,7 +45,31 @@ def slot_times(transactions: DataFrame) -> DataFrame:
     return transactions.where("block_time is not null").groupBy("slot").agg(F.max("block_time").alias("block_time"))
 
 
+def _labels(labels: list[str], *more: Column) -> Column:
+    return F.create_map(*[x for c in labels for x in (F.lit(c), F.col(c).cast("string"))], *more)
+
+
+def _samples(rows: DataFrame, metric: Column | str, ts: str, labels: Column, value: Column) -> DataFrame:
+    metric = F.lit(metric) if isinstance(metric, str) else metric
+    return rows.select(F.col(ts).cast("timestamp").alias("ts"), metric.alias("metric"), labels.alias("labels"), value.cast("double").alias("value"))
+
+
 def counter_samples(events: DataFrame, metric: str, ts: str, labels: list[str]) -> DataFrame:
     """Events as counter steps: (ts, metric, labels, value) with value 1."""
-    pairs = [x for c in labels for x in (F.lit(c), F.col(c).cast("string"))]
-    return events.select(F.col(ts).cast("timestamp").alias("ts"), F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"), F.lit(1.0).alias("value"))
+    return _samples(events, metric, ts, _labels(labels), F.lit(1.0))
+
+
+def gauge_samples(rows: DataFrame, metric: str, ts: str, value: str, labels: list[str]) -> DataFrame:
+    """Readings as they are."""
+    return _samples(rows, metric, ts, _labels(labels), F.col(value))
+
+
+def bucket_samples(observations: DataFrame, metric: str, ts: str, value: str, labels: list[str], bounds: list[float]) -> DataFrame:
+    """Observations as steps of a histogram's series: a bucket for each bound that holds it and for infinity, the sum and the count."""
+    none = F.lit(None).cast("string")
+    bucket = [F.when(F.col(value) <= b, F.struct(F.lit(f"{metric}_bucket").alias("metric"), F.lit(f"{b:g}").alias("le"), F.lit(1.0).alias("step"))) for b in bounds]
+    rest = [("_bucket", F.lit("+Inf"), F.lit(1.0)), ("_sum", none, F.col(value).cast("double")), ("_count", none, F.lit(1.0))]
+    steps = F.array_compact(F.array(*bucket, *[F.struct(F.lit(metric + m).alias("metric"), le.alias("le"), v.alias("step")) for m, le, v in rest]))
+    rows = observations.where(F.col(value).isNotNull()).withColumn("_s", F.explode(steps))
+    own = F.when(F.col("_s.le").isNull(), _labels(labels)).otherwise(_labels(labels, F.lit("le"), F.col("_s.le")))
+    return _samples(rows, F.col("_s.metric"), ts, own, F.col("_s.step"))

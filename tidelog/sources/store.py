@@ -1,28 +1,44 @@
-"""A versioned Parquet store: buckets by key, one pointer file, commits that are all or nothing.
-
-Each commit writes new files for the buckets that it touches and then replaces the pointer, which
-names the files of every table's buckets and the last batch. A batch that is replayed is skipped, so
-writes are exactly once; a batch that fails leaves nothing that the pointer names. The pointer has one
-entry a table and bucket, never one a row.
+"""Keyed tables as Parquet folders of committed batches, folded on read.
+
+A commit is one batch of one source (a stream, a history run, a snapshot). It writes its changes of each
+table to folders of its own and, last of all, one commit row; only batches that have a commit row are
+read. So all changes of a batch appear together or not at all, a replayed batch writes nothing new, and
+sources that count their batches alike can't touch each other's. A source commits its batches in order.
+
+Reading folds the committed batches of each key: log tables keep the first arrived row, bookkeeping
+tables each column's last value, state tables go through guarded upserts and closes batch by batch, as if applied one
+after the other. A batch is reduced to one upsert and one close a key when it is written, so a key has at most
+two changes a batch; ``compact`` folds the committed batches of a table into a base, which bounds what a
+read has to fold. Folders of batches that a base covers may be deleted.
 """
 
 from __future__ import annotations
 
-import json
+import math
+import re
+import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.core.schemas import key_of, table_schema
-from tidelog.operators.keyed import append_new, apply_batch
+from tidelog.core.schemas import BOOK_TABLES, LOG_TABLES, STATE_PAYLOAD, key_of, table_schema
+from tidelog.operators.keyed import append_dedup, last_closes, newest_updates
+
+_COMMIT = "seq long, tables array<string>, marks map<string,string>, source string, batch long"
+_BASE = "seq long, covers map<string,bigint>, table string, base string"
+UPSERT, CLOSE = 0, 1
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all machines share, as the session names it; a new local one where it names none, as in tests."""
+    """The folder that all machines share, as the session names it; only a local session may lack it, as tests do."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         import tempfile
 
         given = tempfile.mkdtemp(prefix="spark-checkpoint-")
@@ -30,108 +46,171 @@ def shared_folder(spark: SparkSession) -> str:
     return given
 
 
+@dataclass(frozen=True)
+class Commit:
+    source: str
+    batch: int
+    seq: int
+    tables: tuple[str, ...]
+    marks: dict[str, str]
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    # --- the pointer ---------------------------------------------------------------------------
-
-    def pointer(self) -> dict:
-        p = self._path(f"{self.root}/_current")
-        if not self._fs.exists(p):
-            return {"batch": -1, "tables": {}, "marks": {}}
-        s = self._fs.open(p)
-        try:
-            return json.loads(bytes(s.readAllBytes()))
-        finally:
-            s.close()
-
-    def _flip(self, new: dict) -> None:
-        """Writes the pointer beside the old one and renames it over it."""
-        temp = self._path(f"{self.root}/_current.{uuid.uuid4().hex}")
-        s = self._fs.create(temp, True)
-        s.write(bytearray(json.dumps(new).encode()))
-        s.close()
-        target = self._path(f"{self.root}/_current")
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
-        rename = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        context.rename(temp, target, options)
+    """The tables below one folder. ``pending`` commits are visible to this object only."""
 
-    # --- reading -------------------------------------------------------------------------------
+    def __init__(self, spark: SparkSession, root: str, pending: tuple[Commit, ...] = ()):
+        self.spark, self.root, self.pending = spark, root.rstrip("/"), pending
+        if not pending:
+            self._note("commits", "source=init/batch=-1", [(0, [], {})], "seq long, tables array<string>, marks map<string,string>", "ignore")
+            self._note("bases", "table=init/base=none", [(0, {})], "seq long, covers map<string,bigint>", "ignore")
 
-    def bucket_of(self, table: str) -> F.Column:
-        return F.pmod(F.xxhash64(*key_of(table)), F.lit(self.buckets)).cast("int")
+    def _note(self, kind: str, folder: str, rows: list[tuple], schema: str, mode: str) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode(mode).parquet(f"{self.root}/{kind}/{folder}")
 
-    def read(self, table: str, only: Iterable[int] | None = None) -> DataFrame:
-        """The table's current rows, of some buckets if asked."""
-        held = self.pointer()["tables"].get(table, {})
-        only = None if only is None else {str(b) for b in only}
-        paths = [f"{self.root}/{d}" for b, dirs in held.items() if only is None or b in only for d in dirs]
-        schema = table_schema(table)
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+    # --- commits -------------------------------------------------------------------------------
 
-    # --- writing -------------------------------------------------------------------------------
+    def commits(self) -> list[Commit]:
+        """The commits in order, one small row a batch."""
+        rows = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits").where("source <> 'init'").collect()
+        found = [Commit(r["source"], r["batch"], r["seq"], tuple(r["tables"]), dict(r["marks"])) for r in rows]
+        return sorted([*found, *self.pending], key=lambda c: (c.seq, c.source, c.batch))
 
-    def commit(self, batch: int, changes: list[tuple[str, str, DataFrame]], marks: dict | None = None) -> bool:
-        """Commits (table, mode, rows) changes and marks together; False if the batch was committed before.
+    def marks(self) -> dict[str, str]:
+        """All completion marks; later ones win."""
+        return reduce(lambda a, c: a | c.marks, self.commits(), {})
 
-        Modes: ``append`` adds the rows whose keys are new, ``replace`` replaces the touched buckets by
-        the rows (which are all rows of those buckets).
-        """
-        now = self.pointer()
-        if batch <= now["batch"]:
-            return False
-        name = f"v={batch}-{uuid.uuid4().hex[:8]}"
-        for table, mode, rows in changes:
-            folder = f"{table}/{name}-{mode}"
-            out = rows.withColumn("_bucket", self.bucket_of(table))
-            out.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.root}/{folder}")
-            held = now["tables"].setdefault(table, {})
-            for b in self._written(folder):
-                held[b] = [*(held.get(b, []) if mode == "append" else []), f"{folder}/_bucket={b}"]
-        now["batch"] = batch
-        now["marks"] |= marks or {}
-        self._flip(now)
-        return True
+    def commit(self, source: str, batch: int, changes: list[tuple[str, DataFrame]], marks: dict[str, str] | None = None, verify: Callable[[Store], bool] | None = None) -> bool:
+        """Commits the changes and marks of a source's batch together; False if it was committed before.
 
-    def _written(self, folder: str) -> list[str]:
-        """The buckets of a folder: at most ``buckets``."""
-        found = self._fs.listStatus(self._path(f"{self.root}/{folder}"))
-        return [n.removeprefix("_bucket=") for n in (f.getPath().getName() for f in found) if n.startswith("_bucket=")]
-
-    def touched(self, table: str, *changes: DataFrame) -> list[int]:
-        """The buckets that hold the keys of any change; at most ``buckets`` numbers."""
-        key = key_of(table)
-        rows = None
-        for df in changes:
-            rows = df.select(*key) if rows is None else rows.unionByName(df.select(*key))
-        return [r[0] for r in rows.select(self.bucket_of(table).alias("b")).distinct().collect()]
-
-    def append_rows(self, table: str, rows: DataFrame, arrival: F.Column) -> tuple[str, str, DataFrame]:
-        """The change that appends rows idempotently: only touched buckets are compared."""
-        old = self.read(table, self.touched(table, rows))
-        return table, "append", append_new(old, rows, key_of(table), arrival)
-
-    def upsert_rows(self, table: str, updates: DataFrame, closes: DataFrame | None = None) -> tuple[str, str, DataFrame]:
-        """The change that applies a batch's upserts and closes to the touched buckets."""
-        key = key_of(table)
-        closes = self.spark.createDataFrame([], "pubkey binary, slot bigint") if closes is None else closes
-        old = self.read(table, self.touched(table, updates, closes))
-        return table, "replace", apply_batch(old, updates, closes, key)
-
-    def commit_then_mark(self, batch: int, changes: list[tuple[str, str, DataFrame]], verify: Callable[["Store"], bool], mark: dict) -> bool:
-        """Commits rows, verifies what is stored, and only then writes the completion mark.
-
-        A failed commit or verification leaves the mark unwritten.
+        ``verify`` sees the store with the batch in it; if it says no, nothing of the batch becomes visible,
+        its marks included.
         """
-        self.commit(batch, changes)
-        if not verify(self):
+        if not re.fullmatch(r"[A-Za-z0-9_-]+", source):
+            raise ValueError(f"not a source's name: {source!r}")
+        done = {c.batch for c in self.commits() if c.source == source}
+        covered = max((high for _, covers in self._bases().values() for s, high in covers.items() if s == source), default=-math.inf)
+        if batch in done or batch <= covered:
+            return False
+        if done and batch < max(done):
+            raise ValueError(f"{source}: batch {batch} comes after batch {max(done)}")
+        tables = []
+        for table, rows in changes:
+            rows.write.mode("overwrite").parquet(f"{self.root}/rows/{table}/{source}/{batch}")
+            tables.append(table)
+        new = Commit(source, batch, time.time_ns(), tuple(tables), {k: str(v) for k, v in (marks or {}).items()})
+        if verify and not verify(Store(self.spark, self.root, (new,))):
             return False
-        now = self.pointer()
-        now["marks"] |= mark
-        self._flip(now)
+        self._note("commits", f"source={source}/batch={batch}", [(new.seq, list(tables), new.marks)], "seq long, tables array<string>, marks map<string,string>", "overwrite")
         return True
+
+    # --- changes -------------------------------------------------------------------------------
+
+    def appended(self, table: str, rows: DataFrame, arrival: Column) -> tuple[str, DataFrame]:
+        """First arrivals of a batch for a log table."""
+        return table, append_dedup(rows, key_of(table), arrival)
+
+    def put(self, table: str, rows: DataFrame, gone: DataFrame | None = None) -> tuple[str, DataFrame]:
+        """Values of a bookkeeping table's rows, each column for itself (NULL or absent: left as it is), and keys to remove."""
+        rows = rows.withColumn("_gone", F.lit(False))
+        if gone is not None:
+            rows = gone.select(*key_of(table), F.lit(True).alias("_gone")).unionByName(rows, allowMissingColumns=True)
+        fields = table_schema(table).fields
+        return table, rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields], "_gone")
+
+    def changed(self, table: str, updates: DataFrame | None = None, closes: DataFrame | None = None) -> tuple[str, DataFrame]:
+        """A batch's upserts (with ``arrival``) and closes (pubkey, slot, and maybe ``postcode``: only if the
+        row's list holds that one item alone) for a state table."""
+        parts = []
+        if updates is not None:
+            parts.append(newest_updates(updates, key_of(table)).withColumn("_phase", F.lit(UPSERT)).withColumn("_only", F.lit(None).cast("string")))
+        if closes is not None:
+            only = F.col("postcode") if "postcode" in closes.columns else F.lit(None).cast("string")
+            parts.append(last_closes(closes.withColumn("_only", only), [*key_of(table), "_only"]).withColumn("_phase", F.lit(CLOSE)))
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        schema = table_schema(table)
+        have = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return table, rows.select(*have, "_phase", "_only")
+
+    # --- reading -------------------------------------------------------------------------------
+
+    def _bases(self) -> dict[str, tuple[str, dict[str, int]]]:
+        """Each table's newest base: its folder, and the last batch of each source that it covers."""
+        rows = self.spark.read.schema(_BASE).parquet(f"{self.root}/bases").where("table <> 'init'").collect()
+        return {r["table"]: (r["base"], dict(r["covers"])) for r in sorted(rows, key=lambda r: (r["seq"], r["base"]))}
+
+    def _deltas(self, table: str, commits: list[Commit], schema: str) -> DataFrame | None:
+        """The table's rows of these commits with the commits' order."""
+        if not commits:
+            return None
+        folders = [f"{self.root}/rows/{table}/{c.source}/{c.batch}" for c in commits]
+        rows = self.spark.read.schema(schema).parquet(*folders)
+        place = F.element_at(F.split(F.input_file_name(), "/"), -2), F.element_at(F.split(F.input_file_name(), "/"), -3)
+        order = self.spark.createDataFrame([(c.source, c.batch, n) for n, c in enumerate(commits)], "_source string, _batch long, _order long")
+        return rows.withColumn("_batch", place[0].cast("long")).withColumn("_source", place[1]).join(F.broadcast(order), ["_source", "_batch"]).drop("_source", "_batch")
+
+    def read(self, table: str) -> DataFrame:
+        """The table as of the commits that are there now."""
+        return self._fold(table)[0]
+
+    def _fold(self, table: str) -> tuple[DataFrame, dict[str, int]]:
+        base, covers = self._bases().get(table, (None, {}))
+        own = [c for c in self.commits() if table in c.tables and c.batch > covers.get(c.source, -1)]
+        schema, key = table_schema(table), key_of(table)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        extra = {"_gone": "boolean"} if table in BOOK_TABLES else {"_phase": "int", "_only": "string"} if table in STATE_PAYLOAD else {}
+        old = None if base is None else self.spark.read.schema(schema).parquet(f"{self.root}/folded/{table}/{base}")
+        new = self._deltas(table, own, ", ".join([ddl, *[f"{k} {v}" for k, v in extra.items()]]))
+        reach = covers | {s: max(c.batch for c in own if c.source == s) for s in {c.source for c in own}}
+        if new is None:
+            return (self.spark.createDataFrame([], schema) if old is None else old), reach
+        if old is not None:
+            for k, v in extra.items():
+                old = old.withColumn(k, F.lit(False if k == "_gone" else UPSERT if k == "_phase" else None).cast(v))
+            new = old.withColumn("_order", F.lit(-1).cast("long")).unionByName(new)
+        if table in LOG_TABLES:
+            out = append_dedup(new, key, "_order").drop("_order")
+        elif table in BOOK_TABLES:
+            out = _last_values(new, key)
+        else:
+            out = _applied(new, key)
+        return out.select(*schema.fieldNames()), reach
+
+    def compact(self, table: str) -> None:
+        """Folds the table's committed batches into a new base."""
+        rows, reach = self._fold(table)
+        name = uuid.uuid4().hex
+        rows.write.parquet(f"{self.root}/folded/{table}/{name}")
+        self._note("bases", f"table={table}/base={name}", [(time.time_ns(), reach)], "seq long, covers map<string,bigint>", "overwrite")
+
+
+def _last_values(changes: DataFrame, key: list[str]) -> DataFrame:
+    """Each column's last value since the key was last removed; a removal and a row of one commit leave the row."""
+    rest = [c for c in changes.columns if c not in (*key, "_gone", "_order")]
+    place = F.struct("_order", (~F.col("_gone")).alias("later"))
+    values = [F.max(F.when(F.col(c).isNotNull() & ~F.col("_gone"), F.struct(place.alias("at"), F.col(c).alias("v")))).alias(c) for c in rest]
+    rows = changes.groupBy(*key).agg(F.max(F.when(F.col("_gone"), place)).alias("_gone"), F.max(F.when(~F.col("_gone"), place)).alias("_set"), *values)
+    since = lambda at: F.col("_gone").isNull() | (at > F.col("_gone"))
+    return rows.where(F.col("_set").isNotNull() & since(F.col("_set"))).select(*key, *[F.when(since(F.col(f"{c}.at")), F.col(f"{c}.v")).alias(c) for c in rest])
+
+
+def _applied(changes: DataFrame, key: list[str]) -> DataFrame:
+    """Guarded upserts and closes of each key in the order of their commits; a key has a few changes."""
+    payload = [c for c in changes.columns if c not in (*key, "slot", "closed_at_slot", "_phase", "_only", "_order")]
+    event = F.struct("_order", "_phase", "slot", "closed_at_slot", "_only", F.struct(*payload).alias("p"))
+    rows = changes.groupBy(*key).agg(F.array_sort(F.collect_list(event)).alias("e"))
+    kind = next(f for f in rows.schema["e"].dataType.elementType.fields if f.name == "p").dataType.simpleString()
+
+    def step(now: Column, e: Column) -> Column:
+        put = F.struct(e["slot"].alias("slot"), e["closed_at_slot"].alias("closed_at_slot"), e["p"].alias("p"))
+        shut = F.struct(e["slot"].alias("slot"), e["slot"].alias("closed_at_slot"), now["p"].alias("p"))
+        newer = now["slot"] < e["slot"]
+        meant = e["_only"].isNull()
+        if "locations" in payload:
+            items = now["p"]["locations"]
+            meant = meant | F.coalesce((F.size(items) == 1) & (F.get(items, F.lit(0))["postcode"] == e["_only"]), F.lit(False))
+        return F.when((e["_phase"] == UPSERT) & (now.isNull() | newer), put).when((e["_phase"] == CLOSE) & now.isNotNull() & newer & meant, shut).otherwise(now)
+
+    start = F.lit(None).cast(f"struct<slot:bigint,closed_at_slot:bigint,p:{kind}>")
+    out = rows.select(*key, F.aggregate("e", start, step).alias("s")).where("s is not null")  # a close alone makes no row
+    return out.select(*key, "s.slot", "s.closed_at_slot", *[F.col(f"s.p.{c}").alias(c) for c in payload])
+

@@ -1,60 +1,94 @@
-"""Streaming forms: the batch transformations inside ``foreachBatch``, and folds that stream as they are.
+"""Streaming forms: the batch transformations inside ``foreachBatch``, folds that stream as they are, and
+the jobs that join them: snapshot, history and reconcile runs.
 
 Late rows are legal at any time, so nothing here has a watermark: the slot guard and the folds decide.
-Progress is the stream's checkpoint; the store skips batches that it has committed.
+Progress is the stream's checkpoint; the store skips batches that a source has committed. Every writer
+serves batch and stream alike, and several of them write one store.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.core.registry import action_rule_table, close_rule_table, program_dimension
-from tidelog.operators import fold, mapping
+from tidelog.core.registry import Program, action_rule_table, close_rule_table, program_dimension
+from tidelog.operators import completeness, fold, keyed, mapping
 from tidelog.operators.keyed import open_keys
 from tidelog.sources.store import Store
 
-#: the writer's batch limits, as a stream trigger
+#: the writer's batch limits: a trigger, and how many files of the feed a batch takes (``read_changes``)
 FLUSH_INTERVAL = "250 milliseconds"
 FLUSH_FILES = 100
 
 
-def transaction_writer(store: Store, times: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
-    """History and actions of a batch of transactions, committed together; for batch and stream alike."""
+def transaction_writer(store: Store, source: str, times: DataFrame | None = None, tables: Iterable[str] | None = None, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """History, actions, closes and rejects of a batch of transactions, committed together.
+
+    ``tables``: the state tables that closes are written to, by default all that close rules name.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = mapping.instructions(mapping.succeeded(batch), program_dimension(spark))
         known = times if times is not None else spark.createDataFrame([], "slot bigint, block_time bigint")
-        rows, _ = mapping.with_block_time(rows, known)
-        rows = rows.withColumn("block_time", F.timestamp_seconds("block_time"))
-        acted, _ = mapping.actions(rows, action_rule_table(spark))
-        history = mapping.history_rows(rows.where(F.size("path") > 0))
-        store.commit(
-            number,
-            [
-                store.append_rows("program_instructions", history, F.struct("slot", F.to_json(F.struct("*")))),
-                store.append_rows("whitelist_actions", acted, F.struct("slot", "id")),
-            ],
-        )
+        acting, closing = action_rule_table(spark), close_rule_table(spark)
+        judged = mapping.judged_instructions(batch, program_dimension(spark), acting, closing, known).persist()  # several tables are written from it
+        try:
+            m = mapping.mapped(judged, acting, closing)
+            changes = [
+                store.appended("program_instructions", m.history, F.struct("slot", F.to_json(F.struct("*")))),
+                store.appended("whitelist_actions", m.actions, F.struct("slot", "id")),
+                store.appended("rejects", m.rejected, F.struct("slot", "reason")),
+            ]
+            hit = {r[0] for r in m.closes.select("table").distinct().collect()}  # at most one row a table
+            for t in sorted(hit & set(tables) if tables is not None else hit):
+                changes.append(store.changed(t, closes=m.closes.where(F.col("table") == t)))
+            store.commit(source, number, changes)
+        finally:
+            judged.unpersist()
+        _compacted(store, [t for t, _ in changes], number, compact_every)
+
+    return write
+
+
+def state_writer(store: Store, table: str, source: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """Guarded upserts of a batch of account updates into one state table; rows without payload are closes."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            own = batch.where(F.col("kind") == table)
+            updates = mapping.state_rows(own.where("payload is not null"), table)
+            store.commit(source, number, [store.changed(table, updates, own.where("payload is null").select("pubkey", "slot"))])
+        finally:
+            batch.unpersist()
+        _compacted(store, [table], number, compact_every)
 
     return write
 
 
-def state_writer(store: Store, table: str) -> Callable[[DataFrame, int], None]:
-    """Guarded upserts of a batch of account updates into one state table; ``closed`` rows are closes."""
+def deletion_writer(store: Store, source: str, tables: list[str]) -> Callable[[DataFrame, int], None]:
+    """Deletions whose table isn't known: of the keys that some table holds open, tried on every table."""
 
     def write(batch: DataFrame, number: int) -> None:
-        updates = mapping.state_rows(batch.where("payload is not null"), table)
-        closes = batch.where("payload is null").select("pubkey", "slot")
-        store.commit(number, [store.upsert_rows(table, updates, closes)])
+        batch = batch.persist()
+        try:
+            known = tracked_deletions(batch, {t: store.read(t) for t in tables})
+            store.commit(source, number, [store.changed(t, closes=known) for t in tables])
+        finally:
+            batch.unpersist()
 
     return write
 
 
+def _compacted(store: Store, tables: list[str], number: int, every: int) -> None:
+    if number % every == every - 1:
+        for t in tables:
+            store.compact(t)
+
+
 def close_rows(batch: DataFrame) -> DataFrame:
     """The closes that a batch of transactions causes."""
     spark = batch.sparkSession
@@ -62,11 +96,95 @@ def close_rows(batch: DataFrame) -> DataFrame:
 
 
 def run_stream(source: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Runs a writer over a stream: at the flush interval, or over what is there now."""
+    """Runs a writer over a stream: at the flush interval, or over what is there now.
+
+    How much a batch takes is set where the stream is read: ``FLUSH_FILES`` files by default.
+    """
     w = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH_INTERVAL)).start()
 
 
+# --- jobs over the store -------------------------------------------------------------------------
+
+
+def seed(store: Store, programs: Iterable[Program]) -> None:
+    """A bookkeeping row for every program that has none: the frontier at its floor, nothing complete."""
+    for p in programs:
+        one = program_dimension(store.spark).where(F.col("program_id") == F.lit(bytes(p.id)))
+        have = store.read("sync_state")
+        store.commit(f"seed-{p.name}", 0, [store.put("sync_state", keyed.seed_if_absent(have.limit(0), one.join(have, "program_id", "left_anti")))])
+
+
+def _sync_row(store: Store, program: Program) -> DataFrame:
+    return store.read("sync_state").where(F.col("program_id") == F.lit(bytes(program.id)))
+
+
+def load_snapshot(store: Store, program: Program, updates: DataFrame, snapshot_slot: int) -> DataFrame:
+    """Loads all current rows of a program, tagged with a slot that was taken before they were read.
+
+    What the store holds open and the snapshot lacks is closed at that slot; the program's snapshot slot
+    is set in the same commit. Returns loaded and closed_missing by table. A later snapshot has a larger slot.
+    """
+    updates = updates.withColumn("slot", F.lit(snapshot_slot).cast("long")).persist()
+    changes, report = [], None
+    for t in program.tables:
+        rows, state = mapping.state_rows(updates, t), store.read(t)
+        gone = keyed.missing_keys(state, rows, snapshot_slot, ["pubkey"]).select("pubkey", F.lit(snapshot_slot).cast("long").alias("slot"))
+        changes.append(store.changed(t, rows, gone))
+        one = rows.agg(F.lit(t).alias("table"), F.count("*").alias("loaded")).crossJoin(gone.agg(F.count("*").alias("closed_missing")))
+        report = one if report is None else report.unionByName(one)
+    counts = report.collect()  # one row a table
+    changes.append(store.put("sync_state", store.spark.createDataFrame([(bytearray(program.id), snapshot_slot)], "program_id binary, snapshot_slot long")))
+    store.commit(f"snapshot-{program.name}", snapshot_slot, changes, {f"snapshot-{program.name}": str(snapshot_slot)})
+    updates.unpersist()
+    return store.spark.createDataFrame(counts, "table string, loaded long, closed_missing long")
+
+
+def load_history(store: Store, program: Program, signatures: DataFrame, transactions: DataFrame, low: int, high: int, batch: int, times: DataFrame | None = None) -> None:
+    """One window of a program's history, newest window first: every expected signature must be delivered.
+
+    The program's cursor moves to the window's oldest entry after its rows are committed; a window that
+    reaches the floor completes the backfill and clears the cursor. Something missing is an error, and
+    then nothing is marked.
+    """
+    window = F.col("slot").between(low, high)
+    own = signatures.where(window & (F.col("program_id") == F.lit(bytes(program.id))))
+    given = mapping.touching(transactions.where(window), [program.id])
+    lacking = completeness.missing(own, given.select(F.lit(bytes(program.id)).alias("program_id"), "signature"))
+    if some := lacking.limit(3).collect():
+        raise ValueError(f"{program.name}: {len(some)} or more signatures were not delivered, such as {bytes(some[0]['signature']).hex()}")
+    transaction_writer(store, f"history-{program.name}", times)(given, batch)
+    oldest = own.agg(F.min_by(F.struct(F.hex("signature").alias("signature"), "slot"), F.struct("slot", F.hex("signature"))).alias("r"))
+    cursor = oldest.where("r is not null").select(F.lit(bytes(program.id)).alias("program_id"), F.lower("r.signature").alias("signature"), "r.slot", F.lit(None).cast("timestamp").alias("updated_at"))
+    walk = store.spark.createDataFrame([(bytearray(program.id), low)], "program_id binary, floor_used long")
+    sync = completeness.finish_backfill(_sync_row(store, program), walk)
+    cursors = completeness.kept_cursors(cursor, sync)
+    done = sync.where("backfill_complete").select("program_id")
+    store.commit(f"cursor-{program.name}", batch, [store.put("backfill_cursor", cursors, done), store.put("sync_state", done.withColumn("backfill_complete", F.lit(True)))])
+
+
+def reconcile(store: Store, program: Program, signatures: DataFrame, delivered: DataFrame, tip: int) -> None:
+    """Moves a program's frontier to a tip that was taken before the walk, if nothing up to it is missing."""
+    spark, key = store.spark, F.lit(bytes(program.id))
+    own = signatures.where(F.col("program_id") == key)
+    lacking = completeness.missing(own, delivered.where(F.col("program_id") == key))
+    tips = spark.createDataFrame([(bytearray(program.id), tip)], "program_id binary, slot long")
+    store.commit(f"reconcile-{program.name}", tip, [store.put("sync_state", completeness.advance_frontier(_sync_row(store, program), tips, lacking).select("program_id", "last_contiguous_slot"))])
+
+
+def follow(start_stream: Callable[[], StreamingQuery], read_tip: Callable[[], int], load: Callable[[int], object]) -> StreamingQuery:
+    """The order of a start: the stream first, then the snapshot's slot, then the snapshot itself.
+
+    So a change during the load comes by the stream at a larger slot, and the guard keeps it.
+    """
+    query = start_stream()
+    load(read_tip())
+    return query
+
+
+# --- what streams as it is -----------------------------------------------------------------------
+
+
 def fold_stream(actions: DataFrame) -> DataFrame:
     """Role assignments of a stream of actions, for the update or complete mode."""
     return fold.role_assignments_of(fold.role_state(actions))
