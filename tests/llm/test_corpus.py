@@ -263,7 +263,8 @@ def test_a_hot_anchor_is_dealt_out():
 
     rows, buckets = common_line(400), 16
     blocks = [pa.table({"doc_id": [r[0] for r in rows[k::4]], "text": [r[1] for r in rows[k::4]], s.BLOCK: [k] * 100}) for k in range(4)]
-    sent = pa.concat_tables([s._send(buckets)(b) for b in blocks])
+    none = pa.table([pa.array([], x) for x in s._ANSWER_TYPES], ["block", "kind", "blob"])
+    sent = pa.concat_tables([s._send(buckets)(b, none) for b in blocks])
     met = pa.concat_tables([s._meet(sent.filter(pc.equal(sent["bucket"], k))) for k in set(sent["bucket"].to_pylist())])
     held = Counter()
     for k, b in enumerate(blocks):
@@ -283,6 +284,33 @@ def test_repeats_around_a_hot_anchor(spark, block):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == want
 
 
+def test_anchor_buckets_are_even():
+    import pyarrow as pa
+
+    from tidelog.llm import substrings as s
+
+    rng = np.random.default_rng(2)
+    texts = ["".join(map(chr, rng.integers(97, 123, 200_000))) for _ in range(20)]
+    a = s._Anchors(pa.table({"doc_id": list(range(20)), "text": texts}))
+    own = np.arange(len(a.at))
+    for buckets in (64, 1024, 4096):
+        held = np.bincount(a.bucket(own, buckets), minlength=buckets)
+        mean = held.mean()
+        assert held.max() < mean + 6 * mean**0.5 + 2  # as even as random dealing: within twice the mean from 36 a bucket on
+    many = np.bincount(a.bucket(own, 1 << 16), minlength=1 << 16)
+    assert (many > 0).sum() > 0.95 * (1 - np.exp(-many.mean())) * (1 << 16)  # no bucket is out of reach
+
+
+def test_documents_without_an_id_keep_all(spark):
+    from tidelog.llm.substrings import cut_repeats, repeated_bytes
+
+    line = "a passage of more than fifty bytes that several documents share " * 2
+    df = spark.createDataFrame([(1, line, "en", None, 1), (None, line, "en", None, 2), (2, line, "en", None, 3), (None, None, "en", None, 4), (None, line, "en", None, 5)], SCHEMA)
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in repeated_bytes(df).collect()), key=repr)
+    assert got == [(1, 128, 0), (2, 128, 128), (None, 0, 0), (None, 128, 0), (None, 128, 0)]
+    assert {r["n_chars"]: r["text"] for r in cut_repeats(df).collect()} == {1: line, 2: line, 3: "", 4: None, 5: line}
+
+
 def test_suffix_array_against_sorting():
     from tidelog.llm.suffixes import common_prefixes, suffix_array
 

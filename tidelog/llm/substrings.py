@@ -1,13 +1,14 @@
 """Suffix-array dedup: bytes covered by a 50-byte string that also starts in a document with a smaller id.
 
 Every 50-byte string holds an anchor: the smallest hash among its 24-byte grams, so equal strings have
-equal anchors at equal places. Documents are dealt into blocks of a few megabytes. A block sends each
-distinct (anchor, surroundings) pair once, as hashes with its smallest document; what meets at an
-anchor's bucket tells whose surroundings occur whole in an earlier document (all their strings are
-covered) and where one anchor has different surroundings. Only the latter are sent as bytes, once
-each: their suffixes are sorted in two stages, adjacent common prefixes of 50 bytes or more form
-runs, and a suffix whose run holds a smaller id is covered. So unique text and whole copies never
-reach the sort.
+equal anchors at equal places. Whole copies of an earlier document are found first, by a narrow join of
+text digests. The other documents are dealt into blocks of a few megabytes. A block sends each distinct
+(anchor, surroundings) pair once, as hashes with its smallest document; an anchor's bucket answers which
+anchors occur in several documents, and only of these the surroundings are sent as bytes, once each from
+a block. There equal surroundings are recognised by their bytes, the suffixes of the distinct ones are
+sorted in two stages, adjacent common prefixes of 50 bytes or more form runs, and a suffix whose run
+holds a smaller id is covered. Hashes only choose what is sent; what is removed has been compared byte by
+byte, but for whole copies (SHA-256 of the text) and hot anchors (see below).
 
 A hot anchor (a frequent line, with other text around it in every document) has more surroundings than
 one task should hold. A block sends only the first few of them, which tells that the anchor is hot; then
@@ -16,7 +17,7 @@ each block with its smallest document. So only equal strings meet, and no group
 of documents but with the number of blocks.
 
 Defined cases: a null text is empty; a text under 50 bytes keeps all; equal ids don't cover each
-other; an empty table gives no rows.
+other; a document without an id keeps all and covers none; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,12 @@ BLOCK_BYTES = 6 << 20
 BUCKET_ANCHORS = 250_000
 #: surroundings of one anchor in a block, and in all of them, beyond which the anchor is hot
 BLOCK_MOST, BUCKET_MOST = 64, 8192
-#: the column of a document's block, named so that it meets no column of the documents
-BLOCK = "__tidelog_block"
+#: columns of a document's block and of its text's hash, named so that they meet no column of the documents
+BLOCK, DIGEST = "__tidelog_block", "__tidelog_digest"
 _SLICE = 1 << 18
 _LOW48 = np.uint64((1 << 48) - 1)
+#: anchors are least hashes, so their own bits are not even; mixed again, they are
+_SALT = np.uint64(0x6A09E667F3BCC909)
 
 
 class _Anchors:
@@ -69,6 +73,10 @@ class _Anchors:
         # the first place of each (anchor, surroundings) in the block: that of its smallest document
         _, self.first, back = np.unique(self.name, return_index=True, return_inverse=True)
         self.earlier = self.doc_id[self.doc[self.first]][back] < self.doc_id[self.doc] if len(self.at) else np.zeros(0, bool)
+        own = np.flatnonzero(self.earlier)
+        one = self.first[back[own]] if len(own) else own
+        size = self.end - self.start
+        self.earlier[own] = (size[own] == size[one]) & _equal(self.data, self.start[own], self.data, self.start[one], np.minimum(size[own], size[one]))
 
     def _of_slice(self, a: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         off, left = self.off, LENGTH - GRAM
@@ -112,7 +120,18 @@ class _Anchors:
         return start, value
 
     def bucket(self, which: np.ndarray, buckets: int) -> np.ndarray:
-        return ((self.key[which] >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
+        return (t.mix(self.key[which] + _SALT) % np.uint64(buckets)).astype(np.int64)
+
+
+def _equal(a: np.ndarray, at: np.ndarray, b: np.ndarray, to: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes from each place of a are those from its partner in b."""
+    out = np.ones(len(at), bool)
+    for lo in range(0, len(at), 1 << 14):
+        x, y, n = at[lo : lo + (1 << 14)], to[lo : lo + (1 << 14)], size[lo : lo + (1 << 14)]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        differs = a[np.repeat(x, n) + step] != b[np.repeat(y, n) + step]
+        out[lo : lo + (1 << 14)] = np.bincount(np.repeat(np.arange(len(n)), n), differs, len(n)) == 0
+    return out
 
 
 def _runs(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -141,11 +160,24 @@ _SENT = ["bucket", "block", "anchor", "around", "doc", "ids"]
 _SENT_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 _ANSWER = "block int, kind int, blob binary"
 _ANSWER_TYPES = [pa.int32(), pa.int32(), pa.binary()]
-COVERED, WANTED, PARTS, HOT, STRINGS = 0, 1, 2, 3, 4
+COPY, WANTED, PARTS, HOT, STRINGS = 0, 1, 2, 3, 4
+
+
+def _own(table: pa.Table, answers: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """A block's documents that aren't whole copies of earlier ones, and those that are."""
+    known = {x for k, x in zip(answers["kind"].to_pylist(), answers["blob"].to_pylist(), strict=True) if k == COPY}
+    if not known:
+        return table, table.slice(0, 0)
+    names = zip(table["doc_id"].to_pylist(), table[DIGEST].to_pylist(), strict=True)
+    copy = pa.array([f"{i}:{h}".encode() in known for i, h in names], pa.bool_())
+    return table.filter(pc.invert(copy)), table.filter(copy)
 
 
 def _send(buckets: int):
-    def go(table: pa.Table) -> pa.Table:
+    def go(table: pa.Table, answers: pa.Table) -> pa.Table:
+        table, _ = _own(table, answers)
+        if not table.num_rows:
+            return _table([], _SENT, _SENT_TYPES)
         block = table[BLOCK][0].as_py()
         a = _Anchors(table)
         own = np.sort(a.first)
@@ -165,7 +197,7 @@ def _send(buckets: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """What a bucket's anchors tell each block: which surroundings an earlier document has, which are wanted as bytes, which have a hot anchor."""
+    """What a bucket's anchors tell each block: which surroundings are wanted as bytes, since another document has the anchor, and which have a hot anchor."""
     block, low, around, doc = [], [], [], []
     for r in table.to_pylist():
         low.append(np.frombuffer(r["anchor"], "<u4").astype(np.uint64))
@@ -173,15 +205,13 @@ def _meet(table: pa.Table) -> pa.Table:
         doc.append(np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["doc"], "<u4")])
         block.append(np.full(len(low[-1]), r["block"], np.int32))
     block, low, around, doc = map(np.concatenate, (block, low, around, doc))
-    order = np.lexsort((doc, around, low))
+    order = np.lexsort((around, low))
     block, low, around, doc = block[order], low[order], around[order], doc[order]
     anchor_head, head = np.ones(len(low), bool), np.ones(len(low), bool)
     anchor_head[1:] = low[1:] != low[:-1]
     head[1:] = anchor_head[1:] | (around[1:] != around[:-1])
-    group = np.cumsum(head) - 1
-    later = doc[np.flatnonzero(head)][group] < doc
-    anchor = np.cumsum(anchor_head) - 1
-    several = np.bincount(anchor[head], minlength=anchor[-1] + 1)[anchor] > 1
+    anchor, first = np.cumsum(anchor_head) - 1, np.flatnonzero(anchor_head)
+    several = (np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))[anchor]
     hot = np.bincount(anchor[head]) > BUCKET_MOST
     most = np.flatnonzero(np.bincount(anchor)[anchor] > BLOCK_MOST)
     pair, n = np.unique(anchor[most] << 32 | block[most], return_counts=True)
@@ -189,7 +219,7 @@ def _meet(table: pa.Table) -> pa.Table:
     hot = hot[anchor]
     name = t.mix(low * np.uint64(0x9E3779B97F4A7C15) + around)
     rows = []
-    for kind, mask in ((COVERED, later & ~hot), (WANTED, ~later & several & ~hot), (HOT, hot)):
+    for kind, mask in ((WANTED, several & ~hot), (HOT, hot)):
         own = np.flatnonzero(mask)
         own = own[np.argsort(block[own], kind="stable")]
         rows += [(b, kind, name[own[s:e]].astype("<u8").tobytes()) for b, s, e in _runs(block[own])]
@@ -210,6 +240,7 @@ def _passages(buckets: int):
 
     def go(table: pa.Table, answers: pa.Table) -> pa.Table:
         want = _names(answers, WANTED)
+        table, _ = _own(table, answers)
         if not (len(want) or len(_names(answers, HOT))) or not table.num_rows:
             return _table([], _PASSAGES, _PASSAGE_TYPES)
         a = _Anchors(table)
@@ -281,22 +312,40 @@ def _sort(table: pa.Table) -> pa.Table:
     doc = np.frombuffer(b"".join(r["doc"] for r in rows), "<i8")
     size = np.frombuffer(b"".join(r["size"] for r in rows), np.uint8).astype(np.int64)
     block = np.repeat([r["block"] for r in rows], [len(r["size"]) for r in rows])
-    hit = covered_starts(np.frombuffer(b"".join(r["data"] for r in rows), np.uint8), size, doc)
+    data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
     off = np.concatenate(([0], np.cumsum(size)))
-    of = np.searchsorted(off, hit, "right") - 1
+    # passages of one name are one passage if their bytes are equal; its first document is the smallest
+    order = np.lexsort((doc, name))
+    head = np.append(True, name[order][1:] != name[order][:-1])
+    one = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+    same = (size[order] == size[one]) & _equal(data, off[order], data, off[one], np.minimum(size[order], size[one]))
+    later = np.zeros(len(name), bool)
+    later[order] = same & (doc[order] > doc[one])
+    own = np.zeros(len(name), bool)
+    own[order] = head | ~same
+    own = np.flatnonzero(own)
+    place = np.repeat(off[own] - np.cumsum(size[own]) + size[own], size[own]) + np.arange(size[own].sum())
+    hit = covered_starts(data[place], size[own], doc[own])
+    begin = np.concatenate(([0], np.cumsum(size[own])))
+    of = np.searchsorted(begin, hit, "right") - 1
     head = np.ones(len(hit), bool)
     head[1:] = (hit[1:] != hit[:-1] + 1) | (of[1:] != of[:-1])
     first = np.flatnonzero(head)
     last = np.append(first[1:], len(hit)) - 1 if len(hit) else first
-    part = np.zeros(len(first), [("name", "<u8"), ("start", "<u2"), ("end", "<u2")])
-    part["name"], part["start"], part["end"] = name[of[first]], hit[first] - off[of[first]], hit[last] - off[of[last]] + LENGTH
-    out = [(b, PARTS, part[s:e].tobytes()) for b, s, e in _runs(block[of[first]])]
+    whole = np.flatnonzero(later & (size >= LENGTH))
+    part = np.zeros(len(first) + len(whole), [("name", "<u8"), ("start", "<u2"), ("end", "<u2")])
+    part["name"], part["start"] = np.concatenate((name[own[of[first]]], name[whole])), np.concatenate((hit[first] - begin[of[first]], np.zeros(len(whole), np.int64)))
+    part["end"] = np.concatenate((hit[last] - begin[of[last]] + LENGTH, size[whole]))
+    to = np.concatenate((block[own[of[first]]], block[whole]))
+    order = np.argsort(to, kind="stable")
+    part, to = part[order], to[order]
+    out = [(b, PARTS, part[s:e].tobytes()) for b, s, e in _runs(to)]
     return _table(out, ["block", "kind", "blob"], _ANSWER_TYPES)
 
 
 def _covered(a: _Anchors, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and documents of the block's maximal covered runs."""
-    whole = (a.earlier | np.isin(a.name, _names(answers, COVERED))) & (a.end - a.start >= LENGTH)
+    whole = a.earlier & (a.end - a.start >= LENGTH)
     start, end = [a.start[whole]], [a.end[whole]]
     blobs = [b for k, b in zip(answers["kind"].to_pylist(), answers["blob"].to_pylist(), strict=True) if k == PARTS]
     part = np.frombuffer(b"".join(blobs), [("name", "<u8"), ("start", "<u2"), ("end", "<u2")])
@@ -337,25 +386,33 @@ def _kept(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+_NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+_EMPTY = hashlib.sha256().hexdigest()
+
+
 def _result(table: pa.Table, answers: pa.Table) -> pa.Table:
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    if not table.num_rows:
-        return _table([], names, [*[pa.int64()] * 4, pa.string()])
-    a = _Anchors(table)
-    start, end, doc = _covered(a, answers)
-    n = len(a.doc_id)
-    keep = _kept(len(a.data), start, end)
-    sha = [hashlib.sha256(a.data[s:e][keep[s:e]].tobytes()).hexdigest() for s, e in zip(a.off[:-1], a.off[1:], strict=True)]
-    removed = np.bincount(doc, end - start, n).astype(np.int64)
-    return pa.table([pa.array(a.doc_id), pa.array(np.diff(a.off)), pa.array(removed), pa.array(np.bincount(doc, minlength=n)), pa.array(sha)], names)
+    table, copies = _own(table, answers)
+    size = pc.binary_length(copies["text"]).cast(pa.int64()).combine_chunks()
+    out = [pa.table([copies["doc_id"].combine_chunks(), size, size, pa.array(np.ones(len(size), np.int64)), pa.array([_EMPTY] * len(size), pa.string())], _NAMES)]
+    if table.num_rows:
+        a = _Anchors(table)
+        start, end, doc = _covered(a, answers)
+        n = len(a.doc_id)
+        keep = _kept(len(a.data), start, end)
+        sha = [hashlib.sha256(a.data[s:e][keep[s:e]].tobytes()).hexdigest() for s, e in zip(a.off[:-1], a.off[1:], strict=True)]
+        removed = np.bincount(doc, end - start, n).astype(np.int64)
+        out.append(pa.table([pa.array(a.doc_id), pa.array(np.diff(a.off)), pa.array(removed), pa.array(np.bincount(doc, minlength=n)), pa.array(sha)], _NAMES))
+    return pa.concat_tables(out)
 
 
 def _cut(columns: list[str], schema: pa.Schema):
     """The documents with their covered bytes removed; a character that loses a byte goes whole."""
 
     def go(table: pa.Table, answers: pa.Table) -> pa.Table:
+        table, copies = _own(table, answers)
+        cut = pa.table([pa.array([""] * copies.num_rows, pa.string()) if c == "text" else copies[c].combine_chunks() for c in columns], columns)
         if not table.num_rows:
-            return schema.empty_table()
+            return cut
         table = table.sort_by([("doc_id", "ascending")])
         a = _Anchors(table)
         start, end, doc = _covered(a, answers)
@@ -369,29 +426,40 @@ def _cut(columns: list[str], schema: pa.Schema):
         less = np.zeros(len(a.doc_id), bool)
         less[doc] = True
         text = [a.data[s:e][keep[s:e]].tobytes().decode() if n else x for s, e, n, x in zip(a.off[:-1], a.off[1:], less, table["text"].to_pylist(), strict=True)]
-        return pa.table([pa.array(text, pa.string()) if c == "text" else table[c].combine_chunks() for c in columns], columns)
+        return pa.concat_tables([cut, pa.table([pa.array(text, pa.string()) if c == "text" else table[c].combine_chunks() for c in columns], columns)])
 
     return go
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """(block, kind, blob) of the documents whose whole text an earlier document has: narrow rows, no text is exchanged."""
+    narrow = docs.where(F.octet_length("text") >= LENGTH).select("doc_id", BLOCK, DIGEST, F.sha2("text", 256).alias("_sha"))
+    first = narrow.groupBy("_sha").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last").select("_sha", "_first")
+    own = narrow.join(first, "_sha").where("doc_id > _first")
+    return own.select(F.col(BLOCK).alias("block"), F.lit(COPY).alias("kind"), F.concat_ws(":", F.col("doc_id").cast("string"), F.col(DIGEST).cast("string")).cast("binary").alias("blob"))
+
+
 def _answers(docs: DataFrame, block_bytes: int, bucket_anchors: int) -> tuple[DataFrame, DataFrame]:
     """The documents with their blocks, and what is to be known of each block."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = max(1, -(-total // block_bytes)), int(max(16, total * 2 / (LENGTH - GRAM + 2) // bucket_anchors))
-    docs = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    docs = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).withColumn(DIGEST, F.xxhash64("text"))
+    copies = _copies(docs)
     # all passes read the documents with the same columns, so they share one exchange
-    sent = docs.groupBy(BLOCK).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
-    known = sent.groupBy("bucket").applyInArrow(_meet, _ANSWER)
+    sent = docs.groupBy(BLOCK).cogroup(copies.groupBy("block")).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
+    known = copies.unionByName(sent.groupBy("bucket").applyInArrow(_meet, _ANSWER))
     wanted = docs.groupBy(BLOCK).cogroup(known.groupBy("block")).applyInArrow(_passages(buckets), "bucket int, block int, name binary, doc binary, size binary, data binary")
     return docs, known.unionByName(wanted.groupBy("bucket").applyInArrow(_sort, _ANSWER))
 
 
 def repeated_bytes(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document; rows with a null id take no part."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     t.tuned(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
-    docs, answers = _answers(docs, block_bytes, bucket_anchors)
-    return docs.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(_result, _RESULT)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    none = F.lit(0).cast("long")
+    unnamed = docs.where("doc_id is null").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
+    docs, answers = _answers(docs.where("doc_id is not null"), block_bytes, bucket_anchors)
+    return docs.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(_result, _RESULT).unionByName(unnamed)
 
 
 def cut_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
@@ -400,5 +468,6 @@ def cut_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_anchors:
 
     t.tuned(docs.sparkSession)
     columns, schema = docs.columns, docs.schema
+    unnamed = docs.where("doc_id is null")
     docs, answers = _answers(docs.where("doc_id is not null"), block_bytes, bucket_anchors)
-    return docs.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(_cut(columns, to_arrow_schema(schema)), schema)
+    return docs.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(_cut(columns, to_arrow_schema(schema)), schema).unionByName(unnamed)
