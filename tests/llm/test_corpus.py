@@ -424,6 +424,62 @@ def test_html():
     assert main_text('<body class="nav-open has-sidebar"><div class="with-sidebar"><article class="comments-open"><header class="entry-header"><h1>T</h1></header><p>x</p><div class="share">s</div></article></div>') == "T\nx"
 
 
+def test_html_edges():
+    from tidelog.llm.html import main_text
+
+    assert main_text('<main><article>Real text, here.<p>More, more text.</p><article class="comment">I disagree, strongly.</article></article></main>') == "Real text, here.\nMore, more text."
+    assert main_text('<p title="x>Hello</p><p>there, you.</p>') == "Hello\nthere, you."
+    assert main_text('<p a="b > c">d "e" f</p>') == 'd "e" f'
+    assert main_text('<body><article><div class="notice-board-history">Kept, really.</div><section id="discussion">Also kept, yes.</section><div class="alert-systems">On alerts.</div><p>And, this.</p></article>') == "Kept, really.\nAlso kept, yes.\nOn alerts.\nAnd, this."
+    assert main_text("<html><head><title>x</title><style>y</style><meta name=a><body><p>No head end.</p>") == "No head end."
+    long = "Some words, and more of them. " * 40
+    assert main_text(f"<article><div><h2>Heading without marks</h2></div><table><tr><td>1<td>2</table><p>{long}</p></article>") == f"Heading without marks\n1\n2\n{long.strip()}"
+    assert main_text("a < b <i>c</i>") == "a < b c" and main_text("<p>x</p><p>x</p>") == "x\nx"
+    assert len(main_text('<p class="a" ' * 100_000)) > 0 and len(main_text('<a """"' * 50_000)) > 0  # no blow-up
+
+
+def random_page(rng, marked):
+    """A page and its article's blocks, put together from known parts."""
+    from html import escape
+
+    text = lambda n: sentence(rng, n) + rng.choice([".", "!", ", and so on.", " & more <things>."])
+    body = [text(rng.randint(1, 60)) for _ in range(rng.randint(1, 8))]
+    inner, want = "", []
+    for b in body:
+        kind = rng.choice(["p", "p", "p", "h2", "li", "div", "blockquote"])
+        inside = escape(b).replace(" ", rng.choice([" ", "\n  ", " <b></b>"]), 1)
+        inner += f"<ul><li>{inside}</ul>" if kind == "li" else f"<{kind}>{inside}</{kind}>"
+        want.append(" ".join(b.split()))
+        if rng.random() < 0.3:
+            inner += rng.choice(["<script>var a = '<p>x</p>';</script>", f'<div class="share">{text(3)}</div>', f"<aside>{text(9)}</aside>", f"<form>{text(4)}<input></form>", "<!-- <p>no</p> -->"])
+    junk = [f"<nav><ul><li><a href=/>{text(1)}</a></ul></nav>", f'<div class="ad">{text(12)}</div>', f'<div id="sidebar"><p>{text(20)}</p></div>', f'<div class="cookie-banner">{text(9)}</div>', f"<header><p>{text(5)}</p></header>"]
+    tail = [f"<footer>{text(8)}</footer>", f'<section class="comments"><p>{text(30)}</p></section>', f'<div class="newsletter">{text(6)}</div>']
+    rng.shuffle(junk)
+    tag = rng.choice(["article", "main"]) if marked else "div"
+    page = f"<html><head><title>{text(4)}</title>{rng.choice(['</head>', ''])}<body>{''.join(junk[: rng.randint(0, 5)])}<{tag}>{inner}</{tag}>{''.join(tail[: rng.randint(0, 3)])}</body></html>"
+    return page, "\n".join(want)
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_html_of_known_parts(marked):
+    from tidelog.llm.html import main_text
+
+    rng, other = random.Random(23), 0
+    for _ in range(300):
+        page, want = random_page(rng, marked)
+        assert main_text(page) == want
+        other += main_text(page, threshold=0) != want
+    assert other > 150  # the ratios decide: without a threshold, doubted paths stay
+
+
+def test_html_rows(spark):
+    from tidelog.llm.html import extract
+
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>", "t", 9), (1, "u", "<p>a</p>", "t", 9), (None, "w", "<p>b</p>", None, None)], "page_id long, url string, html string, text string, n_chars long")
+    assert sorted((tuple(r) for r in extract(pages).collect()), key=repr) == [(1, "u", "a", 1), (1, "u", "a", 1), (None, "w", "b", 1)]
+    assert extract(pages.limit(0)).collect() == []
+
+
 def test_html_query(spark):
     from tidelog.llm.html import extract
 

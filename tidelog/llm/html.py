@@ -1,14 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
 A page's text nodes are gathered by root-to-leaf tag path (tags with their class and id words). Each
-path gets two ratios, text length per node and punctuation per node; both are smoothed over the paths
-of the same container, fused by their product, and thresholded against the page's best path. Paths
-through elements that are never article text (menus, page headers and footers, sidebars, notices,
-adverts, forms, comments, scripts, styles) have no weight. Where a page marks its article, only the
-paths through it compete.
-
-Defined cases: null or empty html gives an empty text; unclosed and stray tags are tolerated; an
-unclosed script, style or comment runs to the end of the page.
+path gets two ratios, text length per node and punctuation per node. Both are smoothed over the paths of
+the same container, or over the whole article where the page marks one, so that headings and cells share
+in the text around them; then they are fused by their product. Evidence against a path (a sidebar's tag,
+an advert's or comment's name, a place outside the marked article) scales its fused ratio down by
+``DOUBT`` each. Paths that reach ``threshold`` of the page's best one are the content. Only what can
+never be article text is left out beforehand: scripts, styles, head, navigation, menus, dialogs and forms.
+
+Defined cases: null or empty html gives an empty text, an empty table no rows; repeated rows and blocks are kept as
+often as they come; unclosed and stray tags, a missing ``</head>`` and broken quotes are tolerated; an
+unclosed script, style or comment runs to the end of the page; other columns of the pages don't matter.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import html as _html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,11 +27,12 @@ from pyspark.sql import DataFrame
 from tidelog.llm import _text as t
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|iframe|svg|title|head|button|option|object|canvas)\b.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|iframe|svg|title|button|option|object|canvas)\b.*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>\"']*)((?>[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/<>\"']*)([^<>]*)>",  # a quote that isn't closed: the tag ends at the next bracket
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -37,61 +41,90 @@ BLOCK = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody"}, "option": {"option"}}
 SCOPE = frozenset("ul ol table dl article section div main body".split())
 CONTAINER = frozenset("article main section div body td".split())
-DROPPED_TAGS = frozenset("nav footer aside form menu dialog".split())
-DROPPED_NAMES = re.compile(
-    r"^(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav(?:bar|igation)?|menus?|breadcrumbs?|sidebars?|side|widgets?|header|masthead|footer|site-header|site-footer|page-header|page-footer"
-    r"|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login|search|comments?|replies|reply|respond|discussion|disqus|social|share|sharing|related|recommended|pagination|pager|copyright|legal|toolbar|skip|hidden)$"
+#: never article text
+NEVER_TAGS = frozenset("nav form menu dialog head".split())
+#: what speaks against a path divides its ratio by ten thousand
+DOUBT = 0.0001
+DOUBTED_TAGS = frozenset("footer aside".split())
+_PLACES = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|mobile|desktop|post|blog|article|entry|content)"
+#: whole class, id and role names of elements that are boilerplate wherever they are
+DOUBTED_NAMES = re.compile(
+    rf"^(?:{_PLACES}[-_])?(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|nav(?:bar|igation)?|menus?|menubar|breadcrumbs?|sidebars?|widgets?|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay"
+    r"|newsletter|subscribe|signup|login|comments?|commentlist|disqus|social|share|sharing|pagination|pager|toolbar)$"
+    r"|^(?:ads?|advert|sponsored|promo)[-_](?:slot|container|banner|box|unit|wrapper|block|content|space|label|top|bottom|\d+)$"
+    r"|^(?:cookie|consent|gdpr)[-_](?:banner|notice|bar|consent|popup|message|policy)$"
+    r"|^comments?[-_](?:list|area|section|form|body|thread|\d+)$|^(?:user|reader)[-_]comments?$|^(?:share|social|sharing)[-_](?:buttons?|bar|links|icons|media|share|tools)$"
+    r"|^newsletter[-_](?:signup|form|box|widget)$|^related[-_](?:posts|articles|links|stories|content|news)$|^(?:complementary|banner|contentinfo|search|dialog)$"
 )
-#: share of the best path's smoothed ratio that a path needs
+#: and of those that are boilerplate outside of an article only
+DOUBTED_OUTSIDE = re.compile(rf"^(?:{_PLACES}[-_])?(?:header|masthead|footer|side|search|reply|replies|respond|discussion|related|recommended|copyright|legal|skip|hidden|skip-link|tagline)$")
+_COMMENT = re.compile(r"^comments?$|^comment[-_]")
+#: share of the best path's fused ratio that a path needs
 THRESHOLD = 0.02
 _PUNCTUATION = re.compile(r"[.,;:!?…。，]")
 
 
-#: names that say something of a page, not of the element, such as ``has-sidebar`` or ``comments-open``
-_STATES = re.compile(r"^(?:has|with|without|no|is|not)[-_]|[-_](?:open|closed|enabled|disabled)$")
+def _doubts(tag: str, names: list[str], in_article: bool, nested: bool) -> float:
+    """The factor that an element puts on the ratios of the paths through it; ``nested``: within an article."""
+    if tag == "article":  # an article within an article is a reader's comment
+        return DOUBT if nested or any(_COMMENT.match(n) for n in names) else 1.0
+    if tag in DOUBTED_TAGS or tag == "header" and not in_article:
+        return DOUBT
+    if tag in ("html", "body", "main"):
+        return 1.0
+    return DOUBT if any(DOUBTED_NAMES.match(n) or not in_article and DOUBTED_OUTSIDE.match(n) for n in names) else 1.0
 
 
-def _dropped(tag: str, names: list[str], in_article: bool) -> bool:
-    if tag in DROPPED_TAGS or tag == "header" and not in_article:
-        return True
-    if tag in ("html", "body", "main", "article"):
-        return False
-    for n in names:
-        parts = {n, *re.split(r"[-_]", n)} if not _STATES.search(n) else {n}
-        if any(DROPPED_NAMES.match(p) and not (in_article and p == "header") for p in parts):
-            return True
-    return False
+class Block(NamedTuple):
+    path: tuple[str, ...]
+    text: str
+    never: bool
+    weight: float
+    in_article: bool
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
-    """(path, text, dropped, in an article) of the page's blocks of text, in page order."""
-    out: list[tuple[tuple[str, ...], str, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path step, dropped, in an article
+class _Open(NamedTuple):
+    tag: str
+    step: str
+    never: bool
+    weight: float
+    in_article: bool
+    nested: bool
+
+
+_TOP = _Open("", "", False, 1.0, False, False)
+
+
+def blocks(page: str) -> list[Block]:
+    """The page's blocks of text, in page order."""
+    out: list[Block] = []
+    stack: list[_Open] = []
     parts: list[str] = []
-    where: tuple[tuple[str, ...], bool, bool] | None = None
+    where: Block | None = None
 
     def flush() -> None:
         nonlocal where
         if parts:
             if text := " ".join("".join(parts).split()):
-                out.append((where[0], text, where[1], where[2]))
+                out.append(where._replace(text=text))
             parts.clear()
         where = None
 
     def add(text: str) -> None:
         nonlocal where
-        if where is None or where[1] != (bool(stack) and stack[-1][2]):
+        top = stack[-1] if stack else _TOP
+        if where is None or (where.never, where.weight) != (top.never, top.weight):
             if not text.strip():
                 if parts:
                     parts.append(text)
                 return
             if where is not None:
                 flush()
-            where = (tuple(s[1] for s in stack if s[0] in BLOCK), bool(stack) and stack[-1][2], bool(stack) and stack[-1][3])
+            where = Block(tuple(s.step for s in stack if s.tag in BLOCK), "", top.never, top.weight, top.in_article)
         parts.append(text)
 
     def pop_to(k: int) -> None:
-        if any(s[0] in BLOCK for s in stack[k:]):
+        if any(s.tag in BLOCK for s in stack[k:]):
             flush()
         del stack[k:]
 
@@ -100,12 +133,13 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
         if m.start() > at:
             add(_html.unescape(page[at : m.start()]))
         at = m.end()
-        if m[3] is None:
+        closing, tag, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
+        if tag is None:
             continue
-        tag = m[3].lower()
-        if m[2]:
+        tag = tag.lower()
+        if closing:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+                if stack[k].tag == tag:
                     pop_to(k)
                     break
             else:
@@ -115,60 +149,75 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
         if tag == "br":
             add(" ")
             continue
+        if tag in BLOCK or tag == "body":
+            for k, s in enumerate(stack):  # content ends the head
+                if s.tag == "head":
+                    pop_to(k)
+                    break
+                if s.tag in BLOCK and s.tag != "html":
+                    break
         if tag in BLOCK:
             for k in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                if stack[k][0] == "p":
+                if stack[k].tag == "p":
                     pop_to(k)
                     break
-                if stack[k][0] in SCOPE:
+                if stack[k].tag in SCOPE:
                     break
             if tag in CLOSES:
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in CLOSES[tag]:
+                    if stack[k].tag in CLOSES[tag]:
                         pop_to(k)
                         break
-                    if stack[k][0] in SCOPE:
+                    if stack[k].tag in SCOPE:
                         break
             flush()
-        if tag in VOID or m[4].endswith("/") and tag not in BLOCK:
+        if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
-        names = [n.lower() for x in _NAMES.findall(m[4]) for n in "".join(x).split()] if m[4] else []
-        article = bool(stack) and stack[-1][3] or tag in ("article", "main")
-        dropped = bool(stack) and stack[-1][2] or _dropped(tag, names, article)
-        stack.append((tag, ".".join([tag, *names]), dropped, article))
+        names = [n.lower() for x in _NAMES.findall(attributes) for n in "".join(x).split()] if attributes else []
+        top = stack[-1] if stack else _TOP
+        article = top.in_article or tag in ("article", "main")
+        weight = top.weight * _doubts(tag, names, top.in_article, top.nested)
+        stack.append(_Open(tag, ".".join([tag, *names]), top.never or tag in NEVER_TAGS, weight, article, top.nested or tag == "article"))
     if at < len(page):
         add(_html.unescape(page[at:]))
     flush()
     return out
 
 
+def fused_ratios(found: list[Block]) -> dict[tuple, float]:
+    """Each path's smoothed length and punctuation per node, multiplied, and scaled by the evidence against it."""
+    marked = any(b.in_article and b.weight == 1.0 for b in found)
+    length, marks, nodes = defaultdict(int), defaultdict(int), defaultdict(int)
+    for b in found:
+        key = b.path, b.weight, b.in_article
+        nodes[key] += 1
+        length[key] += len(b.text)
+        marks[key] += len(_PUNCTUATION.findall(b.text))
+    group: dict[tuple, tuple] = {}
+    total = defaultdict(lambda: [0, 0, 0])
+    for key in nodes:
+        path, weight, in_article = key
+        # the nearest container, or the article as a whole; doubted paths don't share in others' text
+        last = next((i for i in range(len(path), 0, -1) if path[i - 1].split(".")[0] in CONTAINER), 0)
+        group[key] = (True, weight) if in_article else (path[:last], weight)
+        for i, x in enumerate((length[key], marks[key], nodes[key])):
+            total[group[key]][i] += x
+    fused = {}
+    for key, n in nodes.items():
+        size, punctuation, count = total[group[key]]
+        ratio = (length[key] / n + size / count) / 2 * (0.1 + (marks[key] / n + punctuation / count) / 2)
+        fused[key] = ratio * key[1] * (DOUBT if marked and not key[2] else 1.0)
+    return fused
+
+
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The page's article: the blocks of the paths whose fused ratio reaches the threshold, one a line."""
-    if not page:
-        return ""
-    found = [b for b in blocks(page) if not b[2]]
-    if any(b[3] for b in found):
-        found = [b for b in found if b[3]]
+    found = [b for b in blocks(page or "") if not b.never]
     if not found:
         return ""
-    length, marks, nodes = defaultdict(int), defaultdict(int), defaultdict(int)
-    for path, text, *_ in found:
-        nodes[path] += 1
-        length[path] += len(text)
-        marks[path] += len(_PUNCTUATION.findall(text))
-    group: dict[tuple[str, ...], tuple[str, ...]] = {}
-    total = defaultdict(lambda: [0, 0, 0])
-    for path in nodes:  # the nearest container's path
-        k = next((i for i in range(len(path), 0, -1) if path[i - 1].split(".")[0] in CONTAINER), 0)
-        group[path] = path[:k]
-        for i, x in enumerate((length[path], marks[path], nodes[path])):
-            total[path[:k]][i] += x
-    fused = {}
-    for path, n in nodes.items():
-        size, punctuation, count = total[group[path]]
-        fused[path] = (length[path] / n + size / count) / 2 * (0.1 + (marks[path] / n + punctuation / count) / 2)
-    best = max(fused.values())
-    return "\n".join(text for path, text, *_ in found if fused[path] >= threshold * best)
+    fused = fused_ratios(found)
+    least = threshold * max(fused.values())
+    return "\n".join(b.text for b in found if fused[b.path, b.weight, b.in_article] >= least)
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
