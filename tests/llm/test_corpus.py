@@ -351,6 +351,80 @@ def test_license_scan(spark, docs, rows):
     assert got[901]["score"] > 0 and got[1]["score"] == 0
 
 
+SIGNED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+ of this software and associated documentation files (the "Software"), to deal""",
+    "bsd": """// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are
+// met:""",
+    "bsd-3-clause": "Neither the name of Google Inc. nor the names of its\n * contributors may be used to endorse or promote products derived from\n * this software",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "zlib": "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+    "apache-2.0": '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.',
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.",
+    "gnu-gpl-2.0": "under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version 2 of the License",
+    "gnu-lgpl-2.1": "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1",
+    "cc-by-sa-4.0": "see https://creativecommons.org/licenses/by-sa/4.0/ for it",
+    "cc0-1.0": "http://creativecommons.org/publicdomain/zero/1.0/",
+    "gnu-gpl-3.0": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "bsd-2-clause": '"license": "BSD-2-Clause"',
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "openssl": "This product includes software developed by the OpenSSL Project\n for use in the OpenSSL Toolkit.",
+    "commercial": "Unauthorized copying of this file, via any medium, is strictly prohibited",
+    "alle-rechte": "Alle Rechte vorbehalten.",
+    "open-access": "This is an open access article distributed under the terms of the Creative Commons Attribution License",
+}
+
+
+@pytest.mark.parametrize("label", list(SIGNED))
+def test_signatures(label):
+    from tidelog.llm.licenses import detect
+
+    assert label in {d.label for d in detect(f"some text before. {SIGNED[label]} and after".lower())}
+    assert detect("nothing of the kind, only a permit for a general of the public") == []
+
+
+def test_scan_against_all_rules_and_all_pairs():
+    """Without keywords, and with every detection compared to every other."""
+    from tidelog.llm.licenses import detect, rules
+
+    rng = random.Random(31)
+    parts = [x.lower() for x in SIGNED.values()] + ["gpl v3", "licensed under the mit license", "cc by-nc-sa 4.0", "apache 2.0 license", "copyright (c) 1999", "public domain", "bsd-style license", "words between."]
+    for _ in range(60):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        every = {k for r in rules() for k in r.keywords} | {"licen", "license", "spdx-license", "reserved"}
+        whole = detect(text, every)
+        assert detect(text) == whole
+        for d in whole:
+            assert not any(o.start <= d.start and d.end <= o.end and (o.priority > d.priority or o.priority == d.priority and o != d) for o in whole)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_suppression_against_pairs(seed):
+    from tidelog.llm.licenses import Detection, suppressed
+
+    rng = random.Random(seed)
+    found = [Detection(s := rng.randint(0, 40), s + rng.randint(1, 15), rng.choice("abc"), rng.choice([10, 20, 30])) for _ in range(rng.randint(0, 60))]
+    want: list = []
+    for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
+        if not any(k.start <= d.start and d.end <= k.end for k in want):
+            want.append(d)
+    assert suppressed(found) == sorted(want)
+
+
+def test_a_very_long_text_of_names(spark):
+    import time
+
+    from tidelog.llm.licenses import detect, scan
+
+    text = "licensed under the gnu general public license, version 3. mit license and cc by-sa 4.0; " * 12_000  # a megabyte
+    began = time.time()
+    assert len(detect(text)) == 36_000 and time.time() - began < 20
+    odd = spark.createDataFrame([(None, "mit license", "x"), (5, None, "y"), (5, "", "z")], "doc_id long, text string, labels string")
+    assert sorted((tuple(r) for r in scan(odd).select("doc_id", "labels", "n_words").collect()), key=repr) == [(5, "", 0), (5, "", 0), (None, "mit", 2)]
+    assert scan(odd.limit(0)).collect() == []
+
+
 def test_contained_detections_are_suppressed():
     from tidelog.llm.licenses import detect
 
