@@ -208,6 +208,66 @@ def test_shards_are_near_equal(spark):
     assert len(total) == 24 and max(total) < 1.1 * min(total)
 
 
+def brute_tree(items, targets, first=0):
+    """The leaf of each item (weight, positions, tie) by plain recursion over sorted lists."""
+    from tidelog.llm.sharding import DIMENSIONS
+
+    n = len(targets)
+    if n == 1 or not items:
+        return {i["h"]: first for i in items}
+    spread = {d: max(i[d] for i in items) - min(i[d] for i in items) for d in DIMENSIONS}
+    d = max(DIMENSIONS, key=lambda d: (spread[d], -DIMENSIONS.index(d)))
+    items = sorted(items, key=lambda i: (i[d], i["tie"]))
+    want = sum(i["weight"] for i in items) * (sum(targets[: n // 2]) / sum(targets) if sum(targets) else (n // 2) / n)
+    before, at = 0, len(items)
+    for k, i in enumerate(items):
+        if before + i["weight"] > want:
+            at = k + (before + i["weight"] - want < want - before)
+            break
+        before += i["weight"]
+    return brute_tree(items[:at], targets[: n // 2], first) | brute_tree(items[at:], targets[n // 2 :], first + n // 2)
+
+
+@pytest.mark.parametrize("targets", [[1.0] * 7, [5.0, 0.0, 1.0, 2.0, 2.0], [1.0] * 24])
+def test_tree_against_recursion(docs, targets):
+    from tidelog.llm import sharding as s
+
+    items = s._items(s._narrow(docs)).cache()
+    want = brute_tree([r.asDict() for r in items.collect()], targets)
+    assert {r["h"]: r["node"] for r in s._placed(items, targets).collect()} == want
+
+
+def test_heavy_groups_fill_the_emptiest_shards():
+    from tidelog.llm.sharding import _deal
+
+    where, left = _deal([(("a",), 90), (("b",), 30), (("c",), 20)], 60, 4)
+    assert where == {("a",): 0, ("b",): 1, ("c",): 2} and left == pytest.approx([0.0, 110 / 3 - 30, 110 / 3 - 20, 110 / 3])
+    assert _deal([], 12, 3)[1] == [4.0] * 3
+
+
+def test_equal_texts_share_a_shard(spark):
+    from tidelog.llm.sharding import shard
+
+    rng = random.Random(9)
+    texts = [sentence(rng, rng.randint(1, 30)) for _ in range(150)]
+    rows = [(k, rng.choice(texts), rng.choice("ab"), rng.choice("xyz"), 0) for k in range(600)] + [(None, texts[0], None, None, None), (None, None, None, None, None)]
+    got = shard(spark.createDataFrame(rows, SCHEMA), 6).collect()
+    by, total = {}, Counter()
+    for r in got:
+        by.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
+        total[r["shard"]] += r["size"]
+    assert len(got) == len(rows) and all(len(x) == 1 for x in by.values())
+    assert max(total.values()) < 1.1 * min(total.values())
+    # a third of all bytes in one text: too much for a shard, the others stay together
+    many = [(k, texts[0] if k % 3 == 0 else texts[k % 150], "a", "x", 0) for k in range(3000)]
+    held = {}
+    total = Counter()
+    for r in shard(spark.createDataFrame(many, SCHEMA), 6).collect():
+        held.setdefault(r["text_crc32"], set()).add(r["shard"])
+        total[r["shard"]] += r["size"]
+    assert sum(len(x) > 1 for x in held.values()) <= 1 and max(total.values()) < 1.15 * min(total.values())
+
+
 # --- suffix-array dedup ------------------------------------------------------------------------
 
 
