@@ -108,6 +108,35 @@ def test_runs_reach_the_recall():
     assert runs_for(0.999, 1) < runs_for(0.999, 3) <= 16
 
 
+def test_ids_may_be_missing_or_repeated(spark):
+    from tidelog.llm.near_duplicates import jaccard_join, keep_one
+
+    rng = random.Random(12)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    near = a + " and then some more"
+    rows = [(1, a, "x", None, 1), (1, a, "x", None, 2), (1, b, "x", None, 3), (None, near, "x", None, 4), (None, c, "x", None, 5), (None, c, "x", None, 6), (None, None, "x", None, 7), (None, "", "x", None, 8), (9, a, "x", None, 9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = Counter(tuple(r) for r in jaccard_join(df).collect())
+    want = Counter({(1, 1, 1, 3): 2, (1, 1, 0, 0): 1, (None, 1, 1, 3): 1, (None, None, 0, 1): 2, (None, None, 0, 0): 2, (9, 1, 1, 3): 1})
+    assert got == want
+    kept = sorted(r["n_chars"] for r in keep_one(df).collect())
+    assert kept in ([1, 3, 5, 7, 8], [1, 3, 6, 7, 8], [2, 3, 5, 7, 8], [2, 3, 6, 7, 8])  # one row of each class
+
+
+@pytest.mark.parametrize("chunk", [3, 64])
+def test_bands_of_sizes_lose_no_link(spark, chunk):
+    """Prefixes of one text: a chain of links through all sizes, all in one candidate group or a few."""
+    from tidelog.llm.near_duplicates import jaccard_join
+
+    rng = random.Random(13)
+    words = sentence(rng, 400).split()
+    rows = [(k, " ".join(words[: 40 + 9 * k]), None, None, 0) for k in range(40)]
+    got = by_id(jaccard_join(spark.createDataFrame(rows, SCHEMA), bucket=8, chunk=chunk))
+    size = {k: 36 + 9 * k for k in range(40)}
+    want = {k: sum(5 * min(size[k], size[j]) >= 4 * max(size[k], size[j]) for j in size if j != k) for k in size}
+    assert {k: r["n_links"] for k, r in got.items()} == want
+
+
 def test_keep_one(docs, rows):
     from tidelog.llm.near_duplicates import keep_one
 

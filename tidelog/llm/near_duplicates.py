@@ -8,14 +8,16 @@ brute force on token sketches, larger ones are split again; the number of runs f
 target recall at the deepest level. Buckets that stay large there are compared in pairs of bounded
 chunks.
 
-Candidate pairs only serve to form candidate groups. Within a group, all pairs of sets are verified
-exactly on whole shingle sets, in pairs of chunks of bounded size; a pair is never emitted, only each
-set's number of links and a spanning forest of the chunk pair. So a link between two sets of one
-candidate group can't be lost, whichever run found the group.
-
-Defined cases: rows with a null id take no part; a null text is empty; a text with one to four words
-has one shingle of them all; a text without words links to nothing; repeated ids with different
-texts take part by text, and the class of an id is the smallest of its texts' classes.
+Candidate pairs only serve to form candidate groups. Sets at the threshold differ in size by a fifth at
+most, so a group is divided into bands of sizes, each a fifth above the last; all pairs of sets of one band, and
+of two neighbouring ones, are verified exactly on whole shingle sets, in pairs of chunks bounded by sets
+and by bytes. A pair is never emitted, only each set's number of links and a spanning forest of the chunk
+pair. So a link between two sets of one candidate group can't be lost, whichever run found the group.
+
+Sets are named by a hash of their shingles, so ids may be missing or repeated. Defined cases: a null text
+is empty; a text with one to four words has one shingle of them all; a text without words links to nothing;
+a class's id is the smallest id in it, and null if none of its documents has one; repeated rows are
+documents of one text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,9 +39,9 @@ TOKENS = 64
 DEPTH = 3
 RECALL = 0.999
 #: a bucket of at most this many sets is compared by brute force (72 bytes a set)
-BUCKET = 4096
-#: sets on either side of an exact comparison
-CHUNK = 256
+BUCKET = 1024
+#: sets on either side of an exact comparison, and their bytes of shingles
+CHUNK, CHUNK_BYTES = 1024, 8 << 20
 #: share of equal tokens from which a pair is a candidate: the threshold less four standard deviations
 CANDIDATE = 0.6
 
@@ -257,17 +259,14 @@ def _buckets(sets: DataFrame, similarity: float, runs: int, depth: int, bucket:
 
 
 def _verify(groups: DataFrame, docs: DataFrame, similarity: float, chunk: int) -> DataFrame:
-    """(sid, other, links, linked_docs) of candidate groups (gid, sid, h1, n_texts, n_docs): counts, and forest edges."""
+    """(sid, other, links, linked_docs) of candidate groups (gid, sid, n, n_texts, n_docs, doc_id, text_hash): counts, and forest edges."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            want = b.column(1).to_numpy(zero_copy_only=False)
-            for lo, hi, data, off in t.chunks(b.column(2)):
+            for lo, hi, data, off in t.chunks(b.column(1)):
                 x, border = shingles(data, off)
-                h1, _ = _set_hash(x, border)
                 blob = [np.sort(x[border[i] : border[i + 1]]).tobytes() for i in range(hi - lo)]
-                out = pa.record_batch([b.column(0).slice(lo, hi - lo), pa.array(blob, pa.binary())], ["sid", "x"])
-                yield out.filter(pa.array(h1 == want[lo:hi]))
+                yield pa.record_batch([b.column(0).slice(lo, hi - lo), pa.array(blob, pa.binary())], ["sid", "x"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, 3):
@@ -288,12 +287,22 @@ def _verify(groups: DataFrame, docs: DataFrame, similarity: float, chunk: int) -
                 out += [(int(ids[u]), int(ids[v]), 0, 0) for u, v in _linked(same)]
             yield pa.record_batch([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], ["sid", "other", "links", "linked_docs"])
 
-    ids = groups.select(F.col("sid").alias("doc_id"), "h1")
-    x = docs.join(ids, "doc_id").select("doc_id", "h1", "text").mapInArrow(sets_of, "sid long, x binary")
-    size = groups.groupBy("gid").agg(F.ceil(F.count("*") / chunk).cast("int").alias("m"))
+    # one text of each set: by its document, or of those without an id by the text's hash
+    named = groups.where("doc_id is not null").select("sid", "doc_id", "text_hash").join(docs, ["doc_id", "text_hash"]).select("sid", "text")
+    nameless = groups.where("doc_id is null").select("sid", "text_hash").join(docs.where("doc_id is null"), "text_hash").groupBy("sid").agg(F.first("text").alias("text"))
+    x = named.unionByName(nameless).mapInArrow(sets_of, "sid long, x binary")
+    # two sets at the threshold are of one band of sizes or of neighbouring ones
+    groups = groups.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -math.log(similarity) * (1 - 1e-9)).cast("int"))
+    size = groups.groupBy("gid", "band").agg(F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum("n") * 8 / CHUNK_BYTES)).cast("int").alias("m"))
+    above = size.select("gid", (F.col("band") - 1).alias("band"), F.col("m").alias("m_above"))
+    below = size.select("gid", (F.col("band") + 1).alias("band"), F.col("m").alias("m_below"))
+    rows = groups.join(size.join(above, ["gid", "band"], "left").join(below, ["gid", "band"], "left"), ["gid", "band"])
+    chunk_of = lambda band, k: band.cast("long") * (1 << 31) + k.cast("long")
     own = F.pmod(F.xxhash64("sid"), F.col("m")).cast("int")
-    rows = groups.join(size, "gid").withColumn("own", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    rows = rows.join(x, "sid").select("gid", F.least("own", "j").alias("low"), F.greatest("own", "j").alias("high"), "sid", "own", "n_texts", "n_docs", "x")
+    others = lambda m, band: F.when(m.isNotNull(), F.transform(F.sequence(F.lit(0), m - 1), lambda j: chunk_of(band, j))).otherwise(F.array().cast("array<bigint>"))
+    rows = rows.withColumn("own", chunk_of(F.col("band"), own))
+    rows = rows.withColumn("to", F.explode(F.concat(others(F.col("m"), F.col("band")), others(F.col("m_above"), F.col("band") + 1), others(F.col("m_below"), F.col("band") - 1))))
+    rows = rows.join(x, "sid").select("gid", F.least("own", "to").alias("low"), F.greatest("own", "to").alias("high"), "sid", "own", "n_texts", "n_docs", "x")
     key = ["gid", "low", "high"]
     return rows.repartition(*key).sortWithinPartitions(*key, "sid").mapInArrow(compare, "sid long, other long, links long, linked_docs long")
 
@@ -324,32 +333,56 @@ def similar(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarra
     return same & (both > 0)
 
 
-def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, bucket: int = BUCKET, chunk: int = CHUNK) -> DataFrame:
-    """One row per document: class, links to other texts, and documents linked.
-
-    ``class_id`` is the smallest id that links lead to; ``n_links`` counts the different texts at the
-    threshold or above, ``n_linked_docs`` the other documents with them or with the same set.
-    """
+def _classified(docs: DataFrame, similarity: float, recall: float, depth: int, bucket: int, chunk: int) -> DataFrame:
+    """doc_id, text_hash and n (shingles) of each document, its class by name and by smallest id, and its links."""
     t.tuned(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    signed = t.checkpoint(docs.select("doc_id", text_hash.alias("text_hash"), "text").mapInArrow(_signatures, "doc_id long, text_hash long, h1 long, h2 long, n long, tokens binary"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", _text_hash())
+    signed = t.checkpoint(docs.select("doc_id", "text_hash", "text").mapInArrow(_signatures, "doc_id long, text_hash long, h1 long, h2 long, n long, tokens binary"))
     key = ["h1", "h2"]
-    texts = signed.where("n > 0").groupBy(*key, "text_hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("docs"), F.first("tokens").alias("tokens"))
-    sets = t.checkpoint(texts.groupBy(*key).agg(F.min("doc_id").alias("sid"), F.count("*").alias("n_texts"), F.sum("docs").alias("n_docs"), F.first("tokens").alias("tokens")))
+    texts = signed.where("n > 0").groupBy(*key, "text_hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("docs"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    sets = texts.groupBy(*key).agg(first.alias("first"), F.count("*").alias("n_texts"), F.sum("docs").alias("n_docs"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    sets = t.checkpoint(sets.select(F.xxhash64(*key).alias("sid"), *key, "first.doc_id", "first.text_hash", "n_texts", "n_docs", "n", "tokens"))
     edges = _buckets(sets, similarity, runs_for(recall, depth, similarity), depth, bucket)
     groups = components(edges).select(F.col("node").alias("sid"), F.col("component").alias("gid"))
-    groups = t.checkpoint(groups.join(sets.select("sid", "h1", "n_texts", "n_docs"), "sid"))
+    groups = t.checkpoint(groups.join(sets.drop("tokens", *key), "sid"))
     found = t.checkpoint(_verify(groups, docs, similarity, chunk))
     links = found.where("other is null").groupBy("sid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
-    classes = components(found.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
-    known = sets.drop("tokens").join(links, "sid", "left").join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left")
-    known = known.select(*key, F.coalesce("component", "sid").alias("class_id"), (F.col("n_texts") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), (F.col("n_docs") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_linked_docs"))
-    out = signed.select("doc_id", *key, "n").join(known, key, "left")
-    return out.select("doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links"), F.when(F.col("n") > 0, F.col("n_linked_docs")).otherwise(0).alias("n_linked_docs"))
+    classes = components(found.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("sid"), F.col("component").alias("class"))
+    least = classes.join(groups.select("sid", "doc_id"), "sid").groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    known = sets.drop("tokens", "n").join(links, "sid", "left").join(classes.join(least, "class"), "sid", "left")
+    known = known.select(
+        *key, F.coalesce("class", "sid").alias("class"), F.when(F.col("class").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        (F.col("n_texts") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), (F.col("n_docs") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_linked_docs"),
+    )
+    return signed.select("doc_id", "text_hash", *key, "n").join(known, key, "left").drop(*key)
+
+
+def _text_hash() -> F.Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, depth: int = DEPTH, bucket: int = BUCKET, chunk: int = CHUNK) -> DataFrame:
+    """One row per document: class, links to other texts, and documents linked.
+
+    ``class_id`` is the smallest id that links lead to; ``n_links`` counts the different texts at the
+    threshold or above, ``n_linked_docs`` the other documents with them or with the same set.
+    """
+    out = _classified(docs, similarity, recall, depth, bucket, chunk)
+    has = F.col("n") > 0
+    return out.select("doc_id", F.when(has, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(has, F.col("n_links")).otherwise(0).alias("n_links"), F.when(has, F.col("n_linked_docs")).otherwise(0).alias("n_linked_docs"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents, with all their columns, of which one of each class stays: that with the smallest id."""
-    first = jaccard_join(docs, similarity).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    """The documents, with all their columns, of which one of each class stays: one row of the smallest id.
+
+    A document without an id stays if no other of its class has one; texts without words all stay.
+    """
+    id_, hash_ = "__tidelog_id", "__tidelog_hash"
+    named = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("r")
+    kept = _classified(docs.where(some), similarity, RECALL, DEPTH, BUCKET, CHUNK).groupBy("class").agg(first)
+    kept = kept.select(F.coalesce("r.doc_id", F.lit(-(1 << 63))).alias(id_), F.col("r.text_hash").alias(hash_))
+    rows = docs.where(some).withColumn(id_, named).withColumn(hash_, _text_hash()).join(kept, [id_, hash_], "left_semi")
+    return rows.dropDuplicates([id_, hash_]).select(*docs.columns).unionByName(docs.where(~some))
