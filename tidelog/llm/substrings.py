@@ -3,16 +3,15 @@
 Every 50-byte string holds an anchor: the smallest hash among its 24-byte grams, so equal strings have
 equal anchors at equal places. Whole copies of an earlier document are found first, by a narrow join of
 text digests. The other documents are dealt into blocks of a few megabytes. A block sends each distinct
-(anchor, surroundings) pair once, as hashes with its smallest document; an anchor's bucket answers which
-anchors occur in several documents, and only of these the surroundings are sent as bytes, once each from
+anchor once, with its first and last document and how many surroundings it has; the anchor's bucket answers
+which anchors occur in several documents, and only of these the surroundings are sent as bytes, once each from
 a block. There equal surroundings are recognised by their bytes, the suffixes of the distinct ones are
 sorted in two stages, adjacent common prefixes of 50 bytes or more form runs, and a suffix whose run
 holds a smaller id is covered. Hashes only choose what is sent; what is removed has been compared byte by
 byte, but for whole copies (SHA-256 of the text) and hot anchors (see below).
 
 A hot anchor (a frequent line, with other text around it in every document) has more surroundings than
-one task should hold. A block sends only the first few of them, which tells that the anchor is hot; then
-the 50-byte strings around its gram are dealt out by their own hashes, each distinct string once from
+one task should hold, as their numbers tell; then the 50-byte strings around its gram are dealt out by their own hashes, each distinct string once from
 each block with its smallest document. So only equal strings meet, and no group grows with the number
 of documents but with the number of blocks.
 
@@ -39,12 +38,11 @@ GRAM = 24
 BLOCK_BYTES = 6 << 20
 #: anchors that one bucket holds, about
 BUCKET_ANCHORS = 250_000
-#: surroundings of one anchor in a block, and in all of them, beyond which the anchor is hot
+#: surroundings of one anchor in a block, and in all of them together, beyond which the anchor is hot
 BLOCK_MOST, BUCKET_MOST = 64, 8192
 #: columns of a document's block and of its text's hash, named so that they meet no column of the documents
 BLOCK, DIGEST = "__tidelog_block", "__tidelog_digest"
 _SLICE = 1 << 18
-_LOW48 = np.uint64((1 << 48) - 1)
 #: anchors are least hashes, so their own bits are not even; mixed again, they are
 _SALT = np.uint64(0x6A09E667F3BCC909)
 
@@ -68,8 +66,8 @@ class _Anchors:
         self.start = np.maximum(self.at - (LENGTH - GRAM), self.off[self.doc])
         self.end = np.minimum(self.at + LENGTH, self.off[self.doc + 1])
         # anchors that agree in these bits by chance only send more surroundings to the sort
-        self.low, self.around = self.key & np.uint64(0xFFFFFFFF), around & _LOW48
-        self.name = t.mix(self.low * np.uint64(0x9E3779B97F4A7C15) + self.around)
+        self.low = self.key & np.uint64(0xFFFFFFFF)
+        self.name = t.mix(self.key * np.uint64(0x9E3779B97F4A7C15) + around)
         # the first place of each (anchor, surroundings) in the block: that of its smallest document
         _, self.first, back = np.unique(self.name, return_index=True, return_inverse=True)
         self.earlier = self.doc_id[self.doc[self.first]][back] < self.doc_id[self.doc] if len(self.at) else np.zeros(0, bool)
@@ -107,7 +105,7 @@ class _Anchors:
 
     def strings(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the strings around the grams of hot anchors."""
-        hot = np.isin(self.key, self.key[np.isin(self.name, _names(answers, HOT))]) & (self.end - self.start >= LENGTH)
+        hot = np.isin(self.low, _names(answers, HOT).astype(np.uint64)) & (self.end - self.start >= LENGTH)
         n = len(self.data)
         first, last = self.start[hot], np.minimum(self.at, self.end - LENGTH)[hot]
         start = np.flatnonzero(np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1)))
@@ -143,20 +141,11 @@ def _runs(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(sorted_values[s]), int(s), int(e)
 
 
-def _pack48(x: np.ndarray) -> bytes:
-    return (x >> np.uint64(16)).astype("<u4").tobytes() + x.astype("<u2").tobytes()
-
-
-def _unpack48(blob: bytes) -> np.ndarray:
-    n = len(blob) // 6
-    return (np.frombuffer(blob, "<u4", n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(blob, "<u2", n, 4 * n)
-
-
 def _table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.Table:
     return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(types)], names)
 
 
-_SENT = ["bucket", "block", "anchor", "around", "doc", "ids"]
+_SENT = ["bucket", "block", "anchor", "doc", "n", "ids"]
 _SENT_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 _ANSWER = "block int, kind int, blob binary"
 _ANSWER_TYPES = [pa.int32(), pa.int32(), pa.binary()]
@@ -180,55 +169,54 @@ def _send(buckets: int):
             return _table([], _SENT, _SENT_TYPES)
         block = table[BLOCK][0].as_py()
         a = _Anchors(table)
-        own = np.sort(a.first)
-        own = own[np.argsort(a.key[own], kind="stable")]
-        new = np.append(True, a.key[own][1:] != a.key[own][:-1]) if len(own) else np.zeros(0, bool)
-        own = np.sort(own[np.arange(len(own)) - np.flatnonzero(new)[np.cumsum(new) - 1] <= BLOCK_MOST])
-        b = a.bucket(own, buckets)
+        order = np.argsort(a.key, kind="stable")
+        head = np.append(True, a.key[order][1:] != a.key[order][:-1]) if len(order) else np.zeros(0, bool)
+        one = np.flatnonzero(head)
+        first, last = order[one], order[np.append(one[1:], len(order)) - 1] if len(one) else order  # in order of documents
+        fresh = np.zeros(len(order), bool)
+        fresh[a.first] = True
+        n = np.minimum(np.add.reduceat(fresh[order], one, dtype=np.int64) if len(one) else one, BLOCK_MOST + 1)
+        b = a.bucket(first, buckets)
         order = np.argsort(b, kind="stable")
         rows = []
         for k, s, e in _runs(b[order]):
-            x = own[order[s:e]]
-            docs, doc = np.unique(a.doc[x], return_inverse=True)
-            rows.append((k, block, a.low[x].astype("<u4").tobytes(), _pack48(a.around[x]), doc.astype("<u4").tobytes(), a.doc_id[docs].astype("<i8").tobytes()))
+            x = order[s:e]
+            docs, doc = np.unique(np.concatenate((a.doc[first[x]], a.doc[last[x]])), return_inverse=True)
+            rows.append((k, block, a.low[first[x]].astype("<u4").tobytes(), doc.astype("<u4").tobytes(), n[x].astype("<u1").tobytes(), a.doc_id[docs].astype("<i8").tobytes()))
         return _table(rows, _SENT, _SENT_TYPES)
 
     return go
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """What a bucket's anchors tell each block: which surroundings are wanted as bytes, since another document has the anchor, and which have a hot anchor."""
-    block, low, around, doc = [], [], [], []
+    """What a bucket's anchors tell each block: of which the surroundings are wanted as bytes, since another document has the anchor, and which are hot."""
+    block, low, least, most, n = [], [], [], [], []
     for r in table.to_pylist():
-        low.append(np.frombuffer(r["anchor"], "<u4").astype(np.uint64))
-        around.append(_unpack48(r["around"]))
-        doc.append(np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["doc"], "<u4")])
+        low.append(np.frombuffer(r["anchor"], "<u4"))
+        ids = np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["doc"], "<u4").reshape(2, -1)]
+        least.append(ids[0])
+        most.append(ids[1])
+        n.append(np.frombuffer(r["n"], "<u1").astype(np.int64))
         block.append(np.full(len(low[-1]), r["block"], np.int32))
-    block, low, around, doc = map(np.concatenate, (block, low, around, doc))
-    order = np.lexsort((around, low))
-    block, low, around, doc = block[order], low[order], around[order], doc[order]
-    anchor_head, head = np.ones(len(low), bool), np.ones(len(low), bool)
-    anchor_head[1:] = low[1:] != low[:-1]
-    head[1:] = anchor_head[1:] | (around[1:] != around[:-1])
-    anchor, first = np.cumsum(anchor_head) - 1, np.flatnonzero(anchor_head)
-    several = (np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))[anchor]
-    hot = np.bincount(anchor[head]) > BUCKET_MOST
-    most = np.flatnonzero(np.bincount(anchor)[anchor] > BLOCK_MOST)
-    pair, n = np.unique(anchor[most] << 32 | block[most], return_counts=True)
-    hot[pair[n > BLOCK_MOST] >> 32] = True
-    hot = hot[anchor]
-    name = t.mix(low * np.uint64(0x9E3779B97F4A7C15) + around)
+    block, low, least, most, n = map(np.concatenate, (block, low, least, most, n))
+    order = np.argsort(low, kind="stable")
+    block, low, least, most, n = block[order], low[order], least[order], most[order], n[order]
+    head = np.append(True, low[1:] != low[:-1])
+    anchor, first = np.cumsum(head) - 1, np.flatnonzero(head)
+    several = (np.minimum.reduceat(least, first) < np.maximum.reduceat(most, first))[anchor]
+    hot = ((np.add.reduceat(n, first) > BUCKET_MOST) | (np.maximum.reduceat(n, first) > BLOCK_MOST))[anchor]
     rows = []
     for kind, mask in ((WANTED, several & ~hot), (HOT, hot)):
         own = np.flatnonzero(mask)
         own = own[np.argsort(block[own], kind="stable")]
-        rows += [(b, kind, name[own[s:e]].astype("<u8").tobytes()) for b, s, e in _runs(block[own])]
+        rows += [(b, kind, low[own[s:e]].tobytes()) for b, s, e in _runs(block[own])]
     return _table(rows, ["block", "kind", "blob"], _ANSWER_TYPES)
 
 
 def _names(answers: pa.Table, kind: int) -> np.ndarray:
+    """The anchors' low bits (wanted, hot) or the strings' hashes of one kind, sorted."""
     blobs = [b for k, b in zip(answers["kind"].to_pylist(), answers["blob"].to_pylist(), strict=True) if k == kind]
-    return np.sort(np.frombuffer(b"".join(blobs), "<u8"))
+    return np.sort(np.frombuffer(b"".join(blobs), "<u8" if kind == STRINGS else "<u4"))
 
 
 _PASSAGES = ["bucket", "block", "name", "doc", "size", "data"]
@@ -244,7 +232,7 @@ def _passages(buckets: int):
         if not (len(want) or len(_names(answers, HOT))) or not table.num_rows:
             return _table([], _PASSAGES, _PASSAGE_TYPES)
         a = _Anchors(table)
-        own = a.first[np.isin(a.name[a.first], want)]
+        own = a.first[np.isin(a.low[a.first], want.astype(np.uint64))]
         b = a.bucket(own, buckets)
         order = np.argsort(b, kind="stable")
         rows = []
@@ -446,7 +434,7 @@ def _answers(docs: DataFrame, block_bytes: int, bucket_anchors: int) -> tuple[Da
     docs = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).withColumn(DIGEST, F.xxhash64("text"))
     copies = _copies(docs)
     # all passes read the documents with the same columns, so they share one exchange
-    sent = docs.groupBy(BLOCK).cogroup(copies.groupBy("block")).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, around binary, doc binary, ids binary")
+    sent = docs.groupBy(BLOCK).cogroup(copies.groupBy("block")).applyInArrow(_send(buckets), "bucket int, block int, anchor binary, doc binary, n binary, ids binary")
     known = copies.unionByName(sent.groupBy("bucket").applyInArrow(_meet, _ANSWER))
     wanted = docs.groupBy(BLOCK).cogroup(known.groupBy("block")).applyInArrow(_passages(buckets), "bucket int, block int, name binary, doc binary, size binary, data binary")
     return docs, known.unionByName(wanted.groupBy("bucket").applyInArrow(_sort, _ANSWER))
