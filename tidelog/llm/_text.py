@@ -55,9 +55,11 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names, or a new one of this machine where it names none, as in tests."""
+    """The shared folder that the session names; only a local session may lack it, as tests do, and gets a new one."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         given = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", given)
     return given

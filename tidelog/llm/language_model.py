@@ -9,7 +9,9 @@ parent. Predictive probabilities are averaged over the sweeps after burn-in.
 
 All restaurants whose contexts end in the same two symbols hang below one restaurant of a context of
 one symbol. So those families are dealt out by these two symbols and sampled where they lie; only the
-two topmost levels, at most 257 * 257 dishes, are sampled on the driver between the sweeps. Counts and
+two topmost levels, at most 257 * 257 dishes, are sampled on the driver between the sweeps. Counts are
+summed, and probabilities looked up, by the hash of the whole gram, so a frequent context is no hot key
+there: a family's task sees each of its distinct grams once, however much text there is. Counts and
 scores are exchanged between blocks of documents and buckets of families or of tokens, each distinct
 key once a block; the model itself is never collected or broadcast.
 
@@ -38,6 +40,8 @@ BURN_IN, SAMPLES = 3, 3
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 HELD_OUT = 10
+#: least number of families' buckets
+FAMILIES = 16
 WORD, GRAM = 0, 1
 _END_HASH = np.uint64(0x0123456789ABCDEF)
 
@@ -84,9 +88,22 @@ def _tokens(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _buckets_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Tokens by their hash; grams by the two symbols before the last."""
-    h = keys if kind == WORD else t.mix((keys >> np.uint64(8)) & np.uint64(0xFFFF))
-    return (h % np.uint64(buckets)).astype(np.int64)
+    """Where keys are counted and looked up: by their hash, so no context is a hot key."""
+    return ((keys if kind == WORD else t.mix(keys)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _families_of(grams: np.ndarray, families: int) -> np.ndarray:
+    """Where grams are seated: by the two symbols before the last, since restaurants share parents."""
+    return (t.mix((grams >> np.uint64(8)) & np.uint64(0xFFFF)) % np.uint64(families)).astype(np.int64)
+
+
+def _dealt(keys: np.ndarray, at: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that holds some of the keys, with their places."""
+    order = np.argsort(at, kind="stable")
+    border = np.searchsorted(at[order], np.arange(n + 1))
+    for k, s, e in zip(range(n), border[:-1], border[1:], strict=True):
+        if e > s:
+            yield k, order[s:e]
 
 
 def _merge(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,10 +154,7 @@ _ROW_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
 
 def _count_rows(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple]:
-    b = _buckets_of(kind, keys, buckets)
-    order = np.argsort(b, kind="stable")
-    border = np.searchsorted(b[order], np.arange(buckets + 1))
-    return [(k, kind, keys[order[s:e]].tobytes(), counts[order[s:e]].astype("<i8").tobytes()) for k, s, e in zip(range(buckets), border[:-1], border[1:], strict=True) if e > s]
+    return [(k, kind, keys[own].tobytes(), counts[own].astype("<i8").tobytes()) for k, own in _dealt(keys, _buckets_of(kind, keys, buckets), buckets)]
 
 
 def _counts(docs: DataFrame, buckets: int) -> DataFrame:
@@ -279,15 +293,30 @@ def _levels_of(row: dict) -> tuple[list[_Level], list[np.ndarray]]:
     return levels, up
 
 
+def _families(counts: DataFrame, families: int) -> DataFrame:
+    """(family, keys, counts): the grams' summed counts, regrouped for seating; each gram comes once."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                keys, count = np.frombuffer(k, np.uint64), np.frombuffer(c, "<i8")
+                rows = [(f, keys[own].tobytes(), count[own].tobytes()) for f, own in _dealt(keys, _families_of(keys, families), families)]
+                yield pa.record_batch([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["family", "keys", "counts"])
+
+    return counts.where(F.col("kind") == GRAM).select("keys", "counts").mapInArrow(split, "family int, keys binary, counts binary")
+
+
 def _first_seats(table: pa.Table) -> pa.Table:
     """One table for each dish of each restaurant."""
-    levels, up = _chain(np.frombuffer(table["keys"][0].as_py(), np.uint64), 3)
-    levels[0].count = np.frombuffer(table["counts"][0].as_py(), "<i8").astype(np.int64)
+    keys, counts = (np.frombuffer(b"".join(table[c].to_pylist()), kind) for c, kind in (("keys", np.uint64), ("counts", "<i8")))
+    order = np.argsort(keys, kind="stable")
+    levels, up = _chain(keys[order], 3)
+    levels[0].count = counts[order].astype(np.int64)
     for k, level in enumerate(levels):
         if k:
             level.count = np.bincount(up[k - 1], levels[k - 1].tables, len(level.grams)).astype(np.int64)
         level.tables = np.minimum(level.count, 1)
-    return _state_row(table["bucket"][0].as_py(), levels, np.zeros(len(levels[0].grams)), 0)
+    return _state_row(table["family"][0].as_py(), levels, np.zeros(len(levels[0].grams)), 0)
 
 
 class _Top:
@@ -335,10 +364,10 @@ def _sweeper(sent: Broadcast, seed: tuple[int, int], keep: bool):
     return go
 
 
-def _model(counts: DataFrame, burn_in: int, samples: int, seed: int) -> DataFrame:
-    """(bucket, keys, values): each gram's probability, averaged over the samples."""
+def _model(counts: DataFrame, burn_in: int, samples: int, seed: int, buckets: int) -> DataFrame:
+    """(bucket, kind, keys, values, samples): each gram's probability, summed over the samples, where it is looked up."""
     spark = counts.sparkSession
-    state = t.checkpoint(counts.where(F.col("kind") == GRAM).groupBy("bucket").applyInArrow(_first_seats, _STATE))
+    state = t.checkpoint(_families(counts, max(FAMILIES, buckets)).groupBy("family").applyInArrow(_first_seats, _STATE))
     top, rng = _Top(), np.random.default_rng(seed)
     for sweep in range(burn_in + samples + 1):
         count, kinds = np.zeros(1 << 16, np.int64), np.zeros((_FAMILY, 2), np.int64)
@@ -353,7 +382,16 @@ def _model(counts: DataFrame, burn_in: int, samples: int, seed: int) -> DataFram
         discounts = [min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in kinds.tolist()]
         sent = spark.sparkContext.broadcast((above, discounts))  # half a megabyte
         state = t.checkpoint(state.groupBy("bucket").applyInArrow(_sweeper(sent, (seed, sweep), sweep >= burn_in), _STATE))
-    return state.select("bucket", F.lit(GRAM).alias("kind"), F.col("grams").alias("keys"), "total", "samples")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for g, v, n in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                keys, total = np.frombuffer(g, np.uint64), np.frombuffer(v, "<f8")
+                rows = [(k, GRAM, keys[own].tobytes(), total[own].tobytes(), n) for k, own in _dealt(keys, _buckets_of(GRAM, keys, buckets), buckets)]
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32())
+                yield pa.record_batch([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], ["bucket", "kind", "keys", "values", "samples"])
+
+    return state.select("grams", "total", "samples").mapInArrow(split, "bucket int, kind int, keys binary, values binary, samples int")
 
 
 def _pair_sums(state: DataFrame) -> DataFrame:
@@ -382,10 +420,7 @@ def _ask(buckets: int):
         block = table["block"][0].as_py()
         rows = []
         for kind, keys in enumerate(_distinct(table)):
-            b = _buckets_of(kind, keys, buckets)
-            order = np.argsort(b, kind="stable")
-            border = np.searchsorted(b[order], np.arange(buckets + 1))
-            rows += [(k, block, kind, _packed(kind, keys[order[s:e]])) for k, s, e in zip(range(buckets), border[:-1], border[1:], strict=True) if e > s]
+            rows += [(k, block, kind, _packed(kind, keys[own])) for k, own in _dealt(keys, _buckets_of(kind, keys, buckets), buckets)]
         return pa.table([pa.array([r[k] for r in rows], x) for k, x in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["bucket", "block", "kind", "keys"])
 
     return go
@@ -415,9 +450,14 @@ def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     """To each block, in its order: training counts of its tokens, log10 probabilities of its grams."""
     have: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for r in known.to_pylist():
-        x = np.frombuffer(r["values"], "<i8" if r["kind"] == WORD else "<f8")
-        have[r["kind"]] = np.frombuffer(r["keys"], np.uint64), x.astype("<u4" if x.size and x.max() < 1 << 32 else "<u8") if r["kind"] == WORD else np.log10(x / max(1, r["samples"]))
+    rows = known.to_pylist()
+    for kind in {r["kind"] for r in rows}:
+        own = [r for r in rows if r["kind"] == kind]
+        keys = np.frombuffer(b"".join(r["keys"] for r in own), np.uint64)
+        x = np.frombuffer(b"".join(r["values"] for r in own), "<i8" if kind == WORD else "<f8")
+        order = np.argsort(keys, kind="stable")
+        x = x[order]
+        have[kind] = keys[order], x.astype("<u4" if x.size and x.max() < 1 << 32 else "<u8") if kind == WORD else np.log10(x / max(1, own[0]["samples"]))
     rows = []
     for r in asked.to_pylist():
         keys, values = have[r["kind"]]
@@ -478,9 +518,9 @@ def score_texts(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES,
         yield pa.record_batch([pa.array([n[0]]), pa.array([n[1]])], ["n", "v"])
 
     n_train, n_distinct = counts.where(F.col("kind") == WORD).select("counts").mapInArrow(tokens, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
-    grams = _model(counts, burn_in, samples, seed)
+    grams = _model(counts, burn_in, samples, seed, buckets)
     known = counts.where(F.col("kind") == WORD).select("bucket", "kind", "keys", F.col("counts").alias("values"), F.lit(1).alias("samples"))
-    known = known.unionByName(grams.withColumnRenamed("total", "values"))
+    known = known.unionByName(grams)
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
     asked = docs.groupBy("block").applyInArrow(_ask(buckets), _ASK)
     answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, _ANSWER)
