@@ -145,6 +145,16 @@ def _table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
     return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(types)], names)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first, so that the high ones, mostly alike, compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _unplaned(blob: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 _SENT = ["bucket", "block", "anchor", "doc", "n", "ids"]
 _SENT_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 _ANSWER = "block int, kind int, blob binary"
@@ -181,8 +191,12 @@ def _send(buckets: int):
         rows = []
         for k, s, e in _runs(b[order]):
             x = order[s:e]
+            low = a.low[first[x]]
+            sort = np.argsort(low, kind="stable")
+            x, low = x[sort], low[sort]
             docs, doc = np.unique(np.concatenate((a.doc[first[x]], a.doc[last[x]])), return_inverse=True)
-            rows.append((k, block, a.low[first[x]].astype("<u4").tobytes(), doc.astype("<u4").tobytes(), n[x].astype("<u1").tobytes(), a.doc_id[docs].astype("<i8").tobytes()))
+            least, most = doc.reshape(2, -1)
+            rows.append((k, block, _planes(np.diff(low, prepend=np.uint64(0)).astype("<u4")), _planes(least.astype("<u4")) + _planes((most - least).astype("<u4")), n[x].astype("<u1").tobytes(), a.doc_id[docs].astype("<i8").tobytes()))
         return _table(rows, _SENT, _SENT_TYPES)
 
     return go
@@ -192,10 +206,12 @@ def _meet(table: pa.Table) -> pa.Table:
     """What a bucket's anchors tell each block: of which the surroundings are wanted as bytes, since another document has the anchor, and which are hot."""
     block, low, least, most, n = [], [], [], [], []
     for r in table.to_pylist():
-        low.append(np.frombuffer(r["anchor"], "<u4"))
-        ids = np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["doc"], "<u4").reshape(2, -1)]
-        least.append(ids[0])
-        most.append(ids[1])
+        low.append(np.cumsum(_unplaned(r["anchor"], "<u4"), dtype=np.uint64).astype("<u4"))
+        half = len(r["doc"]) // 2
+        at, further = _unplaned(r["doc"][:half], "<u4"), _unplaned(r["doc"][half:], "<u4")
+        ids = np.frombuffer(r["ids"], "<i8")
+        least.append(ids[at])
+        most.append(ids[at + further])
         n.append(np.frombuffer(r["n"], "<u1").astype(np.int64))
         block.append(np.full(len(low[-1]), r["block"], np.int32))
     block, low, least, most, n = map(np.concatenate, (block, low, least, most, n))
