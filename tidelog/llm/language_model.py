@@ -1,7 +1,7 @@
 """LM scoring by a hierarchical Pitman-Yor model.
 
 A text is a row of lower-case tokens; the model gives the probability of each byte of a token, of the
-token's end and of the text's end, given the five symbols before. A context's restaurant shares the
+token's end and of the text's end, given the seven symbols before. A context's restaurant shares the
 restaurant of the context without its oldest symbol as parent; below the shortest lies the uniform
 distribution. Seating is sampled by Gibbs sweeps: given all other seats, the customers of each dish in
 each restaurant are seated anew by the Chinese-restaurant rule, each new table being a customer of the
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import _text as t
 
-ORDER = 6
+ORDER = 8  # symbols of a gram, which fill a 64-bit key
 #: bytes, with a token's end as 0x20 and a text's end as 0x0A, both of which tokens lack
 TOKEN_END, TEXT_END = 0x20, 0x0A
 SYMBOLS = 256
@@ -120,6 +120,27 @@ def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate((x[first], rest)), np.concatenate((np.diff(np.append(first, len(x))), np.zeros(len(rest), np.int64)))
 
 
+def _press(x: np.ndarray) -> bytes:
+    """Numbers in planes of bytes, compressed."""
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpress(blob: bytes, kind: str) -> np.ndarray:
+    n, size = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
+    raw = pa.decompress(blob[8:], n * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def _press_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences."""
+    return _press(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpress_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpress(blob, "<u8"), dtype=np.uint64)
+
+
 class _Places:
     """Finds keys' places in an array of distinct ones by an open hash table; every key asked for is there."""
 
@@ -154,7 +175,7 @@ _ROW_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
 
 def _count_rows(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple]:
-    return [(k, kind, keys[own].tobytes(), counts[own].astype("<i8").tobytes()) for k, own in _dealt(keys, _buckets_of(kind, keys, buckets), buckets)]
+    return [(k, kind, _press_keys(keys[own]), _press(counts[own].astype("<i8"))) for k, own in _dealt(keys, _buckets_of(kind, keys, buckets), buckets)]
 
 
 def _counts(docs: DataFrame, buckets: int) -> DataFrame:
@@ -183,8 +204,8 @@ def _counts(docs: DataFrame, buckets: int) -> DataFrame:
                 yield out(kind)
 
     def add(table: pa.Table) -> pa.Table:
-        keys, counts = _merge([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()], [np.frombuffer(x, "<i8") for x in table["counts"].to_pylist()])
-        return pa.table([pa.array([x], kind) for x, kind in zip((table["bucket"][0].as_py(), table["kind"][0].as_py(), keys.tobytes(), counts.tobytes()), _ROW_TYPES, strict=True)], ["bucket", "kind", "keys", "counts"])
+        keys, counts = _merge([_unpress_keys(x) for x in table["keys"].to_pylist()], [_unpress(x, "<i8") for x in table["counts"].to_pylist()])
+        return pa.table([pa.array([x], kind) for x, kind in zip((table["bucket"][0].as_py(), table["kind"][0].as_py(), _press_keys(keys), _press(counts)), _ROW_TYPES, strict=True)], ["bucket", "kind", "keys", "counts"])
 
     return docs.select("held_out", "text").mapInArrow(count, _ROWS).groupBy("bucket", "kind").applyInArrow(add, _ROWS)
 
@@ -272,19 +293,19 @@ _STATE_TYPES = [pa.int32(), *[pa.binary()] * 6, pa.int32()]
 _FAMILY = ORDER - 2
 
 
-def _state_row(bucket: int, levels: list[_Level], total: np.ndarray, samples: int) -> pa.Table:
+def _state_row(bucket: int, levels: list[_Level], total: np.ndarray, samples: int) -> pa.RecordBatch:
     """A family bucket's seating; with the tables of its last level, and counts of dishes with one and two customers."""
     last = levels[-1]
     sums = np.stack((last.grams & np.uint64(0xFFFF), last.tables.astype(np.uint64)))
     kinds = np.array([[(x.count == 1).sum(), (x.count == 2).sum()] for x in levels], "<i8")
-    row = (bucket, levels[0].grams.tobytes(), levels[0].count.astype("<i8").tobytes(), np.concatenate([x.tables for x in levels]).astype("<i4").tobytes(), sums.tobytes(), kinds.tobytes(), total.astype("<f8").tobytes(), samples)
-    return pa.table([pa.array([x], kind) for x, kind in zip(row, _STATE_TYPES, strict=True)], _STATE_NAMES)
+    row = (bucket, _press_keys(levels[0].grams), _press(levels[0].count.astype("<i8")), _press(np.concatenate([x.tables for x in levels]).astype("<i8")), _press(sums.ravel()), kinds.tobytes(), _press(total.astype("<f4")), samples)
+    return pa.record_batch([pa.array([x], kind) for x, kind in zip(row, _STATE_TYPES, strict=True)], _STATE_NAMES)
 
 
 def _levels_of(row: dict) -> tuple[list[_Level], list[np.ndarray]]:
-    levels, up = _chain(np.frombuffer(row["grams"], np.uint64), 3)
-    levels[0].count = np.frombuffer(row["counts"], "<i8").astype(np.int64)
-    at, tables = 0, np.frombuffer(row["tables"], "<i4").astype(np.int64)
+    levels, up = _chain(_unpress_keys(row["grams"]), 3)
+    levels[0].count = _unpress(row["counts"], "<i8")
+    at, tables = 0, _unpress(row["tables"], "<i8")
     for k, level in enumerate(levels):
         level.tables = tables[at : at + len(level.grams)].copy()
         at += len(level.grams)
@@ -299,8 +320,8 @@ def _families(counts: DataFrame, families: int) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                keys, count = np.frombuffer(k, np.uint64), np.frombuffer(c, "<i8")
-                rows = [(f, keys[own].tobytes(), count[own].tobytes()) for f, own in _dealt(keys, _families_of(keys, families), families)]
+                keys, count = _unpress_keys(k), _unpress(c, "<i8")
+                rows = [(f, _press_keys(keys[own]), _press(count[own])) for f, own in _dealt(keys, _families_of(keys, families), families)]
                 yield pa.record_batch([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["family", "keys", "counts"])
 
     return counts.where(F.col("kind") == GRAM).select("keys", "counts").mapInArrow(split, "family int, keys binary, counts binary")
@@ -308,7 +329,8 @@ def _families(counts: DataFrame, families: int) -> DataFrame:
 
 def _first_seats(table: pa.Table) -> pa.Table:
     """One table for each dish of each restaurant."""
-    keys, counts = (np.frombuffer(b"".join(table[c].to_pylist()), kind) for c, kind in (("keys", np.uint64), ("counts", "<i8")))
+    keys = np.concatenate([_unpress_keys(x) for x in table["keys"].to_pylist()])
+    counts = np.concatenate([_unpress(x, "<i8") for x in table["counts"].to_pylist()])
     order = np.argsort(keys, kind="stable")
     levels, up = _chain(keys[order], 3)
     levels[0].count = counts[order].astype(np.int64)
@@ -316,7 +338,7 @@ def _first_seats(table: pa.Table) -> pa.Table:
         if k:
             level.count = np.bincount(up[k - 1], levels[k - 1].tables, len(level.grams)).astype(np.int64)
         level.tables = np.minimum(level.count, 1)
-    return _state_row(table["family"][0].as_py(), levels, np.zeros(len(levels[0].grams)), 0)
+    return pa.Table.from_batches([_state_row(table["family"][0].as_py(), levels, np.zeros(len(levels[0].grams)), 0)])
 
 
 class _Top:
@@ -345,13 +367,12 @@ class _Top:
 def _sweeper(sent: Broadcast, seed: tuple[int, int], keep: bool):
     """One Gibbs sweep of a family bucket; ``keep``: its probabilities afterwards are one of the samples."""
 
-    def go(table: pa.Table) -> pa.Table:
-        row = table.to_pylist()[0]
+    def one(row: dict) -> pa.RecordBatch:
         levels, up = _levels_of(row)
         above, discounts = sent.value
         root = above[(levels[-1].grams & np.uint64(0xFFFF)).astype(np.int64)]
         _sweep(levels, up, root, discounts, np.random.default_rng((*seed, row["bucket"])))
-        total = np.frombuffer(row["total"], "<f8")
+        total = _unpress(row["total"], "<f4").astype(np.float64)
         if keep:
             p = root
             for k in range(len(levels) - 1, -1, -1):
@@ -361,6 +382,11 @@ def _sweeper(sent: Broadcast, seed: tuple[int, int], keep: bool):
             total = total + p
         return _state_row(row["bucket"], levels, total, row["samples"] + keep)
 
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                yield one(b.slice(k, 1).to_pylist()[0])
+
     return go
 
 
@@ -381,13 +407,13 @@ def _model(counts: DataFrame, burn_in: int, samples: int, seed: int, buckets: in
             break
         discounts = [min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in kinds.tolist()]
         sent = spark.sparkContext.broadcast((above, discounts))  # half a megabyte
-        state = t.checkpoint(state.groupBy("bucket").applyInArrow(_sweeper(sent, (seed, sweep), sweep >= burn_in), _STATE))
+        state = t.checkpoint(state.mapInArrow(_sweeper(sent, (seed, sweep), sweep >= burn_in), _STATE))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for g, v, n in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                keys, total = np.frombuffer(g, np.uint64), np.frombuffer(v, "<f8")
-                rows = [(k, GRAM, keys[own].tobytes(), total[own].tobytes(), n) for k, own in _dealt(keys, _buckets_of(GRAM, keys, buckets), buckets)]
+                keys, total = _unpress_keys(g), _unpress(v, "<f4")
+                rows = [(k, GRAM, _press_keys(keys[own]), _press(total[own]), n) for k, own in _dealt(keys, _buckets_of(GRAM, keys, buckets), buckets)]
                 kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32())
                 yield pa.record_batch([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], ["bucket", "kind", "keys", "values", "samples"])
 
@@ -401,7 +427,7 @@ def _pair_sums(state: DataFrame) -> DataFrame:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for sums, kinds in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                pair, n = np.frombuffer(sums, np.uint64).reshape(2, -1).astype(np.int64)
+                pair, n = _unpress(sums, "<u8").reshape(2, -1).astype(np.int64)
                 all_ = np.bincount(pair, n, 1 << 16).astype(np.int64).reshape(256, 256)
                 for k in np.flatnonzero(all_.any(1)).tolist():
                     total[k] = total.get(k, 0) + all_[k]
@@ -420,23 +446,12 @@ def _ask(buckets: int):
         block = table["block"][0].as_py()
         rows = []
         for kind, keys in enumerate(_distinct(table)):
-            rows += [(k, block, kind, _packed(kind, keys[own])) for k, own in _dealt(keys, _buckets_of(kind, keys, buckets), buckets)]
+            rows += [(k, block, kind, _press_keys(keys[own])) for k, own in _dealt(keys, _buckets_of(kind, keys, buckets), buckets)]
         return pa.table([pa.array([r[k] for r in rows], x) for k, x in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["bucket", "block", "kind", "keys"])
 
     return go
 
 
-def _packed(kind: int, keys: np.ndarray) -> bytes:
-    return keys.tobytes() if kind == WORD else (keys >> np.uint64(16)).astype("<u4").tobytes() + keys.astype("<u2").tobytes()
-
-
-def _unpacked(kind: int, blob: bytes) -> np.ndarray:
-    if kind == WORD:
-        return np.frombuffer(blob, np.uint64)
-    n = len(blob) // 6
-    return (np.frombuffer(blob, "<u4", n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(blob, "<u2", n, 4 * n)
-
-
 def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The distinct tokens and grams of a block."""
     words, grams = [], []
@@ -453,16 +468,16 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     rows = known.to_pylist()
     for kind in {r["kind"] for r in rows}:
         own = [r for r in rows if r["kind"] == kind]
-        keys = np.frombuffer(b"".join(r["keys"] for r in own), np.uint64)
-        x = np.frombuffer(b"".join(r["values"] for r in own), "<i8" if kind == WORD else "<f8")
+        keys = np.concatenate([_unpress_keys(r["keys"]) for r in own])
+        x = np.concatenate([_unpress(r["values"], "<i8" if kind == WORD else "<f4") for r in own])
         order = np.argsort(keys, kind="stable")
         x = x[order]
         have[kind] = keys[order], x.astype("<u4" if x.size and x.max() < 1 << 32 else "<u8") if kind == WORD else np.log10(x / max(1, own[0]["samples"]))
     rows = []
     for r in asked.to_pylist():
         keys, values = have[r["kind"]]
-        got = values[np.searchsorted(keys, _unpacked(r["kind"], r["keys"]))]
-        rows.append((r["block"], r["bucket"], r["kind"], (got.astype("<f8") if r["kind"] == WORD else got.astype("<f4")).tobytes()))
+        got = values[np.searchsorted(keys, _unpress_keys(r["keys"]))]
+        rows.append((r["block"], r["bucket"], r["kind"], _press(got.astype("<i8" if r["kind"] == WORD else "<f4"))))
     return pa.table([pa.array([r[k] for r in rows], x) for k, x in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["block", "bucket", "kind", "values"])
 
 
@@ -479,7 +494,7 @@ def _score(buckets: int, n_train: int, n_distinct: int):
         for kind, own in enumerate(keys):
             b = _buckets_of(kind, own, buckets)
             order = np.argsort(b, kind="stable")
-            x = np.concatenate([np.frombuffer(got[kind, k], "<f8" if kind == WORD else "<f4") for k in np.unique(b).tolist()])
+            x = np.concatenate([_unpress(got[kind, k], "<i8" if kind == WORD else "<f4") for k in np.unique(b).tolist()])
             v = np.empty(len(own))
             v[order] = x
             values.append(v)
@@ -513,7 +528,7 @@ def score_texts(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES,
         n = np.zeros(2, np.int64)
         for b in batches:
             for x in b.column(0).to_pylist():
-                c = np.frombuffer(x, "<i8")
+                c = _unpress(x, "<i8")
                 n += (c.sum(), (c > 0).sum())
         yield pa.record_batch([pa.array([n[0]]), pa.array([n[1]])], ["n", "v"])
 
