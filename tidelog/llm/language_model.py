@@ -1,7 +1,7 @@
 """LM scoring by a hierarchical Pitman-Yor model.
 
 A text is a row of lower-case tokens; the model gives the probability of each byte of a token, of the
-token's end and of the text's end, given the seven symbols before. A context's restaurant shares the
+token's end and of the text's end, given the six symbols before. A context's restaurant shares the
 restaurant of the context without its oldest symbol as parent; below the shortest lies the uniform
 distribution. Seating is sampled by Gibbs sweeps: given all other seats, the customers of each dish in
 each restaurant are seated anew by the Chinese-restaurant rule, each new table being a customer of the
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import _text as t
 
-ORDER = 8  # symbols of a gram, which fill a 64-bit key
+ORDER = 7
 #: bytes, with a token's end as 0x20 and a text's end as 0x0A, both of which tokens lack
 TOKEN_END, TEXT_END = 0x20, 0x0A
 SYMBOLS = 256
