@@ -99,8 +99,9 @@ def _families_of(grams: np.ndarray, families: int) -> np.ndarray:
 
 def _dealt(keys: np.ndarray, at: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket that holds some of the keys, with their places."""
+    at = at.astype(np.uint16 if n <= 1 << 16 else np.int64)  # few bits are sorted by radix
     order = np.argsort(at, kind="stable")
-    border = np.searchsorted(at[order], np.arange(n + 1))
+    border = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=n))))
     for k, s, e in zip(range(n), border[:-1], border[1:], strict=True):
         if e > s:
             yield k, order[s:e]
@@ -108,8 +109,10 @@ def _dealt(keys: np.ndarray, at: np.ndarray, n: int) -> Iterator[tuple[int, np.n
 
 def _merge(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k = np.concatenate(keys)
-    own, back = np.unique(k, return_inverse=True)
-    return own, np.bincount(back, np.concatenate(values), len(own)).astype(np.int64)
+    order = np.argsort(k)
+    k = k[order]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+    return k[first], np.add.reduceat(np.concatenate(values)[order], first) if len(k) else np.zeros(0, np.int64)
 
 
 def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -493,10 +496,9 @@ def _score(buckets: int, n_train: int, n_distinct: int):
         got = {(r["kind"], r["bucket"]): r["values"] for r in answers.to_pylist()}
         for kind, own in enumerate(keys):
             b = _buckets_of(kind, own, buckets)
-            order = np.argsort(b, kind="stable")
-            x = np.concatenate([_unpress(got[kind, k], "<i8" if kind == WORD else "<f4") for k in np.unique(b).tolist()])
             v = np.empty(len(own))
-            v[order] = x
+            for k, at in _dealt(own, b, buckets):
+                v[at] = _unpress(got[kind, k], "<i8" if kind == WORD else "<f4")
             values.append(v)
         out, places = [], [_Places(k) for k in keys]
         for lo, hi, data, off in t.chunks(table["text"].combine_chunks()):
