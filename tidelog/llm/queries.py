@@ -71,6 +71,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.collocations import collocations
+
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -109,4 +116,15 @@ SQL: dict[str, str] = {
  kept AS (SELECT k.doc_id, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(coalesce(2 * y, length(h)) - 2 * x AS BIGINT)), '' ORDER BY x) AS h FROM k JOIN d USING (doc_id) GROUP BY k.doc_id),
  n AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM sp GROUP BY doc_id)
  SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op12_phrase_collocations": rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+ p AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (SELECT lang, unnest(ps) AS p FROM d)),
+ g AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS m))),
+ f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL),
+ c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND a >= 30),
+ cut AS (SELECT c.lang, c.phrase, c.m, c.a, k, l.a AS l, r.a AS r, CAST((2000000::HUGEINT * c.a) // (l.a + r.a) AS BIGINT) AS score FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+ JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 : c.m], ' ')),
+ best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM c y WHERE y.lang = b.lang AND y.m > b.m AND 100 * y.a >= 80 * b.a AND contains(' ' || y.phrase || ' ', ' ' || b.phrase || ' '))),
+ n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang)
+ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
