@@ -1,11 +1,11 @@
 """Phrase collocations by set-oriented relational mining (SETM) over whole texts.
 
 The relation of length m holds every occurrence of a phrase of m words whose parts are frequent: (piece and
-position, phrase), sorted by position, as arrays of a block of documents. Blocks are persisted in the shared
-folder. A round merge-joins a block's relation with itself at the next position, counts the groups of all
-blocks together, and semi-joins the relation with the frequent groups before it is extended again. What
+position, phrase), sorted by position, as arrays of a block of documents. A round merge-joins a block's relation
+with itself at the next position, counts the groups of all blocks together, and semi-joins the relation with the
+frequent groups before it is extended again. Relations are persisted in the shared folder, bucketed by block. What
 crosses the network is each block's distinct groups with counts, in ranges of their ids, and one bit for each
-of them back; occurrences never leave their block but to meet these bits.
+of them back; occurrences never leave their block.
 
 Phrases are named by 64-bit ids made of the bytes of their language and words; two phrases that are told
 apart by nothing else would be counted as one (for 10^8 frequent words the odds are 1 in 3700).
@@ -45,14 +45,14 @@ _A, _B = np.uint64(0x9E6C63D0876A9A35), np.uint64(0xD1B54A32D192ED03)
 
 #: kinds of a round's rows: a block's relation, a range of its groups' counts, what frequent groups are, words by language
 _RELATION, _COUNTS, _DEFINED, _TOTAL = 0, 1, 2, 3
-_ROUND = "kind int, block long, bucket long, blob binary, sizes binary, id long, n long, lead long, rest long, lang string, word string"
-_FOUND = "kind int, block long, bucket long, mask binary, leads binary"
+_ROUND = "kind int, block long, bucket long, blob binary, words binary, ids binary, sizes binary, id long, n long, lead long, rest long, lang string, word string"
+_FOUND = "block long, bucket long, mask binary, leads binary"
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed blob."""
-    head = np.array([len(arrays), *[x for a in arrays for x in (a.dtype.num, a.nbytes)]], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    """Arrays as one compressed blob, byte plane by byte plane."""
+    head = np.array([len(arrays), *[x for a in arrays for x in (a.dtype.num, len(a))]], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays))
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
@@ -60,10 +60,11 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     count = int(np.frombuffer(raw, np.int64, 1)[0])
     head = np.frombuffer(raw, np.int64, 2 * count, 8).tolist()
     out, at = [], 8 + 16 * count
-    for num, size in zip(head[::2], head[1::2], strict=True):
-        kind = next(d for d in (np.uint8, np.int32, np.int64, np.uint64) if np.dtype(d).num == num)
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
-        at += size
+    for num, n in zip(head[::2], head[1::2], strict=True):
+        kind = next(np.dtype(d) for d in (np.uint8, np.int32, np.int64, np.uint64) if np.dtype(d).num == num)
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += n * kind.itemsize
     return out
 
 
@@ -72,9 +73,9 @@ def _rows(schema_names: list[str], types: list[pa.DataType], rows: list[dict]) -
 
 
 _ROUND_NAMES = [f.split()[0] for f in _ROUND.split(", ")]
-_ROUND_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+_ROUND_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 _FOUND_NAMES = [f.split()[0] for f in _FOUND.split(", ")]
-_FOUND_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+_FOUND_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
 
 def _round_rows(rows: list[dict]) -> pa.RecordBatch:
@@ -97,7 +98,7 @@ def _counts(block: int, ids: np.ndarray, n: np.ndarray, buckets: int) -> Iterato
     bucket = (ids // np.uint64(width)).astype(np.int64)
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(ids) else np.zeros(0, np.int64)
     for lo, hi in zip(cuts, np.append(cuts[1:], len(ids)), strict=True):
-        yield {"kind": _COUNTS, "block": block, "bucket": int(bucket[lo]), "blob": _pack(ids[lo:hi]), "sizes": _pack(n[lo:hi].astype(np.int64))}
+        yield {"kind": _COUNTS, "block": block, "bucket": int(bucket[lo]), "ids": _pack(np.diff(ids[lo:hi], prepend=np.uint64(0))), "sizes": _pack(n[lo:hi].astype(np.int64))}
 
 
 def _first_relation(buckets: int):
@@ -136,7 +137,7 @@ def _first_relation(buckets: int):
         used = sorted(set(names))
         place = {s: k for k, s in enumerate(used)}
         lang = np.array([place[s] for s in names], np.int32)[doc]
-        yield {"kind": _RELATION, "block": block, "bucket": 0, "blob": _pack(np.diff(at, prepend=0).astype(np.int32), code, known, lang[first]), "sizes": zstandard.ZstdCompressor(level=1).compress(json.dumps(used).encode() + b"\0" + spelled)}
+        yield {"kind": _RELATION, "block": block, "bucket": 0, "blob": _pack(np.diff(at, prepend=0).astype(np.int32), code, known, lang[first]), "words": zstandard.ZstdCompressor(level=1).compress(json.dumps(used).encode() + b"\0" + spelled)}
         yield from _counts(block, known, n, buckets)
         for k, c in enumerate(np.bincount(lang, minlength=len(used)).tolist()):
             yield {"kind": _TOTAL, "lang": used[k], "n": c}
@@ -173,7 +174,7 @@ def _frequent(least: int):
     count in the one block that is to say what the group is."""
 
     def settle(rows: list[tuple[int, int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        parts = [(_unpack(ids)[0], _unpack(n)[0]) for _, _, ids, n in rows]
+        parts = [(np.cumsum(_unpack(ids)[0], dtype=np.uint64), _unpack(n)[0]) for _, _, ids, n in rows]
         ids, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         order = np.argsort(ids, kind="stable")
         cut = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
@@ -185,9 +186,7 @@ def _frequent(least: int):
         for (bucket, block, _, _), (own, _) in zip(rows, parts, strict=True):
             end = at + len(own)
             if often[at:end].any():
-                yield _rows(_FOUND_NAMES, _FOUND_TYPES, [{"kind": _COUNTS, "block": block, "bucket": bucket, "mask": np.packbits(often[at:end]).tobytes(), "leads": _pack(lead[at:end])}])
-            else:
-                yield _rows(_FOUND_NAMES, _FOUND_TYPES, [{"kind": _COUNTS, "block": block, "bucket": bucket}])
+                yield _rows(_FOUND_NAMES, _FOUND_TYPES, [{"block": block, "bucket": bucket, "mask": np.packbits(often[at:end]).tobytes(), "leads": _pack(lead[at:end])}])
             at = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,55 +203,70 @@ def _frequent(least: int):
     return run
 
 
+def _often(known: np.ndarray, found: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a block's groups are frequent, and the counts of those that this block is to define."""
+    often, lead = np.zeros(len(known), bool), np.zeros(len(known), np.int64)
+    bucket = (known // np.uint64((1 << 64) // buckets + 1)).astype(np.int64)
+    for f in found:
+        lo, hi = np.searchsorted(bucket, [f["bucket"], f["bucket"] + 1])
+        often[lo:hi] = np.unpackbits(np.frombuffer(f["mask"], np.uint8))[: hi - lo].astype(bool)
+        lead[lo:hi] = _unpack(f["leads"])[0]
+    return often, lead
+
+
+def _joined(at: np.ndarray, code: np.ndarray, known: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The relation merge-joined with itself at the next position: positions, codes, ids, their counts, and the ids of
+    the first and of the last words of each."""
+    meet = np.flatnonzero(at[1:] == at[:-1] + 1)
+    a, b = code[meet], code[meet + 1]
+    ids, new, n = _grouped(t.mix(known[a] * _A + t.mix(known[b] * _B + np.uint64(length))))
+    one = np.zeros(len(ids), np.int64)
+    one[new] = np.arange(len(meet))
+    return at[meet], new, ids, n, known[a[one]], known[b[one]]
+
+
+def _kept(at: np.ndarray, code: np.ndarray, known: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The relation semi-joined with the frequent groups."""
+    keep = often[code]
+    return at[keep], (np.cumsum(often) - 1).astype(np.int32)[code[keep]], known[often]
+
+
 def _extended(length: int, buckets: int, last: bool):
-    """Each block's relation of this length semi-joined with the frequent groups, and the relation of the next length."""
-
-    def extend(block: int, masks: list[tuple[bytes | None, bytes | None, int]], relation: tuple[bytes, bytes]) -> Iterator[dict]:
-        step, code, known, *more = _unpack(relation[0])
-        often, lead = np.zeros(len(known), bool), np.zeros(len(known), np.int64)
-        width = (1 << 64) // buckets + 1
-        bucket = (known // np.uint64(width)).astype(np.int64)
-        for mask, leads, b in masks:
-            if mask is not None:
-                lo, hi = np.searchsorted(bucket, [b, b + 1])
-                often[lo:hi] = np.unpackbits(np.frombuffer(mask, np.uint8))[: hi - lo].astype(bool)
-                lead[lo:hi] = _unpack(leads)[0]
+    """Each block's relation of this length, semi-joined with the frequent groups, and the counts of the next length.
+
+    What a block keeps is the semi-joined relation of one word less (of single words: all); joining it again gives
+    the same groups in the same order as when they were counted.
+    """
+
+    def extend(block: int, blob: bytes, words: bytes | None, found: list[dict]) -> Iterator[dict | pa.RecordBatch]:
+        step, code, known, *lang = _unpack(blob)
+        at = np.cumsum(step, dtype=np.int64)
+        if length > 1:
+            at, code, known, _, lead_id, rest_id = _joined(at, code, known, length - 1)
+        often, lead = _often(known, found, buckets)
         said = np.flatnonzero(lead)
         if len(said):
-            signed = known.view(np.int64)
             if length == 1:
-                langs, _, spelled = zstandard.ZstdDecompressor().decompress(relation[1]).partition(b"\0")
+                langs, _, spelled = zstandard.ZstdDecompressor().decompress(words).partition(b"\0")
                 langs, spelled = json.loads(langs), spelled.split(b"\n")
-                columns = {"lang": [langs[k] for k in more[0][said].tolist()], "word": [spelled[k].decode() for k in said.tolist()]}
+                columns = {"lang": [langs[k] for k in lang[0][said].tolist()], "word": [spelled[k].decode() for k in said.tolist()]}
             else:
-                columns = {"lead": more[0].view(np.int64)[said].tolist(), "rest": more[1].view(np.int64)[said].tolist()}
-            columns |= {"kind": [_DEFINED] * len(said), "id": signed[said].tolist(), "n": lead[said].tolist()}
-            yield columns
-        if last:
+                columns = {"lead": lead_id.view(np.int64)[said], "rest": rest_id.view(np.int64)[said]}
+            columns |= {"kind": np.full(len(said), _DEFINED, np.int32), "id": known.view(np.int64)[said], "n": lead[said]}
+            yield pa.record_batch([pa.array(columns[c], k) if c in columns else pa.nulls(len(said), k) for c, k in zip(_ROUND_NAMES, _ROUND_TYPES, strict=True)], _ROUND_NAMES)
+        at, code, known = _kept(at, code, known, often)
+        if last or len(at) < 2:
             return
-        at = np.cumsum(step, dtype=np.int64)
-        keep = often[code]
-        at, code = at[keep], code[keep]
-        meet = np.flatnonzero(at[1:] == at[:-1] + 1)
-        if not len(meet):
-            return
-        a, b = known[code[meet]], known[code[meet + 1]]
-        ids, new, n = _grouped(t.mix(a * _A + t.mix(b * _B + np.uint64(length))))
-        one = np.empty(len(ids), np.int64)
-        one[new] = np.arange(len(meet))
-        yield {"kind": _RELATION, "block": block, "bucket": 0, "blob": _pack(np.diff(at[meet], prepend=0).astype(np.int32), new, ids, a[one], b[one]), "sizes": b""}
-        yield from _counts(block, ids, n, buckets)
+        _, _, ids, n, _, _ = _joined(at, code, known, length)
+        if len(ids):
+            yield _round_rows([{"kind": _RELATION, "block": block, "blob": _pack(np.diff(at, prepend=0).astype(np.int32), code, known)}])
+            for r in _counts(block, ids, n, buckets):
+                yield _round_rows([r])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks: list[tuple[bytes | None, bytes | None, int]] = []
         for b in batches:
-            for kind, block, bucket, first, second in zip(*[b.column(k).to_pylist() for k in range(5)], strict=True):
-                if kind == _COUNTS:
-                    masks.append((first, second, bucket))
-                    continue
-                for r in extend(block, masks, (first, second)):
-                    yield _round_rows([r]) if not isinstance(r["kind"], list) else pa.record_batch([pa.array(r[c], k) if c in r else pa.nulls(len(r["kind"]), k) for c, k in zip(_ROUND_NAMES, _ROUND_TYPES, strict=True)], _ROUND_NAMES)
-                masks = []
+            for k in range(len(b)):
+                yield from extend(*(b.column(c)[k].as_py() for c in range(4)))
 
     return run
 
@@ -265,30 +279,39 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str) ->
     spark = t.tuned(docs.sparkSession)
     texts = docs.select(F.col("text"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
     buckets, found = max(2, RANGES * texts.rdd.getNumPartitions()), []
-    texts.mapInArrow(_first_relation(buckets), _ROUND).write.option("compression", "none").parquet(f"{folder}/0")
+    name = f"relation_{uuid.uuid4().hex}"
+
+    def persist(rows: DataFrame, m: int) -> None:
+        # bucketed by block, so that a block's bits come to its relation and the relation stays where it is
+        rows.write.option("compression", "none").option("path", f"{folder}/{m}").bucketBy(buckets, "block").sortBy("block").saveAsTable(f"{name}_{m}")
+
+    persist(texts.mapInArrow(_first_relation(buckets), _ROUND), 0)
     for m in range(1, longest + 1):
-        rows = spark.read.schema(_ROUND).parquet(f"{folder}/{m - 1}")
-        counts = rows.where(F.col("kind") == _COUNTS).select("bucket", "block", "blob", "sizes")
+        rows = spark.table(f"{name}_{m - 1}")
+        counts = rows.where(F.col("kind") == _COUNTS).select("bucket", "block", "ids", "sizes")
         settled = counts.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_frequent(least), _FOUND)
-        relation = rows.where(F.col("kind") == _RELATION).select("kind", "block", "bucket", F.col("blob").alias("mask"), F.col("sizes").alias("leads"))
-        # a block's bits come before its relation
-        meet = settled.unionByName(relation).repartition("block").sortWithinPartitions("block", F.desc("kind"))
-        meet.mapInArrow(_extended(m, buckets, m == longest), _ROUND).write.option("compression", "none").parquet(f"{folder}/{m}")
+        bits = settled.groupBy("block").agg(F.collect_list(F.struct("bucket", "mask", "leads")).alias("found"))  # a row a range at most
+        meet = rows.where(F.col("kind") == _RELATION).select("block", "blob", "words").join(bits, "block")
+        persist(meet.mapInArrow(_extended(m, buckets, m == longest), _ROUND), m)
         said = spark.read.schema(_ROUND).parquet(f"{folder}/{m}").where(F.col("kind") == _DEFINED)
         found.append(said.select("id", "n", *(("lang", "word") if m == 1 else ("lead", "rest"))))
+    for m in range(longest + 1):
+        spark.sql(f"DROP TABLE {name}_{m}")  # its files stay
     total = spark.read.schema(_ROUND).parquet(f"{folder}/0").where(F.col("kind") == _TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
     return found, total
 
 
-def candidates(found: list[DataFrame]) -> list[DataFrame]:
+def candidates(found: list[DataFrame], folder: str) -> list[DataFrame]:
     """For each length from 2 the phrases with their parts' counts: lang, phrase, last (its last word), a, heads and
-    tails (counts of its first and last 1 to m - 1 words)."""
+    tails (counts of its first and last 1 to m - 1 words). Each is written once, since the next two uses read it."""
     one = found[0].select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("n").alias("a"), F.array().cast("array<bigint>").alias("heads"), F.array().cast("array<bigint>").alias("tails"))
     out, below = [], one
     for rows in found[1:]:
         left = below.select(F.col("id").alias("lead"), "lang", F.col("phrase").alias("_phrase"), F.concat("heads", F.array("a")).alias("heads"))
         right = below.select(F.col("id").alias("rest"), "last", F.concat("tails", F.array("a")).alias("tails"))
         below = rows.join(left, "lead").join(right, "rest").select("id", "lead", "rest", "lang", F.concat_ws(" ", "_phrase", "last").alias("phrase"), "last", F.col("n").alias("a"), "heads", "tails")
+        below.write.parquet(f"{folder}/phrases-{len(out)}")
+        below = below.sparkSession.read.parquet(f"{folder}/phrases-{len(out)}")
         out.append(below)
     return out
 
@@ -302,7 +325,7 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int =
     """
     folder = f"{t.checkpoint_folder(docs.sparkSession)}/collocations-{uuid.uuid4().hex}"
     found, total = frequent_phrases(docs, longest, least, folder)
-    levels = candidates(found)
+    levels = candidates(found, folder)
     parts = []
     exact = lambda c: c.cast("decimal(19,0)")
     for k, rows in enumerate(levels):

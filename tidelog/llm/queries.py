@@ -77,6 +77,12 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_read(spark, sf_dir, "documents"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.forest import nearest
+
+    return nearest(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -127,4 +134,8 @@ SQL: dict[str, str] = {
  kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM c y WHERE y.lang = b.lang AND y.m > b.m AND 100 * y.a >= 80 * b.a AND contains(' ' || y.phrase || ' ', ' ' || b.phrase || ' '))),
  n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang)
  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
+    # exact neighbours: tables of up to budget / trees rows are searched exhaustively
+    "op13_nearest_neighbours": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+ SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS INTEGER) AS rank, c.vec_id, list_inner_product(q.v, c.v) AS score
+ FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id QUALIFY rank <= 20""",
 }
