@@ -71,6 +71,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.prefix_trie import conversation_trie
+
+    return conversation_trie(_read(spark, sf_dir, "conversations"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidelog.llm.collocations import collocations
 
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_nearest_neighbours": op13_nearest_neighbours,
 }
@@ -138,4 +145,16 @@ SQL: dict[str, str] = {
     "op13_nearest_neighbours": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
  SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS INTEGER) AS rank, c.vec_id, list_inner_product(q.v, c.v) AS score
  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id QUALIFY rank <= 20""",
+    "op11_conversation_trie": r"""WITH o AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ ls AS (SELECT conv_id, list(struct_pack(r := role, t := text) ORDER BY turn NULLS FIRST, role, text) AS own FROM o GROUP BY conv_id),
+ crc AS (SELECT conv_id, own, xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+ lambda c, v: CASE WHEN xor(c, v) % 2 = 1 THEN xor(xor(c, v) // 2, 3988292384) ELSE xor(c, v) // 2 END, 4294967295::BIGINT), 4294967295::BIGINT) % 4 AS h FROM ls),
+ re AS (SELECT a.conv_id, list_concat(coalesce(b.own[1 : a.h], []), a.own[a.h + 1 :]) AS w FROM crc a LEFT JOIN ls b ON b.conv_id = a.conv_id - a.conv_id % 20),
+ pre AS (SELECT conv_id, d, len(w) AS n, md5(CAST(to_json(w[1 : d]) AS VARCHAR)) AS k, CASE WHEN d > 0 THEN md5(CAST(to_json(w[1 : d - 1]) AS VARCHAR)) END AS pk, CASE WHEN d > 0 THEN w[d].t ELSE '' END AS txt FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM re)),
+ nd AS (SELECT k, d AS depth, min(conv_id) AS conv_id, any_value(pk) AS pk, count(*) AS n_convs, len(list_filter(string_split_regex(any_value(txt), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+ sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM pre GROUP BY k, d),
+ kids AS (SELECT pk AS k, count(*) AS c FROM nd WHERE pk IS NOT NULL GROUP BY pk),
+ x AS (SELECT nd.*, coalesce(c, 0) AS n_children FROM nd LEFT JOIN kids USING (k)),
+ below AS (SELECT p.k, CAST(sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((x.n_convs - 1) * x.words) AS BIGINT) AS saved_tokens FROM x JOIN pre p ON p.conv_id = x.conv_id AND p.d <= x.depth GROUP BY p.k)
+ SELECT x.conv_id, x.depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, x.ends_sha256 FROM x JOIN below USING (k) LEFT JOIN nd y ON y.k = x.pk""",
 }
