@@ -101,7 +101,7 @@ def _counts(block: int, ids: np.ndarray, n: np.ndarray, buckets: int) -> Iterato
         yield {"kind": _COUNTS, "block": block, "bucket": int(bucket[lo]), "ids": _pack(np.diff(ids[lo:hi], prepend=np.uint64(0))), "sizes": _pack(n[lo:hi].astype(np.int64))}
 
 
-def _first_relation(buckets: int):
+def _first_relation(buckets: int, block_bytes: int):
     """Blocks of documents as relations of single words."""
 
     def words_of(texts: pa.Array, langs: pa.Array, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
@@ -158,11 +158,11 @@ def _first_relation(buckets: int):
             _, off = t.buffers(texts)
             lo = 0
             while lo < len(off) - 1:
-                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + BLOCK_BYTES - size, "right")) - 1)
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + block_bytes - size, "right")) - 1)
                 held.append((texts.slice(lo, hi - lo), langs.slice(lo, hi - lo)))
                 size += int(off[hi] - off[lo])
                 lo = hi
-                if size >= BLOCK_BYTES or hi < len(off) - 1:
+                if size >= block_bytes or hi < len(off) - 1:
                     yield from flush()
         yield from flush()
 
@@ -271,7 +271,7 @@ def _extended(length: int, buckets: int, last: bool):
     return run
 
 
-def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str) -> tuple[list[DataFrame], DataFrame]:
+def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str, block_bytes: int = BLOCK_BYTES) -> tuple[list[DataFrame], DataFrame]:
     """([words (id, n, lang, word), then for each longer length (id, n, lead, rest)], words by language (lang, n)).
 
     ``lead`` and ``rest`` are the ids of a phrase's first and last m - 1 words.
@@ -285,7 +285,7 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, folder: str) ->
         # bucketed by block, so that a block's bits come to its relation and the relation stays where it is
         rows.write.option("compression", "none").option("path", f"{folder}/{m}").bucketBy(buckets, "block").sortBy("block").saveAsTable(f"{name}_{m}")
 
-    persist(texts.mapInArrow(_first_relation(buckets), _ROUND), 0)
+    persist(texts.mapInArrow(_first_relation(buckets, block_bytes), _ROUND), 0)
     for m in range(1, longest + 1):
         rows = spark.table(f"{name}_{m - 1}")
         counts = rows.where(F.col("kind") == _COUNTS).select("bucket", "block", "ids", "sizes")
@@ -316,7 +316,7 @@ def candidates(found: list[DataFrame], folder: str) -> list[DataFrame]:
     return out
 
 
-def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int = 2000, covered: tuple[int, int] = (80, 100)) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int = 2000, covered: tuple[int, int] = (80, 100), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Each language's best phrases of 2 to ``longest`` words: lang, rank, phrase, a, l, r, n, score.
 
     A phrase's score is that of its worst cut in two parts, floor(2000000 a / (l + r)). Phrases that a longer
@@ -324,7 +324,7 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, top: int =
     that are one word longer: whatever a longer one covers, those in between do too.
     """
     folder = f"{t.checkpoint_folder(docs.sparkSession)}/collocations-{uuid.uuid4().hex}"
-    found, total = frequent_phrases(docs, longest, least, folder)
+    found, total = frequent_phrases(docs, longest, least, folder, block_bytes)
     levels = candidates(found, folder)
     parts = []
     exact = lambda c: c.cast("decimal(19,0)")
