@@ -630,7 +630,14 @@ def gauge_changes(spark, d):
     return _start(metrics.changes(b.samples(spark, d), _SERIES, "15 minutes")).drop("end")
 
 
-_LAG = f"""{b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(3600)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(3600)} AS start, max_by(value, row(ts, value)) AS tip FROM samples WHERE reason = 'view' GROUP BY ALL)"""
+def _lag(seconds, times="", gone="false"):
+    """Frontiers by window, each with the tip as of the window's end."""
+    return f"""{b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(seconds)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL),
+ tp AS (SELECT ts, max(value) {times} AS tip FROM samples WHERE reason = 'view' AND NOT ({gone}) GROUP BY ts),
+ lag AS (SELECT program, start, tip - v AS lag FROM (SELECT *, make_timestamp((start + {seconds}) * 1000000) AS until FROM fr) f ASOF JOIN tp ON f.until > tp.ts)"""
+
+
+_LAG = _lag(3600)
 
 
 def _frontiers(spark, d):
@@ -638,11 +645,48 @@ def _frontiers(spark, d):
     return s.where("reason <> 'view'").withColumnRenamed("series", "program"), s.where("reason = 'view'")
 
 
-@register(f"WITH {_LAG} SELECT program, start, tip - v AS lag FROM fr JOIN tp USING (start)")
+@register(f"WITH {_LAG} SELECT program, start, lag FROM lag")
 def lag_per_program(spark, d):
     return _start(metrics.lag_per_program(*_frontiers(spark, d), "1 hour"))
 
 
+#: whole days, and a quarter of every other one, without a tip
+_GONE = "dayofyear(ts) % 3 = 0 OR hour(ts) < 6"
+
+
+@register(f"WITH {_lag(900, gone=_GONE)} SELECT program, start, lag FROM lag")
+def lag_without_tip_samples(spark, d):
+    """The tip of the last sample before holds where there is none for days; programs are dealt in shares."""
+    frontiers, tips = _frontiers(spark, d)
+    return _start(metrics.lag_per_program(frontiers, tips.where(~F.expr(_GONE)), "15 minutes", shares=3))
+
+
+@register(f"""WITH {b.SAMPLES}, l AS (SELECT event_id, CASE WHEN series <> 3 THEN series END AS series, ts FROM samples WHERE reason <> 'view'), r AS (SELECT CASE WHEN series <> 3 THEN series END AS series, ts, max(value) AS value FROM samples WHERE reason = 'view' GROUP BY ALL)
+ SELECT l.event_id, l.series, r.value FROM (SELECT *, coalesce(series, -1) AS k FROM l) l ASOF LEFT JOIN (SELECT *, coalesce(series, -1) AS k FROM r) r ON l.k = r.k AND l.ts >= r.ts""")
+def as_of_join(spark, d):
+    """Each event with its series' last view; one series has no label."""
+    s = b.samples(spark, d).withColumn("series", F.when(F.col("series") != 3, F.col("series")))
+    return metrics.as_of(s.where("reason <> 'view'").select("event_id", "series", "ts"), s.where("reason = 'view'").select("series", "ts", "value"), ["series"], ["value"]).select("event_id", "series", "value")
+
+
+_UNLABELLED = f"{b.SAMPLES}, un AS (SELECT * REPLACE (CASE WHEN series % 4 <> 3 THEN series END AS series) FROM samples)"
+
+
+@register(f"WITH {_UNLABELLED}, st AS (SELECT *, CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END AS step FROM (SELECT *, lag(value) OVER (PARTITION BY series, reason ORDER BY ts, value) AS p FROM un)) SELECT series, reason, {_bucket(3600)} AS start, sum(step) AS increase FROM st GROUP BY ALL")
+def null_label_increase(spark, d):
+    """Series without a label keep their steps over midnight."""
+    s = b.samples(spark, d).withColumn("series", F.when(F.col("series") % 4 != 3, F.col("series")))
+    return _start(metrics.increase(s, _SERIES, "1 hour")).drop("end")
+
+
+@register(f"""WITH {_UNLABELLED}, u AS (SELECT series, ts, max(value) > 4 AS "on" FROM un GROUP BY ALL), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts) AS run FROM u), h AS (SELECT *, min(CASE WHEN "on" THEN ts END) OVER (PARTITION BY series, run) AS began FROM g)
+ SELECT series, CAST(floor(epoch(ts)) AS BIGINT) AS t, CAST(floor(epoch(ts)) - floor(epoch(began)) AS BIGINT) AS held_seconds FROM h WHERE "on" AND floor(epoch(ts)) - floor(epoch(began)) >= 300""")
+def null_label_held(spark, d):
+    """A condition of a series without a label holds on over midnight."""
+    s = b.samples(spark, d).withColumn("series", F.when(F.col("series") % 4 != 3, F.col("series"))).groupBy("series", "ts").agg((F.max("value") > 4).alias("on"))
+    return metrics.held_for(s, ["series"], 300).select("series", F.unix_timestamp("ts").alias("t"), "held_seconds")
+
+
 @register(f"""WITH {b.SAMPLES}, u AS (SELECT series, ts, value > 10 AS "on", event_id FROM samples), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts) AS run FROM u), h AS (SELECT *, min(CASE WHEN "on" THEN ts END) OVER (PARTITION BY series, run) AS began FROM g)
  SELECT series, CAST(floor(epoch(ts)) AS BIGINT) AS t, CAST(floor(epoch(ts)) - floor(epoch(began)) AS BIGINT) AS held_seconds FROM h WHERE "on" AND floor(epoch(ts)) - floor(epoch(began)) >= 300""")
 def condition_held(spark, d):
@@ -687,9 +731,23 @@ def histogram_buckets(spark, d):
  h AS (SELECT q, w.* FROM w CROSS JOIN q WHERE n >= q * total AND n > below QUALIFY row_number() OVER (PARTITION BY reason, q ORDER BY le) = 1)
  SELECT reason, CAST(q AS DOUBLE) AS q, round(CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (CAST(q AS DOUBLE) * total - below) / (n - below) END, 9) AS value FROM h""")
 def histogram_quantiles(spark, d):
-    h = _buckets(spark, d)
-    parts = [metrics.histogram_quantile(h, ["reason"], q).select("reason", F.lit(q).alias("q"), F.round("value", 9).alias("value")) for q in (0.5, 0.95, 0.99)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return metrics.histogram_quantiles(_buckets(spark, d), ["reason"], _QS).withColumn("value", F.round("value", 9))
+
+
+_QS = (0.5, 0.95, 0.99)
+_LE = "CASE reason WHEN 'view' THEN 1.0 WHEN 'click' THEN 2.5 WHEN 'signup' THEN 5.0 WHEN 'error' THEN 10.0 ELSE CAST('inf' AS DOUBLE) END"
+
+
+@register(f"""WITH {b.SAMPLES}, x AS (SELECT series, series % 3 AS zone, CAST({_LE} AS DOUBLE) AS le, ts, value FROM samples), st AS (SELECT *, CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END AS step FROM (SELECT *, lag(value) OVER (PARTITION BY series, le ORDER BY ts, value) AS p FROM x)),
+ bk AS (SELECT zone, {_bucket(21600)} AS start, le, sum(step) AS n FROM st GROUP BY ALL), mono AS (SELECT zone, start, le, max(n) OVER (PARTITION BY zone, start ORDER BY le) AS n FROM bk),
+ w AS (SELECT *, coalesce(lag(le) OVER o, 0.0) AS low, coalesce(lag(n) OVER o, 0) AS below, max(n) OVER (PARTITION BY zone, start) AS total FROM mono WINDOW o AS (PARTITION BY zone, start ORDER BY le)),
+ q AS (SELECT CAST(unnest([0.5, 0.95, 0.99]) AS DOUBLE) AS q), h AS (SELECT zone, start, q, CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (q * total - below) / (n - below) END AS value FROM w CROSS JOIN q WHERE total > 0 AND n >= q * total AND n > below QUALIFY row_number() OVER (PARTITION BY zone, start, q ORDER BY le) = 1)
+ SELECT g.zone, g.start, g.q, round(value, 9) AS value FROM (SELECT DISTINCT zone, start, q FROM bk CROSS JOIN q) g LEFT JOIN h USING (zone, start, q)""")
+def windowed_quantiles(spark, d):
+    """Quantiles of a histogram's growth in each window, from one pass over its bucket counters."""
+    s = b.samples(spark, d).select("series", (F.col("series") % 3).alias("zone"), F.expr(_LE).cast("double").alias("le"), "ts", "value")
+    grown = metrics.bucket_increases(s, ["series", "zone"], ["zone"], "6 hours")
+    return _start(metrics.histogram_quantiles(grown, ["zone", "start"], _QS)).withColumn("value", F.round("value", 9))
 
 
 @register(f"""WITH {_STEP}, s AS (SELECT series, {_bucket(3600)} AS start, sum(step) AS v FROM (SELECT *, CASE WHEN p2 IS NULL THEN 0 WHEN value < p2 THEN value ELSE value - p2 END AS step FROM (SELECT series, ts, value, lag(value) OVER (PARTITION BY series ORDER BY ts, value) AS p2 FROM samples WHERE reason = 'view')) GROUP BY ALL),
@@ -705,8 +763,7 @@ def lowest_value(spark, d):
     return _start(metrics.lowest(b.samples(spark, d), ["series"], "1 hour"))
 
 
-@register(f"""WITH {b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(60)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(60)} AS start, max_by(value, row(ts, value)) * 200 AS tip FROM samples WHERE reason = 'view' GROUP BY ALL),
- l AS (SELECT program, start, tip - v > 3000 AS "on" FROM fr JOIN tp USING (start)), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY program ORDER BY start) AS run FROM l), h AS (SELECT *, min(CASE WHEN "on" THEN start END) OVER (PARTITION BY program, run) AS began FROM g)
+@register(f"""WITH {_lag(60, "* 200")}, l AS (SELECT program, start, lag > 3000 AS "on" FROM lag), g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY program ORDER BY start) AS run FROM l), h AS (SELECT *, min(CASE WHEN "on" THEN start END) OVER (PARTITION BY program, run) AS began FROM g)
  SELECT 'SlotLagHigh' AS alert, program, start AS t FROM h WHERE "on" AND start - began >= 300""")
 def alert_slot_lag_high(spark, d):
     frontiers, tips = _frontiers(spark, d)
@@ -747,9 +804,9 @@ def alert_reconnect_storm(spark, d):
     return _start(metrics.reconnect_storm(b.samples(spark, d), _SERIES))
 
 
-@register(f"""WITH {b.SAMPLES}, fr AS (SELECT series AS program, {_bucket(900)} AS start, max_by(value, row(ts, value)) AS v FROM samples WHERE reason <> 'view' GROUP BY ALL), tp AS (SELECT {_bucket(900)} AS start, max_by(value, row(ts, value)) * 200 AS tip FROM samples WHERE reason = 'view' GROUP BY ALL),
+@register(f"""WITH {_lag(900, "* 200")},
  ch AS (SELECT series AS program, {_bucket(900)} AS start, sum(CAST(c AS BIGINT)) AS n FROM (SELECT *, coalesce(v <> lag(v) OVER (PARTITION BY series ORDER BY ts, v), false) AS c FROM (SELECT series, ts, floor(value / 25) AS v FROM samples WHERE reason <> 'view')) GROUP BY ALL),
- l AS (SELECT program, start, coalesce(tip - v > 3000 AND n = 0, false) AS "on" FROM fr JOIN tp USING (start) LEFT JOIN ch USING (program, start)),
+ l AS (SELECT program, start, coalesce(lag > 3000 AND n = 0, false) AS "on" FROM lag LEFT JOIN ch USING (program, start)),
  g AS (SELECT *, sum(CASE WHEN "on" THEN 0 ELSE 1 END) OVER (PARTITION BY program ORDER BY start) AS run FROM l), h AS (SELECT *, min(CASE WHEN "on" THEN start END) OVER (PARTITION BY program, run) AS began FROM g)
  SELECT 'BackfillStalled' AS alert, program, start AS t FROM h WHERE "on" AND start - began >= 300""")
 def alert_backfill_stalled(spark, d):
