@@ -51,6 +51,7 @@ LOG_TABLES = {
     "program_instructions": "program_id binary, signature binary, ix_index smallint, inner_index smallint, slot bigint, block_time timestamp, ix_name string, accounts array<binary>, data string",
     "whitelist_actions": "id string, type string, subject string, role string, permission string, actor string, slot bigint, block_time timestamp, tx_signature string, instruction_index string",
     "rejects": "program_id binary, signature binary, instruction_index string, ix_name string, slot bigint, reason string",
+    "account_rejects": "pubkey binary, slot bigint, kind string, reason string",
 }
 
 #: bookkeeping: the last row of a key stays
@@ -68,7 +69,7 @@ FEED_TABLES = {
     "metric_samples": "ts timestamp, metric string, labels map<string,string>, value double",
 }
 
-KEYS = {"rejects": ["signature", "instruction_index"], "program_instructions": ["signature", "ix_index", "inner_index"], "whitelist_actions": ["id"], "sync_state": ["program_id"], "backfill_cursor": ["program_id"]}
+KEYS = {"account_rejects": ["pubkey", "slot", "kind", "reason"], "rejects": ["signature", "instruction_index"], "program_instructions": ["signature", "ix_index", "inner_index"], "whitelist_actions": ["id"], "sync_state": ["program_id"], "backfill_cursor": ["program_id"]}
 
 #: allowed spellings by column: (table, column) to the enum's name in ``enums``
 CHECKS = {

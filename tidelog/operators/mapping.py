@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.core import enums
-from tidelog.core.schemas import CHECKS, NESTED, state_schema
 from tidelog.functions.columns import account_at, dotted, lower_hex, path_indexes, spelled
+from tidelog.operators.payloads import judged_documents
 from tidelog.operators.validate import instruction_reason, split_rejects, with_first_bad
 
 SYNTHETIC = "cpi_event"
@@ -151,29 +151,9 @@ def classify(payloads: DataFrame, kinds: DataFrame, data: str = "data", header:
 def state_rows(updates: DataFrame, table: str) -> DataFrame:
     """Account updates of one kind as typed rows of its table, from their JSON payload; for batch and stream.
 
-    Nested structs become prefixed columns, enum indexes become spellings.
+    Payloads that can't be decoded give no row; see ``payloads.judged_documents`` for why.
     """
-    schema = state_schema(table)
-    nested = NESTED.get(table, {})
-    flat = {f"{p}{suffix}": (p, name) for p, parts in nested.items() for suffix, name in parts.items()}
-    fields = []
-    for f in schema.fields[4:]:
-        kind = "int" if (table, f.name) in CHECKS else f.dataType.simpleString()
-        if f.name not in flat:
-            fields.append(f"{f.name} {kind}")
-    for p, parts in nested.items():
-        inner = ",".join(f"{name}:{'int' if (table, p + suffix) in CHECKS else dict((x.name, x.dataType.simpleString()) for x in schema.fields)[p + suffix]}" for suffix, name in parts.items())
-        fields.append(f"{p} struct<{inner}>")
-    row = updates.where(F.col("kind") == table).withColumn("p", F.from_json("payload", ", ".join(fields)))
-    out = []
-    for f in schema.fields[4:]:
-        p, name = flat.get(f.name, (None, None))
-        c = F.col(f"p.{p}.{name}") if p else F.col(f"p.{f.name}")
-        if (table, f.name) in CHECKS:
-            c = spelled(c, getattr(enums, CHECKS[table, f.name]))
-        out.append(c.cast(f.dataType).alias(f.name))
-    extra = ["arrival"] if "arrival" in updates.columns else []
-    return row.select("pubkey", "slot", "lamports", F.lit(None).cast("long").alias("closed_at_slot"), *out, *extra)
+    return judged_documents(updates, table).where("reason is null").drop("reason")
 
 
 # --- predicates of the read queries -------------------------------------------------------------

@@ -8,27 +8,43 @@ serves batch and stream alike, and several of them write one store.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.core.registry import Program, action_rule_table, close_rule_table, program_dimension
-from tidelog.operators import completeness, fold, keyed, mapping
+from tidelog.operators import completeness, fold, keyed, mapping, payloads
 from tidelog.operators.keyed import open_keys
-from tidelog.sources.store import Store
+from tidelog.sources.store import CLOSES, Store
 
 #: the writer's batch limits: a trigger, and how many files of the feed a batch takes (``read_changes``)
 FLUSH_INTERVAL = "250 milliseconds"
 FLUSH_FILES = 100
 
 
-def transaction_writer(store: Store, source: str, times: DataFrame | None = None, tables: Iterable[str] | None = None, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+def observed(seen: Observation) -> int:
+    """The observed count ``n``, once its frame is written; where Spark saw that a frame is empty, it left it out of the plan, and
+    the observation is empty too."""
+    try:
+        return seen.get["n"]
+    except Py4JJavaError as e:
+        if "assertion failed" in str(e):
+            return 0
+        raise
+
+
+def transaction_writer(store: Store, source: str, times: DataFrame | None = None, tables: Iterable[str] | None = None, compact_every: int = 100, also: list[tuple[str, DataFrame]] | None = None) -> Callable[[DataFrame, int], None]:
     """History, actions, closes and rejects of a batch of transactions, committed together.
 
-    ``tables``: the state tables that closes are written to, by default all that close rules name.
+    ``tables``: the state tables that closes are written to, by default all that close rules name. ``also``:
+    further changes of the same commit.
     """
+    tables = None if tables is None else list(tables)
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -42,26 +58,32 @@ def transaction_writer(store: Store, source: str, times: DataFrame | None = None
                 store.appended("whitelist_actions", m.actions, F.struct("slot", "id")),
                 store.appended("rejects", m.rejected, F.struct("slot", "reason")),
             ]
-            hit = {r[0] for r in m.closes.select("table").distinct().collect()}  # at most one row a table
-            for t in sorted(hit & set(tables) if tables is not None else hit):
-                changes.append(store.changed(t, closes=m.closes.where(F.col("table") == t)))
-            store.commit(source, number, changes)
+            shut = m.closes if tables is None else m.closes.where(F.col("table").isin(*tables))
+            changes.append(store.routed(shut))
+            store.commit(source, number, [*changes, *(also or [])])
         finally:
             judged.unpersist()
-        _compacted(store, [t for t, _ in changes], number, compact_every)
+        _compacted(store, [t for t, _ in changes if t != CLOSES], number, compact_every)
 
     return write
 
 
 def state_writer(store: Store, table: str, source: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
-    """Guarded upserts of a batch of account updates into one state table; rows without payload are closes."""
+    """Guarded upserts of a batch of account updates into one state table; rows without payload are closes.
+
+    Payloads that can't be decoded and kinds that no table has change nothing: they are kept with their reason in
+    ``account_rejects``, and their number stands in the commit's marks (``<source>-undecodable``: of its last batch).
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
             own = batch.where(F.col("kind") == table)
-            updates = mapping.state_rows(own.where("payload is not null"), table)
-            store.commit(source, number, [store.changed(table, updates, own.where("payload is null").select("pubkey", "slot"))])
+            given = own.where("payload is not null")
+            seen = Observation()
+            bad = payloads.document_rejects(batch.where("payload is not null"), [table]).observe(seen, F.count("*").alias("n"))
+            changes = [store.changed(table, mapping.state_rows(given, table), own.where("payload is null").select("pubkey", "slot")), store.appended("account_rejects", bad, F.lit(0))]
+            store.commit(source, number, changes, lambda: {f"{source}-undecodable": str(observed(seen))})
         finally:
             batch.unpersist()
         _compacted(store, [table], number, compact_every)
@@ -69,20 +91,48 @@ def state_writer(store: Store, table: str, source: str, compact_every: int = 100
     return write
 
 
-def deletion_writer(store: Store, source: str, tables: list[str]) -> Callable[[DataFrame, int], None]:
-    """Deletions whose table isn't known: of the keys that some table holds open, tried on every table."""
+def payload_writer(store: Store, program: Program, source: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """Guarded upserts of a program's accounts from their bytes (``data``), into all its tables in one commit.
+
+    Rows without data are closes of the tables that hold their key open. Undecodable ones go as in ``state_writer``.
+    """
+    tables = [t for t in program.tables if t in payloads.layouts()]
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        batch = batch.where(F.col("owner") == F.lit(bytes(program.id))).persist()
         try:
-            known = tracked_deletions(batch, {t: store.read(t) for t in tables})
-            store.commit(source, number, [store.changed(t, closes=known) for t in tables])
+            given, seen = batch.where("data is not null"), Observation()
+            bad = payloads.payload_rejects(given).observe(seen, F.count("*").alias("n"))
+            changes = [store.changed(t, payloads.payload_rows(given, t)) for t in tables]
+            gone = _tracked_closes(batch.where("data is null").select("pubkey", "slot"), {t: store.read(t) for t in tables})
+            store.commit(source, number, [*changes, store.routed(gone), store.appended("account_rejects", bad, F.lit(0))], lambda: {f"{source}-undecodable": str(observed(seen))})
         finally:
             batch.unpersist()
+        _compacted(store, tables, number, compact_every)
 
     return write
 
 
+def deletion_writer(store: Store, source: str, tables: list[str]) -> Callable[[DataFrame, int], None]:
+    """Deletions whose table isn't known: of the keys that some table holds open, tried on every table that has them.
+
+    Each table is read once, and all closes are one frame that is written once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        store.commit(source, number, [store.routed(_tracked_closes(batch.select("pubkey", "slot"), {t: store.read(t) for t in tables}))])
+
+    return write
+
+
+def _tracked_closes(deletions: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, pubkey, slot) of the deletions, for each table that has the key, if any of them holds it open."""
+    held = [rows.select(F.lit(t).alias("table"), "pubkey", F.col("closed_at_slot").isNull().alias("_open")) for t, rows in tables.items()]
+    last = deletions.groupBy("pubkey").agg(F.max("slot").alias("slot"))
+    hit = reduce(DataFrame.unionByName, held).join(last, "pubkey")
+    return hit.withColumn("_any", F.max("_open").over(Window.partitionBy("pubkey"))).where("_any").select("table", "pubkey", "slot")
+
+
 def _compacted(store: Store, tables: list[str], number: int, every: int) -> None:
     if number % every == every - 1:
         for t in tables:
@@ -123,21 +173,38 @@ def load_snapshot(store: Store, program: Program, updates: DataFrame, snapshot_s
     """Loads all current rows of a program, tagged with a slot that was taken before they were read.
 
     What the store holds open and the snapshot lacks is closed at that slot; the program's snapshot slot
-    is set in the same commit. Returns loaded and closed_missing by table. A later snapshot has a larger slot.
+    is set in the same commit. What can't be decoded is skipped, kept in ``account_rejects`` and counted; but a row
+    that is there undecodable isn't missing, so it closes nothing. Returns loaded and closed_missing by table, as
+    observed while they were written; ``snapshot_counts`` has the undecodable ones too. A snapshot at or below the last
+    one's slot changes nothing, and returns no rows.
     """
+    source, schema = f"snapshot-{program.name}", "table string, loaded long, closed_missing long"
+    last = store.last_batch(source)
+    if last is not None and snapshot_slot <= last:
+        return store.spark.createDataFrame([], schema)
     updates = updates.withColumn("slot", F.lit(snapshot_slot).cast("long")).persist()
-    changes, report = [], None
-    for t in program.tables:
-        rows, state = mapping.state_rows(updates, t), store.read(t)
-        gone = keyed.missing_keys(state, rows, snapshot_slot, ["pubkey"]).select("pubkey", F.lit(snapshot_slot).cast("long").alias("slot"))
-        changes.append(store.changed(t, rows, gone))
-        one = rows.agg(F.lit(t).alias("table"), F.count("*").alias("loaded")).crossJoin(gone.agg(F.count("*").alias("closed_missing")))
-        report = one if report is None else report.unionByName(one)
-    counts = report.collect()  # one row a table
-    changes.append(store.put("sync_state", store.spark.createDataFrame([(bytearray(program.id), snapshot_slot)], "program_id binary, snapshot_slot long")))
-    store.commit(f"snapshot-{program.name}", snapshot_slot, changes, {f"snapshot-{program.name}": str(snapshot_slot)})
-    updates.unpersist()
-    return store.spark.createDataFrame(counts, "table string, loaded long, closed_missing long")
+    try:
+        changes, seen, skipped = [], {}, Observation()
+        bad = payloads.document_rejects(updates, list(program.tables))
+        for t in program.tables:
+            seen[t] = Observation(), Observation()
+            rows = mapping.state_rows(updates, t)
+            there = updates.where(F.col("kind") == t).select("pubkey")
+            gone = keyed.missing_keys(store.read(t), there, snapshot_slot, ["pubkey"]).select("pubkey", F.lit(snapshot_slot).cast("long").alias("slot"))
+            changes.append(store.changed(t, rows.observe(seen[t][0], F.count("*").alias("n")), gone.observe(seen[t][1], F.count("*").alias("n"))))
+        changes.append(store.appended("account_rejects", bad.observe(skipped, F.count("*").alias("n")), F.lit(0)))
+        changes.append(store.put("sync_state", store.spark.createDataFrame([(bytearray(program.id), snapshot_slot)], "program_id binary, snapshot_slot long")))
+        counts = lambda: [(t, observed(loaded), observed(gone)) for t, (loaded, gone) in seen.items()]
+        total = lambda: {"loaded": sum(r[1] for r in counts()), "undecodable": observed(skipped), "closed_missing": sum(r[2] for r in counts())}
+        store.commit(source, snapshot_slot, changes, lambda: {source: str(snapshot_slot), f"{source}-counts": json.dumps(total())})
+        return store.spark.createDataFrame(counts(), schema)
+    finally:
+        updates.unpersist()
+
+
+def snapshot_counts(store: Store, program: Program) -> dict[str, int]:
+    """loaded, undecodable and closed_missing of a program's last snapshot."""
+    return json.loads(store.marks().get(f"snapshot-{program.name}-counts", "{}"))
 
 
 def load_history(store: Store, program: Program, signatures: DataFrame, transactions: DataFrame, low: int, high: int, batch: int, times: DataFrame | None = None) -> None:
@@ -164,12 +231,20 @@ def load_history(store: Store, program: Program, signatures: DataFrame, transact
 
 
 def reconcile(store: Store, program: Program, signatures: DataFrame, delivered: DataFrame, tip: int) -> None:
-    """Moves a program's frontier to a tip that was taken before the walk, if nothing up to it is missing."""
+    """Moves a program's frontier to a tip that was taken before the walk, if nothing up to it is missing.
+
+    A tip that isn't ahead of the frontier (another node's, or a lagging one's) is no news: nothing is done.
+    """
     spark, key = store.spark, F.lit(bytes(program.id))
+    now = _sync_row(store, program).select("last_contiguous_slot").first()
+    if now is None or now[0] is not None and tip <= now[0]:
+        return
     own = signatures.where(F.col("program_id") == key)
     lacking = completeness.missing(own, delivered.where(F.col("program_id") == key))
     tips = spark.createDataFrame([(bytearray(program.id), tip)], "program_id binary, slot long")
-    store.commit(f"reconcile-{program.name}", tip, [store.put("sync_state", completeness.advance_frontier(_sync_row(store, program), tips, lacking).select("program_id", "last_contiguous_slot"))])
+    source = f"reconcile-{program.name}"
+    last = store.last_batch(source)
+    store.commit(source, 0 if last is None else last + 1, [store.put("sync_state", completeness.advance_frontier(_sync_row(store, program), tips, lacking).select("program_id", "last_contiguous_slot"))])
 
 
 def follow(start_stream: Callable[[], StreamingQuery], read_tip: Callable[[], int], load: Callable[[int], object]) -> StreamingQuery:
