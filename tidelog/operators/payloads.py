@@ -96,41 +96,64 @@ def kind_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "program_id binary, header binary, kind string")
 
 
-def _number(digits: Column, at: Column, width: int) -> Column:
-    """A little-endian number that starts at a byte of the payload, whose hex digits are given; 8 bytes wrap."""
-    parts = [F.substring(digits, (at + k) * 2 + 1, F.lit(2)) for k in reversed(range(width))]
-    return F.conv(F.concat(*parts), 16, -10).cast("bigint")
+def _swapped(data: Column) -> Column:
+    """The hex digits of bytes, each byte's two turned: read backwards, a run of them is a little-endian number."""
+    return F.regexp_replace(F.hex(data), "(.)(.)", "$2$1")
 
 
-def _projection(layout: Layout, data: Column, digits: Column) -> tuple[list[Column], Column]:
-    """(typed columns, reason why the payload isn't one): fields are taken in order, each from where the last one ended."""
+def _number(swapped: Column, at: int, width: int) -> Column:
+    """A little-endian number that starts at a byte; 8 bytes wrap."""
+    return F.conv(F.reverse(F.substring(swapped, at * 2 + 1, width * 2)), 16, -10).cast("bigint")
+
+
+@dataclass(frozen=True)
+class _Projection:
+    """``steps``: columns to add first, one after the other; then the typed columns, and the reason why there are none."""
+
+    steps: list[tuple[str, Column]]
+    columns: list[Column]
+    reason: Column
+
+
+def _projection(layout: Layout, data: str, swapped: str, when: Column | None = None) -> _Projection:
+    """Fields are taken in order from the payload's bytes, numbers from its digits. What is left behind a field of prefixed
+    width are columns of their own, so each field is at a fixed place of some column."""
     schema = {f.name: f.dataType for f in state_schema(layout.table).fields}
-    at: Column = F.lit(HEADER)
-    length = F.octet_length(data)
-    out, bad = [], []
+    d, w, at = F.col(data), F.col(swapped), HEADER
+    steps, out, bad, short = [], [], [], []
+
+    def go_on(size: Column) -> None:
+        nonlocal d, w, at
+        short.append(F.octet_length(d) < size)
+        rest = F.substring(d, size + 1, F.lit(1 << 30)), F.substring(w, size * 2 + 1, F.lit(1 << 30))
+        names = [f"{c}_{layout.table}_{len(steps)}" for c in (data, swapped)]
+        steps.extend((n, r if when is None else F.when(when, r)) for n, r in zip(names, rest, strict=True))
+        d, w, at = F.col(names[0]), F.col(names[1]), 0
+
     for column, kind in layout.fields:
         if kind in WIDTH:
-            value = F.substring(data, at + 1, F.lit(32)) if kind == "key" else _number(digits, at, WIDTH[kind])
+            value = F.substring(d, at + 1, 32) if kind == "key" else _number(w, at, WIDTH[kind])
             if kind == "flag":
                 bad.append(F.when(~value.isin(0, 1), F.lit("bad_tag")))
                 value = value == 1
             elif kind == "enum":
                 value = spelled(value, getattr(enums, CHECKS[layout.table, column]))
-                bad.append(F.when((at < length) & value.isNull(), F.lit("unknown_enum")))
-            at = at + WIDTH[kind]
+                bad.append(F.when(value.isNull(), F.lit("unknown_enum")))
+            at += WIDTH[kind]
         elif kind == "key?":
-            tag = _number(digits, at, 1)
+            tag = _number(w, at, 1)
             bad.append(F.when(~tag.isin(0, 1), F.lit("bad_tag")))
-            value = F.when(tag == 1, F.substring(data, at + 2, F.lit(32)))
-            at = at + F.when(tag == 1, 33).otherwise(1)
+            value = F.when(tag == 1, F.substring(d, at + 2, 32))
+            go_on(F.when(tag == 1, at + 33).otherwise(at + 1))
         else:
-            size = F.coalesce(_number(digits, at, 4), F.lit(0))
             # a length beyond the payload makes it too short, whatever follows
-            bad.append(F.when(at + 4 + size > length, F.lit("too_short")))
-            value = F.substring(data, at + 5, F.least(size, length).cast("int"))
-            at = at + 4 + F.least(size, length).cast("int")
+            size = F.least(_number(w, at, 4), F.octet_length(d)).cast("int")
+            value = F.substring(d, F.lit(at + 5), size)
+            go_on(F.coalesce(size, F.lit(0)) + at + 4)
         out.append(value.cast(schema[column]).alias(column))
-    return out, F.coalesce(F.when(length.isNull() | (length < F.greatest(F.lit(layout.least), at)), F.lit("too_short")), *bad)
+    short.append(F.octet_length(d) < at)
+    too_short = F.when(F.coalesce(reduce(lambda a, b: a | b, short), F.lit(True)), F.lit("too_short"))
+    return _Projection(steps, out, F.coalesce(too_short, *bad))
 
 
 _COMMON = ("pubkey", "slot", "lamports")
@@ -146,9 +169,11 @@ def judged_payloads(updates: DataFrame, table: str, data: str = "data") -> DataF
     """Account updates of one table as typed rows from their bytes, with the reason why a row is none (NULL: it is one)."""
     layout = layouts()[table]
     owner = next(p.id for p in registry.programs() if table in p.tables)  # programs share the names of some accounts
-    rows = updates.where((F.col("owner") == F.lit(bytes(owner))) & (F.substring(data, 1, HEADER) == F.lit(layout.header))).withColumn("_hex", F.hex(data))
-    columns, reason = _projection(layout, F.col(data), F.col("_hex"))
-    return _tagged(rows, columns, reason)
+    rows = updates.where((F.col("owner") == F.lit(bytes(owner))) & (F.substring(data, 1, HEADER) == F.lit(layout.header))).withColumn("_swapped", _swapped(F.col(data)))
+    p = _projection(layout, data, "_swapped")
+    for name, step in p.steps:
+        rows = rows.withColumn(name, step)
+    return _tagged(rows, p.columns, p.reason)
 
 
 def payload_rows(updates: DataFrame, table: str, data: str = "data") -> DataFrame:
@@ -159,10 +184,13 @@ def payload_rows(updates: DataFrame, table: str, data: str = "data") -> DataFram
 def payload_rejects(updates: DataFrame, data: str = "data") -> DataFrame:
     """(pubkey, slot, kind, reason) of the updates with ``owner`` that none of its program's layouts decodes; in one pass."""
     kinds = kind_table(updates.sparkSession).withColumnRenamed("program_id", "owner")
-    rows = updates.withColumn("header", F.substring(data, 1, HEADER)).drop("kind").join(F.broadcast(kinds), ["owner", "header"], "left").withColumn("_hex", F.hex(data))
+    rows = updates.withColumn("header", F.substring(data, 1, HEADER)).drop("kind").join(F.broadcast(kinds), ["owner", "header"], "left").withColumn("_swapped", _swapped(F.col(data)))
     reason = F.when(F.col("kind").isNull(), F.lit("unknown_kind"))
     for table, layout in layouts().items():
-        reason = reason.when(F.col("kind") == table, _projection(layout, F.col(data), F.col("_hex"))[1])
+        p = _projection(layout, data, "_swapped", F.col("kind") == table)
+        for name, step in p.steps:
+            rows = rows.withColumn(name, step)
+        reason = reason.when(F.col("kind") == table, p.reason)
     reason = F.coalesce(F.when(F.col("pubkey").isNull(), F.lit("missing_key")), reason)
     return rows.select("pubkey", "slot", "kind", reason.alias("reason")).where("reason is not null")
 

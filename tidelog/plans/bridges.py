@@ -14,6 +14,8 @@ from tidelog.core import enums, registry
 from tidelog.core.enums import ROLE
 from tidelog.core.schemas import CHECKS, NESTED, STATE_PAYLOAD
 from tidelog.functions.columns import key_argument, lower_hex
+from tidelog.operators.payloads import WIDTH as FIELD_WIDTH
+from tidelog.operators.payloads import layouts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -277,3 +279,79 @@ def plain(rows: DataFrame) -> DataFrame:
     """Binary columns as hex, lists as JSON, so that any engine compares them."""
     one = lambda f: lower_hex(F.col(f.name)) if f.dataType.simpleString() == "binary" else F.to_json(f.name) if f.dataType.simpleString().startswith("array") else F.col(f.name)
     return rows.select(*[one(f).alias(f.name) for f in rows.schema.fields])
+
+
+# --- account updates as bytes --------------------------------------------------------------------
+
+#: what the orders of these remainders break: the last byte is cut off, the header is another's, an enum is unknown
+_CUT, _STRANGE, _ENUM = "o_orderkey % 11 = 0", "o_orderkey % 13 = 0", "o_orderkey % 17 = 0"
+
+
+def _little(value: Column, width: int) -> Column:
+    """A number below 256 as little-endian bytes, in hex."""
+    return F.concat(F.lpad(F.hex(value), 2, "0"), F.lit("00" * (width - 1)))
+
+
+def _bytes_field(n: int, kind: str, names: tuple[str, ...] | None) -> Column:
+    """A payload field of an order in hex; see ``_json_field``."""
+    key = F.col("o_orderkey")
+    own = F.md5(((key + n) % KEYS).cast("string"))
+    if kind == "key":
+        return F.concat(own, own)
+    if kind == "key?":
+        return F.when(key % 2 == 0, F.concat(F.lit("01"), own, own)).otherwise("00")
+    if kind == "bytes":
+        return F.concat(_little(F.lit(16), 4), own)
+    if kind == "flag":
+        return F.when((key + n) % 2 == 0, "01").otherwise("00")
+    if kind == "enum":
+        return F.when(F.expr(_ENUM), "fa").otherwise(_little((key + n) % len(names), 1))
+    limit = {"u8": 200, "u16": 50}.get(kind, 97)
+    return _little((key + n) % limit, FIELD_WIDTH[kind])
+
+
+def binary_updates(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """orders as account updates of one state table in bytes; some are broken."""
+    layout = layouts()[name]
+    owner = next(p.id for p in registry.programs() if name in p.tables)
+    fields = {c: (n, names) for n, c, _, names in _fields(name)}
+    body = F.concat(*[_bytes_field(fields[c][0], kind, fields[c][1]) for c, kind in layout.fields])
+    header = F.when(F.expr(_STRANGE), "00" * 8).otherwise(layout.header.hex())
+    whole = F.concat(header, body)
+    data = F.unhex(F.when(F.expr(_CUT), F.expr("substring(w, 1, length(w) - 2)")).otherwise(F.col("w")))
+    rows = account_updates(spark, sf_dir, name).drop("payload", "kind", "owner").withColumnRenamed("arrival", "o_orderkey")
+    return rows.withColumn("w", whole).select("pubkey", F.lit(owner).alias("owner"), "slot", "lamports", data.alias("data"), F.col("o_orderkey").alias("arrival"))
+
+
+def _has_enum(name: str) -> bool:
+    return any(k == "enum" for _, k in layouts()[name].fields)
+
+
+def binary_reason_sql(name: str) -> str:
+    """Why an order's bytes can't be decoded, or NULL."""
+    return f"CASE WHEN {_STRANGE} THEN 'unknown_kind' WHEN {_CUT} THEN 'too_short' {f"WHEN {_ENUM} THEN 'unknown_enum'" if _has_enum(name) else ''} END".replace("o_orderkey", "arrival")
+
+
+def binary_rows_sql(name: str) -> str:
+    """All typed rows of a table's updates in bytes, binary columns as hex, with the reason that some are none."""
+    one = []
+    kinds = dict(layouts()[name].fields)
+    for n, c, kind, names in _fields(name):
+        key = f"md5(CAST((o_orderkey + {n}) % {KEYS} AS VARCHAR))"
+        sql = {"key": f"{key} || {key}", "key?": f"CASE WHEN o_orderkey % 2 = 0 THEN {key} || {key} END", "bytes": key}.get(kinds[c], _sql_field(n, kind, names))
+        one.append(f"{sql} AS {c}")
+    rows = f"""SELECT md5('k' || o_custkey % {KEYS}) AS pubkey, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) - o_orderkey % 2000 AS BIGINT) AS slot, o_orderkey % 1000 AS lamports,
+ CAST(NULL AS BIGINT) AS closed_at_slot, {", ".join(one)}, o_orderkey AS arrival FROM orders"""
+    return f"SELECT *, {binary_reason_sql(name)} AS reason FROM ({rows})"
+
+
+def broken_updates(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Account updates in JSON of which some can't be decoded: cut off, without fields, of unknown kind, without key."""
+    u = account_updates(spark, sf_dir, name)
+    a = F.col("arrival")
+    payload = F.when(a % 7 == 0, "{broken").when(a % 7 == 1, "{}").when(a % 7 == 2, F.lit("")).otherwise(F.col("payload"))
+    return u.withColumns({"payload": payload, "kind": F.when(a % 7 == 3, "strange").otherwise(F.col("kind")), "pubkey": F.when(a % 7 != 4, F.col("pubkey"))})
+
+
+#: reason by order, as ``broken_updates`` makes them
+BROKEN = "CASE arrival % 7 WHEN 0 THEN 'broken_payload' WHEN 1 THEN 'missing_field' WHEN 2 THEN 'broken_payload' WHEN 3 THEN 'unknown_kind' WHEN 4 THEN 'missing_key' END"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidelog.core import enums, registry, schemas
 from tidelog.core.order import events_after, latest_per_key
 from tidelog.functions import columns as c
-from tidelog.operators import completeness, fold, keyed, listing, mapping, metrics, validate
+from tidelog.operators import completeness, fold, keyed, listing, mapping, metrics, payloads, validate
 from tidelog.plans import bridges as b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1139,3 +1139,124 @@ def streamed_role_fold(spark, d):
     query = fold_stream(b.actions_of(stream)).writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(f"{folder}/{last[0]}")
+
+
+# --- payloads in bytes, and what can't be decoded ------------------------------------------------
+
+
+def _binary_rows(name):
+    def run(spark, d):
+        return b.plain(payloads.payload_rows(b.binary_updates(spark, d, name), name))
+
+    run.__name__ = f"binary_{name}"
+    return register(f"SELECT * EXCLUDE (reason) FROM ({b.binary_rows_sql(name)}) WHERE reason IS NULL")(run)
+
+
+for _table in payloads.layouts():
+    _binary_rows(_table)
+
+
+#: of four programs, with and without enums, keys that may lack, and bytes of any length
+_LAID_OUT = ("config", "role_account", "regions_location", "regions_vote_record", "marketplace_property_asset", "marketplace_lawyer", "property_config", "property_letting")
+
+
+@register(" UNION ALL ".join(f"SELECT '{t}' AS told, CASE WHEN reason <> 'unknown_kind' THEN '{t}' END AS kind, reason, count(*) AS n FROM ({b.binary_rows_sql(t)}) WHERE reason IS NOT NULL GROUP BY ALL" for t in _LAID_OUT))
+def payload_rejects(spark, d):
+    """Bytes of eight kinds of account in one pass: why each undecodable one is none."""
+    told = lambda t: b.binary_updates(spark, d, t).withColumn("pubkey", F.concat(F.lit(f"{t}/").cast("binary"), F.col("pubkey")))
+    rows = told(_LAID_OUT[0])
+    for t in _LAID_OUT[1:]:
+        rows = rows.unionByName(told(t))
+    bad = payloads.payload_rejects(rows).withColumn("told", F.split(F.decode(F.substring("pubkey", 1, 40), "ISO-8859-1"), "/")[0])
+    return bad.groupBy("told", "kind", "reason").agg(F.count("*").alias("n"))
+
+
+def _stored_payloads_sql(t):
+    """The newest of a table's decodable updates, closed where a deletion is newer."""
+    return f"""SELECT '{t}' AS "table", u.pubkey, CASE WHEN k.slot > u.slot THEN k.slot ELSE u.slot END AS slot, CASE WHEN k.slot > u.slot THEN k.slot END AS closed_at_slot, u.bump
+ FROM (SELECT * FROM ({b.binary_rows_sql(t)}) WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1) u LEFT JOIN gone k USING (pubkey)"""
+
+
+_GONE_KEYS = f"gone AS (SELECT md5('k' || o_custkey % {b.KEYS}) AS pubkey, CAST(max(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) - 200) AS BIGINT) AS slot FROM orders WHERE o_custkey % {b.KEYS} % 3 = 1 GROUP BY 1)"
+
+
+@register(f"WITH {_GONE_KEYS} " + " UNION ALL ".join(map(_stored_payloads_sql, ("config", "admin", "role_account"))))
+def stored_payloads(spark, d):
+    """A program's accounts from their bytes, all tables in one commit; then deletions that name no table."""
+    from tidelog.streaming import jobs
+
+    store, tables = _store(spark), ("config", "admin", "role_account")
+    rows = b.binary_updates(spark, d, tables[0]).unionByName(b.binary_updates(spark, d, tables[1])).unionByName(b.binary_updates(spark, d, tables[2]))
+    jobs.payload_writer(store, registry.program("whitelist"), "accounts")(rows, 0)
+    gone = b.table(spark, d, "orders").where(f"o_custkey % {b.KEYS} % 3 = 1").select(F.unhex(F.md5(F.concat(F.lit("k"), (F.col("o_custkey") % b.KEYS).cast("string")))).alias("pubkey"), (F.unix_date(F.to_date("o_orderdate")) - 200).cast("long").alias("slot"))
+    jobs.deletion_writer(store, "deletions", list(tables))(gone, 0)
+    parts = [store.read(t).select(F.lit(t).alias("table"), c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "closed_at_slot", "bump") for t in tables]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(f"""WITH x AS (SELECT *, {b.BROKEN} AS reason FROM ({b.account_rows_sql("role_account")})),
+ good AS (SELECT pubkey, slot, role FROM x WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1)
+ SELECT pubkey, slot, role, CAST(NULL AS VARCHAR) AS reason FROM good UNION ALL SELECT DISTINCT CASE WHEN reason <> 'missing_key' THEN pubkey END, slot, CASE WHEN reason = 'unknown_kind' THEN 'strange' ELSE 'role_account' END, reason FROM x WHERE reason IS NOT NULL""")
+def undecodable_updates(spark, d):
+    """Broken payloads, empty ones, unknown kinds and rows without key after good ones: stored rows stay, rejects have their reason."""
+    from tidelog.streaming import jobs
+
+    store, rows = _store(spark), b.broken_updates(spark, d, "role_account")
+    write = jobs.state_writer(store, "role_account", "accounts")
+    write(rows.where("arrival % 7 > 4"), 0)
+    write(rows.where("arrival % 7 <= 4").withColumn("slot", F.col("slot")), 1)
+    state = store.read("role_account").select(c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", "role", F.lit(None).cast("string").alias("reason"))
+    return state.unionByName(store.read("account_rejects").select(c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot", F.col("kind").alias("role"), "reason"))
+
+
+@register(f"""WITH x AS (SELECT *, {b.BROKEN} AS reason FROM ({b.account_rows_sql("admin")})), held AS (SELECT DISTINCT pubkey FROM ({b.account_rows_sql("admin")})), there AS (SELECT DISTINCT pubkey FROM x WHERE coalesce(reason, '') NOT IN ('unknown_kind', 'missing_key') AND arrival % 2 = 0)
+ SELECT (SELECT count(*) FROM x WHERE reason IS NULL AND arrival % 2 = 0) AS loaded, (SELECT count(*) FROM x WHERE reason IS NOT NULL AND arrival % 2 = 0) AS undecodable, (SELECT count(*) FROM held WHERE pubkey NOT IN (SELECT pubkey FROM there)) AS closed_missing, CAST(50000 AS BIGINT) AS snapshot_slot""")
+def snapshot_report(spark, d):
+    """What a snapshot loaded, skipped and closed, observed while it was written; a second one at a lower slot does nothing."""
+    from tidelog.streaming import jobs
+
+    store, program = _store(spark), registry.program("whitelist")
+    jobs.seed(store, [program])
+    jobs.state_writer(store, "admin", "accounts")(b.account_updates(spark, d, "admin"), 0)
+    jobs.load_snapshot(store, program, b.broken_updates(spark, d, "admin").where("arrival % 2 = 0"), 50_000)
+    jobs.load_snapshot(store, program, b.account_updates(spark, d, "admin").limit(0), 40_000)
+    row = spark.createDataFrame([tuple(jobs.snapshot_counts(store, program).values())], "loaded long, undecodable long, closed_missing long")
+    return row.crossJoin(store.read("sync_state").select("snapshot_slot"))
+
+
+@register("WITH tips AS (SELECT o_orderkey AS n, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS tip FROM orders WHERE o_orderkey <= 6) SELECT CAST(483386556 + max(tip) AS BIGINT) AS last_contiguous_slot, true AS backfill_complete FROM tips")
+def lower_tip(spark, d):
+    """Tips come from several nodes: one behind the frontier, or behind an earlier one, moves nothing and raises nothing."""
+    from tidelog.streaming import jobs
+
+    store, program = _store(spark), registry.program("whitelist")
+    jobs.seed(store, [program])
+    nothing = spark.createDataFrame([], schemas.table_schema("signatures"))
+    jobs.backfill(store, program, nothing, spark.createDataFrame([], schemas.table_schema("transactions")), 10)
+    tips = b.table(spark, d, "orders").where("o_orderkey <= 6").select("o_orderkey", F.unix_date(F.to_date("o_orderdate")).alias("tip")).orderBy("o_orderkey").collect()  # six rows at most
+    for r in tips:
+        jobs.reconcile(store, program, nothing, nothing, program.floor + r["tip"])
+    return store.read("sync_state").select("last_contiguous_slot", "backfill_complete")
+
+
+_WALK_FLOOR, _WALK_PAGE = 9000, 300
+
+
+@register(f"""WITH {b.FEED}, own AS (SELECT DISTINCT o_orderkey FROM feed WHERE program = 'property' AND slot >= {_WALK_FLOOR})
+ SELECT signature, CAST(path[1] AS SMALLINT) AS ix_index, CAST(path[2] AS SMALLINT) AS inner_index, program_id, slot, ix_name, true AS backfill_complete, CAST(0 AS BIGINT) AS cursors FROM good WHERE o_orderkey IN (SELECT o_orderkey FROM own)""")
+def resumed_history(spark, d):
+    """A history run that is stopped after a window, fails in the next for want of a transaction, and goes on in a third run."""
+    from tidelog.streaming import jobs
+
+    store, program = _store(spark), registry.program("property")
+    store.commit("seed", 0, [store.put("sync_state", spark.createDataFrame([(bytearray(program.id), _WALK_FLOOR, False, _WALK_FLOOR)], "program_id binary, last_contiguous_slot long, backfill_complete boolean, backfill_floor_slot long"))])
+    given = mapping.touching(b.feed_transactions(spark, d), [program.id])
+    signatures = given.select(F.lit(program.id).alias("program_id"), "signature", "slot", (F.col("failed") | F.col("vote")).alias("failed"))
+    jobs.backfill(store, program, signatures, given, _WALK_PAGE, windows=1)
+    try:
+        jobs.backfill(store, program, signatures, given.where("slot % 2 = 0"), _WALK_PAGE)
+    except ValueError:  # what is lacking there ends the run before its window is marked
+        pass
+    jobs.backfill(store, program, signatures, given, _WALK_PAGE)
+    rows = store.read("program_instructions").select(c.lower_hex(F.col("signature")).alias("signature"), "ix_index", "inner_index", c.lower_hex(F.col("program_id")).alias("program_id"), "slot", "ix_name")
+    return rows.crossJoin(store.read("sync_state").select("backfill_complete")).crossJoin(store.read("backfill_cursor").agg(F.count("*").alias("cursors")))

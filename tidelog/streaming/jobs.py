@@ -9,11 +9,12 @@ serves batch and stream alike, and several of them write one store.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -230,6 +231,70 @@ def load_history(store: Store, program: Program, signatures: DataFrame, transact
     store.commit(f"cursor-{program.name}", batch, [store.put("backfill_cursor", cursors, done), store.put("sync_state", done.withColumn("backfill_complete", F.lit(True)))])
 
 
+def backfill(store: Store, program: Program, signatures: DataFrame, transactions: DataFrame, page_size: int, floor: int | None = None, times: DataFrame | None = None, windows: int | None = None) -> dict[str, int]:
+    """Walks a program's history from the newest entry down to the floor, window by window, from where the last run stopped.
+
+    A window is a page of the plan. Its transactions must all be delivered, else the run ends with an error; its rows
+    and the cursor at its last entry are one commit, so a run that ends anywhere goes on below the last whole window.
+    The window that reaches the floor, or the end of the history, clears the cursor, and completes the program if
+    the walk's floor isn't above its real one. A complete program has no cursor: a further run walks all again.
+    ``windows`` ends the run after so many. Returns what this run did: windows, expected and failed entries.
+    """
+    spark, key, source = store.spark, F.lit(bytes(program.id)), f"history-{program.name}"
+    sync = _sync_row(store, program).first()
+    if sync is None:
+        raise ValueError(f"{program.name}: no bookkeeping row; seed it first")
+    floor = sync["backfill_floor_slot"] if floor is None else floor
+    hexed = F.lower(F.hex("signature")).alias("signature")
+    own = signatures.where(F.col("program_id") == key).select("program_id", hexed, "slot", "failed").distinct()
+    cursor = store.read("backfill_cursor").where(F.col("program_id") == key).select("program_id", "signature", "slot")
+    rest = completeness.below_cursor(own, cursor)
+    # entries by page and the plan of pages are written once a run; a window reads its own page
+    folder = f"{store.root}/walks/{source}-{uuid.uuid4().hex}"
+    ranked = completeness.ranked(rest, ["program_id"], "slot", ["signature"])
+    ranked.where(F.col("slot") >= floor).withColumn("page", F.floor((F.col("rank") - 1) / page_size)).drop("rank").write.partitionBy("page").parquet(f"{folder}/entries")
+    plan = completeness.plan_pages(rest, floor, page_size).orderBy("page")
+    did = {"windows": 0, "expected": 0, "failed": 0}
+    for page in plan.toLocalIterator():  # one small row a window
+        if windows is not None and did["windows"] >= windows:
+            return did
+        changes = _window_changes(store, program, page, floor)
+        if page["n_expected"] + page["n_failed"]:
+            entries = spark.read.parquet(f"{folder}/entries").where(F.col("page") == page["page"])
+            expected = entries.where(~F.col("failed")).select("program_id", F.unhex("signature").alias("signature"), "slot", "failed")
+            given = mapping.touching(transactions.where(F.col("slot").between(page["oldest_slot"], page["newest_slot"])), [program.id]).join(expected.select("signature"), "signature", "left_semi")
+            lacking = completeness.missing(expected, given.select(key.alias("program_id"), "signature"))
+            if some := lacking.limit(3).collect():
+                raise ValueError(f"{program.name}: {len(some)} or more signatures were not delivered, such as {bytes(some[0]['signature']).hex()}")
+            transaction_writer(store, source, times, also=changes)(given, _next_batch(store, source))
+        else:
+            store.commit(source, _next_batch(store, source), changes)
+        did = {"windows": did["windows"] + 1, "expected": did["expected"] + page["n_expected"], "failed": did["failed"] + page["n_failed"]}
+    if not did["windows"]:  # nothing below the cursor, or no history at all
+        store.commit(source, _next_batch(store, source), _walk_done(store, program, floor))
+    return did
+
+
+def _next_batch(store: Store, source: str) -> int:
+    last = store.last_batch(source)
+    return 0 if last is None else last + 1
+
+
+def _window_changes(store: Store, program: Program, page: Row, floor: int) -> list[tuple[str, DataFrame]]:
+    """What a walked window does to the cursor and the program's row."""
+    if page["stop"] is not None:
+        return _walk_done(store, program, floor)
+    cursor = [(bytearray(program.id), page["next_cursor"], page["oldest_slot"])]
+    return [store.put("backfill_cursor", store.spark.createDataFrame(cursor, "program_id binary, signature string, slot long"))]
+
+
+def _walk_done(store: Store, program: Program, floor: int) -> list[tuple[str, DataFrame]]:
+    one = store.spark.createDataFrame([(bytearray(program.id), floor)], "program_id binary, floor_used long")
+    complete = completeness.finish_backfill(_sync_row(store, program), one).where("backfill_complete").select("program_id", F.lit(True).alias("backfill_complete"))
+    none = store.read("backfill_cursor").limit(0)
+    return [store.put("backfill_cursor", none, one.select("program_id")), store.put("sync_state", complete)]
+
+
 def reconcile(store: Store, program: Program, signatures: DataFrame, delivered: DataFrame, tip: int) -> None:
     """Moves a program's frontier to a tip that was taken before the walk, if nothing up to it is missing.
 
