@@ -58,6 +58,7 @@ LOG_TABLES = {
 BOOK_TABLES = {
     "sync_state": "program_id binary, last_contiguous_slot bigint, backfill_complete boolean, backfill_floor_slot bigint, snapshot_slot bigint, updated_at timestamp",
     "backfill_cursor": "program_id binary, signature string, slot bigint, updated_at timestamp",
+    "gaps": "source string, start timestamp, end timestamp",
 }
 
 #: the change feed, normalized
@@ -69,7 +70,7 @@ FEED_TABLES = {
     "metric_samples": "ts timestamp, metric string, labels map<string,string>, value double",
 }
 
-KEYS = {"account_rejects": ["pubkey", "slot", "kind", "reason"], "rejects": ["signature", "instruction_index"], "program_instructions": ["signature", "ix_index", "inner_index"], "whitelist_actions": ["id"], "sync_state": ["program_id"], "backfill_cursor": ["program_id"]}
+KEYS = {"gaps": ["source", "start"], "account_rejects": ["pubkey", "slot", "kind", "reason"], "rejects": ["signature", "instruction_index"], "program_instructions": ["signature", "ix_index", "inner_index"], "whitelist_actions": ["id"], "sync_state": ["program_id"], "backfill_cursor": ["program_id"]}
 
 #: allowed spellings by column: (table, column) to the enum's name in ``enums``
 CHECKS = {

@@ -1260,3 +1260,94 @@ def resumed_history(spark, d):
     jobs.backfill(store, program, signatures, given, _WALK_PAGE)
     rows = store.read("program_instructions").select(c.lower_hex(F.col("signature")).alias("signature"), "ix_index", "inner_index", c.lower_hex(F.col("program_id")).alias("program_id"), "slot", "ix_name")
     return rows.crossJoin(store.read("sync_state").select("backfill_complete")).crossJoin(store.read("backfill_cursor").agg(F.count("*").alias("cursors")))
+
+
+# --- streams with state --------------------------------------------------------------------------
+
+
+def _as_stream(spark, frames):
+    """(stream, folder) of frames that come one file after the other."""
+    import uuid
+
+    from tidelog.sources.store import shared_folder
+
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    for f in frames:
+        f.coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    return lambda session: session.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed"), folder
+
+
+def _by_time(rows, parts=4):
+    """The rows in parts of their time, the oldest first."""
+    lo, hi = rows.agg(F.unix_timestamp(F.min("ts")), F.unix_timestamp(F.max("ts"))).first()
+    part = F.least(F.floor((F.unix_timestamp("ts") - lo) * parts / F.lit(hi - lo + 1)), F.lit(parts - 1))
+    return [rows.where(part == k) for k in range(parts)]
+
+
+_QUIET, _DELAY = 2700, 600
+
+
+@register(f"""WITH x AS (SELECT event_type || '-' || user_id % 5 AS source, ts FROM events), g AS (SELECT source, lag(ts) OVER (PARTITION BY source ORDER BY ts) AS start, ts AS "end" FROM x)
+ SELECT source, CAST(epoch_us(start) AS BIGINT) AS start, CAST(epoch_us("end") AS BIGINT) AS "end" FROM g WHERE "end" >= start + INTERVAL {_QUIET} SECOND
+ UNION ALL SELECT source, CAST(epoch_us(max(ts)) AS BIGINT), NULL FROM x GROUP BY source HAVING max(ts) + INTERVAL {_QUIET} SECOND <= (SELECT max(ts) FROM x) - INTERVAL {_DELAY} SECOND""")
+def stream_gaps(spark, d):
+    """Gaps of sources as a stream finds them: opened by timers while a source is silent, ended by its next row."""
+    from tidelog.streaming import jobs, stateful
+
+    e = b.table(spark, d, "events").select(F.concat_ws("-", "event_type", (F.col("user_id") % 5).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("ts"))
+    read, folder = _as_stream(spark, _by_time(e))
+    store, session = _store(spark), stateful.with_state_store(spark)
+    jobs.run_stream(stateful.gap_stream(read(session), _QUIET, f"{_DELAY} seconds"), stateful.gap_writer(store, "gaps"), f"{folder}/progress", once=True).awaitTermination()
+    return store.read("gaps").select("source", F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"))
+
+
+@register(SQL["stream_gaps"])
+def gaps(spark, d):
+    """The same gaps of the whole table."""
+    from tidelog.streaming import stateful
+
+    e = b.table(spark, d, "events").select(F.concat_ws("-", "event_type", (F.col("user_id") % 5).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("ts"))
+    return stateful.gaps(e, _QUIET, _DELAY).select("source", F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"))
+
+
+@register(SQL["alert_slot_lag_high"].replace("SELECT 'SlotLagHigh' AS alert, program, start AS t FROM h", "SELECT 'SlotLagHigh' AS alert, CAST(program AS VARCHAR) AS program, start AS t FROM h"))
+def streamed_slot_lag_high(spark, d):
+    """The lag alert over a stream of lags by minute, with a run's beginning kept from batch to batch."""
+    from tidelog.streaming import jobs, stateful
+
+    frontiers, tips = _frontiers(spark, d)
+    lags = metrics.lag_is_high(frontiers, tips.withColumn("value", F.col("value") * 200)).select(F.col("program").cast("string").alias("series"), "ts", "on")
+    read, folder = _as_stream(spark, _by_time(lags, 3))
+    out = f"{folder}/held"
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+    held = stateful.held_stream(read(stateful.with_state_store(spark)), metrics.LAG_SECONDS, "1 minute")
+    jobs.run_stream(held, write, f"{folder}/progress", once=True).awaitTermination()
+    rows = spark.read.parquet(out).where("not silent")
+    return rows.select(F.lit("SlotLagHigh").alias("alert"), F.col("series").alias("program"), F.unix_timestamp("ts").alias("t"))
+
+
+@register("""WITH e AS (SELECT event_id, event_type, event_id % 10 AS k FROM events)
+ SELECT CAST(event_id AS VARCHAR) AS id, event_type AS type, (SELECT count(*) FROM e) + (SELECT count(*) FROM e WHERE k IN (0, 1)) AS passed FROM e""")
+def bounded_dedup(spark, d):
+    """Rows that come again soon are dropped in the stream, those that come again late by the store; one that comes first, late, stays."""
+    from tidelog.streaming import jobs, stateful
+
+    e = b.table(spark, d, "events").select(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("type"), (F.col("event_id") % 10).alias("k"))
+    at = lambda rows, time: rows.withColumn("arrived", F.lit(time).cast("timestamp"))
+    frames = [
+        at(e.where("k < 4"), "2024-01-01 00:00:00"),
+        at(e.where("k between 2 and 5"), "2024-01-01 00:10:00"),  # 2 and 3 again, within the hour
+        at(e.where("k = 6"), "2024-01-02 00:00:00"),
+        at(e.where("k = 7"), "2024-01-03 00:00:00"),
+        at(e.where("k in (0, 1) or k > 7"), "2024-01-04 00:00:00"),  # 0 and 1 again, days later
+    ]
+    read, folder = _as_stream(spark, frames)
+    store, passed = _store(spark), f"{folder}/passed"
+
+    def write(batch, number):
+        batch.select("id").write.mode("overwrite").parquet(f"{passed}/batch={number}")
+        rows = batch.select("id", "type", "arrived")
+        store.commit("live", number, [store.appended("whitelist_actions", rows.withColumns({c: F.lit(None).cast(t.dataType) for c, t in ((t.name, t) for t in schemas.table_schema("whitelist_actions").fields) if c not in ("id", "type")}).drop("arrived"), F.lit(number))])
+
+    jobs.run_stream(stateful.deduplicated(read(spark), ["id"], "arrived", "1 hour"), write, f"{folder}/progress", once=True).awaitTermination()
+    return store.read("whitelist_actions").select("id", "type").crossJoin(spark.read.parquet(passed).agg(F.count("*").alias("passed")))
