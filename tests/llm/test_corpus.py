@@ -635,6 +635,104 @@ def test_html_of_known_parts(marked):
     assert other > 150  # the ratios decide: without a threshold, doubted paths stay
 
 
+def plain_article(page):
+    """The same choice of paths, written anew over a parsed tree of simple pages."""
+    from html.parser import HTMLParser
+
+    gone = {"nav", "form", "menu", "aside", "head", "title", "script", "style"}
+    found, holders, stack = [], [], []
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            if tag == "input":
+                return
+            if tag == "body":  # content ends the head
+                del stack[1:]
+            name = dict(attrs).get("class") or dict(attrs).get("id") or ""
+            inside = any(s["tag"] in ("article", "main") for s in stack)
+            up = stack[-1]["holders"] if stack else ()
+            if tag in ("article", "main", "section", "div", "td") and not inside:
+                holders.append([0, 0])
+                up = (*up, len(holders) - 1)
+            hard = tag in gone or tag == "header" and not inside or name in ("sidebar", "share", "cookie-banner", "comments", "newsletter")
+            stack.append({"tag": tag, "step": (tag, name), "hard": hard or bool(stack and stack[-1]["hard"]), "doubts": (stack[-1]["doubts"] if stack else 0) + (tag == "footer" or name == "ad"), "holders": up})
+
+        def handle_endtag(self, tag):
+            while any(s["tag"] == tag for s in stack) and stack.pop()["tag"] != tag:
+                pass
+
+        def handle_data(self, data):
+            kinds = ("b", "i")
+            if not stack or stack[-1]["hard"]:
+                return
+            block = next(k for k in range(len(stack) - 1, -1, -1) if stack[k]["tag"] not in kinds)
+            own = id(stack[block])
+            if found and found[-1]["own"] == own:
+                found[-1]["text"] += data
+            else:
+                keep.append(stack[block])
+                found.append({"own": own, "text": data, "path": tuple(s["step"] for s in stack if s["tag"] not in kinds), "doubts": stack[block]["doubts"], "holders": stack[block]["holders"], "article": any(s["tag"] in ("article", "main") for s in stack)})
+
+    keep = []
+    Reader().feed(page)
+    for f in found:
+        f["text"] = " ".join(f["text"].split())
+    found = [f for f in found if f["text"]]
+    key = lambda f: (f["path"], f["holders"], f["doubts"], f["article"])
+    own = {}
+    for f in found:
+        size, marks = len(f["text"]), len(re.findall(r"[.,;:!?…。，]", f["text"]))
+        for total in [own.setdefault(key(f), [0, 0])] + [holders[h] for h in f["holders"]]:
+            total[0] += size
+            total[1] += marks
+    marked = any(f["article"] and not f["doubts"] for f in found)
+    trust = 0.5 * min(1, sum(len(f["text"]) for f in found) / 600) ** 3
+    score = {}
+    for k, (size, marks) in own.items():
+        weights = [0.5 ** (n + 1) for n in range(len(k[1]))]
+        size += sum(w * holders[h][0] for w, h in zip(weights, k[1][::-1], strict=True))
+        marks += sum(w * holders[h][1] for w, h in zip(weights, k[1][::-1], strict=True))
+        score[k] = size * (1 + marks) ** 0.25 * trust ** (k[2] + (marked and not k[3]))
+    best = max(score.values())
+    shares = sorted([1.0, 0.03] + [max(0.03, v / best) for v in score.values()])
+    gap, cut = max((hi / lo, math.sqrt(hi * lo)) for lo, hi in zip(shares, shares[1:], strict=False) if lo < 0.18)
+    return "\n".join(f["text"] for f in found if score[key(f)] >= best * min(0.18, cut))
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_html_equals_a_plain_version(marked):
+    from tidelog.llm.html import main_text
+
+    rng = random.Random(31)
+    for _ in range(200):
+        page, _ = random_page(rng, marked)
+        assert main_text(page) == plain_article(page)
+
+
+def test_html_ratios_decide(monkeypatch):
+    """Adverts without a name, or with a strange one, go by their ratios; with ratios of 1 most pages keep something else."""
+    from tidelog.llm import html
+
+    rng, wrong, other, lost, n = random.Random(5), 0, 0, 0, 200
+    ratios = html.path_ratios
+    for k in range(n):
+        paragraphs = [sentence(rng, rng.randint(30, 90)) + ", and so on." for _ in range(rng.randint(3, 7))]
+        title, name = sentence(rng, 6), ["", ' class="zorb"', ' id="x17"'][k % 3]
+        inner = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+        page = f"<body><nav>Home</nav><div{name}>{sentence(rng, 8)}.</div><article>{inner}</article><footer>{sentence(rng, 9)}.</footer></body>"
+        want = "\n".join([title, *paragraphs])
+        got = html.main_text(page)
+        wrong += got != want
+        bare = html.main_text(page.replace("article", "div"))
+        lost += any(p not in bare for p in [title, *paragraphs])
+        wrong += bare != want
+        monkeypatch.setattr(html, "path_ratios", lambda found: dict.fromkeys(ratios(found), 1.0))
+        other += html.main_text(page) != got
+        monkeypatch.setattr(html, "path_ratios", ratios)
+    assert (wrong, lost) == (0, 0)
+    assert other > 0.9 * n
+
+
 def test_html_rows(spark):
     from tidelog.llm.html import extract
 
@@ -788,6 +886,30 @@ def test_a_passage_is_found_wherever_it_lies_in_its_item():
 # --- odd tables --------------------------------------------------------------------------------
 
 
+def test_packing_rounds_stay_bounded(spark, monkeypatch):
+    """Items that hardly combine: no round may put more on a node than its items, and none is worth its exchange."""
+    from tidelog.llm import packing
+
+    calls, rounds = [], packing._round
+
+    def counted(items, number, nodes, capacity):
+        calls.append((items.count(), nodes))
+        return rounds(items, number, nodes, capacity)
+
+    monkeypatch.setattr(packing, "_round", counted)
+    for least, most in ((600, 900), (300, 900)):
+        calls.clear()
+        parts = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), (F.lit(least) + F.pmod(F.hash("id"), F.lit(most - least))).cast("long").alias("length"), F.lit(0).cast("long").alias("ids_crc32"))
+        got = packing.pack(parts, capacity=1000, node_items=50).collect()
+        assert all(n <= 50 * nodes for n, nodes in calls) and calls[0][1] == 60
+        assert [nodes for _, nodes in calls] == sorted({nodes for _, nodes in calls}, reverse=True)
+        bins = {}
+        for r in got:
+            bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert len(got) == 3000 and all(sum(n for _, n in b) <= 1000 for b in bins.values())
+        assert all(o == sum(n for _, n in sorted(b)[:k]) for b in bins.values() for k, (o, _) in enumerate(sorted(b)))
+
+
 @pytest.mark.parametrize("name", ["jaccard_join", "score_texts", "shard", "repeated_bytes", "scan", "quality_scores", "token_counts", "pack_documents", "contamination", "keep_one", "cut_repeats", "keep_good", "drop_contaminated"])
 def test_repeated_rows_and_clashing_columns(spark, rows, name):
     """Every operator with repeated rows and columns that are named like its own."""

@@ -1,12 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
-A page's text nodes are gathered by root-to-leaf tag path (tags with their class and id words). Each
-path gets two ratios, text length per node and punctuation per node. Both are smoothed over the paths of
-the same container, or over the whole article where the page marks one, so that headings and cells share
-in the text around them; then they are fused by their product. Evidence against a path (a sidebar's tag,
-an advert's or comment's name, a place outside the marked article) scales its fused ratio down by
-``DOUBT`` each. Paths that reach ``threshold`` of the page's best one are the content. Only what can
-never be article text is left out beforehand: scripts, styles, head, navigation, menus, dialogs and forms.
+A page's text nodes are gathered by root-to-leaf tag path (tags with their class and id words), apart for each
+container that they lie in. A path's text length and its punctuation are smoothed along the tree: the container's
+sums count half, those of the next one up a quarter, and so on (a marked article is one container), so that
+headings and cells share in the text around them. Both are fused by a product in which punctuation counts a
+fourth as much. Evidence against a path (an advert's name, a footer, a place outside the marked article) halves its
+fused ratio each; where a page has little text, and ratios say little, it counts for more. Paths that reach the page's threshold
+are the content; it lies in the widest gap that the page's own ratios leave between ``LOW`` and ``HIGH`` of the best one.
+
+Left out beforehand is only what by its tag or its whole name can never be article text: scripts, styles, head, navigation,
+menus, dialogs, forms, sidebars, page headers, notices, readers' comments, sharing and signup boxes.
 
 Defined cases: null or empty html gives an empty text, an empty table no rows; repeated rows and blocks are kept as
 often as they come; unclosed and stray tags, a missing ``</head>`` and broken quotes are tolerated; an
@@ -42,57 +45,63 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("ul ol table dl article section div main body".split())
 CONTAINER = frozenset("article main section div body td".split())
 #: never article text
-NEVER_TAGS = frozenset("nav form menu dialog head".split())
-#: what speaks against a path divides its ratio by ten thousand
-DOUBT = 0.0001
-DOUBTED_TAGS = frozenset("footer aside".split())
+NEVER_TAGS = frozenset("nav form menu dialog head aside".split())
 _PLACES = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|mobile|desktop|post|blog|article|entry|content)"
-#: whole class, id and role names of elements that are boilerplate wherever they are
-DOUBTED_NAMES = re.compile(
-    rf"^(?:{_PLACES}[-_])?(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|nav(?:bar|igation)?|menus?|menubar|breadcrumbs?|sidebars?|widgets?|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay"
+#: whole class, id and role names of elements that are never article text
+NEVER_NAMES = re.compile(
+    rf"^(?:{_PLACES}[-_])?(?:nav(?:bar|igation)?|menus?|menubar|breadcrumbs?|sidebars?|widgets?|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay"
     r"|newsletter|subscribe|signup|login|comments?|commentlist|disqus|social|share|sharing|pagination|pager|toolbar)$"
-    r"|^(?:ads?|advert|sponsored|promo)[-_](?:slot|container|banner|box|unit|wrapper|block|content|space|label|top|bottom|\d+)$"
     r"|^(?:cookie|consent|gdpr)[-_](?:banner|notice|bar|consent|popup|message|policy)$"
     r"|^comments?[-_](?:list|area|section|form|body|thread|\d+)$|^(?:user|reader)[-_]comments?$|^(?:share|social|sharing)[-_](?:buttons?|bar|links|icons|media|share|tools)$"
     r"|^newsletter[-_](?:signup|form|box|widget)$|^related[-_](?:posts|articles|links|stories|content|news)$|^(?:complementary|banner|contentinfo|search|dialog)$"
 )
-#: and of those that are boilerplate outside of an article only
+#: tags and whole names that speak against a path
+DOUBTED_TAGS = frozenset("footer".split())
+DOUBTED_NAMES = re.compile(rf"^(?:{_PLACES}[-_])?(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?)$|^(?:ads?|advert|sponsored|promo)[-_](?:slot|container|banner|box|unit|wrapper|block|content|space|label|top|bottom|\d+)$")
+#: and those that do outside of an article only
 DOUBTED_OUTSIDE = re.compile(rf"^(?:{_PLACES}[-_])?(?:header|masthead|footer|side|search|reply|replies|respond|discussion|related|recommended|copyright|legal|skip|hidden|skip-link|tagline)$")
+#: characters of text below which evidence counts for more than a half
+ENOUGH = 600
+#: punctuation's part in the fused ratio
+MARKS_POWER = 0.25
+#: shares of the best path's fused ratio between which the threshold lies
+LOW, HIGH = 0.03, 0.18
 _COMMENT = re.compile(r"^comments?$|^comment[-_]")
-#: share of the best path's fused ratio that a path needs
-THRESHOLD = 0.02
 _PUNCTUATION = re.compile(r"[.,;:!?…。，]")
 
 
-def _doubts(tag: str, names: list[str], in_article: bool, nested: bool) -> float:
-    """The factor that an element puts on the ratios of the paths through it; ``nested``: within an article."""
+def _judged(tag: str, names: list[str], in_article: bool, nested: bool) -> tuple[bool, int]:
+    """(never article text, evidence against it) of an element; ``nested``: within an article."""
     if tag == "article":  # an article within an article is a reader's comment
-        return DOUBT if nested or any(_COMMENT.match(n) for n in names) else 1.0
-    if tag in DOUBTED_TAGS or tag == "header" and not in_article:
-        return DOUBT
+        return nested or any(_COMMENT.match(n) for n in names), 0
     if tag in ("html", "body", "main"):
-        return 1.0
-    return DOUBT if any(DOUBTED_NAMES.match(n) or not in_article and DOUBTED_OUTSIDE.match(n) for n in names) else 1.0
+        return False, 0
+    never = tag in NEVER_TAGS or tag == "header" and not in_article or any(NEVER_NAMES.match(n) for n in names)
+    doubted = tag in DOUBTED_TAGS or any(DOUBTED_NAMES.match(n) or not in_article and DOUBTED_OUTSIDE.match(n) for n in names)
+    return never, int(doubted)
 
 
 class Block(NamedTuple):
     path: tuple[str, ...]
     text: str
     never: bool
-    weight: float
+    doubts: int
     in_article: bool
+    #: the containers' numbers, the outermost first; of an article only its own
+    holders: tuple[int, ...]
 
 
 class _Open(NamedTuple):
     tag: str
     step: str
     never: bool
-    weight: float
+    doubts: int
     in_article: bool
     nested: bool
+    holders: tuple[int, ...]
 
 
-_TOP = _Open("", "", False, 1.0, False, False)
+_TOP = _Open("", "", False, 0, False, False, ())
 
 
 def blocks(page: str) -> list[Block]:
@@ -101,6 +110,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[_Open] = []
     parts: list[str] = []
     where: Block | None = None
+    containers = 0
 
     def flush() -> None:
         nonlocal where
@@ -113,14 +123,14 @@ def blocks(page: str) -> list[Block]:
     def add(text: str) -> None:
         nonlocal where
         top = stack[-1] if stack else _TOP
-        if where is None or (where.never, where.weight) != (top.never, top.weight):
+        if where is None or (where.never, where.doubts) != (top.never, top.doubts):
             if not text.strip():
                 if parts:
                     parts.append(text)
                 return
             if where is not None:
                 flush()
-            where = Block(tuple(s.step for s in stack if s.tag in BLOCK), "", top.never, top.weight, top.in_article)
+            where = Block(tuple(s.step for s in stack if s.tag in BLOCK), "", top.never, top.doubts, top.in_article, top.holders)
         parts.append(text)
 
     def pop_to(k: int) -> None:
@@ -176,51 +186,68 @@ def blocks(page: str) -> list[Block]:
         names = [n.lower() for x in _NAMES.findall(attributes) for n in "".join(x).split()] if attributes else []
         top = stack[-1] if stack else _TOP
         article = top.in_article or tag in ("article", "main")
-        weight = top.weight * _doubts(tag, names, top.in_article, top.nested)
-        stack.append(_Open(tag, ".".join([tag, *names]), top.never or tag in NEVER_TAGS, weight, article, top.nested or tag == "article"))
+        never, doubts = _judged(tag, names, top.in_article, top.nested)
+        holders = top.holders
+        if tag in CONTAINER and tag != "body" and not top.in_article:
+            containers += 1
+            holders = (*holders, containers)
+        stack.append(_Open(tag, ".".join([tag, *names]), top.never or never, top.doubts + doubts, article, top.nested or tag == "article", holders))
     if at < len(page):
         add(_html.unescape(page[at:]))
     flush()
     return out
 
 
-def fused_ratios(found: list[Block]) -> dict[tuple, float]:
-    """Each path's smoothed length and punctuation per node, multiplied, and scaled by the evidence against it."""
-    marked = any(b.in_article and b.weight == 1.0 for b in found)
-    length, marks, nodes = defaultdict(int), defaultdict(int), defaultdict(int)
+def _key(b: Block) -> tuple:
+    return b.path, b.holders, b.doubts, b.in_article
+
+
+def path_ratios(found: list[Block]) -> dict[tuple, float]:
+    """Each path's text length and punctuation, smoothed along the tree and fused."""
+    own, inside = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
     for b in found:
-        key = b.path, b.weight, b.in_article
-        nodes[key] += 1
-        length[key] += len(b.text)
-        marks[key] += len(_PUNCTUATION.findall(b.text))
-    group: dict[tuple, tuple] = {}
-    total = defaultdict(lambda: [0, 0, 0])
-    for key in nodes:
-        path, weight, in_article = key
-        # the nearest container, or the article as a whole; doubted paths don't share in others' text
-        last = next((i for i in range(len(path), 0, -1) if path[i - 1].split(".")[0] in CONTAINER), 0)
-        group[key] = (True, weight) if in_article else (path[:last], weight)
-        for i, x in enumerate((length[key], marks[key], nodes[key])):
-            total[group[key]][i] += x
+        size, marks = len(b.text), len(_PUNCTUATION.findall(b.text))
+        for total in (own[_key(b)], *(inside[h] for h in b.holders)):
+            total[0] += size
+            total[1] += marks
     fused = {}
-    for key, n in nodes.items():
-        size, punctuation, count = total[group[key]]
-        ratio = (length[key] / n + size / count) / 2 * (0.1 + (marks[key] / n + punctuation / count) / 2)
-        fused[key] = ratio * key[1] * (DOUBT if marked and not key[2] else 1.0)
+    for key, (size, marks) in own.items():
+        for up, h in enumerate(reversed(key[1]), 1):
+            size, marks = size + inside[h][0] * 0.5**up, marks + inside[h][1] * 0.5**up
+        fused[key] = size * (1 + marks) ** MARKS_POWER
     return fused
 
 
-def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
-    """The page's article: the blocks of the paths whose fused ratio reaches the threshold, one a line."""
+def judged_ratios(found: list[Block], ratios: dict[tuple, float]) -> dict[tuple, float]:
+    """The ratios after the evidence against their paths."""
+    marked = any(b.in_article and not b.doubts for b in found)
+    factor = 0.5 * min(1.0, sum(len(b.text) for b in found) / ENOUGH) ** 3
+    return {key: r * factor ** (key[2] + (marked and not key[3])) for key, r in ratios.items()}
+
+
+def page_threshold(ratios: list[float]) -> float:
+    """In the middle of the widest gap between two ratios that follow each other, of which the lower one is below ``HIGH`` of the
+    largest; between ``LOW`` and ``HIGH`` of it in any case."""
+    best = max(ratios)
+    shares = sorted({max(LOW, r / best) for r in ratios} | {LOW, 1.0})
+    lo, hi = max(((a, b) for a, b in zip(shares[:-1], shares[1:], strict=True) if a < HIGH), key=lambda x: x[1] / x[0])
+    return best * min(HIGH, (lo * hi) ** 0.5)
+
+
+def main_text(page: str | None, threshold: float | None = None) -> str:
+    """The page's article: the blocks of the paths whose fused ratio reaches the threshold, one a line.
+
+    ``threshold``: a share of the best path's ratio, instead of the page's own.
+    """
     found = [b for b in blocks(page or "") if not b.never]
     if not found:
         return ""
-    fused = fused_ratios(found)
-    least = threshold * max(fused.values())
-    return "\n".join(b.text for b in found if fused[b.path, b.weight, b.in_article] >= least)
+    fused = judged_ratios(found, path_ratios(found))
+    least = page_threshold(list(fused.values())) if threshold is None else threshold * max(fused.values())
+    return "\n".join(b.text for b in found if fused[_key(b)] >= least)
 
 
-def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def extract(pages: DataFrame, threshold: float | None = None) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     t.tuned(pages.sparkSession)
 

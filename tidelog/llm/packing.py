@@ -214,8 +214,9 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, node_items: int = NODE_ITEM
     place = place.select(F.col("bin").alias("first_bin"), F.col("bin").alias("now"), F.lit(0).cast("long").alias("shift"), "length")
     place = t.checkpoint(place)
     done, left = None, place.count()
-    while nodes > 1 and left > 1:
-        number, nodes = number + 1, max(1, min(nodes // 2, -(-left // node_items)))
+    # a round has as many nodes as its items need, and is only worth its exchange if these are fewer than before
+    while (fewer := max(1, -(-left // node_items))) < nodes and left > 1:
+        number, nodes = number + 1, fewer
         items = place.groupBy(F.col("now").alias("item")).agg(F.max("length").alias("length"))
         moved = _round(items, number, nodes, capacity).withColumnsRenamed({"item": "now", "place": "more"})
         place = place.drop("length").join(moved, "now").select("first_bin", F.col("bin").alias("now"), (F.col("shift") + F.col("more")).alias("shift"), F.col("fill").alias("length"))
@@ -223,9 +224,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, node_items: int = NODE_ITEM
         full = place.where(F.col("length") >= capacity - NEARLY_FULL)
         done = full if done is None else done.unionByName(full)
         place = place.where(F.col("length") < capacity - NEARLY_FULL)
-        before, left = left, place.select("now").distinct().count()
-        if nodes > 1 and left > 0.98 * before:
-            break
+        left = place.select("now").distinct().count()
     moved = place if done is None else done.unionByName(place)
     out = parts.join(first.select("item", "bin", "place"), "item").join(moved.select(F.col("first_bin").alias("bin"), "now", "shift"), "bin", "left")
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", F.coalesce("now", "bin").alias("sequence_id"), (F.col("place") + F.coalesce("shift", F.lit(0))).alias("offset"))
