@@ -213,18 +213,17 @@ def judged_documents(updates: DataFrame, table: str) -> DataFrame:
     fields = [f"{c} {k}" for c, k in kinds.items() if c not in flat]
     fields += [f"{p} struct<{','.join(f'{name}:{kinds[p + suffix]}' for suffix, name in parts.items())}>" for p, parts in nested.items()]
     rows = updates.where(F.col("kind") == table).withColumn("p", F.from_json("payload", ", ".join([*fields, f"{_CORRUPT} string"]), {"columnNameOfCorruptRecord": _CORRUPT}))
-    given, out, bad = [], [], []
+    out, bad = [], []
     for f in schema.fields[4:]:
         p, name = flat.get(f.name, (None, None))
         c = F.col(f"p.{p}.{name}") if p else F.col(f"p.{f.name}")
-        given.append(c.isNotNull())
         if (table, f.name) in CHECKS:
             value = spelled(c, getattr(enums, CHECKS[table, f.name]))
             bad.append(F.when(c.isNotNull() & value.isNull(), F.lit("unknown_enum")))
             c = value
         out.append(c.cast(f.dataType).alias(f.name))
     broken = F.when(F.col("p").isNull() | F.col(f"p.{_CORRUPT}").isNotNull(), F.lit("broken_payload"))
-    none = F.when(~reduce(lambda a, b: a | b, given), F.lit("missing_field"))
+    none = F.when(F.to_json("p") == "{}", F.lit("missing_field"))
     return _tagged(rows, out, F.coalesce(broken, none, *bad))
 
 
