@@ -1239,7 +1239,7 @@ def lower_tip(spark, d):
     return store.read("sync_state").select("last_contiguous_slot", "backfill_complete")
 
 
-_WALK_FLOOR, _WALK_PAGE = 9000, 300
+_WALK_FLOOR = 9000
 
 
 @register(f"""WITH {b.FEED}, own AS (SELECT DISTINCT o_orderkey FROM feed WHERE program = 'property' AND slot >= {_WALK_FLOOR})
@@ -1252,12 +1252,13 @@ def resumed_history(spark, d):
     store.commit("seed", 0, [store.put("sync_state", spark.createDataFrame([(bytearray(program.id), _WALK_FLOOR, False, _WALK_FLOOR)], "program_id binary, last_contiguous_slot long, backfill_complete boolean, backfill_floor_slot long"))])
     given = mapping.touching(b.feed_transactions(spark, d), [program.id])
     signatures = given.select(F.lit(program.id).alias("program_id"), "signature", "slot", (F.col("failed") | F.col("vote")).alias("failed"))
-    jobs.backfill(store, program, signatures, given, _WALK_PAGE, windows=1)
+    page = max(1, signatures.count() // 4)  # a few windows, whatever the table's size
+    jobs.backfill(store, program, signatures, given, page, windows=1)
     try:
-        jobs.backfill(store, program, signatures, given.where("slot % 2 = 0"), _WALK_PAGE)
+        jobs.backfill(store, program, signatures, given.where("slot % 2 = 0"), page)
     except ValueError:  # what is lacking there ends the run before its window is marked
         pass
-    jobs.backfill(store, program, signatures, given, _WALK_PAGE)
+    jobs.backfill(store, program, signatures, given, page)
     rows = store.read("program_instructions").select(c.lower_hex(F.col("signature")).alias("signature"), "ix_index", "inner_index", c.lower_hex(F.col("program_id")).alias("program_id"), "slot", "ix_name")
     return rows.crossJoin(store.read("sync_state").select("backfill_complete")).crossJoin(store.read("backfill_cursor").agg(F.count("*").alias("cursors")))
 
