@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,18 @@ def register_program(name: str, id: bytes, floor: int, table_schemas: dict[str,
     return _programs[name]
 
 
+@contextmanager
+def registered(name: str, *args, **kwargs) -> Iterator[Program]:
+    """A program that is registered for the length of a block; what the name stood for before comes back."""
+    before = _programs.get(name)
+    try:
+        yield register_program(name, *args, **kwargs)
+    finally:
+        _programs.pop(name, None)
+        if before is not None:
+            _programs[name] = before
+
+
 def programs() -> list[Program]:
     return list(_programs.values())
 

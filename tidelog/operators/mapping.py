@@ -55,9 +55,17 @@ def history_rows(rows: DataFrame) -> DataFrame:
 
 
 def with_block_time(rows: DataFrame, times: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a time, rows rejected): a hint wins, else the slot's known time; it is never invented."""
-    known = times.groupBy("slot").agg(F.max("block_time").alias("_known"))
-    rows = rows.join(known, "slot", "left").withColumn("block_time", F.coalesce("block_time", "_known")).drop("_known")
+    """(rows with a time, rows rejected): a hint wins, else the slot's known time; it is never invented.
+
+    Where the times have an ``origin``, rows get ``time_origin``: that, or ``hint``; NULL where there is no time.
+    """
+    traced = "origin" in times.columns
+    value = F.struct("block_time", "origin") if traced else F.struct("block_time")
+    known = times.groupBy("slot").agg(F.max(value).alias("_known"))
+    rows = rows.join(known, "slot", "left")
+    if traced:
+        rows = rows.withColumn("time_origin", F.when(F.col("block_time").isNotNull(), F.lit("hint")).otherwise(F.col("_known.origin")))
+    rows = rows.withColumn("block_time", F.coalesce("block_time", "_known.block_time")).drop("_known")
     return split_rejects(rows, F.when(F.col("block_time").isNull(), F.lit("no_block_time")))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidelog.core.order import events_after, latest_per_key
 from tidelog.functions import columns as c
 from tidelog.operators import completeness, fold, keyed, listing, mapping, metrics, payloads, validate
 from tidelog.plans import bridges as b
+from tidelog.sources import feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -367,6 +369,47 @@ def block_times(spark, d):
     return good.select("arrival", "block_time", F.lit(False).alias("rejected")).unionByName(bad.select("arrival", "block_time", F.lit(True).alias("rejected")))
 
 
+@register(f"""WITH {b.UPDATES}, h AS (SELECT slot, max(slot * 86400 + arrival % 60) AS t FROM updates WHERE arrival % 7 = 0 GROUP BY slot), l AS (SELECT DISTINCT slot, slot * 86400 + 100 AS t FROM updates WHERE slot % 3 = 0)
+ SELECT arrival, CASE WHEN arrival % 7 = 0 THEN slot * 86400 + arrival % 60 ELSE coalesce(h.t, l.t) END AS block_time, CASE WHEN arrival % 7 = 0 THEN 'hint' WHEN h.t IS NOT NULL THEN 'cached' WHEN l.t IS NOT NULL THEN 'looked_up' END AS time_origin,
+ CASE WHEN arrival % 7 <> 0 AND h.t IS NULL AND l.t IS NULL THEN 'no_block_time' END AS reason FROM updates LEFT JOIN h USING (slot) LEFT JOIN l USING (slot)""")
+def time_origins(spark, d):
+    """Each row's time and where it came from: its own hint, the hint of another row of its slot, a lookup, or nowhere."""
+    u = b.updates(spark, d)
+    rows = u.select("arrival", "slot", F.when(F.col("arrival") % 7 == 0, F.col("slot") * 86400 + F.col("arrival") % 60).alias("block_time"))
+    looked_up = u.where("slot % 3 = 0").select("slot", (F.col("slot") * 86400 + 100).alias("block_time")).distinct()
+    good, bad = mapping.with_block_time(rows, feeds.time_dimension(rows, looked_up))
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad).select("arrival", "block_time", "time_origin", "reason")
+
+
+@register("SELECT doc_id, source || chr(65533) || 'é' || chr(65533) || 'x' || chr(65533) || source AS shown FROM documents")
+def lossy_bytes(spark, d):
+    """A byte that no text has, a whole sequence, and two that break off, between good bytes."""
+    raw = F.col("source").cast("binary")
+    bad = F.concat(raw, F.lit(b"\xff"), F.lit("é".encode()), F.lit(b"\xc3"), F.lit(b"x"), F.lit(b"\xe2\x82"), raw)
+    return b.table(spark, d, "documents").select("doc_id", c.lossy_text(bad).alias("shown"))
+
+
+@register(f"""WITH {b.FEED} SELECT 'fifth_item' AS what, accounts[pos + 1] AS pubkey, slot, CAST(2 AS BIGINT) AS refused FROM good JOIN shuts USING (program, ix_name) WHERE program = 'property'
+ UNION ALL SELECT 'ROLE_RENOUNCED', accounts[1], slot, 2 FROM good WHERE program = 'property' AND ix_name = 'finalize_resignation'""")
+def registered_program(spark, d):
+    """A fifth program with rules of its own maps its part of the feed; one with another's id or table is refused."""
+    old, id = registry.program("property"), hashlib.sha256(b"fifth").digest()
+    closes = tuple((ix, "fifth_item", pos, conditional) for ix, _, pos, conditional in old.close_rules)
+    own = lambda x: x.withField("program_id", F.when(x["program_id"] == F.lit(old.id), F.lit(id)).otherwise(x["program_id"]))
+    t = b.feed_transactions(spark, d).withColumn("instructions", F.transform("instructions", own))
+    refused = 0
+    with registry.registered("fifth", id, 0, {"fifth_item": "value int"}, (("finalize_resignation", "ROLE_RENOUNCED", 0, 0, None, False, False),), closes):
+        for i, table in ((id, "sixth_item"), (hashlib.sha256(b"sixth").digest(), "fifth_item")):
+            try:
+                registry.register_program("sixth", i, 0, {table: "value int"})
+            except ValueError:
+                refused += 1
+        m = mapping.map_transactions(t, registry.program_dimension(spark), registry.action_rule_table(spark), registry.close_rule_table(spark), spark.createDataFrame([], "slot long, block_time long"))
+    gone = m.closes.where("table = 'fifth_item'").select(F.col("table").alias("what"), c.lower_hex(F.col("pubkey")).alias("pubkey"), "slot")
+    done = m.actions.where("type = 'ROLE_RENOUNCED' and id is not null").join(m.history.where(F.col("program_id") == F.lit(id)).select(c.lower_hex(F.col("signature")).alias("tx_signature"), F.concat_ws(".", "ix_index", "inner_index").alias("instruction_index")), ["tx_signature", "instruction_index"], "left_semi")
+    return gone.unionByName(done.select(F.col("type").alias("what"), F.col("actor").alias("pubkey"), "slot")).withColumn("refused", F.lit(refused).cast("long"))
+
+
 #: stand-ins of the rule tables for lineitem's instruction names
 _RULES = [("AF", "ROLE_ASSIGNED", 0, 2, None, True, False), ("NF", "ADMIN_REMOVED", 0, None, "qty", False, False), ("RF", "PERMISSION_UPDATED", 1, 3, None, True, True)]
 
@@ -1263,6 +1306,35 @@ def resumed_history(spark, d):
     return rows.crossJoin(store.read("sync_state").select("backfill_complete")).crossJoin(store.read("backfill_cursor").agg(F.count("*").alias("cursors")))
 
 
+@register(f"""WITH n AS (SELECT count(DISTINCT o_custkey % {b.KEYS}) AS n FROM orders)
+ SELECT 'failed' AS step, CAST(0 AS BIGINT) AS admins, CAST(0 AS BIGINT) AS roles, CAST(NULL AS VARCHAR) AS mark UNION ALL SELECT 'unverified', 0, 0, NULL UNION ALL SELECT 'whole', n, n, 'done' FROM n UNION ALL SELECT 'replayed', n, n, 'done' FROM n""")
+def commit_then_mark(spark, d):
+    """A batch with a bad value in its second table, or whose verification says no, shows nothing and marks nothing; its retry shows all."""
+    from pyspark.errors import PySparkException
+
+    store = _store(spark)
+    both = lambda bad: [store.changed(t, mapping.state_rows(b.account_updates(spark, d, t).where(F.col("kind") == bad(t)), t)) for t in ("admin", "role_account")]
+    whole = lambda t: F.lit(t)
+    strange = lambda t: c.checked(F.when((F.col("arrival") % 5 == 2) & (F.col("kind") == "role_account"), "strange").otherwise(F.col("kind")), (t,), "kind")
+    marks, steps = {"loaded": "done"}, []
+
+    def seen(step):
+        rows = store.read("admin").agg(F.count("*").alias("admins")).crossJoin(store.read("role_account").agg(F.count("*").alias("roles")))
+        steps.append(rows.select(F.lit(step).alias("step"), "admins", "roles", F.lit(store.marks().get("loaded")).cast("string").alias("mark")))
+
+    try:
+        store.commit("accounts", 0, both(strange), marks)
+    except PySparkException:
+        seen("failed")
+    if not store.commit("accounts", 0, both(whole), marks, verify=lambda s: s.read("admin").isEmpty()):
+        seen("unverified")
+    store.commit("accounts", 0, both(whole), marks)
+    seen("whole")
+    store.commit("accounts", 0, both(whole), {"loaded": "twice"})
+    seen("replayed")
+    return reduce(DataFrame.unionByName, steps)
+
+
 # --- streams with state --------------------------------------------------------------------------
 
 
@@ -1352,3 +1424,34 @@ def bounded_dedup(spark, d):
 
     jobs.run_stream(stateful.deduplicated(read(spark), ["id"], "arrived", "1 hour"), write, f"{folder}/progress", once=True).awaitTermination()
     return store.read("whitelist_actions").select("id", "type").crossJoin(spark.read.parquet(passed).agg(F.count("*").alias("passed")))
+
+
+@register(_newest_sql("marketplace_lawyer"))
+def late_updates(spark, d):
+    """A stream whose files come newest first: however late a row is, the guard decides and no watermark drops it."""
+    from tidelog.streaming import jobs
+
+    u = b.account_updates(spark, d, "marketplace_lawyer")
+    read, folder = _as_stream(spark, [u.where("slot >= 9500"), u.where("slot >= 8500 and slot < 9500"), u.where("slot < 8500")])
+    store = _store(spark)
+    jobs.run_stream(read(spark), jobs.state_writer(store, "marketplace_lawyer", "live"), f"{folder}/progress", once=True).awaitTermination()
+    return b.plain(store.read("marketplace_lawyer"))
+
+
+_START_TIP = 9000
+
+
+@register(f"""WITH x AS (SELECT * FROM ({b.account_rows_sql("admin")}) WHERE slot <> {_START_TIP}), held AS (SELECT * REPLACE (CAST({_START_TIP} AS BIGINT) AS slot) FROM x WHERE slot < {_START_TIP} QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1)
+ SELECT * EXCLUDE (arrival) FROM (SELECT * FROM x WHERE slot > {_START_TIP} UNION ALL SELECT * FROM held) QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1""")
+def followed_start(spark, d):
+    """The stream starts, then the tip is read, then the snapshot is loaded at it: stale stream rows lose, changes during the load win."""
+    from tidelog.streaming import jobs
+
+    store, program = _store(spark), registry.program("whitelist")
+    jobs.seed(store, [program])
+    u = b.account_updates(spark, d, "admin").where(f"slot <> {_START_TIP}")
+    read, folder = _as_stream(spark, [u.where(f"slot < {_START_TIP} and arrival % 3 = 0"), u.where(f"slot > {_START_TIP}")])
+    held = u.where(f"slot < {_START_TIP}").groupBy("pubkey").agg(F.max_by(F.struct(*[x for x in u.columns if x != "pubkey"]), F.struct("slot", -F.col("arrival"))).alias("r")).select("pubkey", "r.*")
+    start = lambda: jobs.run_stream(read(spark), jobs.state_writer(store, "admin", "live"), f"{folder}/progress", once=True)
+    jobs.follow(start, lambda: _START_TIP, lambda tip: jobs.load_snapshot(store, program, feeds.read_snapshot(held, tip), tip)).awaitTermination()
+    return b.plain(store.read("admin"))

@@ -45,6 +45,15 @@ def slot_times(transactions: DataFrame) -> DataFrame:
     return transactions.where("block_time is not null").groupBy("slot").agg(F.max("block_time").alias("block_time"))
 
 
+def time_dimension(transactions: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """(slot, block_time, origin): a slot's time from the feed's own hints (``cached``), else the one that was looked up
+    (``looked_up``: slot, block_time). A slot that neither knows has no row."""
+    rank = F.when(F.col("origin") == "cached", 1).otherwise(0)
+    known = slot_times(transactions).withColumn("origin", F.lit("cached")).unionByName(slot_times(looked_up).withColumn("origin", F.lit("looked_up")))
+    best = F.max_by(F.struct("block_time", "origin"), rank).alias("t")
+    return known.groupBy("slot").agg(best).select("slot", "t.block_time", "t.origin")
+
+
 def _labels(labels: list[str], *more: Column) -> Column:
     return F.create_map(*[x for c in labels for x in (F.lit(c), F.col(c).cast("string"))], *more)
 
