@@ -515,6 +515,27 @@ def test_a_very_long_text_of_names(spark):
     assert scan(odd.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("it is gplv3 code", {"gnu-gpl-3.0"}),
+        ("it is lgplv2.1+ code", {"gnu-lgpl-2.1"}),
+        ("gpl3 and mpl2.0", {"gnu-gpl-3.0", "mpl-2.0"}),
+        ("see the LICENSE file", {"see-license"}),
+        ("See the file COPYING", {"see-license"}),
+        ("see LICENSE.md", {"see-license"}),
+        ("see the accompanying license for details", {"see-license"}),
+        ("dual licensed MIT/Apache-2.0", {"dual", "mit", "apache-2.0"}),
+        ("dual-licensed under the Apache License, Version 2.0 or MIT", {"dual", "mit", "apache-2.0"}),
+        ("gplv3x cc01 fooagpl3 see the file and see for it", set()),
+    ],
+)
+def test_short_forms(text, labels):
+    from tidelog.llm.licenses import detect
+
+    assert {d.label for d in detect(text.lower())} == labels
+
+
 def test_contained_detections_are_suppressed():
     from tidelog.llm.licenses import detect
 
@@ -935,6 +956,48 @@ def test_repeated_rows_and_clashing_columns(spark, rows, name):
         assert counts == Counter(r[0] for r in some + some[:5])
 
 
+def _operators(spark):
+    """Every operator as a function of documents alone, with its ``doc_id`` column for what became of them."""
+    from tidelog.llm import decontaminate, language_model, licenses, near_duplicates, packing, quality, sharding, substrings, tokens
+
+    labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j k"), (None, "a b c d e f g h i j k"), (2, None)], "item_id long, text string")
+    out = {f.__name__: f for f in (language_model.score_texts, sharding.shard, licenses.scan, tokens.token_counts, packing.pack_documents, near_duplicates.keep_one, substrings.cut_repeats)}
+    out |= {f.__name__: lambda d, f=f: f(d, labels) for f in (quality.quality_scores, quality.keep_good)}
+    return out | {f.__name__: lambda d, f=f: f(d, bench) for f in (decontaminate.contamination, decontaminate.drop_contaminated)}
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    for name, operator in _operators(spark).items():
+        assert operator(none).collect() == [], name
+
+
+def test_rows_without_id_and_very_long_texts(spark):
+    """No row is lost for want of an id, and a long text is judged by what stands at its end, too."""
+    rng = random.Random(44)
+    long = " ".join(f"w{rng.randint(0, 40_000)}" for _ in range(60_000))
+    some = [(None, sentence(rng, 80), "en", "s", 1), (None, None, None, None, None), (3, long + " mit license a b c d e f g h i j k", "en", "s", 2), (None, "", "en", "s", 1), (4, sentence(rng, 70), None, None, None)]
+    docs = spark.createDataFrame(some, SCHEMA)
+    for name, operator in _operators(spark).items():
+        got = operator(docs).collect()
+        ids = Counter(r["doc_id"] for r in got)
+        if name == "pack_documents":
+            assert ids[None] == 3 and ids[4] == 1 and sum(r["length"] for r in got if r["doc_id"] == 3) > 60_000
+        elif name in ("keep_good", "drop_contaminated", "keep_one"):
+            assert ids[4] == 1 and ids[None] >= 1, name
+            assert ids[3] == (name != "drop_contaminated"), name
+        else:
+            assert ids == {None: 3, 3: 1, 4: 1}, name
+        row = next((r for r in got if r["doc_id"] == 3), None)
+        if name == "scan":
+            assert row["labels"] == "mit" and row["n_words"] == 60_013
+        elif name == "contamination":
+            assert row["contaminated"] and row["items"] == "1"
+        elif name == "cut_repeats":
+            assert row["text"] == some[2][1]
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 

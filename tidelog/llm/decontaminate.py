@@ -11,7 +11,9 @@ The benchmark is the stated query set: it is fetched in blocks of bounded size,
 pass over all documents, without a shuffle.
 
 Defined cases: null and empty texts and items match nothing; an item shorter than q bytes is
-ignored; repeated items and documents are each reported.
+ignored, and so is one without an id, since no result could name it; an item that is repeated counts once;
+repeated documents and those without an id are each reported; a very long text is searched whole; an empty
+table gives no rows, and an empty benchmark matches nothing.
 """
 
 from __future__ import annotations

@@ -219,8 +219,11 @@ SIGNATURES: tuple[tuple[str, int, str], ...] = (
     ("trademark", NOTICE, r"(?:is a|are) (?:registered )?trademarks? of"),
     ("patent", NOTICE, r"(?:patents? pending|protected by (?:one or more )?(?:u s )?patents?)"),
     ("dmca", NOTICE, r"digital millennium copyright act"),
-    ("see-license", NOTICE, r"see (?:the )?(?:file )?(?:license|copying|licence)(?: (?:txt|md))? (?:file )?(?:for|in the)"),
-    ("dual", REFERENCE, r"dual licensed under|licensed under either of"),
+    ("see-license", NOTICE, "|".join(rf"see (?:the )?(?:accompanying |enclosed |included )?{form.format(w)}" for w in ("license", "licence", "copying") for form in ("file {}", "{} (?:txt|md)", "{}(?: file| for| in the)"))),
+    ("dual", REFERENCE, r"dual licen[cs]ed|licensed under either of"),
+    ("mit", REFERENCE, r"licen[cs]ed(?: under)?(?: the)? (?:mit|expat)(?: licen[cs]e)?(?: and| or)? apache|apache(?: licen[cs]e)?(?: version)? 2(?: 0)? (?:and|or) mit"),
+    ("apache-2.0", REFERENCE, r"mit(?: licen[cs]e)?(?: and| or)?(?: the)? apache(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?"),
+    ("apache-2.0", REFERENCE, r"licen[cs]ed(?: under)?(?: the)? apache(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?(?= (?:and |or )?mit)"),
     # links
     ("apache-2.0", LINK, r"apache\.org/licenses/license-2\.0"),
     ("apache-1.1", LINK, r"apache\.org/licenses/license-1\.1"),

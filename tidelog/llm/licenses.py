@@ -9,8 +9,9 @@ detection of higher priority, or of a longer one of equal priority, are suppress
 grows as n log n with a text's detections.
 
 Besides, three fixed phrases are counted over the text's words. Defined cases: a null text is empty; a
-text without any detection has empty labels and score 0; repeated rows are scanned each; other columns of
-the documents don't matter; an empty table gives no rows.
+text without any detection has empty labels and score 0; a very long text is searched whole, in time that
+grows linearly; rows without an id and repeated rows are scanned each; other columns of the documents don't
+matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -76,6 +77,8 @@ FAMILIES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
 #: what makes a name a reference, right before it
 _UNDER = re.compile(r"(?:(?:is|are) )?(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?$")
 _UNDER_MOST = 80
+#: a version that is written on to a name, as in gplv3
+_JOINED = r"(?=v\d+(?:\.\d+)*\b|(?<!\d)\d(?:\.\d)?\b)"
 #: a tag line: in a source file, or in a package's description
 _TAGS = re.compile(r"(?:spdx-license-identifier:|licen[cs]e[\"']? ?[:=])\s{0,4}[\"'(\[]{0,2}([a-z0-9][\w.+-]{1,30}(?: (?:or|and|with) [\w.+-]{2,40}){0,4})")
 #: words that are too common to be keywords
@@ -131,7 +134,7 @@ def rules() -> list[Rule]:
     out = [Rule(keywords(x), label, priority, re.compile(rf"{x}(?!\w)"), None, priority == LINK) for label, priority, pattern in SIGNATURES for x in _alternatives(pattern)]
     for stem, names, versions in FAMILIES:
         for name in names:
-            out.append(Rule(keywords(name), stem, NAME, re.compile(rf"{name}\b(?:(?:,? ?(?:version|v|v\.)?[ -]?)(\d+(?:\.\d+)*)\b)?"), versions, True))
+            out.append(Rule(keywords(name), stem, NAME, re.compile(rf"{name}(?:\b|{_JOINED})(?:(?:,? ?(?:version|v|v\.)?[ -]?)(\d+(?:\.\d+)*)\b)?"), versions, True))
     return sorted(out, key=lambda r: -r.priority)
 
 

@@ -10,7 +10,8 @@ The vocabulary is a public tokenizer's; a piece of rank r scores -log(r + 2), si
 ranks only. The best segmentation has the highest sum; of equal ones the one with fewer tokens
 counts. A character without a piece costs one byte token per UTF-8 byte.
 
-Defined cases: a null or empty text has 0 pre-tokens and 0 tokens.
+Defined cases: a null or empty text has 0 pre-tokens and 0 tokens; a very long text is counted whole; rows
+without an id and repeated rows have a row each; other columns don't matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
