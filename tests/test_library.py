@@ -217,7 +217,7 @@ def test_enum_check(spark):
     assert c.key_argument("ab" * 32) == b"\xab" * 32
 
 
-def test_registry():
+def test_registry(spark):
     tables = registry.all_tables()
     assert len(tables) == len(set(tables)) == 24 and {p.name for p in registry.programs()} == {"whitelist", "regions", "marketplace", "property"}
     rules = [r for p in registry.programs() for r in p.close_rules]
@@ -232,6 +232,30 @@ def test_registry():
         assert column in schemas.table_schema(table).fieldNames()
 
 
+def test_registered_for_a_block():
+    before = registry.programs()
+    with pytest.raises(KeyError), registry.registered("fifth", b"5", 0, {"fifth_item": "value int"}):
+        assert registry.program("fifth").tables == ("fifth_item",)
+        raise KeyError
+    with registry.registered("regions", b"6", 0, {"regions_location": "value int"}):
+        assert registry.program("regions").id == b"6"
+    assert {p.name: p for p in registry.programs()} == {p.name: p for p in before}
+    with pytest.raises(ValueError, match="another program"), registry.registered("sixth", before[0].id, 0, {}):
+        pass
+    assert {p.name: p for p in registry.programs()} == {p.name: p for p in before}
+
+
+def test_time_origins(spark):
+    from tidelog.sources.feeds import time_dimension
+
+    rows = spark.createDataFrame([("own", 1, 10), ("cached", 1, None), ("looked", 2, None), ("none", 3, None), ("no slot", None, None), ("own, no slot", None, 7)], "id string, slot long, block_time long")
+    looked_up = spark.createDataFrame([(1, 99), (2, 20), (2, None), (None, 5)], "slot long, block_time long")
+    good, bad = mapping.with_block_time(rows, time_dimension(rows, looked_up))
+    assert {tuple(r) for r in good.select("id", "block_time", "time_origin").collect()} == {("own", 10, "hint"), ("cached", 10, "cached"), ("looked", 20, "looked_up"), ("own, no slot", 7, "hint")}
+    assert {(r["id"], r["time_origin"], r["reason"]) for r in bad.collect()} == {("none", None, "no_block_time"), ("no slot", None, "no_block_time")}
+    assert time_dimension(rows.limit(0), looked_up.limit(0)).collect() == []
+
+
 def transaction(spark, signature=b"\x07" * 64, name="assign_role", args='{"role": 3}', n=5, path=(3, 1), failed=False):
     p = registry.program("whitelist").id
     accounts = [bytearray([k] * 32) for k in range(n)]
