@@ -336,3 +336,23 @@ def test_status(spark):
         listing.sync_status(sync.limit(0), 5).collect()
     assert rows(listing.health(sync.limit(0), None)) == [(None, False, None, None)]
     assert rows(listing.check_access(fold.role_assignments_fold(spark.createDataFrame([], ACTION)), "u", "LAWYER")) == [(False, False)]
+
+
+def test_a_filter_does_not_repeat_the_parsing(spark):
+    """Payloads are parsed once a row, though a filter and the columns both need what comes out."""
+    from tidelog.operators import mapping, payloads
+    from tidelog.plans import bridges
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rows = mapping.state_rows(bridges.account_updates(spark, "/root/testdata/sf0.001", "marketplace_listing"), "marketplace_listing")
+    assert plan(rows).count("from_json(") == 1
+    given = spark.createDataFrame([], "pubkey binary, owner binary, slot long, lamports long, data binary")
+    assert "regexp_replace" not in plan(payloads.payload_rows(given, "config"))
+
+
+def test_lines_of_the_feed_travel_as_numbers(spark):
+    """No exchange of the feed has the accounts or arguments of an instruction in it."""
+    from tidelog.plans import bridges
+
+    feed = bridges.feed_transactions(spark, "/root/testdata/sf0.001")
+    assert "to_json" not in feed._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)[1]

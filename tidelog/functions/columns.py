@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,14 @@ def account_at(accounts: Column, position: Column | int) -> Column:
     return F.try_element_at(accounts, (position + 1).cast("int"))
 
 
+def worked_out(rows: DataFrame) -> DataFrame:
+    """The same rows, each column worked out once: a filter over them isn't pushed to where it would repeat what they are made of.
+
+    For costly columns, such as parsed payloads, that a filter and the rows after it both use.
+    """
+    return rows.select(F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))).alias("_row")).select("_row.*")
+
+
 def lossy_text(data: Column) -> Column:
     """Bytes as UTF-8 text; bad sequences become the replacement character."""
     return F.make_valid_utf8(data.cast("string"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidelog.core import enums, registry
 from tidelog.core.schemas import CHECKS, NESTED, STATE_PAYLOAD, state_schema
-from tidelog.functions.columns import spelled
+from tidelog.functions.columns import spelled, worked_out
 
 HEADER = 8
 #: bytes of the types of fixed width; a key is 32 bytes, a flag and an enum one
@@ -96,14 +96,10 @@ def kind_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "program_id binary, header binary, kind string")
 
 
-def _swapped(data: Column) -> Column:
-    """The hex digits of bytes, each byte's two turned: read backwards, a run of them is a little-endian number."""
-    return F.regexp_replace(F.hex(data), "(.)(.)", "$2$1")
-
-
-def _number(swapped: Column, at: int, width: int) -> Column:
-    """A little-endian number that starts at a byte; 8 bytes wrap."""
-    return F.conv(F.reverse(F.substring(swapped, at * 2 + 1, width * 2)), 16, -10).cast("bigint")
+def _number(digits: Column, at: int, width: int) -> Column:
+    """A little-endian number that starts at a byte, from the payload's hex digits; 8 bytes wrap."""
+    turned = [F.substring(digits, (at + k) * 2 + 1, 2) for k in reversed(range(width))]
+    return F.conv(F.concat(*turned), 16, -10).cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -115,18 +111,18 @@ class _Projection:
     reason: Column
 
 
-def _projection(layout: Layout, data: str, swapped: str, when: Column | None = None) -> _Projection:
+def _projection(layout: Layout, data: str, digits: str, when: Column | None = None) -> _Projection:
     """Fields are taken in order from the payload's bytes, numbers from its digits. What is left behind a field of prefixed
     width are columns of their own, so each field is at a fixed place of some column."""
     schema = {f.name: f.dataType for f in state_schema(layout.table).fields}
-    d, w, at = F.col(data), F.col(swapped), HEADER
+    d, w, at = F.col(data), F.col(digits), HEADER
     steps, out, bad, short = [], [], [], []
 
     def go_on(size: Column) -> None:
         nonlocal d, w, at
         short.append(F.octet_length(d) < size)
         rest = F.substring(d, size + 1, F.lit(1 << 30)), F.substring(w, size * 2 + 1, F.lit(1 << 30))
-        names = [f"{c}_{layout.table}_{len(steps)}" for c in (data, swapped)]
+        names = [f"{c}_{layout.table}_{len(steps)}" for c in (data, digits)]
         steps.extend((n, r if when is None else F.when(when, r)) for n, r in zip(names, rest, strict=True))
         d, w, at = F.col(names[0]), F.col(names[1]), 0
 
@@ -162,15 +158,15 @@ _COMMON = ("pubkey", "slot", "lamports")
 def _tagged(updates: DataFrame, columns: list[Column], reason: Column) -> DataFrame:
     extra = ["arrival"] if "arrival" in updates.columns else []
     reason = F.coalesce(F.when(F.col("pubkey").isNull(), F.lit("missing_key")), reason)
-    return updates.select(*_COMMON, F.lit(None).cast("long").alias("closed_at_slot"), *columns, *extra, reason.alias("reason"))
+    return worked_out(updates.select(*_COMMON, F.lit(None).cast("long").alias("closed_at_slot"), *columns, *extra, reason.alias("reason")))
 
 
 def judged_payloads(updates: DataFrame, table: str, data: str = "data") -> DataFrame:
     """Account updates of one table as typed rows from their bytes, with the reason why a row is none (NULL: it is one)."""
     layout = layouts()[table]
     owner = next(p.id for p in registry.programs() if table in p.tables)  # programs share the names of some accounts
-    rows = updates.where((F.col("owner") == F.lit(bytes(owner))) & (F.substring(data, 1, HEADER) == F.lit(layout.header))).withColumn("_swapped", _swapped(F.col(data)))
-    p = _projection(layout, data, "_swapped")
+    rows = updates.where((F.col("owner") == F.lit(bytes(owner))) & (F.substring(data, 1, HEADER) == F.lit(layout.header))).withColumn("_digits", F.hex(data))
+    p = _projection(layout, data, "_digits")
     for name, step in p.steps:
         rows = rows.withColumn(name, step)
     return _tagged(rows, p.columns, p.reason)
@@ -184,15 +180,15 @@ def payload_rows(updates: DataFrame, table: str, data: str = "data") -> DataFram
 def payload_rejects(updates: DataFrame, data: str = "data") -> DataFrame:
     """(pubkey, slot, kind, reason) of the updates with ``owner`` that none of its program's layouts decodes; in one pass."""
     kinds = kind_table(updates.sparkSession).withColumnRenamed("program_id", "owner")
-    rows = updates.withColumn("header", F.substring(data, 1, HEADER)).drop("kind").join(F.broadcast(kinds), ["owner", "header"], "left").withColumn("_swapped", _swapped(F.col(data)))
+    rows = updates.withColumn("header", F.substring(data, 1, HEADER)).drop("kind").join(F.broadcast(kinds), ["owner", "header"], "left").withColumn("_digits", F.hex(data))
     reason = F.when(F.col("kind").isNull(), F.lit("unknown_kind"))
     for table, layout in layouts().items():
-        p = _projection(layout, data, "_swapped", F.col("kind") == table)
+        p = _projection(layout, data, "_digits", F.col("kind") == table)
         for name, step in p.steps:
             rows = rows.withColumn(name, step)
         reason = reason.when(F.col("kind") == table, p.reason)
     reason = F.coalesce(F.when(F.col("pubkey").isNull(), F.lit("missing_key")), reason)
-    return rows.select("pubkey", "slot", "kind", reason.alias("reason")).where("reason is not null")
+    return worked_out(rows.select("pubkey", "slot", "kind", reason.alias("reason"))).where("reason is not null")
 
 
 # --- payloads that come decoded, as JSON ---------------------------------------------------------
@@ -223,7 +219,7 @@ def judged_documents(updates: DataFrame, table: str) -> DataFrame:
             c = value
         out.append(c.cast(f.dataType).alias(f.name))
     broken = F.when(F.col("p").isNull() | F.col(f"p.{_CORRUPT}").isNotNull(), F.lit("broken_payload"))
-    none = F.when(F.to_json("p") == "{}", F.lit("missing_field"))
+    none = F.when(reduce(lambda a, b: a & b, [F.col(f"p.{f.split(' ')[0]}").isNull() for f in fields]), F.lit("missing_field"))
     return _tagged(rows, out, F.coalesce(broken, none, *bad))
 
 

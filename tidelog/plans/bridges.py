@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidelog.core import enums, registry
 from tidelog.core.enums import ROLE
 from tidelog.core.schemas import CHECKS, NESTED, STATE_PAYLOAD
-from tidelog.functions.columns import key_argument, lower_hex
+from tidelog.functions.columns import key_argument, lower_hex, worked_out
 from tidelog.operators.payloads import WIDTH as FIELD_WIDTH
 from tidelog.operators.payloads import layouts
 
