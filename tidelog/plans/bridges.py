@@ -134,28 +134,43 @@ WIDTH = 8
 def feed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as transactions of the registered programs, their lines as instructions; some are broken.
 
-    Columns of the feed's transactions, and ``o_orderkey`` and ``o_custkey``.
+    Columns of the feed's transactions, and ``o_orderkey`` and ``o_custkey``. Lines are told apart and brought to their
+    order by the few numbers that their instruction is made of; the wide instruction is made where its transaction is.
     """
     li = table(spark, sf_dir, "lineitem")
     program = F.pmod(F.col("l_suppkey"), F.lit(4)).cast("int")
-    ids = F.array(*[F.lit(registry.program(p).id) for p in PROGRAMS])
     at = F.col("l_partkey") + F.col("l_linenumber")
-    name = F.when(F.lit(False), F.lit(""))
+    name = F.when(F.lit(False), F.lit(0))
     for k, p in enumerate(PROGRAMS):
-        name = name.when(program == k, F.get(F.array(*[F.lit(n) for n in _IX[p]]), F.pmod(at, F.lit(len(_IX[p]))).cast("int")))
+        name = name.when(program == k, F.pmod(at, F.lit(len(_IX[p]))).cast("int"))
     qty = F.col("l_quantity").cast("int")
-    path = F.when(F.col("l_partkey") % 31 != 0, F.array(F.col("l_linenumber").cast("int"), ((F.col("l_partkey") * 51 + qty) % 30000).cast("int")))
-    accounts = F.when(F.col("l_partkey") % 29 != 0, F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.unhex(F.md5(F.concat(F.lit("k"), ((F.col("l_partkey") + k) % KEYS).cast("string"))))))
-    args = F.to_json(F.struct((qty % 6).alias("role"), (qty % 2).alias("permission"), F.concat(F.lit("P"), (qty % 3).cast("string")).alias("postcode"), F.concat(F.lit("n"), qty.cast("string")).alias("new_authority"), F.concat(F.lit("x"), qty.cast("string")).alias("admin_key")))
-    args = F.when(F.col("l_partkey") % 37 != 0, args).otherwise(F.lit('{"broken'))
-    one = F.struct(path.alias("path"), F.get(ids, program).alias("program_id"), name.alias("ix_name"), accounts.alias("accounts"), args.alias("args"), F.lit(None).cast("binary").alias("data"))
-    lines = li.select(F.col("l_orderkey").alias("o_orderkey"), one.alias("i")).distinct().groupBy("o_orderkey").agg(F.collect_list("i").alias("instructions"))
+    own = F.col("l_partkey") % 31 != 0
+    few = F.struct(
+        program.alias("program"), name.alias("name"), F.when(own, F.col("l_linenumber").cast("int")).alias("outer"), F.when(own, ((F.col("l_partkey") * 51 + qty) % 30000).cast("int")).alias("inner"), own.alias("placed"),
+        F.when(F.col("l_partkey") % 29 != 0, F.when(F.col("l_partkey") >= 0, F.col("l_partkey") % KEYS).otherwise(F.col("l_partkey"))).alias("account"), F.when(F.col("l_partkey") % 37 != 0, qty).alias("qty"), (F.col("l_partkey") % 37 != 0).alias("whole"),
+    )
+    lines = li.select(F.col("l_orderkey").alias("o_orderkey"), few.alias("i")).groupBy("o_orderkey").agg(F.collect_set("i").alias("lines"))
     slot = F.unix_date(F.to_date("o_orderdate")).cast("long")
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", slot.alias("slot"), F.unhex(F.md5(F.col("o_orderkey").cast("string"))).alias("signature"), F.when(F.col("o_orderkey") % 50 != 0, slot * 86400).alias("block_time"),
-        (F.col("o_orderstatus") == "P").alias("failed"), (F.col("o_orderpriority") == "5-LOW").alias("vote"),
+        "o_orderkey", "o_custkey", slot.alias("slot"), F.when(F.col("o_orderkey") % 50 != 0, slot * 86400).alias("block_time"), (F.col("o_orderstatus") == "P").alias("failed"), (F.col("o_orderpriority") == "5-LOW").alias("vote")
+    )
+    rows = o.join(lines, "o_orderkey").withColumn("signature", F.unhex(F.md5(F.col("o_orderkey").cast("string")))).withColumn("instructions", F.transform("lines", _instruction))
+    return rows.select("slot", "signature", "block_time", "failed", "vote", "instructions", "o_orderkey", "o_custkey")
+
+
+def _instruction(x: Column) -> Column:
+    """A line's instruction, from its numbers."""
+    ids = F.array(*[F.lit(registry.program(p).id) for p in PROGRAMS])
+    names = F.array(*[F.array(*[F.lit(n) for n in _IX[p]]) for p in PROGRAMS])
+    # the accounts' keys go round, so a list is a run of them; below 0 they don't
+    keys = F.array(*[F.lit(hashlib.md5(f"k{k % KEYS}".encode()).digest()) for k in range(KEYS + WIDTH)])
+    below = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.unhex(F.md5(F.concat(F.lit("k"), ((x["account"] + k) % KEYS).cast("string")))))
+    qty = x["qty"]
+    args = F.to_json(F.struct((qty % 6).alias("role"), (qty % 2).alias("permission"), F.concat(F.lit("P"), (qty % 3).cast("string")).alias("postcode"), F.concat(F.lit("n"), qty.cast("string")).alias("new_authority"), F.concat(F.lit("x"), qty.cast("string")).alias("admin_key")))
+    return F.struct(
+        F.when(x["placed"], F.array(x["outer"], x["inner"])).alias("path"), F.get(ids, x["program"]).alias("program_id"), F.get(F.get(names, x["program"]), x["name"]).alias("ix_name"),
+        F.when(x["account"] >= 0, F.slice(keys, x["account"].cast("int") + 1, F.lit(WIDTH))).when(x["account"] < 0, below).alias("accounts"), F.when(x["whole"], args).otherwise(F.lit('{"broken')).alias("args"), F.lit(None).cast("binary").alias("data"),
     )
-    return o.join(lines, "o_orderkey").select("slot", "signature", "block_time", "failed", "vote", "instructions", "o_orderkey", "o_custkey")
 
 
 def _rows(rows: list[tuple], columns: str) -> str:
@@ -320,7 +335,7 @@ def binary_updates(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     whole = F.concat(header, body)
     data = F.unhex(F.when(F.expr(_CUT), F.expr("substring(w, 1, length(w) - 2)")).otherwise(F.col("w")))
     rows = account_updates(spark, sf_dir, name).drop("payload", "kind", "owner").withColumnRenamed("arrival", "o_orderkey")
-    return rows.withColumn("w", whole).select("pubkey", F.lit(owner).alias("owner"), "slot", "lamports", data.alias("data"), F.col("o_orderkey").alias("arrival"))
+    return worked_out(rows.withColumn("w", whole).select("pubkey", F.lit(owner).alias("owner"), "slot", "lamports", data.alias("data"), F.col("o_orderkey").alias("arrival")))
 
 
 def _has_enum(name: str) -> bool:
