@@ -566,6 +566,19 @@ def test_quality(spark, docs, rows, nothing):
     assert {r["score"] for r in quality_scores(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_quality_trusts_every_label(spark):
+    """The label that comes last by its id's hash counts, however many there are."""
+    from pyspark.sql import functions as F
+
+    from tidelog.llm.quality import quality_scores
+
+    labels = spark.range(20_002).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    last = labels.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    docs = spark.createDataFrame([(last, "calm river stones " * 30), (-1, "loud metal noise " * 30)], "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in quality_scores(docs, labels).collect()}
+    assert scores[last] > 0 > scores[-1]
+
+
 def test_quality_tells_junk(spark):
     from tidelog.llm.quality import quality_scores
 

@@ -10,8 +10,9 @@ The threshold comes from the trusted documents that pass the heuristics, each sc
 trusted (its own counts are taken off): it lies below their 1st percentile, by half of the distance
 from there to their 25th. So documents like the trusted ones stay, however few or many these are.
 
-Trusted ids are a bounded sample of labelled rows (``max_trusted``, by hash of the id), so the set
-that is sent to the executors has a fixed size; the corpus counts cover everything.
+Every labelled row of quality counts as trusted, however many there are: their ids are joined to the documents, of which a
+bitmap of fixed size over the ids' hashes leaves out most others before texts are shuffled. The percentiles are taken over the numbers of documents by score, in steps of ``STEP``, so what is
+gathered for them has a bound that no input moves.
 
 Defined cases: a null text has no words and fails the heuristics; a document without words scores 0;
 without any trusted document all scores are 0 and only the heuristics decide, as they do if no trusted
@@ -33,7 +34,10 @@ from tidelog.llm import _text as t
 
 BUCKETS = 1 << 16
 SLICE = 1 << 11
-MAX_TRUSTED = 20_000
+#: the threshold's percentiles are exact on scores of this step
+STEP = 1e-4
+#: bits of the bitmap, and of one of its pieces
+BITS, PIECE = 1 << 26, 1 << 15
 #: the corpus' share in the trusted distribution, which bounds what a feature can cost
 CORPUS_SHARE = 0.2
 #: percentiles of the trusted scores that the threshold follows from, see above
@@ -53,50 +57,66 @@ def _features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, border, h, bucket.astype(np.int64), np.concatenate((doc, doc[at]))
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> list[int]:
-    """At most ``max_trusted`` ids of rows with quality 1 and not toxic, in order of a hash of the id."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    return [r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted).collect()]
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all rows with quality 1 and not toxic, each once."""
+    return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def _ratio(trusted: np.ndarray, total: np.ndarray | float, prior: np.ndarray) -> np.ndarray:
-    return np.log((1 - CORPUS_SHARE) * trusted / np.maximum(total, 1) + CORPUS_SHARE * prior) - np.log(prior)
+def _trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of the trusted documents; the bitmap lets all of them through and the join is exact."""
+    spark, ids = docs.sparkSession, trusted_ids(labels)
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("_bit")
+    pieces = ids.select(bit).groupBy(F.floor(F.col("_bit") / PIECE).cast("int").alias("piece")).agg(F.bitmap_construct_agg(F.col("_bit") % PIECE).alias("bits"))
+    bitmap = np.zeros((BITS // PIECE, PIECE // 8), np.uint8)
+    for r in pieces.collect():  # as many as the bitmap has, at most
+        bitmap[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    sent = spark.sparkContext.broadcast(bitmap.reshape(-1))
 
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.column(2).to_numpy(zero_copy_only=False)
+            yield b.select([0, 1]).filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
 
-def log_ratio(docs: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> tuple[np.ndarray, float]:
-    """log p(trusted) - log p(corpus) of each bucket, of fixed size whatever the input, and the threshold."""
-    spark = t.tuned(docs.sparkSession)
-    ids = np.array(sorted(trusted_ids(labels, max_trusted)), np.int64)
-    sent = spark.sparkContext.broadcast(ids)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").select("doc_id", "text", bit)
+    return rows.mapInArrow(maybe, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+
+
+def _counted(rows: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in the texts, a vector of fixed size whatever the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, BUCKETS), np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for b in batches:
-            known = np.isin(b.column(0).to_numpy(zero_copy_only=False), sent.value)
-            for lo, hi, data, off in t.chunks(b.column(1)):
-                *_, bucket, doc = _features(data, off)
-                total[1] += np.bincount(bucket, minlength=BUCKETS)
-                if known[lo:hi].any():
-                    total[0] += np.bincount(bucket[known[lo:hi][doc]], minlength=BUCKETS)
-        slices = total.reshape(2, -1, SLICE).transpose(1, 0, 2)
+            for _, _, data, off in t.chunks(b.column(0)):
+                *_, bucket, _ = _features(data, off)
+                total += np.bincount(bucket, minlength=BUCKETS)
+        slices = total.reshape(-1, SLICE)
         yield pa.record_batch([pa.array(range(len(slices)), pa.int32()), pa.array([x.tobytes() for x in slices], pa.binary())], ["slice", "blob"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "text").mapInArrow(count, "slice int, blob binary")
-    total = np.zeros((BUCKETS // SLICE, 2, SLICE), np.int64)
-    for r in t.sum_vectors(rows, 8).collect():
-        total[r[0]] = np.frombuffer(r[1], np.int64).reshape(2, SLICE)
-    sent.unpersist()
-    trusted, corpus = total.transpose(1, 0, 2).reshape(2, BUCKETS).astype(float)
+    out = np.zeros((BUCKETS // SLICE, SLICE), np.int64)
+    for r in t.sum_vectors(rows.select("text").mapInArrow(count, "slice int, blob binary"), 8).collect():
+        out[r[0]] = np.frombuffer(r[1], np.int64)
+    return out.reshape(-1).astype(float)
+
+
+def _ratio(trusted: np.ndarray, total: np.ndarray | float, prior: np.ndarray) -> np.ndarray:
+    return np.log((1 - CORPUS_SHARE) * trusted / np.maximum(total, 1) + CORPUS_SHARE * prior) - np.log(prior)
+
+
+def log_ratio(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+    """log p(trusted) - log p(corpus) of each bucket, of fixed size whatever the input, and the threshold."""
+    t.tuned(docs.sparkSession)
+    own = _trusted_docs(docs, labels)
+    trusted = _counted(own)
     if not trusted.sum():
         return np.zeros(BUCKETS), -np.inf
+    corpus = _counted(docs)
     prior = (corpus + 1) / (corpus.sum() + BUCKETS)
-    return _ratio(trusted, trusted.sum(), prior), _threshold(docs, ids, trusted, prior)
+    return _ratio(trusted, trusted.sum(), prior), _threshold(own, trusted, prior)
 
 
-def _threshold(docs: DataFrame, ids: np.ndarray, trusted: np.ndarray, prior: np.ndarray) -> float:
-    spark = docs.sparkSession
-    own = spark.createDataFrame(pa.table({"doc_id": ids}))
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(own), "doc_id", "left_semi")
+def _threshold(own: DataFrame, trusted: np.ndarray, prior: np.ndarray) -> float:
+    spark = own.sparkSession
     sent = spark.sparkContext.broadcast((trusted, prior))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +127,8 @@ def _threshold(docs: DataFrame, ids: np.ndarray, trusted: np.ndarray, prior: np.
                 passed = ~_stats(data, off, texts[lo:hi], np.zeros(BUCKETS))["base_failed"]
                 yield pa.record_batch([pa.array(_without_own(data, off, trusted, prior)[passed])], ["score"])
 
-    low, quarter = some.mapInArrow(score, "score double").agg(F.percentile("score", F.lit(LOW)), F.percentile("score", F.lit(QUARTER))).first()
+    by_score = own.mapInArrow(score, "score double").groupBy((F.round(F.col("score") / STEP) * STEP).alias("score")).agg(F.count("*").alias("n"))
+    low, quarter = by_score.agg(F.percentile("score", F.lit(LOW), F.col("n")), F.percentile("score", F.lit(QUARTER), F.col("n"))).first()
     sent.unpersist()
     return -np.inf if low is None else low - (quarter - low) / 2 - 1e-9
 
@@ -153,9 +174,9 @@ def _stats(data: np.ndarray, off: np.ndarray, texts: list[str | None], ratio: np
     }
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float | None = None, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """One row per document: the heuristics' counts, the score and the verdict; a given threshold replaces the labels'."""
-    ratio, least = log_ratio(docs, labels, max_trusted)
+    ratio, least = log_ratio(docs, labels)
     ratio, least = docs.sparkSession.sparkContext.broadcast(ratio), least if threshold is None else threshold
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +190,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float | None =
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float | None = None, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """The documents that ``quality_scores`` keeps, with all their columns, in the same pass over them."""
-    ratio, least = log_ratio(docs, labels, max_trusted)
+    ratio, least = log_ratio(docs, labels)
     ratio, least = docs.sparkSession.sparkContext.broadcast(ratio), least if threshold is None else threshold
     at = docs.columns.index("text")
 
