@@ -356,3 +356,24 @@ def test_lines_of_the_feed_travel_as_numbers(spark):
 
     feed = bridges.feed_transactions(spark, "/root/testdata/sf0.001")
     assert "to_json" not in feed._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)[1]
+
+
+def test_newest_rows_are_found_from_numbers(spark):
+    from tidelog.operators import keyed
+
+    u = spark.createDataFrame([("a", 1, 1, "x"), ("a", 2, 5, "y"), ("a", 2, 3, "z"), (None, 1, 1, "n"), ("b", None, 1, "m")], "k string, slot long, arrival long, v string")
+    rows = keyed.newest_rows(u, ["k"])
+    assert sorted(r["v"] for r in rows.collect()) == ["m", "n", "z"]
+    assert "SortAggregate" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_frame_of_a_stream_is_not_one_task(spark):
+    """Each frame has as many files as its source has parts, with empty ones where rows lack, so a batch is a frame."""
+    from tidelog.plans import catalog
+
+    source = spark.range(0, 12, 1, 3)
+    read, folder = catalog._as_stream(spark, [source.where("id < 6"), source.where("id >= 6")], source)
+    assert [len(spark.read.schema("id long").parquet(f"{folder}/feed/{n}").inputFiles()) for n in (0, 1)] == [3, 3]
+    seen = []
+    read(spark).writeStream.foreachBatch(lambda b, n: seen.append(sorted(r["id"] for r in b.collect()))).option("checkpointLocation", f"{folder}/p").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [list(range(6)), list(range(6, 12))]

@@ -28,6 +28,19 @@ def append_new(stored: DataFrame, rows: DataFrame, key: list[str], arrival: Colu
     return append_dedup(rows, key, arrival).join(stored.select(*key), key, "left_anti").select(*rows.columns)
 
 
+def newest_rows(updates: DataFrame, key: list[str], arrival: str = "arrival") -> DataFrame:
+    """``updates`` without those that a later slot of their key outdoes, or at their slot an earlier arrival.
+
+    Which they are is found from the numbers alone, in two aggregations by hash; wide rows are neither sorted nor
+    gathered for it. Rows that tie in slot and arrival all stay.
+    """
+    first = updates.groupBy(*key, "slot").agg(F.min(arrival).alias("_first"))
+    best = first.groupBy(*key).agg(F.max("slot").alias("_slot"), F.max_by("_first", F.coalesce("slot", F.lit(-(1 << 63)))).alias("_first"))
+    mine = [F.col(f"u.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key]
+    won = [*mine, F.col("u.slot").eqNullSafe(F.col("n._slot")), F.col(f"u.{arrival}").eqNullSafe(F.col("n._first"))]
+    return updates.alias("u").join(best.alias("n"), won, "left_semi")
+
+
 def newest_updates(updates: DataFrame, key: list[str], arrival: str = "arrival") -> DataFrame:
     """Of each key's updates the one with the largest slot, the first-arrived of equal ones; all that a batch can change."""
     rest = [c for c in updates.columns if c not in (*key, arrival)]

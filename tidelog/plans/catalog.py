@@ -1293,7 +1293,10 @@ def resumed_history(spark, d):
 
     store, program = _store(spark), registry.program("property")
     store.commit("seed", 0, [store.put("sync_state", spark.createDataFrame([(bytearray(program.id), _WALK_FLOOR, False, _WALK_FLOOR)], "program_id binary, last_contiguous_slot long, backfill_complete boolean, backfill_floor_slot long"))])
-    given = mapping.touching(b.feed_transactions(spark, d), [program.id])
+    # every run and window reads some of these transactions; they are made once
+    folder = f"{store.root}/given"
+    mapping.touching(b.feed_transactions(spark, d), [program.id]).write.parquet(folder)
+    given = spark.read.parquet(folder)
     signatures = given.select(F.lit(program.id).alias("program_id"), "signature", "slot", (F.col("failed") | F.col("vote")).alias("failed"))
     page = max(1, signatures.count() // 4)  # a few windows, whatever the table's size
     jobs.backfill(store, program, signatures, given, page, windows=1)
@@ -1338,16 +1341,22 @@ def commit_then_mark(spark, d):
 # --- streams with state --------------------------------------------------------------------------
 
 
-def _as_stream(spark, frames):
-    """(stream, folder) of frames that come one file after the other."""
+def _as_stream(spark, frames, source):
+    """(stream, folder) of frames that come one after the other, each a batch.
+
+    A frame is so many files as ``source``, the table it comes from, has parts (16 at most), so no task has it whole. All have
+    the same number, with empty files where there are no rows, so a batch of that many files is one frame.
+    """
     import uuid
 
     from tidelog.sources.store import shared_folder
 
-    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    for f in frames:
-        f.coalesce(1).write.mode("append").parquet(f"{folder}/feed")
-    return lambda session: session.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed"), folder
+    folder, width = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}", max(1, min(16, source.rdd.getNumPartitions()))
+    for n, f in enumerate(frames):
+        f.coalesce(width).write.parquet(f"{folder}/feed/{n}")
+        for _ in range(width - len(spark.read.schema(f.schema).parquet(f"{folder}/feed/{n}").inputFiles())):
+            f.limit(0).coalesce(1).write.mode("append").parquet(f"{folder}/feed/{n}")
+    return lambda session: session.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", width).parquet(f"{folder}/feed/*"), folder
 
 
 def _by_time(rows, parts=4):
@@ -1368,7 +1377,7 @@ def stream_gaps(spark, d):
     from tidelog.streaming import jobs, stateful
 
     e = b.table(spark, d, "events").select(F.concat_ws("-", "event_type", (F.col("user_id") % 5).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("ts"))
-    read, folder = _as_stream(spark, _by_time(e))
+    read, folder = _as_stream(spark, _by_time(e), b.table(spark, d, "events"))
     store, session = _store(spark), stateful.with_state_store(spark)
     jobs.run_stream(stateful.gap_stream(read(session), _QUIET, f"{_DELAY} seconds"), stateful.gap_writer(store, "gaps"), f"{folder}/progress", once=True).awaitTermination()
     return store.read("gaps").select("source", F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"))
@@ -1390,7 +1399,7 @@ def streamed_slot_lag_high(spark, d):
 
     frontiers, tips = _frontiers(spark, d)
     lags = metrics.lag_is_high(frontiers, tips.withColumn("value", F.col("value") * 200)).select(F.col("program").cast("string").alias("series"), "ts", "on")
-    read, folder = _as_stream(spark, _by_time(lags, 3))
+    read, folder = _as_stream(spark, _by_time(lags, 3), b.table(spark, d, "events"))
     out = f"{folder}/held"
     write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
     held = stateful.held_stream(read(stateful.with_state_store(spark)), metrics.LAG_SECONDS, "1 minute")
@@ -1414,7 +1423,7 @@ def bounded_dedup(spark, d):
         at(e.where("k = 7"), "2024-01-03 00:00:00"),
         at(e.where("k in (0, 1) or k > 7"), "2024-01-04 00:00:00"),  # 0 and 1 again, days later
     ]
-    read, folder = _as_stream(spark, frames)
+    read, folder = _as_stream(spark, frames, b.table(spark, d, "events"))
     store, passed = _store(spark), f"{folder}/passed"
 
     def write(batch, number):
@@ -1432,7 +1441,7 @@ def late_updates(spark, d):
     from tidelog.streaming import jobs
 
     u = b.account_updates(spark, d, "marketplace_lawyer")
-    read, folder = _as_stream(spark, [u.where("slot >= 9500"), u.where("slot >= 8500 and slot < 9500"), u.where("slot < 8500")])
+    read, folder = _as_stream(spark, [u.where("slot >= 9500"), u.where("slot >= 8500 and slot < 9500"), u.where("slot < 8500")], b.table(spark, d, "orders"))
     store = _store(spark)
     jobs.run_stream(read(spark), jobs.state_writer(store, "marketplace_lawyer", "live"), f"{folder}/progress", once=True).awaitTermination()
     return b.plain(store.read("marketplace_lawyer"))
@@ -1450,8 +1459,8 @@ def followed_start(spark, d):
     store, program = _store(spark), registry.program("whitelist")
     jobs.seed(store, [program])
     u = b.account_updates(spark, d, "admin").where(f"slot <> {_START_TIP}")
-    read, folder = _as_stream(spark, [u.where(f"slot < {_START_TIP} and arrival % 3 = 0"), u.where(f"slot > {_START_TIP}")])
-    held = u.where(f"slot < {_START_TIP}").groupBy("pubkey").agg(F.max_by(F.struct(*[x for x in u.columns if x != "pubkey"]), F.struct("slot", -F.col("arrival"))).alias("r")).select("pubkey", "r.*")
+    read, folder = _as_stream(spark, [u.where(f"slot < {_START_TIP} and arrival % 3 = 0"), u.where(f"slot > {_START_TIP}")], b.table(spark, d, "orders"))
+    held = keyed.newest_rows(u.where(f"slot < {_START_TIP}"), ["pubkey"])
     start = lambda: jobs.run_stream(read(spark), jobs.state_writer(store, "admin", "live"), f"{folder}/progress", once=True)
     jobs.follow(start, lambda: _START_TIP, lambda tip: jobs.load_snapshot(store, program, feeds.read_snapshot(held, tip), tip)).awaitTermination()
     return b.plain(store.read("admin"))
