@@ -55,7 +55,7 @@ def transaction_writer(store: Store, source: str, times: DataFrame | None = None
         try:
             m = mapping.mapped(judged, acting, closing)
             changes = [
-                store.appended("program_instructions", m.history, F.struct("slot", F.to_json(F.struct("*")))),
+                store.appended("program_instructions", m.history, F.col("slot")),
                 store.appended("whitelist_actions", m.actions, F.struct("slot", "id")),
                 store.appended("rejects", m.rejected, F.struct("slot", "reason")),
             ]
@@ -249,8 +249,10 @@ def backfill(store: Store, program: Program, signatures: DataFrame, transactions
     own = signatures.where(F.col("program_id") == key).select("program_id", hexed, "slot", "failed").distinct()
     cursor = store.read("backfill_cursor").where(F.col("program_id") == key).select("program_id", "signature", "slot")
     rest = completeness.below_cursor(own, cursor)
-    # entries by page and the plan of pages are written once a run; a window reads its own page
+    # what is left, entries by page and the plan of pages are written once a run; a window reads its own page
     folder = f"{store.root}/walks/{source}-{uuid.uuid4().hex}"
+    rest.write.parquet(f"{folder}/rest")
+    rest = spark.read.parquet(f"{folder}/rest")
     ranked = completeness.ranked(rest, ["program_id"], "slot", ["signature"])
     ranked.where(F.col("slot") >= floor).withColumn("page", F.floor((F.col("rank") - 1) / page_size)).drop("rank").write.partitionBy("page").parquet(f"{folder}/entries")
     plan = completeness.plan_pages(rest, floor, page_size).orderBy("page")
