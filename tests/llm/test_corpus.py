@@ -579,6 +579,28 @@ def test_quality_trusts_every_label(spark):
     assert scores[last] > 0 > scores[-1]
 
 
+def test_quality_moves_ids_not_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidelog.llm import quality
+
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.range(0, 6000, 3).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    meant = [r["doc_id"] for r in labels.orderBy("doc_id").collect()]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = quality._trusted_docs(docs, labels)
+        assert "Exchange" not in own._jdf.queryExecution().toString()
+        assert sorted(r["doc_id"] for r in own.collect()) == meant
+        monkeypatch.setattr(quality, "BITS", quality.PIECE)  # so few bits that trusted and other ids share some
+        own = quality._trusted_docs(docs, labels)
+        assert "Exchange" in own._jdf.queryExecution().toString()
+        assert sorted(r["doc_id"] for r in own.collect()) == meant
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_quality_tells_junk(spark):
     from tidelog.llm.quality import quality_scores
 

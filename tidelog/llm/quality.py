@@ -10,8 +10,9 @@ The threshold comes from the trusted documents that pass the heuristics, each sc
 trusted (its own counts are taken off): it lies below their 1st percentile, by half of the distance
 from there to their 25th. So documents like the trusted ones stay, however few or many these are.
 
-Every labelled row of quality counts as trusted, however many there are: their ids are joined to the documents, of which a
-bitmap of fixed size over the ids' hashes leaves out most others before texts are shuffled. The percentiles are taken over the numbers of documents by score, in steps of ``STEP``, so what is
+Every labelled row of quality counts as trusted, however many there are. A bitmap of fixed size over their ids' hashes finds them
+among the documents; a second one, of other documents' ids that hit it, tells where the first isn't sure. Only texts whose bit is in
+both are shuffled, for an exact join: hardly any while ids are few for the bitmap, and at most as many as the first one finds. The percentiles are taken over the numbers of documents by score, in steps of ``STEP``, so what is
 gathered for them has a bound that no input moves.
 
 Defined cases: a null text has no words and fails the heuristics; a document without words scores 0;
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import _text as t
@@ -62,23 +63,39 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def _trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts of the trusted documents; the bitmap lets all of them through and the join is exact."""
-    spark, ids = docs.sparkSession, trusted_ids(labels)
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("_bit")
-    pieces = ids.select(bit).groupBy(F.floor(F.col("_bit") / PIECE).cast("int").alias("piece")).agg(F.bitmap_construct_agg(F.col("_bit") % PIECE).alias("bits"))
-    bitmap = np.zeros((BITS // PIECE, PIECE // 8), np.uint8)
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """The bits of the ids' hashes, of fixed size however many ids there are."""
+    pieces = ids.select(_bit()).groupBy(F.floor(F.col("_bit") / PIECE).cast("int").alias("piece")).agg(F.bitmap_construct_agg(F.col("_bit") % PIECE).alias("bits"))
+    out = np.zeros((BITS // PIECE, PIECE // 8), np.uint8)
     for r in pieces.collect():  # as many as the bitmap has, at most
-        bitmap[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
-    sent = spark.sparkContext.broadcast(bitmap.reshape(-1))
+        out[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _bit() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("_bit")
+
+
+def _of(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """The rows whose id's bit is set."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
 
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = b.column(2).to_numpy(zero_copy_only=False)
-            yield b.select([0, 1]).filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            at = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            yield b.select(range(b.num_columns - 1)).filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return rows.select("*", _bit()).mapInArrow(keep, rows.schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").select("doc_id", "text", bit)
-    return rows.mapInArrow(maybe, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+
+def _trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of the trusted documents. Ids alone are joined first; only texts whose bit trusted and other ids share are joined themselves."""
+    ids = trusted_ids(labels)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    marked = _bitmap(ids)
+    shared = _bitmap(_of(rows.select("doc_id"), marked).join(ids, "doc_id", "left_anti"))
+    sure = _of(rows, marked & ~shared)
+    return sure.unionByName(_of(rows, shared).join(ids, "doc_id", "left_semi")) if shared.any() else sure
 
 
 def _counted(rows: DataFrame) -> np.ndarray:
