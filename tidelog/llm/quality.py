@@ -73,7 +73,15 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _bit() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("_bit")
+    """The place of the row's id in a bitmap, -1 without an id."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BITS))
+    return F.when(F.col("doc_id").isNotNull(), place).otherwise(-1).alias("_bit")
+
+
+def _set(bitmap: np.ndarray, at: pa.Array) -> np.ndarray:
+    """Which of these places the bitmap has."""
+    at = at.to_numpy(zero_copy_only=False)
+    return (at >= 0) & (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def _of(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -82,38 +90,43 @@ def _of(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
-            yield b.select(range(b.num_columns - 1)).filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            yield b.select(range(b.num_columns - 1)).filter(pa.array(_set(sent.value, b.column(b.num_columns - 1))))
 
     return rows.select("*", _bit()).mapInArrow(keep, rows.schema)
 
 
-def _trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts of the trusted documents. Ids alone are joined first; only texts whose bit trusted and other ids share are joined themselves."""
+def _trusted_docs(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame | None]:
+    """A bitmap that only trusted documents hit, and the texts of those it lacks. Ids alone are joined first; only
+    texts whose bit trusted and other ids share are joined themselves."""
     ids = trusted_ids(labels)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = _bitmap(ids)
     shared = _bitmap(_of(rows.select("doc_id"), marked).join(ids, "doc_id", "left_anti"))
-    sure = _of(rows, marked & ~shared)
-    return sure.unionByName(_of(rows, shared).join(ids, "doc_id", "left_semi")) if shared.any() else sure
+    # dealt before the join, so that no task runs two Python workers at once, one before and one after it
+    rest = _of(rows, shared).repartition("doc_id").join(ids, "doc_id", "left_semi").select("text") if shared.any() else None
+    return marked & ~shared, rest
 
 
-def _counted(rows: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in the texts, a vector of fixed size whatever the input."""
+def _counted(rows: DataFrame, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket occurs in all texts, and in those whose bit is set: vectors of fixed size whatever the input."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros((2, BUCKETS), np.int64)
         for b in batches:
-            for _, _, data, off in t.chunks(b.column(0)):
-                *_, bucket, _ = _features(data, off)
-                total += np.bincount(bucket, minlength=BUCKETS)
+            own = _set(sent.value, b.column(1))
+            for lo, hi, data, off in t.chunks(b.column(0)):
+                *_, bucket, doc = _features(data, off)
+                total[0] += np.bincount(bucket, minlength=BUCKETS)
+                total[1] += np.bincount(bucket[own[lo:hi][doc]], minlength=BUCKETS)
         slices = total.reshape(-1, SLICE)
         yield pa.record_batch([pa.array(range(len(slices)), pa.int32()), pa.array([x.tobytes() for x in slices], pa.binary())], ["slice", "blob"])
 
-    out = np.zeros((BUCKETS // SLICE, SLICE), np.int64)
-    for r in t.sum_vectors(rows.select("text").mapInArrow(count, "slice int, blob binary"), 8).collect():
+    out = np.zeros((2 * BUCKETS // SLICE, SLICE), np.int64)
+    for r in t.sum_vectors(rows.select("text", _bit()).mapInArrow(count, "slice int, blob binary"), 8).collect():
         out[r[0]] = np.frombuffer(r[1], np.int64)
-    return out.reshape(-1).astype(float)
+    sent.unpersist()
+    return tuple(out.reshape(2, -1).astype(float))
 
 
 def _ratio(trusted: np.ndarray, total: np.ndarray | float, prior: np.ndarray) -> np.ndarray:
@@ -123,28 +136,33 @@ def _ratio(trusted: np.ndarray, total: np.ndarray | float, prior: np.ndarray) ->
 def log_ratio(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """log p(trusted) - log p(corpus) of each bucket, of fixed size whatever the input, and the threshold."""
     t.tuned(docs.sparkSession)
-    own = _trusted_docs(docs, labels)
-    trusted = _counted(own)
+    sure, rest = _trusted_docs(docs, labels)
+    corpus, trusted = _counted(docs, sure)
+    if rest is not None:
+        trusted += _counted(rest.select(F.lit(None).cast("long").alias("doc_id"), "text"), sure)[0]
     if not trusted.sum():
         return np.zeros(BUCKETS), -np.inf
-    corpus = _counted(docs)
     prior = (corpus + 1) / (corpus.sum() + BUCKETS)
-    return _ratio(trusted, trusted.sum(), prior), _threshold(own, trusted, prior)
+    return _ratio(trusted, trusted.sum(), prior), _threshold(docs, sure, rest, trusted, prior)
 
 
-def _threshold(own: DataFrame, trusted: np.ndarray, prior: np.ndarray) -> float:
-    spark = own.sparkSession
-    sent = spark.sparkContext.broadcast((trusted, prior))
+def _threshold(docs: DataFrame, sure: np.ndarray, rest: DataFrame | None, trusted: np.ndarray, prior: np.ndarray) -> float:
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((sure, trusted, prior))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trusted, prior = sent.value
+        sure, trusted, prior = sent.value
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi, data, off in t.chunks(b.column(1)):
+            b = b.filter(pa.array(_set(sure, b.column(1)))) if b.num_columns == 2 else b
+            texts = b.column(0).to_pylist()
+            for lo, hi, data, off in t.chunks(b.column(0)):
                 passed = ~_stats(data, off, texts[lo:hi], np.zeros(BUCKETS))["base_failed"]
                 yield pa.record_batch([pa.array(_without_own(data, off, trusted, prior)[passed])], ["score"])
 
-    by_score = own.mapInArrow(score, "score double").groupBy((F.round(F.col("score") / STEP) * STEP).alias("score")).agg(F.count("*").alias("n"))
+    scores = docs.select("text", _bit()).mapInArrow(score, "score double")
+    if rest is not None:
+        scores = scores.unionByName(rest.mapInArrow(score, "score double"))
+    by_score = scores.groupBy((F.round(F.col("score") / STEP) * STEP).alias("score")).agg(F.count("*").alias("n"))
     low, quarter = by_score.agg(F.percentile("score", F.lit(LOW), F.col("n")), F.percentile("score", F.lit(QUARTER), F.col("n"))).first()
     sent.unpersist()
     return -np.inf if low is None else low - (quarter - low) / 2 - 1e-9
