@@ -241,3 +241,34 @@ def test_quantiles_of_falling_counts(spark):
     rows = spark.createDataFrame([("x", 1.0, 4.0), ("x", 2.0, 3.0), ("x", float("inf"), 8.0), ("none", 1.0, 0.0), ("none", float("inf"), 0.0)], "series string, le double, n double")
     got = {(r["series"], r["q"]): r["value"] for r in metrics.histogram_quantiles(rows, ["series"], (0.25, 0.5, 0.99)).collect()}
     assert got == {("x", 0.25): 0.5, ("x", 0.5): 1.0, ("x", 0.99): 2.0, ("none", 0.25): None, ("none", 0.5): None, ("none", 0.99): None}
+
+
+def test_streamed_updates_feed_follows_the_table(spark, tmp_path, monkeypatch):
+    """The feed has files for each part of the table, all rows of a slot in one, and takes two batches as before."""
+    from tidelog.plans import catalog
+    from tidelog.sources import feeds
+    from tidelog.streaming import jobs
+
+    given, known, batches = "/root/testdata/sf0.001/orders.parquet", {}, []
+    read, writer = feeds.read_changes, jobs.state_writer
+
+    def spy(spark, path, table, **more):
+        known["feed"] = spark.read.parquet(path)
+        return read(spark, path, table, **more)
+
+    def counted(*args, **more):
+        write = writer(*args, **more)
+        return lambda batch, number: (batches.append(number), write(batch, number))
+
+    monkeypatch.setattr(feeds, "read_changes", spy)
+    monkeypatch.setattr(jobs, "state_writer", counted)
+    run = lambda d: sorted(map(repr, catalog.QUERIES["streamed_updates"](spark, d).collect()))
+    spark.read.parquet(given).repartition(8).write.parquet(f"{tmp_path}/orders.parquet")
+    parts = spark.read.parquet(f"{tmp_path}/orders.parquet").rdd.getNumPartitions()
+    assert parts > 1
+    assert run(str(tmp_path)) == run("/root/testdata/sf0.001")
+    assert batches == [0, 1, 0, 1]
+    run(str(tmp_path))
+    of = known["feed"].withColumn("file", F.input_file_name())
+    assert of.groupBy("slot").agg(F.countDistinct("file").alias("n")).where("n > 1").count() == 0
+    assert of.select("file").distinct().count() > 3

@@ -940,6 +940,11 @@ def two_sources_one_store(spark, d):
     return store.read("program_instructions").select(c.lower_hex(F.col("signature")).alias("signature"), "ix_index", "inner_index", c.lower_hex(F.col("program_id")).alias("program_id"), "slot", "ix_name")
 
 
+def _parts(spark, d, name):
+    """How many parts a given table is read in."""
+    return max(1, b.table(spark, d, name).rdd.getNumPartitions())
+
+
 def _newest_sql(name):
     return f"SELECT * EXCLUDE (arrival) FROM ({b.account_rows_sql(name)}) QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY slot DESC, arrival) = 1"
 
@@ -954,10 +959,12 @@ def streamed_updates(spark, d):
     from tidelog.streaming import jobs
 
     folder = f"{shared_folder(spark)}/updates-{uuid.uuid4().hex}"
-    # slots don't tie between files, so the files' order doesn't matter
-    b.account_updates(spark, d, "regions_vote_record").repartition(3, "slot").write.parquet(f"{folder}/feed")
+    updates = b.account_updates(spark, d, "regions_vote_record")
+    # slots don't tie between files, so the files' order doesn't matter; the table's parts set their number, so that none grows with it
+    updates.repartition(3 * _parts(spark, d, "orders"), "slot").write.parquet(f"{folder}/feed")
+    files = len(spark.read.schema(updates.schema).parquet(f"{folder}/feed").inputFiles())
     store = _store(spark)
-    feed = read_changes(spark, f"{folder}/feed", "account_updates", files_per_trigger=2)
+    feed = read_changes(spark, f"{folder}/feed", "account_updates", files_per_trigger=-(-2 * files // 3))
     jobs.run_stream(feed, jobs.state_writer(store, "regions_vote_record", "live", compact_every=2), f"{folder}/progress", once=True).awaitTermination()
     return b.plain(store.read("regions_vote_record"))
 
