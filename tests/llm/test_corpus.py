@@ -144,6 +144,39 @@ def test_keep_one(docs, rows):
     assert {r["doc_id"] for r in keep_one(docs).collect()} == {c for c, *_ in brute_classes(rows).values()}
 
 
+def exchanges(df):
+    return len(re.findall(r"^[\s:+*()\d-]*Exchange ", df._jdf.queryExecution().executedPlan().toString(), re.M))
+
+
+def test_components_deal_links_out_twice_a_round(spark, monkeypatch):
+    """Each shuffle leaves files for every task until the driver collects its garbage; a run of rounds must not be many of them."""
+    from tidelog.llm import _text
+    from tidelog.llm.components import components
+
+    seen, cut = [], _text.checkpoint
+    monkeypatch.setattr(_text, "checkpoint", lambda df: seen.append(exchanges(df)) or cut(df))
+    rng = random.Random(14)
+    order = rng.sample(range(1000, 1300), 300)
+    links = list(zip(order, order[1:], strict=False))
+    links += [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(200)]
+    links += [(b, a) for a, b in links[:50]] + links[:50] + [(5000, 5000)] + [(9000, k) for k in range(6000, 6500)]
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    name = {x: x for a, b in links if a != b for x in (a, b)}
+    while any(name[a] != name[b] for a, b in links if a != b):
+        for a, b in links:
+            if a != b:
+                name[a] = name[b] = min(name[a], name[b])
+    assert Counter(map(tuple, got)) == Counter(name.items())
+    assert len(seen) > 3 and max(seen) <= 2
+
+
+def test_keep_one_reads_no_links(spark, rows):
+    """Of the documents only those to be kept are looked up; links and signatures aren't joined for it."""
+    from tidelog.llm.near_duplicates import keep_one
+
+    assert exchanges(keep_one(spark.createDataFrame(rows, SCHEMA))) <= 6
+
+
 # --- language model ----------------------------------------------------------------------------
 
 

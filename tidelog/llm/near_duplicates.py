@@ -238,7 +238,7 @@ def _candidates(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _buckets(sets: DataFrame, similarity: float, runs: int, depth: int, bucket: int) -> DataFrame:
-    """Candidate edges of all runs, level by level."""
+    """Candidate edges of all runs, level by level; distinct in each level."""
     out = None
     paths = _first_paths(sets, runs, similarity)
     for level in range(1, depth + 1):
@@ -255,7 +255,7 @@ def _buckets(sets: DataFrame, similarity: float, runs: int, depth: int, bucket:
         if level == depth or large.isEmpty():
             break
         paths = _next_paths(large.join(sets.select("sid", "tokens"), "sid"), similarity)
-    return out.distinct()
+    return out
 
 
 def _verify(groups: DataFrame, docs: DataFrame, similarity: float, chunk: int) -> DataFrame:
@@ -333,8 +333,8 @@ def similar(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarra
     return same & (both > 0)
 
 
-def _classified(docs: DataFrame, similarity: float, recall: float, depth: int, bucket: int, chunk: int) -> DataFrame:
-    """doc_id, text_hash and n (shingles) of each document, its class by name and by smallest id, and its links."""
+def _classes(docs: DataFrame, similarity: float, recall: float, depth: int, bucket: int, chunk: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The signed documents, their sets with each set's first document, the candidate groups, what verifying them found, and (sid, class) of linked sets."""
     t.tuned(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", _text_hash())
     signed = t.checkpoint(docs.select("doc_id", "text_hash", "text").mapInArrow(_signatures, "doc_id long, text_hash long, h1 long, h2 long, n long, tokens binary"))
@@ -347,15 +347,22 @@ def _classified(docs: DataFrame, similarity: float, recall: float, depth: int, b
     groups = components(edges).select(F.col("node").alias("sid"), F.col("component").alias("gid"))
     groups = t.checkpoint(groups.join(sets.drop("tokens", *key), "sid"))
     found = t.checkpoint(_verify(groups, docs, similarity, chunk))
-    links = found.where("other is null").groupBy("sid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     classes = components(found.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("sid"), F.col("component").alias("class"))
+    return signed, sets, groups, found, classes
+
+
+def _classified(docs: DataFrame, similarity: float, recall: float, depth: int, bucket: int, chunk: int) -> DataFrame:
+    """doc_id and n (shingles) of each document, its class by smallest id, and its links."""
+    signed, sets, groups, found, classes = _classes(docs, similarity, recall, depth, bucket, chunk)
+    key = ["h1", "h2"]
+    links = found.where("other is null").groupBy("sid").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     least = classes.join(groups.select("sid", "doc_id"), "sid").groupBy("class").agg(F.min("doc_id").alias("class_id"))
     known = sets.drop("tokens", "n").join(links, "sid", "left").join(classes.join(least, "class"), "sid", "left")
     known = known.select(
-        *key, F.coalesce("class", "sid").alias("class"), F.when(F.col("class").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        *key, F.when(F.col("class").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         (F.col("n_texts") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), (F.col("n_docs") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_linked_docs"),
     )
-    return signed.select("doc_id", "text_hash", *key, "n").join(known, key, "left").drop(*key)
+    return signed.select("doc_id", *key, "n").join(known, key, "left").drop(*key)
 
 
 def _text_hash() -> F.Column:
@@ -382,7 +389,9 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     named = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("r")
-    kept = _classified(docs.where(some), similarity, RECALL, DEPTH, BUCKET, CHUNK).groupBy("class").agg(first)
+    _, sets, _, _, classes = _classes(docs.where(some), similarity, RECALL, DEPTH, BUCKET, CHUNK)
+    # a set has its own first document, so neither the documents nor their links are needed again
+    kept = sets.join(classes, "sid", "left").groupBy(F.coalesce("class", "sid").alias("class")).agg(first)
     kept = kept.select(F.coalesce("r.doc_id", F.lit(-(1 << 63))).alias(id_), F.col("r.text_hash").alias(hash_))
     rows = docs.where(some).withColumn(id_, named).withColumn(hash_, _text_hash()).join(kept, [id_, hash_], "left_semi")
     return rows.dropDuplicates([id_, hash_]).select(*docs.columns).unionByName(docs.where(~some))
